@@ -127,9 +127,11 @@ def fill_nulls_by_type(df: DataFrame, text: str = "Unknown", number: float = 0.0
     return out
 
 
-def clean_opportunities(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """C1 -> C2 -> C3 as the reference's ``clean_data``."""
+def clean_opportunities(df: DataFrame, by: Sequence[str] = (),
+                        numeric: Sequence[str] | None = None) -> DataFrame:
+    """C1 -> C2 -> C3 as the reference's ``clean_data``. ``numeric`` limits the
+    median fill to columns known to hold nulls (each fill is one job)."""
     out = drop_exact_duplicates(df)
     out = fill_text_unknown(out)
-    nums = [c for c in numeric_columns(out) if c not in by]
+    nums = list(numeric) if numeric is not None else [c for c in numeric_columns(out) if c not in by]
     return fill_numeric_median(out, nums, by=by)

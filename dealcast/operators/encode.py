@@ -5,31 +5,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from dealcast.operators.stats import attach_stats, running_totals
 
 
-def label_codes(df: DataFrame, col: str, by: Sequence[str] = (), out: str | None = None) -> DataFrame:
+def label_codes(df: DataFrame, col: str, by: Sequence[str] = (), out: str | None = None,
+                high_cardinality: bool = False) -> DataFrame:
     """Lexicographic 0-based code of each distinct non-null value of ``col``
     (per ``by`` group): ``(by..., col, <col>_encoded)``.
 
-    The dense rank is the running count of distinct values, computed with
-    ``running_totals`` so a high-cardinality column (ids, accounts) is ranked
-    across all partitions rather than in one window task.
+    Label columns with a bounded set of values (agents, regions, sectors,
+    bands) are ranked with one window per group over their distinct values.
+    ``high_cardinality`` columns (ids, accounts) are ranked with
+    ``running_totals`` instead, so no group's distinct values meet in one task.
     """
     by = list(by)
     out = out or f"{col}_encoded"
-    distinct = df.select(*by, col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ranked = running_totals(distinct, [col], ["_one"], by=by)
+    distinct = df.select(*by, col).where(F.col(col).isNotNull()).distinct()
+    if not high_cardinality:
+        w = Window.partitionBy(*by).orderBy(col)
+        return distinct.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
+    ranked = running_totals(distinct.withColumn("_one", F.lit(1)), [col], ["_one"], by=by)
     return ranked.select(*by, col, (F.col("cum__one") - 1).cast("int").alias(out))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
+                 high_cardinality: Sequence[str] = ()) -> DataFrame:
     """F23 (fit + transform): add ``<col>_encoded`` for each column."""
     out = df
     for c in cols:
-        out = out.join(label_codes(df, c, by), [*by, c], "left")
+        out = out.join(label_codes(df, c, by, high_cardinality=c in high_cardinality), [*by, c], "left")
     return out
 
 

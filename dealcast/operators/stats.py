@@ -75,8 +75,11 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
         aggs.append(F.max(F.when((first_rank <= hi) & (hi <= last_rank), F.col("_v"))).alias(f"_hi{i}"))
         aggs.append(F.max(pos - lo).alias(f"_fr{i}"))
     g = r.groupBy(*by).agg(*aggs)
-    return g.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
-                           .alias(names[i]) for i in range(len(qs))])
+
+    def interp(i):  # (ceil - pos) * lo + (pos - floor) * hi, as Spark's percentile
+        lo_v, hi_v, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
+        return F.when(fr == 0, lo_v).otherwise((1 - fr) * lo_v + fr * hi_v)
+    return g.select(*by, *[interp(i).alias(names[i]) for i in range(len(qs))])
 
 
 def quantile_scalar(df: DataFrame, value: str, q: float) -> Column:

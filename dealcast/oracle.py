@@ -70,3 +70,107 @@ accts AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
+
+CLEAN = SNAPS + """,
+snap_med AS (
+  SELECT snapshot_period,
+         quantile_cont(close_value, 0.5) FILTER (WHERE deal_stage IN ('Won', 'Lost')) AS med
+  FROM snaps GROUP BY snapshot_period),
+clean AS (
+  SELECT opportunity_id, coalesce(sales_agent, 'Unknown') AS sales_agent,
+         coalesce(product, 'Unknown') AS product, coalesce(account, 'Unknown') AS account,
+         coalesce(deal_stage, 'Unknown') AS deal_stage, engage_date, close_date,
+         coalesce(close_value, m.med) AS close_value, opportunity_key, creation_date,
+         coalesce(creation_year_month, 'Unknown') AS creation_year_month,
+         snapshot_period, snapshot_date
+  FROM (SELECT DISTINCT * FROM snaps) s LEFT JOIN snap_med m USING (snapshot_period))"""
+
+
+def band_sql(x: str, edges, labels, include_lowest=True, last_open=True) -> str:
+    bounds = list(edges) + ([None] if last_open else [])
+    parts = []
+    for i, lab in enumerate(labels):
+        lo, hi = bounds[i], bounds[i + 1]
+        cond = f"{x} >= {lo}" if (i == 0 and include_lowest) else f"{x} > {lo}"
+        if hi is not None:
+            cond += f" AND {x} <= {hi}"
+        parts.append(f"WHEN {cond} THEN '{lab}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+VALUE_BAND = band_sql("close_value", (0, 1000, 5000, 10000, 50000),
+                      ("Small", "Medium", "Large", "Very Large", "Enterprise"))
+CYCLE_BAND = band_sql("(close_date - engage_date)", (0, 30, 90, 180, 365),
+                      ("Quick", "Short", "Medium", "Long", "Very Long"))
+
+FEAT = CLEAN + "," + TEAMS + "," + ACCOUNTS + f""",
+f0 AS (
+  SELECT c.*, ln(1 + close_value) AS close_value_log,
+         {VALUE_BAND} AS close_value_category,
+         CASE deal_stage WHEN 'Prospecting' THEN 1 WHEN 'Engaging' THEN 2 WHEN 'Won' THEN 4
+                         WHEN 'Lost' THEN 0 END AS deal_stage_order,
+         CAST(coalesce(deal_stage IN ('Won', 'Lost'), false) AS INTEGER) AS is_closed,
+         CAST(coalesce(deal_stage = 'Won', false) AS INTEGER) AS is_won,
+         CAST(coalesce(deal_stage = 'Lost', false) AS INTEGER) AS is_lost,
+         1 - CAST(coalesce(deal_stage IN ('Won', 'Lost'), false) AS INTEGER) AS is_open
+  FROM clean c),
+f1 AS (SELECT f0.*, t.manager, t.regional_office FROM f0 LEFT JOIN teams t USING (sales_agent)),
+agent_s AS (
+  SELECT snapshot_period, sales_agent, count(*) AS agent_opportunity_count,
+         round_even(avg(CASE WHEN is_closed = 1 THEN is_won END), 3) AS agent_win_rate
+  FROM f1 GROUP BY snapshot_period, sales_agent),
+product_s AS (
+  SELECT snapshot_period, product, count(*) AS product_popularity,
+         round_even(avg(CASE WHEN is_closed = 1 THEN is_won END), 3) AS product_win_rate
+  FROM f1 GROUP BY snapshot_period, product),
+f2 AS (
+  SELECT f1.*, a.agent_opportunity_count, a.agent_win_rate, p.product_popularity, p.product_win_rate,
+         CAST(year(engage_date) AS INTEGER) AS engage_year, CAST(month(engage_date) AS INTEGER) AS engage_month,
+         CAST(quarter(engage_date) AS INTEGER) AS engage_quarter,
+         CAST(isodow(engage_date) - 1 AS INTEGER) AS engage_day_of_week,
+         CAST(dayofyear(engage_date) AS INTEGER) AS engage_day_of_year,
+         CAST(year(close_date) AS INTEGER) AS close_year, CAST(month(close_date) AS INTEGER) AS close_month,
+         CAST(quarter(close_date) AS INTEGER) AS close_quarter,
+         CAST(isodow(close_date) - 1 AS INTEGER) AS close_day_of_week,
+         CAST(close_date - engage_date AS INTEGER) AS sales_cycle_days,
+         {CYCLE_BAND} AS sales_cycle_category
+  FROM f1 LEFT JOIN agent_s a USING (snapshot_period, sales_agent)
+          LEFT JOIN product_s p USING (snapshot_period, product)),
+f3 AS (SELECT f2.*, a.sector, a.revenue, a.employees FROM f2 LEFT JOIN accts a USING (account)),
+account_s AS (SELECT snapshot_period, account, count(*) AS account_frequency FROM f3 GROUP BY 1, 2),
+feat AS (
+  SELECT f3.*, s.account_frequency,
+         CAST(coalesce(s.account_frequency > 1, false) AS INTEGER) AS is_repeat_account
+  FROM f3 LEFT JOIN account_s s USING (snapshot_period, account))"""
+
+ENCODED = ("opportunity_id", "sales_agent", "product", "account", "creation_year_month",
+           "close_value_category", "sales_cycle_category", "manager", "regional_office", "sector")
+SCALED = ("close_value", "close_value_log", "deal_stage_order", "is_closed", "is_won", "is_lost",
+          "is_open", "agent_opportunity_count", "agent_win_rate", "product_popularity",
+          "product_win_rate", "engage_year", "engage_month", "engage_quarter", "engage_day_of_week",
+          "engage_day_of_year", "close_year", "close_month", "close_quarter", "close_day_of_week",
+          "sales_cycle_days", "revenue", "employees", "account_frequency", "is_repeat_account",
+          "sales_agent_encoded", "product_encoded", "account_encoded", "creation_year_month_encoded",
+          "close_value_category_encoded", "sales_cycle_category_encoded", "manager_encoded",
+          "regional_office_encoded", "sector_encoded")
+
+
+def _enc(c: str) -> str:
+    return (f"CAST(CASE WHEN {c} IS NOT NULL THEN dense_rank() OVER "
+            f"(PARTITION BY snapshot_period ORDER BY {c} NULLS LAST) - 1 END AS INTEGER) AS {c}_encoded")
+
+
+def _scaled(c: str) -> str:
+    w = "OVER (PARTITION BY snapshot_period)"
+    return (f"({c} - avg({c}) {w}) / CASE WHEN stddev_pop({c}) {w} = 0 THEN 1.0 "
+            f"ELSE stddev_pop({c}) {w} END AS {c}_scaled")
+
+
+FEATURE_TABLE = FEAT + f""",
+enc AS (SELECT feat.*, {", ".join(_enc(c) for c in ENCODED)} FROM feat),
+scaled AS (SELECT enc.*, {", ".join(_scaled(c) for c in SCALED)} FROM enc),
+features AS (
+  SELECT scaled.*, CAST(coalesce(deal_stage = 'Won', false) AS INTEGER) AS target_binary,
+         CAST(dense_rank() OVER (PARTITION BY snapshot_period ORDER BY deal_stage) - 1 AS INTEGER)
+           AS target_multiclass
+  FROM scaled)"""

@@ -30,3 +30,21 @@ def snapshots(spark: SparkSession, sf_dir: str, first_month: str = FIRST_MONTH)
 def dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     t = tables(spark, sf_dir)
     return binding.sales_teams(t), binding.accounts(t), binding.products(t)
+
+
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C3 on every snapshot (medians per snapshot)."""
+    from dealcast.operators.clean import clean_opportunities
+    return clean_opportunities(snapshots(spark, sf_dir), by=BY, numeric=["close_value"])
+
+
+def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dealcast.plans.features import create_features
+    teams, accts, _ = dims(spark, sf_dir)
+    return create_features(cleaned(spark, sf_dir), teams, accts, by=BY)
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dealcast.plans.features import feature_table
+    teams, accts, _ = dims(spark, sf_dir)
+    return feature_table(cleaned(spark, sf_dir), teams, accts, by=BY)

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from dealcast.functions import scalar as S
 from dealcast.operators.encode import label_encode, standard_scale, targets
+from dealcast.session import materialize
 from dealcast.operators.joins import attach_group_stats, join_accounts, join_sales_teams
 
 TARGET = "deal_stage"
+HIGH_CARDINALITY = ("opportunity_id", "account")
 
 # Columns the reference label-encodes (text columns of the
 # feature table other than the target and the dates).
@@ -85,7 +87,9 @@ def feature_table(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
                   by: Sequence[str] = ()) -> DataFrame:
     """The reference's feature engineering run, end to end."""
     by = list(by)
-    f = create_features(opps, teams, accounts, by)
-    f = label_encode(f, [c for c in ENCODED if c in f.columns], by)
+    # The row features feed ten encoders, the scaler and the targets: write
+    # them once instead of replaying the binding and cleaning per branch.
+    f = materialize(create_features(opps, teams, accounts, by))
+    f = label_encode(f, [c for c in ENCODED if c in f.columns], by, high_cardinality=HIGH_CARDINALITY)
     f = standard_scale(f, scale_columns(f, by), by)
     return targets(f, TARGET, by)

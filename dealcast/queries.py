@@ -50,3 +50,254 @@ FROM snaps WHERE deal_stage IN ('Won', 'Lost') AND sales_agent IS NOT NULL
 GROUP BY snapshot_period, sales_agent""")
 def q_a1(spark, d):
     return A.performance(D.snapshots(spark, d), "sales_agent", by=BY)
+
+
+# ---------------------------------------------------------------- cleaning
+
+@query("c3_clean_snapshots", O.with_(O.CLEAN) + "SELECT * FROM clean")
+def q_clean(spark, d):
+    return D.cleaned(spark, d)
+
+
+@query("c4_open_value_zero", O.with_(O.SNAPS) + """
+SELECT opportunity_id, deal_stage,
+       CASE WHEN deal_stage NOT IN ('Won', 'Lost') AND close_value IS NULL THEN 0.0
+            ELSE close_value END AS close_value
+FROM snaps""")
+def q_c4(spark, d):
+    from dealcast.operators.clean import fill_open_value_zero
+    return fill_open_value_zero(D.snapshots(spark, d)).select("opportunity_id", "deal_stage", "close_value")
+
+
+@query("c8_creation_periods", O.with_(O.SNAPS) + """
+SELECT creation_year_month, CAST(count(*) AS BIGINT) AS opportunities,
+       min(creation_date) AS first_created, max(creation_date) AS last_created
+FROM snaps GROUP BY creation_year_month""")
+def q_c8(spark, d):
+    return D.snapshots(spark, d).groupBy("creation_year_month").agg(
+        F.count("*").alias("opportunities"), F.min("creation_date").alias("first_created"),
+        F.max("creation_date").alias("last_created"))
+
+
+@query("c9_rewind_stage_counts", O.with_(O.SNAPS) + """
+SELECT snapshot_period, deal_stage, count(*) AS count,
+       CAST(sum(CASE WHEN close_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS without_close,
+       CAST(sum(CASE WHEN engage_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS without_engage
+FROM snaps GROUP BY snapshot_period, deal_stage""")
+def q_c9(spark, d):
+    return D.snapshots(spark, d).groupBy("snapshot_period", "deal_stage").agg(
+        F.count("*").alias("count"),
+        F.sum(F.when(F.col("close_date").isNull(), 1).otherwise(0)).alias("without_close"),
+        F.sum(F.when(F.col("engage_date").isNull(), 1).otherwise(0)).alias("without_engage"))
+
+
+# ---------------------------------------------------------------- features and joins
+
+@query("j4_row_features", O.with_(O.FEAT) + "SELECT * FROM feat")
+def q_row_features(spark, d):
+    return D.row_features(spark, d)
+
+
+@query("f22_f25_feature_table", O.with_(O.FEATURE_TABLE) + "SELECT * FROM features")
+def q_feature_table(spark, d):
+    return D.features(spark, d)
+
+
+@query("j1_unmatched_agents", O.with_(O.SNAPS, O.TEAMS) + """
+SELECT 'sales_agent' AS key_column, count(*) AS unmatched_rows
+FROM snaps s WHERE NOT EXISTS (SELECT 1 FROM teams t WHERE t.sales_agent = s.sales_agent)""")
+def q_j1_unmatched(spark, d):
+    from dealcast.operators.joins import unmatched_count
+    teams, _, _ = D.dims(spark, d)
+    return unmatched_count(D.snapshots(spark, d), teams, "sales_agent")
+
+
+@query("j3_product_join", O.with_(O.SNAPS) + """,
+prods AS (SELECT p_brand AS product, count(*) AS parts, round_even(avg(p_retailprice), 2) AS sales_price
+          FROM part GROUP BY p_brand)
+SELECT s.opportunity_id, s.snapshot_period, s.product, p.parts, p.sales_price
+FROM snaps s LEFT JOIN prods p USING (product)""")
+def q_j3(spark, d):
+    from dealcast.operators.joins import join_products
+    _, _, prods = D.dims(spark, d)
+    s = D.snapshots(spark, d).select("opportunity_id", "snapshot_period", "product")
+    return join_products(s, prods)
+
+
+@query("j6_agents_with_pipeline", O.with_(O.SNAPS) + """
+SELECT s.opportunity_id, s.snapshot_period, s.sales_agent FROM snaps s
+WHERE s.deal_stage IN ('Engaging', 'Prospecting') AND EXISTS (
+  SELECT 1 FROM (SELECT snapshot_period, sales_agent FROM snaps
+                 WHERE deal_stage IN ('Engaging', 'Prospecting')
+                 GROUP BY snapshot_period, sales_agent HAVING count(*) >= 3) k
+  WHERE k.snapshot_period = s.snapshot_period AND k.sales_agent = s.sales_agent)""")
+def q_j6(spark, d):
+    from dealcast.operators.joins import having_min_rows
+    s = D.snapshots(spark, d).where(F.col("deal_stage").isin("Engaging", "Prospecting"))
+    return having_min_rows(s, ["snapshot_period", "sales_agent"], 3) \
+        .select("opportunity_id", "snapshot_period", "sales_agent")
+
+
+@query("j7_invalid_stages", O.with_(O.SNAPS) + """
+SELECT DISTINCT deal_stage FROM snaps
+WHERE deal_stage IS NULL OR deal_stage NOT IN ('Won', 'Lost', 'Engaging', 'Prospecting')""")
+def q_j7(spark, d):
+    from dealcast.operators.joins import values_not_in
+    return values_not_in(D.snapshots(spark, d), "deal_stage", ["Won", "Lost", "Engaging", "Prospecting"])
+
+
+@query("w1_account_frequency", O.with_(O.SNAPS) + """
+SELECT s.opportunity_id, s.snapshot_period, s.account, a.account_frequency,
+       CAST(coalesce(a.account_frequency > 1, false) AS INTEGER) AS is_repeat_account
+FROM snaps s LEFT JOIN (SELECT snapshot_period, account, count(*) AS account_frequency FROM snaps
+                        GROUP BY 1, 2) a USING (snapshot_period, account)""")
+def q_w1(spark, d):
+    from dealcast.operators.joins import attach_group_stats
+    s = D.snapshots(spark, d).select("opportunity_id", "snapshot_period", "account")
+    out = attach_group_stats(s, ["snapshot_period", "account"], {"account_frequency": F.count("*")})
+    return out.withColumn("is_repeat_account",
+                          F.coalesce(F.col("account_frequency") > 1, F.lit(False)).cast("int"))
+
+
+# ---------------------------------------------------------------- more aggregations
+
+_CLOSED_SNAPS = "FROM snaps WHERE deal_stage IN ('Won', 'Lost')"
+
+
+@query("a2_product_performance", O.with_(O.SNAPS) + f"""
+SELECT snapshot_period, product,
+       round_even(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END), 3) AS win_rate,
+       CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS total_wins,
+       round_even(avg(close_value), 3) AS avg_deal_value,
+       round_even(sum(close_value), 3) AS total_revenue, count(*) AS closed_deals
+{_CLOSED_SNAPS} AND product IS NOT NULL GROUP BY snapshot_period, product""")
+def q_a2(spark, d):
+    return A.performance(D.snapshots(spark, d), "product", by=BY)
+
+
+@query("a3_account_performance", O.with_(O.SNAPS) + """
+SELECT snapshot_period, account,
+       round_even(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END), 3) AS account_win_rate,
+       sum(close_value) AS account_value, count(*) AS account_deals
+FROM snaps WHERE account IS NOT NULL GROUP BY snapshot_period, account""")
+def q_a3(spark, d):
+    return A.account_performance(D.snapshots(spark, d), by=BY)
+
+
+@query("a4_stage_counts", O.with_(O.SNAPS) + """
+SELECT snapshot_period, deal_stage, count(*) AS count FROM snaps
+WHERE deal_stage IS NOT NULL GROUP BY snapshot_period, deal_stage""")
+def q_a4(spark, d):
+    return A.value_counts(D.snapshots(spark, d), "deal_stage", by=BY)
+
+
+@query("a5_monthly_pattern", O.with_(O.SNAPS) + f"""
+SELECT CAST(month(engage_date) AS INTEGER) AS engage_month, count(*) AS deals,
+       CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS wins,
+       avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate, avg(close_value) AS avg_value
+{_CLOSED_SNAPS} AND engage_date IS NOT NULL GROUP BY 1""")
+def q_a5(spark, d):
+    return A.monthly_pattern(D.snapshots(spark, d))
+
+
+@query("a6_win_rate_by_band", O.with_(O.SNAPS) + f"""
+SELECT snapshot_period, value_band, count(*) AS deals,
+       avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate
+FROM (SELECT *, {O.VALUE_BAND} AS value_band {_CLOSED_SNAPS})
+WHERE value_band IS NOT NULL GROUP BY snapshot_period, value_band""")
+def q_a6(spark, d):
+    return A.win_rate_by_band(D.snapshots(spark, d), by=BY)
+
+
+@query("a6_win_rate_by_quartile", O.with_(O.SNAPS) + f""",
+c AS (SELECT * {_CLOSED_SNAPS} AND close_value IS NOT NULL),
+q AS (SELECT quantile_cont(close_value, 0.25) AS q25, quantile_cont(close_value, 0.5) AS q50,
+             quantile_cont(close_value, 0.75) AS q75 FROM c)
+SELECT CASE WHEN close_value <= q25 THEN 'Q1' WHEN close_value <= q50 THEN 'Q2'
+            WHEN close_value <= q75 THEN 'Q3' ELSE 'Q4' END AS value_quartile,
+       count(*) AS deals, avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate
+FROM c, q GROUP BY 1""")
+def q_a6q(spark, d):
+    return A.win_rate_by_quartile(D.snapshots(spark, d))
+
+
+@query("a7_agent_stats_having", O.with_(O.SNAPS) + f"""
+SELECT sales_agent, count(*) AS deals, avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate,
+       avg(close_value) AS avg_value
+{_CLOSED_SNAPS} AND sales_agent IS NOT NULL GROUP BY sales_agent HAVING count(*) >= 10""")
+def q_a7(spark, d):
+    return A.agent_stats(D.snapshots(spark, d))
+
+
+@query("a12_value_quantiles", O.with_(O.SNAPS) + """
+SELECT snapshot_period, quantile_cont(close_value, 0.25) AS q25, quantile_cont(close_value, 0.5) AS q50,
+       quantile_cont(close_value, 0.75) AS q75, quantile_cont(close_value, 0.8) AS q80
+FROM snaps WHERE close_value IS NOT NULL GROUP BY snapshot_period""")
+def q_a12(spark, d):
+    return A.quantiles(D.snapshots(spark, d), "close_value", by=BY)
+
+
+@query("a13_distinct_counts", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(DISTINCT sales_agent) AS distinct_sales_agent,
+       count(DISTINCT product) AS distinct_product, count(DISTINCT account) AS distinct_account,
+       count(DISTINCT deal_stage) AS distinct_deal_stage
+FROM snaps GROUP BY snapshot_period""")
+def q_a13(spark, d):
+    return A.distinct_counts(D.snapshots(spark, d), ["sales_agent", "product", "account", "deal_stage"], by=BY)
+
+
+@query("a14_date_span", O.with_(O.SNAPS) + """
+SELECT snapshot_period, min(engage_date) AS min_date, max(engage_date) AS max_date,
+       CAST(max(engage_date) - min(engage_date) AS INTEGER) AS span_days
+FROM snaps GROUP BY snapshot_period""")
+def q_a14(spark, d):
+    return A.date_span(D.snapshots(spark, d), "engage_date", by=BY)
+
+
+@query("a15_describe_value", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(close_value) AS count, avg(close_value) AS mean,
+       stddev_samp(close_value) AS std, min(close_value) AS min, max(close_value) AS max,
+       quantile_cont(close_value, 0.25) AS p25, quantile_cont(close_value, 0.5) AS p50,
+       quantile_cont(close_value, 0.75) AS p75
+FROM snaps GROUP BY snapshot_period""")
+def q_a15(spark, d):
+    return A.describe(D.snapshots(spark, d), "close_value", by=BY)
+
+
+@query("a16_value_histogram", O.with_(O.SNAPS) + f""",
+c AS (SELECT deal_stage, close_value {_CLOSED_SNAPS} AND close_value IS NOT NULL),
+r AS (SELECT min(close_value) AS lo, max(close_value) AS hi, count(*) AS n FROM c),
+b AS (SELECT c.deal_stage, r.lo, r.hi, r.n,
+             CAST(CASE WHEN (r.hi - r.lo) / 20 = 0 THEN 0
+                       ELSE least(floor((c.close_value - r.lo) / ((r.hi - r.lo) / 20)), 19) END AS INTEGER) AS bin
+      FROM c, r)
+SELECT deal_stage, bin, any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 20 AS bin_start,
+       any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / 20 AS bin_end, count(*) AS count,
+       CASE WHEN (any_value(hi) - any_value(lo)) / 20 > 0
+            THEN count(*) / (any_value(n) * ((any_value(hi) - any_value(lo)) / 20)) END AS density
+FROM b GROUP BY deal_stage, bin""")
+def q_a16(spark, d):
+    s = D.snapshots(spark, d).where(F.col("deal_stage").isin("Won", "Lost"))
+    return A.histogram(s, "close_value", bins=20, split="deal_stage")
+
+
+@query("a17_monthly_trend", O.with_(O.SNAPS) + """
+SELECT CAST(year(engage_date) AS INTEGER) AS year, CAST(month(engage_date) AS INTEGER) AS month,
+       count(*) AS count FROM snaps WHERE engage_date IS NOT NULL GROUP BY 1, 2""")
+def q_a17(spark, d):
+    return A.monthly_trend(D.snapshots(spark, d))
+
+
+@query("a20_dataset_summary", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(*) AS rows,
+       CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS won,
+       CAST(sum(CASE WHEN deal_stage = 'Lost' THEN 1 ELSE 0 END) AS BIGINT) AS lost,
+       CAST(sum(CASE WHEN deal_stage = 'Engaging' THEN 1 ELSE 0 END) AS BIGINT) AS engaging,
+       CAST(sum(CASE WHEN deal_stage = 'Prospecting' THEN 1 ELSE 0 END) AS BIGINT) AS prospecting,
+       CAST(sum(CASE WHEN deal_stage IN ('Won', 'Lost') THEN 1 ELSE 0 END) AS BIGINT) AS closed,
+       min(engage_date) AS min_engage, max(engage_date) AS max_engage,
+       min(close_date) AS min_close, max(close_date) AS max_close,
+       min(close_value) AS min_value, max(close_value) AS max_value, sum(close_value) AS total_value
+FROM snaps GROUP BY snapshot_period""")
+def q_a20(spark, d):
+    return A.dataset_summary(D.snapshots(spark, d), by=BY)

@@ -57,3 +57,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut the lineage of a DataFrame that several later branches read: a
+    reliable checkpoint written under ``spark.checkpoint.dir`` (a shared folder
+    on a cluster), so neither recomputation nor a lost executor replays the
+    upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
