@@ -6,10 +6,14 @@ inside each slice (one window partition per slice), sums each slice, and adds
 the totals of all earlier slices. Only the per-slice totals (at most
 ``slices`` rows per group) are ranked in a small window.
 
-Equal ordering keys always land in the same range slice, and the slice id is
-read from the one range exchange both branches share (exchange reuse), so the
-offsets line up with the rows. Callers should pre-aggregate to distinct keys
-first (``groupBy(key).count()``): that also bounds a hot key to one row.
+Range bounds come from sampling, and the order of rows arriving from a
+shuffle is not fixed, so two evaluations of the same range exchange may cut
+the slices differently. The sliced rows are therefore checkpointed (a
+reliable checkpoint under ``spark.checkpoint.dir``) before the slice totals
+are taken from them: both passes read the same slices, and a lost executor
+re-reads the checkpoint instead of re-cutting. Equal ordering keys always land
+in the same slice. Callers pre-aggregate to distinct keys first
+(``groupBy(key).count()``), which also bounds a hot key to one row.
 """
 
 from __future__ import annotations
@@ -18,20 +22,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from dealcast.session import shuffle_partitions
+from dealcast.session import materialize, shuffle_partitions
 
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    by: Sequence[str] = (), slices: int | None = None,
                    prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same ``by`` group whose
-    ordering key is <= the row's key (ties included, as a RANGE frame)."""
+    ordering key is <= the row's key (ties included, as a RANGE frame).
+    Runs one checkpoint job when called (see the module notes)."""
     by, order_cols, sum_cols = list(by), list(order_cols), list(sum_cols)
     n = slices or shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *by, *order_cols).withColumn("_slice", F.spark_partition_id())
     w_in = Window.partitionBy("_slice", *by).orderBy(*order_cols)  # default RANGE frame: peers included
-    local = ranged.select("*", *[F.sum(c).over(w_in).alias(f"_loc_{c}") for c in sum_cols])
-    totals = ranged.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    local = materialize(ranged.select("*", *[F.sum(c).over(w_in).alias(f"_loc_{c}") for c in sum_cols]))
+    totals = local.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "_slice", *[
         F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])

@@ -174,3 +174,52 @@ features AS (
          CAST(dense_rank() OVER (PARTITION BY snapshot_period ORDER BY deal_stage) - 1 AS INTEGER)
            AS target_multiclass
   FROM scaled)"""
+
+SCORED = CLEAN + """,
+base AS (
+  SELECT c.*, CAST(coalesce(deal_stage IN ('Won', 'Lost'), false) AS INTEGER) AS is_closed,
+         CAST(coalesce(deal_stage = 'Won', false) AS INTEGER) AS is_won,
+         CAST(close_date - engage_date AS INTEGER) AS sales_cycle_days
+  FROM clean c),
+gstat AS (
+  SELECT snapshot_period, max(snapshot_date) + 30 AS as_of_date,
+         CASE WHEN max(is_closed) = 1
+              THEN quantile_cont(sales_cycle_days, 0.5) FILTER (WHERE is_closed = 1) ELSE 90.0 END AS med_cycle,
+         quantile_cont(close_value, 0.8) AS q80v, quantile_cont(sales_cycle_days, 0.8) AS q80c
+  FROM base GROUP BY snapshot_period),
+monthly0 AS (
+  SELECT b.*, g.as_of_date, CAST(g.as_of_date - b.engage_date AS INTEGER) AS days_since_engage,
+         CAST(b.engage_date AS TIMESTAMP) + to_seconds(g.med_cycle * 86400) AS expected_close_date,
+         CAST((b.engage_date - g.as_of_date) + floor(g.med_cycle) AS INTEGER) AS days_to_expected_close,
+         g.q80v, g.q80c
+  FROM base b LEFT JOIN gstat g USING (snapshot_period)),
+monthly AS (
+  SELECT * EXCLUDE (q80v, q80c),
+         CAST(coalesce(days_to_expected_close BETWEEN -15 AND 45, false) AS INTEGER) AS should_close_next_month,
+         CAST(coalesce(days_to_expected_close < -30, false) AS INTEGER) AS is_overdue,
+         CAST(coalesce(days_to_expected_close > 60, false) AS INTEGER) AS is_early_stage,
+         CASE WHEN sales_cycle_days > 0 THEN close_value / sales_cycle_days ELSE 0.0 END AS sales_velocity,
+         CAST(coalesce(close_value > q80v, false) AS INTEGER) AS high_value_deal,
+         CAST(coalesce(sales_cycle_days > q80c, false) AS INTEGER) AS long_sales_cycle
+  FROM monthly0),
+prob AS (
+  SELECT snapshot_period, sales_agent,
+         (sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) + 1)
+           / (sum(CASE WHEN deal_stage IN ('Won', 'Lost') THEN 1 ELSE 0 END) + 2) AS win_probability
+  FROM base GROUP BY snapshot_period, sales_agent),
+scored AS (
+  SELECT m.*, coalesce(p.win_probability, 0.5) AS win_probability
+  FROM monthly m LEFT JOIN prob p USING (snapshot_period, sales_agent)),
+pipe AS (
+  SELECT *, close_value * win_probability AS expected_revenue,
+         CASE WHEN win_probability > 0 AND win_probability <= 0.3 THEN 'Low (0-30%)'
+              WHEN win_probability > 0.3 AND win_probability <= 0.6 THEN 'Medium (30-60%)'
+              WHEN win_probability > 0.6 AND win_probability <= 0.8 THEN 'High (60-80%)'
+              WHEN win_probability > 0.8 AND win_probability <= 1.0 THEN 'Very High (80-100%)' END
+           AS probability_category
+  FROM scored WHERE is_closed = 0 OR should_close_next_month = 1)"""
+
+VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "engage_date",
+             "close_date", "close_value", "creation_date", "creation_year_month", "snapshot_date")
+VAL = SNAPS + f""",
+val AS (SELECT {", ".join(VALIDATED)}, snapshot_period FROM snaps)"""

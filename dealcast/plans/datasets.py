@@ -48,3 +48,32 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dealcast.plans.features import feature_table
     teams, accts, _ = dims(spark, sf_dir)
     return feature_table(cleaned(spark, sf_dir), teams, accts, by=BY)
+
+
+def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned snapshots + stage flags + cycle + M1 monthly features."""
+    from dealcast.functions import scalar as S
+    from dealcast.operators.monthly import monthly_features
+    c = cleaned(spark, sf_dir).withColumns({**S.stage_flags(), "sales_cycle_days": S.cycle_days()})
+    return monthly_features(c, by=BY)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly rows with the closed-form stand-in win probability."""
+    from dealcast.operators.reports import smoothed_win_rate
+    return smoothed_win_rate(monthly(spark, sf_dir), "sales_agent", by=BY)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dealcast.operators.monthly import pipeline_rows
+    return pipeline_rows(scored(spark, sf_dir))
+
+
+VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "engage_date",
+             "close_date", "close_value", "creation_date", "creation_year_month", "snapshot_date",
+             "snapshot_period")
+
+
+def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 11 model columns (+ snapshot_period) of the snapshots."""
+    return snapshots(spark, sf_dir).select(*VALIDATED)

@@ -301,3 +301,199 @@ SELECT snapshot_period, count(*) AS rows,
 FROM snaps GROUP BY snapshot_period""")
 def q_a20(spark, d):
     return A.dataset_summary(D.snapshots(spark, d), by=BY)
+
+
+# ---------------------------------------------------------------- monthly features and reports
+
+_M1_COLS = ("opportunity_id", "snapshot_period", "as_of_date", "days_since_engage", "expected_close_date",
+            "days_to_expected_close", "should_close_next_month", "is_overdue", "is_early_stage",
+            "sales_velocity", "high_value_deal", "long_sales_cycle")
+
+
+@query("m1_monthly_features", O.with_(O.SCORED) + f"SELECT {', '.join(_M1_COLS)} FROM monthly")
+def q_m1(spark, d):
+    return D.monthly(spark, d).select(*_M1_COLS)
+
+
+@query("a8_probability_bands", O.with_(O.SCORED) + """
+SELECT snapshot_period, probability_category, count(win_probability) AS count,
+       round_even(avg(win_probability), 2) AS avg_probability,
+       round_even(sum(close_value), 2) AS total_value, round_even(sum(expected_revenue), 2) AS expected_revenue
+FROM pipe WHERE probability_category IS NOT NULL GROUP BY snapshot_period, probability_category""")
+def q_a8(spark, d):
+    from dealcast.operators.reports import probability_band_summary
+    return probability_band_summary(D.pipeline(spark, d), by=BY)
+
+
+@query("a9_agent_insights", O.with_(O.SCORED) + """
+SELECT snapshot_period, sales_agent, count(win_probability) AS pipeline_count,
+       round_even(avg(win_probability), 3) AS avg_win_prob, round_even(sum(win_probability), 3) AS total_win_prob,
+       round_even(sum(expected_revenue), 3) AS expected_revenue, round_even(sum(close_value), 3) AS total_value
+FROM pipe WHERE sales_agent IS NOT NULL GROUP BY snapshot_period, sales_agent""")
+def q_a9(spark, d):
+    from dealcast.operators.reports import agent_insights
+    return agent_insights(D.pipeline(spark, d), by=BY)
+
+
+@query("a10_pipeline_totals", O.with_(O.SCORED) + """
+SELECT snapshot_period, count(*) AS opportunities, sum(close_value) AS total_value,
+       sum(expected_revenue) AS expected_revenue, avg(win_probability) AS avg_probability
+FROM pipe GROUP BY snapshot_period""")
+def q_a10(spark, d):
+    from dealcast.operators.reports import pipeline_totals
+    return pipeline_totals(D.pipeline(spark, d), by=BY)
+
+
+@query("a11_revenue_by_band", O.with_(O.SCORED) + """
+SELECT snapshot_period, probability_category, sum(expected_revenue) AS expected_revenue
+FROM pipe GROUP BY snapshot_period, probability_category""")
+def q_a11(spark, d):
+    from dealcast.operators.reports import revenue_by_band
+    return revenue_by_band(D.pipeline(spark, d), by=BY)
+
+
+@query("a18_revenue_scenarios", O.with_(O.SCORED) + """
+SELECT snapshot_period,
+       coalesce(sum(expected_revenue) FILTER (WHERE win_probability > 0.6), 0.0) AS high_probability,
+       coalesce(sum(expected_revenue) FILTER (WHERE win_probability BETWEEN 0.3 AND 0.6), 0.0) AS medium_probability,
+       0.8 * coalesce(sum(expected_revenue) FILTER (WHERE win_probability > 0.6), 0.0)
+         + 0.3 * coalesce(sum(expected_revenue) FILTER (WHERE win_probability BETWEEN 0.3 AND 0.6), 0.0)
+         AS conservative
+FROM pipe GROUP BY snapshot_period""")
+def q_a18(spark, d):
+    from dealcast.operators.reports import revenue_scenarios
+    return revenue_scenarios(D.pipeline(spark, d), by=BY)
+
+
+@query("a19_hot_and_at_risk", O.with_(O.SCORED) + """,
+q AS (SELECT snapshot_period, quantile_cont(close_value, 0.8) AS q80 FROM pipe GROUP BY 1),
+j AS (SELECT p.*, q.q80 FROM pipe p LEFT JOIN q USING (snapshot_period))
+SELECT snapshot_period,
+       CAST(sum(CASE WHEN win_probability > 0.7 AND close_value > q80 THEN 1 ELSE 0 END) AS BIGINT) AS hot_deals,
+       sum(close_value) FILTER (WHERE win_probability > 0.7 AND close_value > q80) AS hot_value,
+       sum(expected_revenue) FILTER (WHERE win_probability > 0.7 AND close_value > q80) AS hot_expected_revenue,
+       CAST(sum(CASE WHEN win_probability < 0.3 AND days_since_engage > 60 THEN 1 ELSE 0 END) AS BIGINT) AS at_risk_deals,
+       sum(close_value) FILTER (WHERE win_probability < 0.3 AND days_since_engage > 60) AS at_risk_value
+FROM j GROUP BY snapshot_period""")
+def q_a19(spark, d):
+    from dealcast.operators.reports import hot_and_at_risk
+    return hot_and_at_risk(D.pipeline(spark, d), by=BY)
+
+
+@query("t2_top_opportunities", O.with_(O.SCORED) + """
+SELECT snapshot_period, opportunity_id, sales_agent, account, product, close_value, win_probability,
+       expected_revenue, sales_cycle_days, days_since_engage
+FROM (SELECT *, row_number() OVER (PARTITION BY snapshot_period
+                                   ORDER BY win_probability DESC, opportunity_id) AS rn FROM pipe)
+WHERE rn <= 10""")
+def q_t2(spark, d):
+    from dealcast.operators.reports import top_opportunities
+    return top_opportunities(D.pipeline(spark, d), 10, by=BY)
+
+
+@query("t2_top_agents", O.with_(O.SCORED) + """,
+a AS (SELECT snapshot_period, sales_agent, count(win_probability) AS pipeline_count,
+             round_even(avg(win_probability), 3) AS avg_win_prob,
+             round_even(sum(win_probability), 3) AS total_win_prob,
+             round_even(sum(expected_revenue), 3) AS expected_revenue,
+             round_even(sum(close_value), 3) AS total_value
+      FROM pipe WHERE sales_agent IS NOT NULL GROUP BY 1, 2)
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY snapshot_period ORDER BY expected_revenue DESC, sales_agent) AS rn
+  FROM a) WHERE rn <= 5""")
+def q_t2_agents(spark, d):
+    from dealcast.operators.reports import top_agents
+    return top_agents(D.pipeline(spark, d), 5, by=BY)
+
+
+@query("m12_reliability_curve", O.with_(O.SCORED) + """
+SELECT CAST(least(floor(win_probability * 10), 9) AS INTEGER) AS bin, count(*) AS count,
+       avg(win_probability) AS mean_predicted, avg(CAST(is_won AS DOUBLE)) AS fraction_positive
+FROM scored WHERE is_closed = 1 AND win_probability IS NOT NULL GROUP BY 1""")
+def q_m12(spark, d):
+    from dealcast.operators.reports import reliability_curve
+    return reliability_curve(D.scored(spark, d).where(F.col("is_closed") == 1))
+
+
+# ---------------------------------------------------------------- windows, splits, samples
+
+@query("w2_known_at_engage", O.with_(O.SNAPS) + """
+SELECT s.opportunity_id, s.snapshot_period, s.sales_agent,
+       count(h.opportunity_id) AS sales_agent_prior_closed,
+       CAST(coalesce(sum(CASE WHEN h.deal_stage = 'Won' THEN 1 ELSE 0 END), 0) AS BIGINT) AS sales_agent_prior_wins,
+       CASE WHEN count(h.opportunity_id) > 0
+            THEN sum(CASE WHEN h.deal_stage = 'Won' THEN 1 ELSE 0 END) / count(h.opportunity_id) END
+         AS sales_agent_prior_win_rate
+FROM snaps s LEFT JOIN snaps h
+  ON h.snapshot_period = s.snapshot_period AND h.sales_agent = s.sales_agent
+ AND h.deal_stage IN ('Won', 'Lost') AND h.close_date < s.engage_date
+WHERE s.engage_date IS NOT NULL AND s.sales_agent IS NOT NULL
+GROUP BY s.opportunity_id, s.snapshot_period, s.sales_agent""")
+def q_w2(spark, d):
+    from dealcast.operators.windows import known_at_engage
+    s = D.snapshots(spark, d).where(F.col("engage_date").isNotNull() & F.col("sales_agent").isNotNull())
+    out = known_at_engage(s, "sales_agent", by=BY)
+    return out.select("opportunity_id", "snapshot_period", "sales_agent",
+                      F.coalesce("sales_agent_prior_closed", F.lit(0)).alias("sales_agent_prior_closed"),
+                      F.coalesce("sales_agent_prior_wins", F.lit(0)).alias("sales_agent_prior_wins"),
+                      "sales_agent_prior_win_rate")
+
+
+_SPLIT_SQL = O.with_(O.SNAPS) + """,
+med AS (SELECT snapshot_period, quantile_cont(close_date - engage_date, 0.5) AS mc
+        FROM snaps WHERE deal_stage IN ('Won', 'Lost') GROUP BY 1),
+e AS (SELECT s.*, coalesce(CAST(s.close_date AS TIMESTAMP),
+                           CAST(s.engage_date AS TIMESTAMP) + to_seconds(floor(coalesce(m.mc, 90.0) * 86400)))
+                    AS effective_close
+      FROM snaps s LEFT JOIN med m USING (snapshot_period)),
+c AS (SELECT opportunity_id, snapshot_period, deal_stage, effective_close,
+             CASE WHEN row_number() OVER (PARTITION BY snapshot_period ORDER BY effective_close, opportunity_id)
+                       <= floor(count(*) OVER (PARTITION BY snapshot_period) * 0.8) THEN 'train' ELSE 'test' END
+               AS split
+      FROM e WHERE deal_stage IN ('Won', 'Lost'))"""
+
+
+@query("w3_temporal_split", _SPLIT_SQL + "SELECT * FROM c")
+def q_w3(spark, d):
+    from dealcast.operators.windows import temporal_split
+    s = D.snapshots(spark, d).select("opportunity_id", "snapshot_period", "deal_stage", "engage_date", "close_date")
+    return temporal_split(s, by=BY).select("opportunity_id", "snapshot_period", "deal_stage",
+                                           "effective_close", "split")
+
+
+@query("w4_split_with_open", _SPLIT_SQL + """,
+o AS (SELECT opportunity_id, snapshot_period, deal_stage, effective_close,
+             CASE WHEN row_number() OVER (PARTITION BY snapshot_period ORDER BY opportunity_id)
+                       <= floor(count(*) OVER (PARTITION BY snapshot_period) * 0.8) THEN 'train' ELSE 'test' END
+               AS split
+      FROM e WHERE deal_stage IS NULL OR deal_stage NOT IN ('Won', 'Lost'))
+SELECT * FROM c UNION ALL SELECT * FROM o""")
+def q_w4(spark, d):
+    from dealcast.operators.windows import temporal_split
+    s = D.snapshots(spark, d).select("opportunity_id", "snapshot_period", "deal_stage", "engage_date", "close_date")
+    return temporal_split(s, by=BY, include_open=True).select(
+        "opportunity_id", "snapshot_period", "deal_stage", "effective_close", "split")
+
+
+@query("w5_stratified_split", O.with_(O.SNAPS) + """
+SELECT opportunity_id, deal_stage,
+       CASE WHEN ((opportunity_key % 1000003) * 2654435761 + 42) % 1000 < 800 THEN 'train' ELSE 'test' END AS split
+FROM snaps""")
+def q_w5(spark, d):
+    from dealcast.operators.windows import stratified_split
+    s = D.snapshots(spark, d)
+    return stratified_split(s, "opportunity_key", "deal_stage").select("opportunity_id", "deal_stage", "split")
+
+
+@query("t3_seeded_sample", O.with_(O.SNAPS) + """,
+sz AS (SELECT snapshot_period, count(*) AS n FROM snaps GROUP BY 1),
+src AS (SELECT s.* FROM snaps s JOIN sz USING (snapshot_period) WHERE sz.n <= 1000 OR s.deal_stage = 'Won')
+SELECT opportunity_id, snapshot_period, deal_stage FROM (
+  SELECT *, row_number() OVER (PARTITION BY snapshot_period
+         ORDER BY ((opportunity_key % 1000003) * 2654435761 + 42) % 1073741824, opportunity_key) AS rn FROM src)
+WHERE rn <= 1000""")
+def q_t3(spark, d):
+    from dealcast.operators.windows import seeded_sample
+    s = D.snapshots(spark, d)
+    out = seeded_sample(s, 1000, "opportunity_key", by=BY, where=F.col("deal_stage") == "Won")
+    return out.select("opportunity_id", "snapshot_period", "deal_stage")
