@@ -497,3 +497,210 @@ def q_t3(spark, d):
     s = D.snapshots(spark, d)
     out = seeded_sample(s, 1000, "opportunity_key", by=BY, where=F.col("deal_stage") == "Won")
     return out.select("opportunity_id", "snapshot_period", "deal_stage")
+
+
+# ---------------------------------------------------------------- validation and quality
+
+_VCOLS = O.VALIDATED
+_STAGE_LIST = "('Won', 'Lost', 'Engaging', 'Prospecting')"
+
+
+def _nulls(c: str) -> str:
+    return f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+
+
+def _cnt(cond: str) -> str:
+    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+_V1_AGG = f"""count(*) AS rows, {_cnt('close_value < 0')} AS close_value_below_min,
+       {_cnt(f'deal_stage IS NOT NULL AND deal_stage NOT IN {_STAGE_LIST}')} AS invalid_stage_rows"""
+_V1_SQL = O.with_(O.VAL) + f""",
+v1 AS (SELECT snapshot_period, {_V1_AGG} FROM val GROUP BY snapshot_period)
+SELECT *, CAST(0 AS INTEGER) AS missing_columns, CAST(1 AS INTEGER) AS extra_columns,
+       CAST(0 AS INTEGER) AS type_issues,
+       CAST((close_value_below_min > 0)::INT + (invalid_stage_rows > 0)::INT AS INTEGER) AS serious_issues,
+       (close_value_below_min > 0)::INT + (invalid_stage_rows > 0)::INT = 0 AND rows > 0 AS is_valid
+FROM v1"""
+
+
+@query("v1_schema_check", _V1_SQL)
+def q_v1(spark, d):
+    from dealcast.operators.quality import schema_check
+    return schema_check(D.validated(spark, d), by=BY)
+
+
+@query("v2_missing_values", O.with_(O.VAL) + "\nUNION ALL\n".join(
+    f"""SELECT snapshot_period, '{c}' AS column, CAST({_nulls(c)} AS BIGINT) AS missing,
+       {_nulls(c)} * 100.0 / count(*) AS missing_pct, {_nulls(c)} * 100.0 / count(*) < 10 AS passed
+FROM val GROUP BY snapshot_period""" for c in _VCOLS))
+def q_v2(spark, d):
+    from dealcast.operators.quality import missing_values
+    return missing_values(D.validated(spark, d), by=BY)
+
+
+_DUP = f"""dup AS (
+  SELECT snapshot_period, CAST(sum(c) AS BIGINT) AS rows, CAST(sum(c - 1) AS BIGINT) AS duplicates
+  FROM (SELECT snapshot_period, count(*) AS c FROM val GROUP BY {", ".join(_VCOLS)}, snapshot_period)
+  GROUP BY snapshot_period)"""
+
+
+@query("v3_duplicate_rows", O.with_(O.VAL, _DUP) + """
+SELECT snapshot_period, rows, duplicates, duplicates * 100.0 / rows AS duplicate_pct,
+       duplicates * 100.0 / rows < 5 AS passed FROM dup""")
+def q_v3(spark, d):
+    from dealcast.operators.quality import duplicate_rows
+    return duplicate_rows(D.validated(spark, d), by=BY)
+
+
+_RULES = f"""rules AS (
+  SELECT snapshot_period,
+         {_cnt(f'deal_stage IS NULL OR deal_stage NOT IN {_STAGE_LIST}')} AS invalid_stage_rows,
+         {_cnt('close_value < 0')} AS negative_values, {_cnt('close_value = 0')} AS zero_values,
+         {_cnt('close_date < engage_date')} AS close_before_engage,
+         {_cnt("deal_stage IN ('Won', 'Lost') AND close_date IS NULL")} AS closed_without_date
+  FROM val GROUP BY snapshot_period)"""
+
+
+@query("v5_v8_business_rules", O.with_(O.VAL, _RULES) + """
+SELECT *, invalid_stage_rows = 0 AS stages_passed, negative_values = 0 AS values_passed,
+       close_before_engage = 0 AS dates_passed, closed_without_date = 0 AS closed_passed FROM rules""")
+def q_v5(spark, d):
+    from dealcast.operators.quality import business_rules
+    return business_rules(D.validated(spark, d), by=BY)
+
+
+_MAXMISS = "greatest(" + ", ".join(_nulls(c) for c in _VCOLS) + ")"
+
+
+@query("v9_validation_score", O.with_(O.VAL, _DUP, _RULES) + f""",
+v1 AS (SELECT snapshot_period, {_V1_AGG} FROM val GROUP BY snapshot_period),
+m AS (SELECT snapshot_period, count(*) AS n, {_MAXMISS} AS mx FROM val GROUP BY snapshot_period),
+j AS (
+  SELECT m.snapshot_period,
+         (v1.close_value_below_min > 0)::INT + (v1.invalid_stage_rows > 0)::INT = 0 AND v1.rows > 0 AS schema_passed,
+         m.mx * 100.0 / m.n < 10 AS missing_passed, dup.duplicates * 100.0 / dup.rows < 5 AS duplicates_passed,
+         true AS types_passed,
+         CAST((r.invalid_stage_rows = 0)::INT + (r.negative_values = 0)::INT + (r.close_before_engage = 0)::INT
+              + (r.closed_without_date = 0)::INT AS INTEGER) AS rules_passed
+  FROM m JOIN v1 USING (snapshot_period) JOIN dup USING (snapshot_period) JOIN rules r USING (snapshot_period)),
+s AS (
+  SELECT *, 1.0 - CASE WHEN NOT schema_passed THEN 0.3 ELSE 0.0 END - CASE WHEN NOT missing_passed THEN 0.15 ELSE 0.0 END
+            - CASE WHEN NOT duplicates_passed THEN 0.15 ELSE 0.0 END - (1 - rules_passed / 4.0) * 0.3 AS raw
+  FROM j)
+SELECT snapshot_period, schema_passed, missing_passed, duplicates_passed, types_passed, rules_passed,
+       greatest(raw, 0.0) AS score, greatest(raw, 0.0) >= 0.7 AS overall_passed FROM s""")
+def q_v9(spark, d):
+    from dealcast.operators.quality import validation_score
+    return validation_score(D.validated(spark, d), by=BY)
+
+
+_CELLS = " + ".join(_nulls(c) for c in _VCOLS)
+_NC = len(_VCOLS)
+
+
+@query("v10_ingestion_score", O.with_(O.VAL, _DUP) + f""",
+v1 AS (SELECT snapshot_period, {_V1_AGG} FROM val GROUP BY snapshot_period),
+c AS (SELECT snapshot_period, count(*) AS n, {_CELLS} AS missing FROM val GROUP BY snapshot_period),
+j AS (SELECT c.*, dup.duplicates,
+             CAST((v1.close_value_below_min > 0)::INT + (v1.invalid_stage_rows > 0)::INT AS INTEGER) AS serious_issues
+      FROM c JOIN dup USING (snapshot_period) JOIN v1 USING (snapshot_period))
+SELECT snapshot_period, missing / (n * {_NC}) AS missing_ratio, duplicates / n AS duplicate_ratio, serious_issues,
+       least(greatest(1.0 - 0.3 * missing / (n * {_NC}) - 0.2 * duplicates / n - 0.1 * serious_issues, 0.0), 1.0)
+         AS quality_score
+FROM j""")
+def q_v10(spark, d):
+    from dealcast.operators.quality import ingestion_score
+    return ingestion_score(D.validated(spark, d), by=BY)
+
+
+_ANYNULL = "greatest(" + ", ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in _VCOLS) + ")"
+
+
+@query("v11_notebook_score", O.with_(O.VAL, _DUP) + f""",
+c AS (SELECT snapshot_period, count(*) AS n, {_CELLS} AS missing, sum(1 - {_ANYNULL}) AS complete
+      FROM val GROUP BY snapshot_period),
+j AS (SELECT c.*, dup.duplicates FROM c JOIN dup USING (snapshot_period))
+SELECT snapshot_period, 1.0 AS schema_score, 1.0 - missing / (n * {_NC}) AS completeness,
+       1.0 - duplicates / n AS uniqueness,
+       (1.0 + (1.0 - missing / (n * {_NC})) + (1.0 - duplicates / n)) / 3 AS quality_score,
+       complete / n AS complete_row_rate
+FROM j""")
+def q_v11(spark, d):
+    from dealcast.operators.quality import notebook_score
+    return notebook_score(D.validated(spark, d), by=BY)
+
+
+@query("v12_notebook_rules", O.with_(O.VAL) + f"""
+SELECT snapshot_period, {_cnt("deal_stage = 'Won' AND close_date IS NULL")} AS won_without_date,
+       {_cnt("deal_stage = 'Won' AND close_value <= 0")} AS won_without_value,
+       {_cnt("deal_stage = 'Lost' AND close_date IS NULL")} AS lost_without_date,
+       {_cnt("deal_stage IN ('Engaging', 'Prospecting') AND close_date IS NOT NULL")} AS open_with_close_date,
+       {_cnt('close_date < engage_date')} AS close_before_engage
+FROM val GROUP BY snapshot_period""")
+def q_v12(spark, d):
+    from dealcast.operators.quality import notebook_rules
+    return notebook_rules(D.validated(spark, d), by=BY)
+
+
+@query("v13_training_gate", O.with_(O.VAL) + f""",
+g AS (SELECT snapshot_period, count(*) AS rows,
+             avg(CASE WHEN deal_stage IN ('Won', 'Lost') THEN CASE WHEN deal_stage = 'Won' THEN 1.0 ELSE 0.0 END END)
+               AS win_rate,
+             {_cnt('deal_stage IS NULL')} AS null_target,
+             {_cnt("deal_stage IN ('Won', 'Lost') AND close_value IS NULL")} AS null_value,
+             {_cnt('engage_date IS NULL')} AS null_engage,
+             CAST(max(engage_date) - min(engage_date) AS INTEGER) AS span_days
+      FROM val GROUP BY snapshot_period)
+SELECT *, CAST(0 AS INTEGER) AS missing_columns,
+       CAST((rows < 1000)::INT + coalesce(win_rate < 0.1 OR win_rate > 0.9, false)::INT + (null_engage > 0)::INT
+            + coalesce(span_days < 30, true)::INT AS INTEGER) AS warnings,
+       NOT (null_target > 0 OR null_value > 0) AS passed
+FROM g""")
+def q_v13(spark, d):
+    from dealcast.operators.quality import training_gate
+    return training_gate(D.validated(spark, d), by=BY)
+
+
+def _suite_sql() -> str:
+    types = {"close_value": "double", "engage_date": "date", "close_date": "date", "creation_date": "date",
+             "snapshot_date": "date"}
+    cols = list(_VCOLS)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]
+             if types.get(a, "string") == types.get(b, "string")]
+    const = " + ".join(
+        f"CASE WHEN count(DISTINCT {c}) <= 1 AND ({_nulls(c)} = 0 OR count(DISTINCT {c}) = 0) THEN 1 ELSE 0 END"
+        for c in cols)
+    miss = " + ".join(f"CASE WHEN {_nulls(c)} > 0 THEN 1 ELSE 0 END" for c in cols)
+    dupc = " + ".join(f"CASE WHEN sum(CASE WHEN {a} IS DISTINCT FROM {b} THEN 1 ELSE 0 END) = 0 THEN 1 ELSE 0 END"
+                      for a, b in pairs)
+    return O.with_(O.VAL, _DUP) + f""",
+g AS (SELECT snapshot_period, count(*) AS rows, CAST({miss} AS INTEGER) AS columns_with_missing,
+             CAST(sum({_ANYNULL}) AS BIGINT) AS rows_with_missing, CAST({const} AS INTEGER) AS constant_columns,
+             CAST({dupc} AS INTEGER) AS duplicated_columns
+      FROM val GROUP BY snapshot_period),
+j AS (SELECT g.*, dup.duplicates AS duplicated_rows,
+             CAST((columns_with_missing = 0)::INT + (rows_with_missing = 0)::INT + (constant_columns = 0)::INT
+                  + (dup.duplicates = 0)::INT + (duplicated_columns = 0)::INT + 1 AS INTEGER) AS passed_tests
+      FROM g JOIN dup USING (snapshot_period))
+SELECT *, CAST(6 AS INTEGER) AS total_tests, CAST(6 - passed_tests AS INTEGER) AS failed_tests,
+       passed_tests = 6 AS all_tests_passed FROM j"""
+
+
+@query("v16_quality_suite", _suite_sql())
+def q_v16(spark, d):
+    from dealcast.operators.quality import quality_suite
+    return quality_suite(D.validated(spark, d), by=BY)
+
+
+@query("v17_iqr_outliers", O.with_(O.VAL) + """,
+q AS (SELECT snapshot_period, quantile_cont(close_value, 0.25) AS q1, quantile_cont(close_value, 0.75) AS q3
+      FROM val WHERE close_value IS NOT NULL GROUP BY 1),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
+SELECT f.*, CAST(sum(CASE WHEN v.close_value < f.lower_fence OR v.close_value > f.upper_fence THEN 1 ELSE 0 END)
+                 AS BIGINT) AS outliers
+FROM f JOIN val v ON v.snapshot_period = f.snapshot_period AND v.close_value IS NOT NULL
+GROUP BY ALL""")
+def q_v17(spark, d):
+    from dealcast.operators.quality import iqr_outliers
+    return iqr_outliers(D.validated(spark, d), "close_value", by=BY)
