@@ -223,3 +223,62 @@ VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage"
              "close_date", "close_value", "creation_date", "creation_year_month", "snapshot_date")
 VAL = SNAPS + f""",
 val AS (SELECT {", ".join(VALIDATED)}, snapshot_period FROM snaps)"""
+
+DRIFT_NUMERIC = ("close_value_log", "days_since_engage", "sales_cycle_days", "sales_velocity",
+                 "days_to_expected_close")
+DRIFT_CATEGORICAL = ("sales_agent", "product", "close_value_category", "engage_month", "engage_quarter",
+                     "engage_day_of_week", "should_close_next_month", "is_overdue", "is_early_stage",
+                     "high_value_deal", "long_sales_cycle")
+
+
+def drift_ctes(src: str, period: str, pairs_sql: str, numeric, categorical, prefix: str = "") -> str:
+    """Tagged sides, KS per numeric column, JS per categorical column."""
+    nl = " UNION ALL ".join(f"SELECT ref_period, cur_period, side, '{c}' AS feature, CAST({c} AS DOUBLE) AS value "
+                            f"FROM {prefix}tagged" for c in numeric)
+    cl = " UNION ALL ".join(f"SELECT ref_period, cur_period, side, '{c}' AS feature, CAST({c} AS VARCHAR) AS value "
+                            f"FROM {prefix}tagged" for c in categorical)
+    k = "ref_period, cur_period, feature"
+    return f"""
+{prefix}pairs AS ({pairs_sql}),
+{prefix}tagged AS (
+  SELECT d.*, p.ref_period, p.cur_period, 'ref' AS side FROM {src} d JOIN {prefix}pairs p ON d.{period} = p.ref_period
+  UNION ALL
+  SELECT d.*, p.ref_period, p.cur_period, 'cur' AS side FROM {src} d JOIN {prefix}pairs p ON d.{period} = p.cur_period),
+{prefix}ncnt AS (
+  SELECT {k}, value, sum(CASE WHEN side = 'ref' THEN 1 ELSE 0 END) AS n_ref,
+         sum(CASE WHEN side = 'cur' THEN 1 ELSE 0 END) AS n_cur
+  FROM ({nl}) WHERE value IS NOT NULL GROUP BY {k}, value),
+{prefix}ncum AS (
+  SELECT *, sum(n_ref) OVER (PARTITION BY {k} ORDER BY value) AS cr, sum(n_cur) OVER (PARTITION BY {k} ORDER BY value) AS cc,
+         sum(n_ref) OVER (PARTITION BY {k}) AS tr, sum(n_cur) OVER (PARTITION BY {k}) AS tc FROM {prefix}ncnt),
+{prefix}num AS (
+  SELECT {k}, max(CASE WHEN tr > 0 AND tc > 0 THEN abs(cr / tr - cc / tc) END) AS drift_score, 'ks' AS stattest
+  FROM {prefix}ncum GROUP BY {k}),
+{prefix}ccnt AS (
+  SELECT {k}, value, sum(CASE WHEN side = 'ref' THEN 1 ELSE 0 END) AS n_ref,
+         sum(CASE WHEN side = 'cur' THEN 1 ELSE 0 END) AS n_cur
+  FROM ({cl}) WHERE value IS NOT NULL GROUP BY {k}, value),
+{prefix}cj AS (
+  SELECT *, n_ref / sum(n_ref) OVER (PARTITION BY {k}) AS p, n_cur / sum(n_cur) OVER (PARTITION BY {k}) AS q,
+         sum(n_ref) OVER (PARTITION BY {k}) AS tr, sum(n_cur) OVER (PARTITION BY {k}) AS tc FROM {prefix}ccnt),
+{prefix}cat AS (
+  SELECT {k}, sqrt(greatest(sum(CASE WHEN p > 0 THEN 0.5 * p * ln(p / ((p + q) / 2)) ELSE 0.0 END
+                               + CASE WHEN q > 0 THEN 0.5 * q * ln(q / ((p + q) / 2)) ELSE 0.0 END), 0.0))
+           AS drift_score, 'jensenshannon' AS stattest
+  FROM {prefix}cj WHERE tr > 0 AND tc > 0 GROUP BY {k}),
+{prefix}coldrift AS (
+  SELECT *, coalesce(drift_score >= 0.1, false) AS drifted FROM {prefix}num
+  UNION ALL SELECT *, coalesce(drift_score >= 0.1, false) AS drifted FROM {prefix}cat)"""
+
+
+DRIFT_SRC = SCORED + f""",
+dr AS (
+  SELECT *, ln(1 + close_value) AS close_value_log, {VALUE_BAND} AS close_value_category,
+         CAST(month(engage_date) AS INTEGER) AS engage_month, CAST(quarter(engage_date) AS INTEGER) AS engage_quarter,
+         CAST(isodow(engage_date) - 1 AS INTEGER) AS engage_day_of_week, win_probability AS prediction
+  FROM scored),""" + drift_ctes(
+    "dr", "snapshot_period",
+    "SELECT * FROM (SELECT lag(cur_period) OVER (ORDER BY cur_period) AS ref_period, cur_period "
+    "FROM (SELECT DISTINCT snapshot_period AS cur_period FROM dr)) WHERE ref_period IS NOT NULL",
+    DRIFT_NUMERIC, DRIFT_CATEGORICAL) + "," + drift_ctes(
+    "dr", "snapshot_period", "SELECT * FROM pairs", ["prediction"], ["close_value_category"], prefix="p_")

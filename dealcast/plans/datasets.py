@@ -35,7 +35,9 @@ def dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C3 on every snapshot (medians per snapshot)."""
     from dealcast.operators.clean import clean_opportunities
-    return clean_opportunities(snapshots(spark, sf_dir), by=BY, numeric=["close_value"])
+    from dealcast.session import materialize
+    # the processed layer: written once, read by every later branch
+    return materialize(clean_opportunities(snapshots(spark, sf_dir), by=BY, numeric=["close_value"]))
 
 
 def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +63,9 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly rows with the closed-form stand-in win probability."""
     from dealcast.operators.reports import smoothed_win_rate
-    return smoothed_win_rate(monthly(spark, sf_dir), "sales_agent", by=BY)
+    from dealcast.session import materialize
+    # the scored set (D2): written once, read by every report and drift branch
+    return materialize(smoothed_win_rate(monthly(spark, sf_dir), "sales_agent", by=BY))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,3 +81,28 @@ VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage"
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 11 model columns (+ snapshot_period) of the snapshots."""
     return snapshots(spark, sf_dir).select(*VALIDATED)
+
+
+DRIFT_NUMERIC = ("close_value_log", "days_since_engage", "sales_cycle_days", "sales_velocity",
+                 "days_to_expected_close")
+DRIFT_CATEGORICAL = ("sales_agent", "product", "close_value_category", "engage_month", "engage_quarter",
+                     "engage_day_of_week", "should_close_next_month", "is_overdue", "is_early_stage",
+                     "high_value_deal", "long_sales_cycle")
+
+
+def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored set (D2) with the drift feature columns and ``prediction``."""
+    from dealcast.functions import scalar as S
+    s = scored(spark, sf_dir)
+    return s.withColumns({"close_value_log": S.log_value("close_value"),
+                          "close_value_category": S.value_band("close_value"),
+                          "engage_month": F.month("engage_date"), "engage_quarter": F.quarter("engage_date"),
+                          "engage_day_of_week": F.weekday("engage_date"),
+                          "prediction": F.col("win_probability")})
+
+
+def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each snapshot (current) against the previous snapshot (reference)."""
+    from dealcast.operators.drift import consecutive_pairs, sides
+    d = drift_input(spark, sf_dir)
+    return sides(d, "snapshot_period", consecutive_pairs(d, "snapshot_period"))

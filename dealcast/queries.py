@@ -704,3 +704,205 @@ GROUP BY ALL""")
 def q_v17(spark, d):
     from dealcast.operators.quality import iqr_outliers
     return iqr_outliers(D.validated(spark, d), "close_value", by=BY)
+
+
+# ---------------------------------------------------------------- drift and monitoring
+
+_PAIR = "ref_period, cur_period"
+
+
+@query("d3_d4_column_drift", O.with_(O.DRIFT_SRC) + "SELECT * FROM coldrift")
+def q_d3(spark, d):
+    from dealcast.operators.drift import column_drift
+    return column_drift(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL)
+
+
+_DS = f"""ds AS (
+  SELECT {_PAIR}, count(*) AS num_columns, CAST(sum(CAST(drifted AS INTEGER)) AS BIGINT) AS num_drifted_columns,
+         sum(CAST(drifted AS INTEGER)) / count(*) AS share_drifted_columns,
+         sum(CAST(drifted AS INTEGER)) / count(*) >= 0.5 AS dataset_drift
+  FROM coldrift GROUP BY {_PAIR})"""
+
+
+@query("d5_dataset_drift", O.with_(O.DRIFT_SRC, _DS) + "SELECT * FROM ds")
+def q_d5(spark, d):
+    from dealcast.operators.drift import column_drift, dataset_drift
+    return dataset_drift(column_drift(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL))
+
+
+_MISS = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in O.DRIFT_NUMERIC + O.DRIFT_CATEGORICAL)
+_NDRIFT = len(O.DRIFT_NUMERIC + O.DRIFT_CATEGORICAL)
+
+
+def _quality_sql(src: str, by: str, label: str = "is_won", score: str = "prediction") -> str:
+    return f"""
+q_base AS (SELECT * FROM {src} WHERE {label} IS NOT NULL AND {score} IS NOT NULL),
+q_g AS (
+  SELECT {by}, count(*) AS n,
+         CAST(sum({label} * CAST({score} >= 0.5 AS INTEGER)) AS BIGINT) AS tp,
+         CAST(sum((1 - {label}) * CAST({score} >= 0.5 AS INTEGER)) AS BIGINT) AS fp,
+         CAST(sum({label} * (1 - CAST({score} >= 0.5 AS INTEGER))) AS BIGINT) AS fn,
+         CAST(sum((1 - {label}) * (1 - CAST({score} >= 0.5 AS INTEGER))) AS BIGINT) AS tn,
+         avg(({score} - {label}) * ({score} - {label})) AS brier
+  FROM q_base GROUP BY {by}),
+q_ps AS (SELECT {by}, CAST({score} AS DOUBLE) AS s, sum({label}) AS pos, sum(1 - {label}) AS neg
+         FROM q_base GROUP BY {by}, s),
+q_pc AS (SELECT *, sum(neg) OVER (PARTITION BY {by} ORDER BY s) AS cneg FROM q_ps),
+q_auc AS (SELECT {by}, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                            THEN sum(pos * (cneg - 0.5 * neg)) / (sum(pos) * sum(neg)) END AS roc_auc
+          FROM q_pc GROUP BY {by}),
+quality AS (
+  SELECT {by}, n, tp, fp, fn, tn, (tp + tn) / n AS accuracy,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+         CASE WHEN (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+                   + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END) > 0
+              THEN 2 * (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+                     * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
+                   / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+                      + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)) ELSE 0.0 END AS f1,
+         brier, roc_auc
+  FROM q_g LEFT JOIN q_auc USING ({by}))"""
+
+
+_SUMMARY = O.with_(O.DRIFT_SRC, _DS) + f""",
+cur AS (SELECT * FROM tagged WHERE side = 'cur'),
+miss AS (SELECT {_PAIR}, sum({_MISS}) / (count(*) * {_NDRIFT}) AS share_missing_values FROM cur GROUP BY {_PAIR}),
+cur_l AS (SELECT *, ref_period || '|' || cur_period AS pair_key FROM cur WHERE is_won IS NOT NULL),
+{_quality_sql("cur_l", "pair_key")},
+summary AS (
+  SELECT ds.*, pn.drift_score AS prediction_drift, miss.share_missing_values,
+         q.accuracy, q.precision, q.recall, q.f1, q.roc_auc,
+         ds.dataset_drift OR coalesce(pn.drift_score > 0.1, false) AS drift_detected,
+         CASE WHEN ds.dataset_drift OR coalesce(pn.drift_score, 0.0) > 0.2 THEN 'HIGH'
+              WHEN coalesce(pn.drift_score, 0.0) > 0.1 OR ds.num_drifted_columns > 5 THEN 'MEDIUM'
+              WHEN ds.num_drifted_columns > 2 THEN 'LOW' ELSE 'NONE' END AS alert_level,
+         NOT (ds.dataset_drift OR coalesce(pn.drift_score > 0.1, false)) AS healthy
+  FROM ds LEFT JOIN p_num pn USING ({_PAIR}) LEFT JOIN miss USING ({_PAIR})
+          LEFT JOIN quality q ON q.pair_key = ds.ref_period || '|' || ds.cur_period)"""
+
+
+def _summary_df(spark, d):
+    from dealcast.operators.drift import monitoring_summary
+    return monitoring_summary(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL)
+
+
+@query("d15_monitoring_summary", _SUMMARY + "SELECT * FROM summary")
+def q_d15(spark, d):
+    return _summary_df(spark, d)
+
+
+@query("d16_alerts", _SUMMARY + f"""
+SELECT {_PAIR}, alert_level,
+       printf('Drift detected for %s vs %s: %d drifted columns, prediction drift %.3f', cur_period, ref_period,
+              num_drifted_columns, coalesce(prediction_drift, 0.0)) AS message
+FROM summary WHERE drift_detected""")
+def q_d16(spark, d):
+    from dealcast.operators.drift import alerts
+    return alerts(_summary_df(spark, d))
+
+
+@query("d17_drift_history", _SUMMARY + """
+SELECT cur_period, prediction_drift, num_drifted_columns, alert_level,
+       prediction_drift - lag(prediction_drift) OVER (ORDER BY cur_period) AS prediction_drift_change,
+       coalesce(prediction_drift > 0.1, false) AS above_warning, coalesce(prediction_drift > 0.2, false) AS above_critical
+FROM summary""")
+def q_d17(spark, d):
+    from dealcast.operators.drift import drift_history
+    return drift_history(_summary_df(spark, d))
+
+
+@query("d18_performance_drop", _SUMMARY + """
+SELECT cur_period, roc_auc, lag(roc_auc) OVER (ORDER BY cur_period) - roc_auc AS roc_auc_drop,
+       coalesce(lag(roc_auc) OVER (ORDER BY cur_period) - roc_auc > 0.05, false) AS performance_drift
+FROM summary""")
+def q_d18(spark, d):
+    from dealcast.operators.drift import performance_drop
+    return performance_drop(_summary_df(spark, d))
+
+
+@query("d7_d8_value_checks", O.with_(O.DRIFT_SRC) + f""",
+r AS (SELECT {_PAIR}, min(close_value_log) AS rmin, max(close_value_log) AS rmax FROM tagged WHERE side = 'ref'
+      GROUP BY {_PAIR}),
+rng AS (SELECT {_PAIR}, avg(CAST(t.close_value_log >= r.rmin AND t.close_value_log <= r.rmax AS DOUBLE))
+               AS value_range_share
+        FROM tagged t JOIN r USING ({_PAIR}) WHERE t.side = 'cur' AND t.close_value_log IS NOT NULL GROUP BY {_PAIR}),
+med AS (SELECT {_PAIR}, quantile_cont(close_value_log, 0.5) AS median_value_log FROM tagged
+        WHERE side = 'cur' AND close_value_log IS NOT NULL GROUP BY {_PAIR})
+SELECT * FROM med FULL JOIN rng USING ({_PAIR})""")
+def q_d7(spark, d):
+    from dealcast.operators.drift import PAIR, in_range_share
+    t = D.drift_sides(spark, d)
+    cur = t.where(F.col("side") == "cur")
+    from dealcast.operators.stats import exact_quantiles
+    med = exact_quantiles(cur, "close_value_log", [0.5], by=PAIR, names=["median_value_log"])
+    return med.join(in_range_share(t, "close_value_log"), PAIR, "full")
+
+
+_CLOSED_SCORED = O.with_(O.SCORED) + """,
+cs AS (SELECT *, win_probability AS prediction FROM scored WHERE is_closed = 1),"""
+
+
+@query("d9_m7_classification_quality", _CLOSED_SCORED + _quality_sql("cs", "snapshot_period")
+       + "\nSELECT * FROM quality")
+def q_d9(spark, d):
+    from dealcast.operators.drift import classification_quality
+    s = D.scored(spark, d).where(F.col("is_closed") == 1).withColumn("prediction", F.col("win_probability"))
+    return classification_quality(s, "is_won", "prediction", by=BY)
+
+
+@query("d10_class_balance", O.with_(O.SCORED) + """
+SELECT snapshot_period, is_won AS label, count(*) AS count FROM scored WHERE is_closed = 1 GROUP BY 1, 2""")
+def q_d10(spark, d):
+    from dealcast.operators.drift import class_balance
+    return class_balance(D.scored(spark, d).where(F.col("is_closed") == 1), "is_won", by=BY)
+
+
+@query("d11_confusion_matrix", O.with_(O.SCORED) + """
+SELECT snapshot_period, is_won AS actual, CAST(win_probability >= 0.5 AS INTEGER) AS predicted, count(*) AS count
+FROM scored WHERE is_closed = 1 AND win_probability IS NOT NULL GROUP BY 1, 2, 3""")
+def q_d11(spark, d):
+    from dealcast.operators.drift import confusion_matrix
+    return confusion_matrix(D.scored(spark, d).where(F.col("is_closed") == 1), "is_won", "win_probability", by=BY)
+
+
+@query("d12_roc_points", O.with_(O.SCORED) + """,
+p AS (SELECT snapshot_period, CAST(win_probability AS DOUBLE) AS threshold, sum(is_won) AS pos, sum(1 - is_won) AS neg
+      FROM scored WHERE is_closed = 1 AND win_probability IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY snapshot_period ORDER BY threshold DESC) AS cp,
+             sum(neg) OVER (PARTITION BY snapshot_period ORDER BY threshold DESC) AS cn,
+             sum(pos) OVER (PARTITION BY snapshot_period) AS tp, sum(neg) OVER (PARTITION BY snapshot_period) AS tn
+      FROM p)
+SELECT snapshot_period, threshold, CASE WHEN tp > 0 THEN cp / tp END AS tpr, CASE WHEN tn > 0 THEN cn / tn END AS fpr
+FROM c""")
+def q_d12(spark, d):
+    from dealcast.operators.drift import roc_points
+    return roc_points(D.scored(spark, d).where(F.col("is_closed") == 1), "is_won", "win_probability", by=BY)
+
+
+_EVENTS = """
+ev AS (SELECT *, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(ts AS DATE) AS day FROM events),"""
+
+
+@query("d19_daily_metrics", O.with_(_EVENTS + O.drift_ctes(
+        "ev", "day", "SELECT (SELECT min(day) FROM ev) AS ref_period, cur_period "
+                     "FROM (SELECT DISTINCT day AS cur_period FROM ev)", ["value", "k"], ["event_type"])
+        + "," + O.drift_ctes("ev", "day", "SELECT * FROM pairs", ["value"], ["event_type"], prefix="p_")) + f""",
+drifted AS (SELECT {_PAIR}, CAST(sum(CAST(drifted AS INTEGER)) AS BIGINT) AS num_drifted_columns FROM coldrift
+            GROUP BY {_PAIR}),
+cur AS (SELECT * FROM tagged WHERE side = 'cur'),
+miss AS (SELECT {_PAIR}, sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END + CASE WHEN k IS NULL THEN 1 ELSE 0 END
+                             + CASE WHEN event_type IS NULL THEN 1 ELSE 0 END) / (count(*) * 3) AS share_missing_values
+         FROM cur GROUP BY {_PAIR}),
+med AS (SELECT {_PAIR}, quantile_cont(value, 0.5) AS quantile FROM cur WHERE value IS NOT NULL GROUP BY {_PAIR}),
+r AS (SELECT {_PAIR}, min(value) AS rmin, max(value) AS rmax FROM tagged WHERE side = 'ref' GROUP BY {_PAIR}),
+rng AS (SELECT {_PAIR}, avg(CAST(c.value >= r.rmin AND c.value <= r.rmax AS DOUBLE)) AS value_range
+        FROM cur c JOIN r USING ({_PAIR}) WHERE c.value IS NOT NULL GROUP BY {_PAIR})
+SELECT CAST(pn.cur_period AS TIMESTAMP) AS timestamp, pn.drift_score AS prediction_drift, drifted.num_drifted_columns,
+       miss.share_missing_values, med.quantile, rng.value_range
+FROM p_num pn LEFT JOIN drifted USING ({_PAIR}) LEFT JOIN miss USING ({_PAIR}) LEFT JOIN med USING ({_PAIR})
+     LEFT JOIN rng USING ({_PAIR})""")
+def q_d19(spark, d):
+    from dealcast.operators.drift import daily_metrics, events_with_props
+    from dealcast.sources.tables import load_table
+    return daily_metrics(events_with_props(load_table(spark, d, "events")))
