@@ -175,24 +175,22 @@ features AS (
            AS target_multiclass
   FROM scaled)"""
 
-SCORED = CLEAN + """,
-base AS (
-  SELECT c.*, CAST(coalesce(deal_stage IN ('Won', 'Lost'), false) AS INTEGER) AS is_closed,
-         CAST(coalesce(deal_stage = 'Won', false) AS INTEGER) AS is_won,
-         CAST(close_date - engage_date AS INTEGER) AS sales_cycle_days
-  FROM clean c),
+def monthly_sql(src: str) -> str:
+    """M1 over a source CTE that has is_closed, sales_cycle_days, close_value,
+    engage_date, snapshot_date, snapshot_period; defines ``monthly``."""
+    return f"""
 gstat AS (
   SELECT snapshot_period, max(snapshot_date) + 30 AS as_of_date,
          CASE WHEN max(is_closed) = 1
               THEN quantile_cont(sales_cycle_days, 0.5) FILTER (WHERE is_closed = 1) ELSE 90.0 END AS med_cycle,
          quantile_cont(close_value, 0.8) AS q80v, quantile_cont(sales_cycle_days, 0.8) AS q80c
-  FROM base GROUP BY snapshot_period),
+  FROM {src} GROUP BY snapshot_period),
 monthly0 AS (
   SELECT b.*, g.as_of_date, CAST(g.as_of_date - b.engage_date AS INTEGER) AS days_since_engage,
          CAST(b.engage_date AS TIMESTAMP) + to_seconds(g.med_cycle * 86400) AS expected_close_date,
          CAST((b.engage_date - g.as_of_date) + floor(g.med_cycle) AS INTEGER) AS days_to_expected_close,
          g.q80v, g.q80c
-  FROM base b LEFT JOIN gstat g USING (snapshot_period)),
+  FROM {src} b LEFT JOIN gstat g USING (snapshot_period)),
 monthly AS (
   SELECT * EXCLUDE (q80v, q80c),
          CAST(coalesce(days_to_expected_close BETWEEN -15 AND 45, false) AS INTEGER) AS should_close_next_month,
@@ -201,7 +199,15 @@ monthly AS (
          CASE WHEN sales_cycle_days > 0 THEN close_value / sales_cycle_days ELSE 0.0 END AS sales_velocity,
          CAST(coalesce(close_value > q80v, false) AS INTEGER) AS high_value_deal,
          CAST(coalesce(sales_cycle_days > q80c, false) AS INTEGER) AS long_sales_cycle
-  FROM monthly0),
+  FROM monthly0)"""
+
+
+SCORED = CLEAN + """,
+base AS (
+  SELECT c.*, CAST(coalesce(deal_stage IN ('Won', 'Lost'), false) AS INTEGER) AS is_closed,
+         CAST(coalesce(deal_stage = 'Won', false) AS INTEGER) AS is_won,
+         CAST(close_date - engage_date AS INTEGER) AS sales_cycle_days
+  FROM clean c),""" + monthly_sql("base") + """,
 prob AS (
   SELECT snapshot_period, sales_agent,
          (sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) + 1)
@@ -282,3 +288,23 @@ dr AS (
     "FROM (SELECT DISTINCT snapshot_period AS cur_period FROM dr)) WHERE ref_period IS NOT NULL",
     DRIFT_NUMERIC, DRIFT_CATEGORICAL) + "," + drift_ctes(
     "dr", "snapshot_period", "SELECT * FROM pairs", ["prediction"], ["close_value_category"], prefix="p_")
+
+MODEL_FEATURES = (
+    "close_value_log", "close_value_category_encoded", "days_since_engage", "sales_cycle_days",
+    "engage_month", "engage_quarter", "engage_day_of_week", "agent_win_rate",
+    "agent_opportunity_count", "product_win_rate", "product_popularity", "revenue", "employees",
+    "is_repeat_account", "account_frequency", "should_close_next_month", "is_overdue",
+    "is_early_stage", "high_value_deal", "long_sales_cycle", "sales_velocity",
+    "sales_agent_encoded", "product_encoded", "account_encoded", "manager_encoded",
+    "regional_office_encoded", "sector_encoded")
+
+
+def training_matrix_sql() -> str:
+    meds = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in MODEL_FEATURES)
+    cols = ", ".join(f"coalesce(CAST(t.{c} AS DOUBLE), m.m_{c}) AS {c}" for c in MODEL_FEATURES)
+    return "WITH " + FEATURE_TABLE.strip() + "," + monthly_sql("features") + f""",
+tr AS (SELECT * FROM monthly WHERE is_closed = 1 OR should_close_next_month = 1),
+med AS (SELECT snapshot_period, {meds} FROM tr GROUP BY snapshot_period)
+SELECT t.snapshot_period, t.opportunity_id, t.opportunity_key, t.is_won, t.is_closed, t.deal_stage,
+       t.engage_date, t.close_date, {cols}
+FROM tr t LEFT JOIN med m USING (snapshot_period)"""

@@ -48,8 +48,10 @@ def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dealcast.plans.features import feature_table
+    from dealcast.session import materialize
     teams, accts, _ = dims(spark, sf_dir)
-    return feature_table(cleaned(spark, sf_dir), teams, accts, by=BY)
+    # the features layer: written once (the reference stores it too)
+    return materialize(feature_table(cleaned(spark, sf_dir), teams, accts, by=BY))
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,3 +108,17 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dealcast.operators.drift import consecutive_pairs, sides
     d = drift_input(spark, sf_dir)
     return sides(d, "snapshot_period", consecutive_pairs(d, "snapshot_period"))
+
+
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 over all snapshots: training rows with the 27 model features
+    (median-filled), label and split (W3 over the whole table)."""
+    from dealcast.functions import scalar as S
+    from dealcast.operators.monthly import MODEL_FEATURES, monthly_features, training_matrix
+    from dealcast.operators.windows import temporal_split
+    from dealcast.session import materialize
+    f = materialize(monthly_features(features(spark, sf_dir), by=BY))
+    m = training_matrix(f, by=BY, keep=("opportunity_id", "opportunity_key", "is_won", "is_closed",
+                                         "deal_stage", "engage_date", "close_date"))
+    split = temporal_split(m.where(F.col("is_closed") == 1), by=())
+    return materialize(split.select("opportunity_id", "opportunity_key", "is_won", "split", *MODEL_FEATURES))

@@ -906,3 +906,66 @@ def q_d19(spark, d):
     from dealcast.operators.drift import daily_metrics, events_with_props
     from dealcast.sources.tables import load_table
     return daily_metrics(events_with_props(load_table(spark, d, "events")))
+
+
+# ---------------------------------------------------------------- models (pyspark.ml)
+
+_KEEP = ("opportunity_id", "opportunity_key", "is_won", "is_closed", "deal_stage", "engage_date", "close_date")
+
+
+@query("m2_training_matrix", O.training_matrix_sql())
+def q_m2(spark, d):
+    from dealcast.operators.monthly import monthly_features, training_matrix
+    return training_matrix(monthly_features(D.features(spark, d), by=BY), by=BY, keep=_KEEP)
+
+
+def _model_data(spark, d):
+    from dealcast.operators import models as M
+    from dealcast.operators.monthly import MODEL_FEATURES
+    data = M.prepare(D.model_frame(spark, d), MODEL_FEATURES)
+    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+
+
+@query("m3_m9_model_comparison", None)
+def q_m3(spark, d):
+    from dealcast.operators import models as M
+    train, test = _model_data(spark, d)
+    metrics, _ = M.compare_models(train, test)
+    return metrics.select("model", "accuracy", "roc_auc", "brier", "n", "rank", "is_best")
+
+
+@query("m13_monitoring_thresholds", None)
+def q_m13(spark, d):
+    from dealcast.operators import models as M
+    train, test = _model_data(spark, d)
+    metrics, _ = M.compare_models(train, test, ["logistic_regression", "random_forest"])
+    return M.monitoring_thresholds(metrics)
+
+
+@query("m15_feature_importance", None)
+def q_m15(spark, d):
+    from dealcast.operators import models as M
+    from dealcast.operators.monthly import MODEL_FEATURES
+    train, _ = _model_data(spark, d)
+    rf = M.candidates()["random_forest"].fit(train)
+    return M.feature_importance(rf, MODEL_FEATURES)
+
+
+@query("m11_batch_scoring", None)
+def q_m11(spark, d):
+    """Calibrated logistic model scores the open pipeline (M10 round trip
+    through a saved pipeline model under the checkpoint folder)."""
+    from dealcast.operators import models as M
+    from dealcast.operators.monthly import MODEL_FEATURES, fill_medians, monthly_features, pipeline_rows
+    from dealcast.session import scratch_path
+    import uuid
+    train, _ = _model_data(spark, d)
+    cal = M.fit_calibrated("logistic_regression", M.candidates()["logistic_regression"], train)
+    path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
+    M.save_model(M.pipeline_for(MODEL_FEATURES, M.candidates()["logistic_regression"]).fit(
+        D.model_frame(spark, d).withColumn("label", F.col("is_won").cast("double"))), path)
+    M.load_model(path)
+    pipe = pipeline_rows(monthly_features(D.features(spark, d), by=BY))
+    pipe = fill_medians(pipe, list(MODEL_FEATURES), by=BY)
+    scored = M.score_batch(cal, M.prepare(pipe, MODEL_FEATURES))
+    return scored.select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
