@@ -57,10 +57,21 @@ def _long(tagged: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 def numeric_drift(tagged: DataFrame, cols: Sequence[str]) -> DataFrame:
     """D3: KS distance per (pair, column) over non-null values."""
     long = _long(tagged, cols, "DOUBLE").where(F.col("value").isNotNull())
-    counts = long.groupBy(*PAIR, "feature", "value").agg(
-        F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("n_ref"),
-        F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("n_cur"))
-    key = [*PAIR, "feature"]
+    return ks_from_counts(side_counts(long, [*PAIR, "feature"]))
+
+
+def side_counts(long: DataFrame, key: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Rows per (key, value) on each side (``weight`` sums pre-counted rows)."""
+    w = F.col(weight) if weight else F.lit(1)
+    return long.groupBy(*key, "value").agg(
+        F.sum(F.when(F.col("side") == "ref", w).otherwise(0)).alias("n_ref"),
+        F.sum(F.when(F.col("side") == "cur", w).otherwise(0)).alias("n_cur"))
+
+
+def ks_from_counts(counts: DataFrame, key: Sequence[str] = (*PAIR, "feature")) -> DataFrame:
+    """Exact KS from per-value side counts: the largest gap between the two
+    ECDFs over the merged distinct values (distributed running totals)."""
+    key = list(key)
     cum = running_totals(counts, ["value"], ["n_ref", "n_cur"], by=key)
     tot = counts.groupBy(*key).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = cum.join(tot, key, "inner")
@@ -75,10 +86,11 @@ def categorical_drift(tagged: DataFrame, cols: Sequence[str]) -> DataFrame:
     value absent on one side has share 0 there (a full outer join in effect,
     done as one grouped count). Nulls are not a category."""
     long = _long(tagged, cols, "STRING").where(F.col("value").isNotNull())
-    key = [*PAIR, "feature"]
-    counts = long.groupBy(*key, "value").agg(
-        F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("n_ref"),
-        F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("n_cur"))
+    return js_from_counts(side_counts(long, [*PAIR, "feature"]))
+
+
+def js_from_counts(counts: DataFrame, key: Sequence[str] = (*PAIR, "feature")) -> DataFrame:
+    key = list(key)
     tot = counts.groupBy(*key).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = counts.join(tot, key, "inner")
     p = F.col("n_ref") / F.col("t_ref")

@@ -52,19 +52,22 @@ def _qname(q: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, slices: int | None = None,
+                    weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (``quantile_cont`` /
     ``percentile``) per ``by`` group, nulls ignored, without holding a group's
     values in one task: distinct values are counted, ranked with
     ``running_totals``, and the two values around each position picked.
 
     Returns one row per group that has at least one value: ``by`` columns plus
-    one column per quantile (``names`` or ``q25``-style).
+    one column per quantile (``names`` or ``q25``-style). ``weight`` names a
+    column of row multiplicities (pre-counted input).
     """
     by = list(by)
     names = list(names) if names else [_qname(q) for q in qs]
     counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")))
+              .groupBy(*by, F.col(value).cast("double").alias("_v"))
+              .agg((F.sum(weight) if weight else F.count("*")).cast("long").alias("_n")))
     ranked = running_totals(counts, ["_v"], ["_n"], by=by, slices=slices)
     if by:
         r = ranked.join(counts.groupBy(*by).agg(F.sum("_n").alias("_total")), by, "inner")

@@ -969,3 +969,100 @@ def q_m11(spark, d):
     pipe = fill_medians(pipe, list(MODEL_FEATURES), by=BY)
     scored = M.score_batch(cal, M.prepare(pipe, MODEL_FEATURES))
     return scored.select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
+
+
+# ---------------------------------------------------------------- sources, sinks, streaming
+
+def _scratch(spark, name):
+    import uuid
+    from dealcast.session import scratch_path
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+@query("s7_s5_partitioned_layer", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(*) AS rows, CAST(count(DISTINCT opportunity_id) AS BIGINT) AS opportunities
+FROM snaps GROUP BY snapshot_period""")
+def q_s7(spark, d):
+    """Write the snapshots as a period-partitioned layer, read it back (each
+    period a pruned partition) and count per period."""
+    from dealcast.sources.layers import read_layer, write_layer
+    base = _scratch(spark, "layers")
+    write_layer(D.snapshots(spark, d).drop("opportunity_key"), base, "raw")
+    back = read_layer(spark, base, "raw")
+    return back.groupBy("snapshot_period").agg(F.count("*").alias("rows"),
+                                               F.countDistinct("opportunity_id").alias("opportunities"))
+
+
+@query("s1_csv_roundtrip", O.with_(O.SNAPS) + """
+SELECT opportunity_id, sales_agent, product, account, deal_stage, engage_date, close_date, close_value,
+       creation_date, creation_year_month, snapshot_date FROM snaps""")
+def q_s1(spark, d):
+    """CSV sink and explicit-schema CSV scan of the 11-column table."""
+    from dealcast.operators.quality import REQUIRED
+    from dealcast.sources.layers import read_csv
+    path = _scratch(spark, "csv")
+    D.validated(spark, d).drop("snapshot_period").write.option("header", True).csv(path)
+    return read_csv(spark, path, REQUIRED)
+
+
+@query("s13_available_periods", O.with_(O.SNAPS) + """
+SELECT DISTINCT strftime(engage_date, '%Y-%m') AS period FROM snaps WHERE engage_date IS NOT NULL""")
+def q_s13(spark, d):
+    from dealcast.sources.layers import available_periods
+    return available_periods(D.snapshots(spark, d))
+
+
+@query("s12_latest_period", O.with_(O.SNAPS) + "SELECT max(snapshot_period) AS latest_period FROM snaps")
+def q_s12(spark, d):
+    from dealcast.sources.layers import latest_period
+    return latest_period(D.snapshots(spark, d))
+
+
+@query("s9_s10_json_results", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(*) AS rows,
+       CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS won,
+       CAST(sum(CASE WHEN deal_stage = 'Lost' THEN 1 ELSE 0 END) AS BIGINT) AS lost,
+       CAST(sum(CASE WHEN deal_stage = 'Engaging' THEN 1 ELSE 0 END) AS BIGINT) AS engaging,
+       CAST(sum(CASE WHEN deal_stage = 'Prospecting' THEN 1 ELSE 0 END) AS BIGINT) AS prospecting,
+       CAST(sum(CASE WHEN deal_stage IN ('Won', 'Lost') THEN 1 ELSE 0 END) AS BIGINT) AS closed,
+       min(engage_date) AS min_engage, max(engage_date) AS max_engage,
+       min(close_date) AS min_close, max(close_date) AS max_close,
+       min(close_value) AS min_value, max(close_value) AS max_value, sum(close_value) AS total_value
+FROM snaps GROUP BY snapshot_period""")
+def q_s9(spark, d):
+    """Result rows appended as JSON, read back with a declared schema."""
+    from dealcast.sources.layers import append_results, read_results
+    path = _scratch(spark, "results")
+    summary = A.dataset_summary(D.snapshots(spark, d), by=BY)
+    append_results(summary, path)
+    return read_results(spark, path, summary.schema)
+
+
+@query("s14_s15_retention_plan", None)
+def q_s15(spark, d):
+    """List the files of a written layer and classify them for retention."""
+    from dealcast.sources.layers import list_files, retention_plan, write_layer
+    base = _scratch(spark, "retention")
+    write_layer(D.snapshots(spark, d).drop("opportunity_key"), base, "processed", fmt="csv")
+    files = list_files(spark, base, "*.csv")
+    return retention_plan(files, F.lit("processed")).groupBy("category").agg(
+        F.count("*").alias("files"), F.sum("size").alias("bytes"))
+
+
+@query("st1_daily_metrics_stream", None)
+def q_st1(spark, d):
+    """ST1: the streaming twin of d19 (closed day windows only)."""
+    from dealcast.sources.tables import load_table
+    from dealcast.streaming.monitoring import start_daily_metrics
+    ref_day = load_table(spark, d, "events").select(F.min(F.to_date("ts"))).first()[0]  # one scalar
+    out, ck = _scratch(spark, "st1-out"), _scratch(spark, "st1-ck")
+    start_daily_metrics(spark, d, out, ck, ref_day).awaitTermination()
+    return spark.read.parquet(out).drop("day")
+
+
+@query("st2_quality_gate_stream", None)
+def q_st2(spark, d):
+    from dealcast.streaming.monitoring import start_quality_gate
+    out, ck = _scratch(spark, "st2-out"), _scratch(spark, "st2-ck")
+    start_quality_gate(spark, d, out, ck).awaitTermination()
+    return spark.read.parquet(out)
