@@ -17,7 +17,8 @@ def period_of(d) -> Column:
 
 
 def period_start(p) -> Column:
-    return F.to_date(F.concat(_col(p), F.lit("-01")))
+    """First day of the period; a malformed period gives null (ANSI-safe)."""
+    return F.concat(_col(p), F.lit("-01")).try_cast("date")
 
 
 def period_end(p) -> Column:

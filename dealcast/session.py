@@ -60,9 +60,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut the lineage of a DataFrame that several later branches read: a
-    reliable checkpoint written under ``spark.checkpoint.dir`` (a shared folder
-    on a cluster), so neither recomputation nor a lost executor replays the
-    upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of a DataFrame that several later branches read.
+
+    The rows are written once as a Parquet table under the shared
+    ``spark.checkpoint.dir`` and read back: later branches (and a retried task
+    after a lost executor) read the files instead of replaying the upstream
+    plan, the columnar re-read prunes columns and pushes filters, and AQE sees
+    the table's real size. (``DataFrame.checkpoint(eager=True)`` would run the
+    upstream twice: once to count and once to write.)
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
