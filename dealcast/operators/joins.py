@@ -79,40 +79,55 @@ def values_not_in(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFra
 
 def enrich_new_records(new: DataFrame, history: DataFrame,
                        defaults: dict[str, float] | None = None) -> DataFrame:
-    """Enrich a batch of new opportunities with history statistics per
-    agent, product and account, and codes for region and sector; unseen keys
-    get defaults (count 1, rate 0.5, code 0).
-
-    ``history`` must carry the feature columns (``is_won``, ``is_closed``,
-    ``regional_office``, ``sector``...).
+    """J8 (+ F5): enrich a batch of new opportunities with what the history
+    knows: per agent and product the row count and mean win flag, per account
+    the row count (unseen keys: count 1, rate 0.5); the value's quartile code
+    (0-3) against the history's exact quartiles; and the history's
+    lexicographic codes of agent, product, account, manager, region and
+    sector (unseen: 0).
+
+    Both inputs carry sales_agent, product, account, manager,
+    regional_office, sector; ``history`` also ``is_won`` and ``close_value``;
+    ``new`` also ``engage_date`` and ``close_value``. Every lookup is a
+    per-key aggregate of the history joined to the batch.
     """
+    from dealcast.operators.stats import attach_row, exact_quantiles
     d = {"count": 1, "rate": 0.5, "code": 0}
     d.update(defaults or {})
-    closed = F.col("is_closed") == 1
-    agent = history.groupBy("sales_agent").agg(
-        F.count("*").alias("agent_opportunity_count"),
-        F.avg(F.when(closed, F.col("is_won"))).alias("agent_win_rate"))
-    product = history.groupBy("product").agg(
-        F.count("*").alias("product_popularity"),
-        F.avg(F.when(closed, F.col("is_won"))).alias("product_win_rate"))
+    agent = history.groupBy("sales_agent").agg(F.count("*").alias("agent_opportunity_count"),
+                                              F.avg("is_won").alias("agent_win_rate"))
+    product = history.groupBy("product").agg(F.count("*").alias("product_popularity"),
+                                             F.avg("is_won").alias("product_win_rate"))
     account = history.groupBy("account").agg(F.count("*").alias("account_frequency"))
-    region = _codes(history, "regional_office")
-    sector = _codes(history, "sector")
     out = (new.join(agent, "sales_agent", "left").join(product, "product", "left")
-           .join(account, "account", "left")
-           .join(region, "regional_office", "left").join(sector, "sector", "left"))
+           .join(account, "account", "left"))
+    for c in ("sales_agent", "product", "regional_office", "sector"):
+        out = out.join(_codes(history, c), c, "left")
+    out = out.join(_codes(history, "account", high_cardinality=True), "account", "left")
+    mgr = _codes(history, "manager")
+    agent_mgr = history.select("sales_agent", "manager").where(F.col("sales_agent").isNotNull()).distinct() \
+        .join(mgr, "manager", "inner").groupBy("sales_agent").agg(F.min("manager_encoded").alias("manager_encoded"))
+    out = out.join(agent_mgr, "sales_agent", "left")
+    q = exact_quantiles(history, "close_value", [0.25, 0.5, 0.75], names=["_q25", "_q50", "_q75"])
+    out = attach_row(out, q)
+    v = F.col("close_value")
+    quartile = (F.when(v <= F.col("_q25"), 0).when(v <= F.col("_q50"), 1)
+                .when(v <= F.col("_q75"), 2).otherwise(3))
+    fill = {c: F.coalesce(c, F.lit(d["code"])) for c in
+            ("sales_agent_encoded", "product_encoded", "account_encoded", "manager_encoded",
+             "regional_office_encoded", "sector_encoded")}
     return out.withColumns({
         "agent_opportunity_count": F.coalesce("agent_opportunity_count", F.lit(d["count"])),
         "agent_win_rate": F.coalesce("agent_win_rate", F.lit(d["rate"])),
         "product_popularity": F.coalesce("product_popularity", F.lit(d["count"])),
         "product_win_rate": F.coalesce("product_win_rate", F.lit(d["rate"])),
         "account_frequency": F.coalesce("account_frequency", F.lit(d["count"])),
-        "is_repeat_account": (F.coalesce("account_frequency", F.lit(d["count"])) > 1).cast("int"),
-        "regional_office_encoded": F.coalesce("regional_office_encoded", F.lit(d["code"])),
-        "sector_encoded": F.coalesce("sector_encoded", F.lit(d["code"])),
-    })
+        "engage_month": F.month("engage_date"), "engage_quarter": F.quarter("engage_date"),
+        "engage_day_of_week": F.weekday("engage_date"),
+        "close_value_category_encoded": quartile, **fill,
+    }).drop("_q25", "_q50", "_q75")
 
 
-def _codes(df: DataFrame, col: str) -> DataFrame:
+def _codes(df: DataFrame, col: str, high_cardinality: bool = False) -> DataFrame:
     from dealcast.operators.encode import label_codes
-    return label_codes(df, col)
+    return label_codes(df, col, high_cardinality=high_cardinality)

@@ -1066,3 +1066,158 @@ def q_st2(spark, d):
     out, ck = _scratch(spark, "st2-out"), _scratch(spark, "st2-ck")
     start_quality_gate(spark, d, out, ck).awaitTermination()
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- scoring input, labels, periods, reference set
+
+_J8_COLS = ("opportunity_id", "agent_opportunity_count", "agent_win_rate", "product_popularity",
+            "product_win_rate", "account_frequency", "engage_month", "engage_quarter", "engage_day_of_week",
+            "close_value_category_encoded", "sales_agent_encoded", "product_encoded", "account_encoded",
+            "manager_encoded", "regional_office_encoded", "sector_encoded")
+
+
+def _enc_sql(col: str, src: str = "hist") -> str:
+    return (f"(SELECT {col}, CAST(dense_rank() OVER (ORDER BY {col}) - 1 AS INTEGER) AS {col}_encoded "
+            f"FROM (SELECT DISTINCT {col} FROM {src} WHERE {col} IS NOT NULL))")
+
+
+@query("j8_f5_enrich_new_records", O.with_(O.CLEAN, O.TEAMS, O.ACCOUNTS) + f""",
+enr AS (SELECT c.*, t.manager, t.regional_office, a.sector,
+               CAST(coalesce(c.deal_stage = 'Won', false) AS INTEGER) AS is_won
+        FROM clean c LEFT JOIN teams t USING (sales_agent) LEFT JOIN accts a USING (account)),
+latest AS (SELECT max(snapshot_period) AS p FROM enr),
+hist AS (SELECT * FROM enr WHERE snapshot_period < (SELECT p FROM latest)),
+new AS (SELECT * FROM enr WHERE snapshot_period = (SELECT p FROM latest)),
+ag AS (SELECT sales_agent, count(*) AS agent_opportunity_count, avg(is_won) AS agent_win_rate FROM hist GROUP BY 1),
+pr AS (SELECT product, count(*) AS product_popularity, avg(is_won) AS product_win_rate FROM hist GROUP BY 1),
+ac AS (SELECT account, count(*) AS account_frequency FROM hist GROUP BY 1),
+q AS (SELECT quantile_cont(close_value, 0.25) AS q25, quantile_cont(close_value, 0.5) AS q50,
+             quantile_cont(close_value, 0.75) AS q75 FROM hist),
+mg AS (SELECT h.sales_agent, min(m.manager_encoded) AS manager_encoded
+       FROM (SELECT DISTINCT sales_agent, manager FROM hist WHERE sales_agent IS NOT NULL) h
+       JOIN {_enc_sql('manager')} m USING (manager) GROUP BY 1)
+SELECT n.opportunity_id,
+       coalesce(ag.agent_opportunity_count, 1) AS agent_opportunity_count,
+       coalesce(ag.agent_win_rate, 0.5) AS agent_win_rate,
+       coalesce(pr.product_popularity, 1) AS product_popularity,
+       coalesce(pr.product_win_rate, 0.5) AS product_win_rate,
+       coalesce(ac.account_frequency, 1) AS account_frequency,
+       CAST(month(n.engage_date) AS INTEGER) AS engage_month, CAST(quarter(n.engage_date) AS INTEGER) AS engage_quarter,
+       CAST(isodow(n.engage_date) - 1 AS INTEGER) AS engage_day_of_week,
+       CAST(CASE WHEN n.close_value <= q.q25 THEN 0 WHEN n.close_value <= q.q50 THEN 1
+                 WHEN n.close_value <= q.q75 THEN 2 ELSE 3 END AS INTEGER) AS close_value_category_encoded,
+       coalesce(e1.sales_agent_encoded, 0) AS sales_agent_encoded, coalesce(e2.product_encoded, 0) AS product_encoded,
+       coalesce(e3.account_encoded, 0) AS account_encoded, coalesce(mg.manager_encoded, 0) AS manager_encoded,
+       coalesce(e4.regional_office_encoded, 0) AS regional_office_encoded,
+       coalesce(e5.sector_encoded, 0) AS sector_encoded
+FROM new n CROSS JOIN q
+LEFT JOIN ag USING (sales_agent) LEFT JOIN pr USING (product) LEFT JOIN ac USING (account)
+LEFT JOIN {_enc_sql('sales_agent')} e1 USING (sales_agent) LEFT JOIN {_enc_sql('product')} e2 USING (product)
+LEFT JOIN {_enc_sql('account')} e3 USING (account) LEFT JOIN mg USING (sales_agent)
+LEFT JOIN {_enc_sql('regional_office')} e4 USING (regional_office) LEFT JOIN {_enc_sql('sector')} e5 USING (sector)""")
+def q_j8(spark, d):
+    from dealcast.operators.joins import enrich_new_records, join_accounts, join_sales_teams
+    teams, accts, _ = D.dims(spark, d)
+    c = join_accounts(join_sales_teams(D.cleaned(spark, d), teams), accts) \
+        .withColumn("is_won", F.coalesce(F.col("deal_stage") == "Won", F.lit(False)).cast("int"))
+    latest = c.select(F.max("snapshot_period")).scalar()
+    hist, new = c.where(F.col("snapshot_period") < latest), c.where(F.col("snapshot_period") == latest)
+    return enrich_new_records(new, hist).select(*_J8_COLS)
+
+
+@query("f9_f10_date_labels", O.with_(O.SNAPS) + """
+SELECT opportunity_id, monthname(engage_date) AS engage_month_name, dayname(engage_date) AS engage_day_name,
+       CAST(month(engage_date) IN (3, 6, 9, 12) AS INTEGER) AS engage_is_quarter_end,
+       CAST(month(engage_date) = 12 AS INTEGER) AS engage_is_december,
+       CAST(dayofyear(engage_date) AS INTEGER) AS engage_day_of_year
+FROM snaps""")
+def q_f10(spark, d):
+    from dealcast.functions import scalar as S
+    s = D.snapshots(spark, d)
+    return s.select("opportunity_id", *[c.alias(n) for n, c in S.calendar_labels("engage_date", "engage").items()],
+                    F.dayofyear("engage_date").alias("engage_day_of_year"))
+
+
+@query("f16_f18_pipeline_labels", O.with_(O.SCORED) + """
+SELECT opportunity_id, snapshot_period, expected_revenue,
+       CASE WHEN win_probability > 0.7 THEN 'Low' WHEN win_probability > 0.4 THEN 'Medium' ELSE 'High' END AS risk_level,
+       CASE WHEN close_value > 5000 THEN 'Large' WHEN close_value > 1000 THEN 'Medium' ELSE 'Small' END AS deal_size
+FROM pipe""")
+def q_f17(spark, d):
+    from dealcast.operators.reports import with_expected_revenue
+    return with_expected_revenue(D.pipeline(spark, d)).select(
+        "opportunity_id", "snapshot_period", "expected_revenue", "risk_level", "deal_size")
+
+
+@query("f19_period_arithmetic", O.with_(O.SNAPS) + """
+SELECT DISTINCT snapshot_period,
+       strftime(CAST(snapshot_period || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS next_period,
+       strftime(CAST(snapshot_period || '-01' AS DATE) - 10, '%Y-%m') AS previous_period,
+       last_day(CAST(snapshot_period || '-01' AS DATE)) AS period_end,
+       regexp_matches(snapshot_period, '^[0-9]{4}-(0[1-9]|1[0-2])$') AS valid_period
+FROM snaps""")
+def q_f19(spark, d):
+    from dealcast.functions import periods as P
+    s = D.snapshots(spark, d).select("snapshot_period").distinct()
+    return s.select("snapshot_period", P.next_period("snapshot_period").alias("next_period"),
+                    P.previous_period("snapshot_period").alias("previous_period"),
+                    P.period_end("snapshot_period").alias("period_end"),
+                    P.is_valid_period("snapshot_period").alias("valid_period"))
+
+
+@query("d1_v14_reference_set", O.with_(O.SCORED) + """,
+sz AS (SELECT snapshot_period, count(*) AS n FROM scored GROUP BY 1),
+src AS (SELECT s.* FROM scored s JOIN sz USING (snapshot_period) WHERE sz.n <= 1000 OR s.is_won = 1),
+ref AS (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY snapshot_period
+                 ORDER BY ((opportunity_key % 1000003) * 2654435761 + 42) % 1073741824, opportunity_key) AS rn
+          FROM src) WHERE rn <= 1000)
+SELECT snapshot_period, count(*) AS rows,
+       CAST(sum(CASE WHEN win_probability < 0 OR win_probability > 1 THEN 1 ELSE 0 END) AS BIGINT) AS out_of_range,
+       CAST(sum(CASE WHEN win_probability IS NULL OR is_won IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+       count(*) > 0 AND sum(CASE WHEN win_probability < 0 OR win_probability > 1 THEN 1 ELSE 0 END) = 0
+         AND sum(CASE WHEN win_probability IS NULL OR is_won IS NULL THEN 1 ELSE 0 END) = 0 AS passed
+FROM ref GROUP BY snapshot_period""")
+def q_d1(spark, d):
+    """The reference set is a seeded sample (won rows when the snapshot
+    is larger than the sample) of the scored set; V14 checks it."""
+    from dealcast.operators.quality import reference_set_check
+    from dealcast.operators.windows import seeded_sample
+    ref = seeded_sample(D.scored(spark, d), 1000, "opportunity_key", by=BY, where=F.col("is_won") == 1)
+    return reference_set_check(ref, "win_probability", "is_won", by=BY)
+
+
+@query("c11_first_n_periods", O.with_(O.OPPS) + """,
+c AS (SELECT strftime(CAST(coalesce(engage_date,
+               (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus <> 'O'))
+               - CAST(10 + (opportunity_key * 7919) % 20 AS INTEGER) AS DATE), '%Y-%m') AS creation_year_month
+      FROM opps),
+p AS (SELECT creation_year_month, dense_rank() OVER (ORDER BY creation_year_month) AS r
+      FROM (SELECT DISTINCT creation_year_month FROM c WHERE creation_year_month IS NOT NULL))
+SELECT greatest(c.creation_year_month, (SELECT max(creation_year_month) FROM p WHERE r <= 3)) AS snapshot_period,
+       count(*) AS rows
+FROM c GROUP BY 1""")
+def q_c11(spark, d):
+    """C11: the first three creation months merge into the first snapshot."""
+    from dealcast.plans import binding
+    from dealcast.plans.snapshots import add_creation_dates, build_snapshots, first_n_periods_month
+    t = D.tables(spark, d)
+    offset = 10 + (F.col("opportunity_key") * binding.CREATE_OFFSET_MULT) % binding.CREATE_OFFSET_MOD
+    opps = binding.opportunities(t)
+    first = first_n_periods_month(add_creation_dates(opps, offset, binding.max_engage_date(t)), 3)
+    s = build_snapshots(opps, first, offset_days=offset, max_engage=binding.max_engage_date(t))
+    return s.groupBy("snapshot_period").agg(F.count("*").alias("rows"))
+
+
+_P12 = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "engage_date", "close_date",
+        "close_value", "snapshot_period", "close_value_log", "close_value_category", "deal_stage_order",
+        "is_closed", "is_won", "is_lost", "is_open", "manager", "regional_office", "agent_opportunity_count",
+        "agent_win_rate", "product_popularity", "product_win_rate", "engage_year", "engage_month",
+        "engage_quarter", "sales_cycle_days", "sales_cycle_category", "sector", "revenue", "employees",
+        "account_frequency")
+
+
+@query("p12_core_projection", O.with_(O.FEAT) + f"SELECT {', '.join(_P12)} FROM feat")
+def q_p12(spark, d):
+    """The processed table's core columns (31)."""
+    return D.row_features(spark, d).select(*_P12)
