@@ -139,6 +139,22 @@ def deal_size(value) -> Column:
     return F.when(v > t1, l1).when(v > t2, l2).otherwise("Small")
 
 
+EXACT = "decimal(38,10)"
+
+
+def rounded_sum(x, digits: int) -> Column:
+    """Half-even rounded sum that does not depend on summation order: the
+    terms are summed as exact decimals (a double sum can land an ulp either
+    side of a half-way value, and Spark's row order varies between runs)."""
+    return F.bround(F.sum(_col(x).cast(EXACT)), digits).cast("double")
+
+
+def rounded_avg(x, digits: int) -> Column:
+    """Half-even rounded mean; the mean is fixed to 10 decimals first so
+    summation-order noise cannot decide a half-way case."""
+    return F.bround(F.avg(_col(x)).cast(EXACT), digits).cast("double")
+
+
 def round_half_even(x, digits: int) -> Column:
     """half-to-even rounding."""
     return F.bround(_col(x), digits)

@@ -28,10 +28,10 @@ def performance(df: DataFrame, key: str, by: Sequence[str] = (), digits: int = 3
     key over closed deals, rounded half-even. Null keys are dropped."""
     src = df.where(_closed(stage) & F.col(key).isNotNull())
     return src.groupBy(*by, key).agg(
-        F.bround(F.avg(_won(stage)), digits).alias("win_rate"),
+        S.rounded_avg(_won(stage), digits).alias("win_rate"),
         F.sum(_won(stage)).alias("total_wins"),
-        F.bround(F.avg(value), digits).alias("avg_deal_value"),
-        F.bround(F.sum(value), digits).alias("total_revenue"),
+        S.rounded_avg(value, digits).alias("avg_deal_value"),
+        S.rounded_sum(value, digits).alias("total_revenue"),
         F.count("*").alias("closed_deals"))
 
 
@@ -40,7 +40,7 @@ def account_performance(df: DataFrame, by: Sequence[str] = (), stage: str = "dea
     """A3: win rate, value sum and count per account (all rows)."""
     src = df.where(F.col("account").isNotNull())
     return src.groupBy(*by, "account").agg(
-        F.bround(F.avg(_won(stage)), 3).alias("account_win_rate"),
+        S.rounded_avg(_won(stage), 3).alias("account_win_rate"),
         F.sum(value).alias("account_value"),
         F.count("*").alias("account_deals"))
 

@@ -42,9 +42,9 @@ def probability_band_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame
     expected revenue, rounded to 2 (half-even)."""
     src = with_expected_revenue(df).where(F.col("probability_category").isNotNull())
     return src.groupBy(*by, "probability_category").agg(
-        F.count(P).alias("count"), F.bround(F.avg(P), 2).alias("avg_probability"),
-        F.bround(F.sum("close_value"), 2).alias("total_value"),
-        F.bround(F.sum("expected_revenue"), 2).alias("expected_revenue"))
+        F.count(P).alias("count"), S.rounded_avg(P, 2).alias("avg_probability"),
+        S.rounded_sum("close_value", 2).alias("total_value"),
+        S.rounded_sum("expected_revenue", 2).alias("expected_revenue"))
 
 
 def agent_insights(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -52,10 +52,10 @@ def agent_insights(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     revenue and value (rounded 3), ordered by expected revenue."""
     src = with_expected_revenue(df).where(F.col("sales_agent").isNotNull())
     g = src.groupBy(*by, "sales_agent").agg(
-        F.count(P).alias("pipeline_count"), F.bround(F.avg(P), 3).alias("avg_win_prob"),
-        F.bround(F.sum(P), 3).alias("total_win_prob"),
-        F.bround(F.sum("expected_revenue"), 3).alias("expected_revenue"),
-        F.bround(F.sum("close_value"), 3).alias("total_value"))
+        F.count(P).alias("pipeline_count"), S.rounded_avg(P, 3).alias("avg_win_prob"),
+        S.rounded_sum(P, 3).alias("total_win_prob"),
+        S.rounded_sum("expected_revenue", 3).alias("expected_revenue"),
+        S.rounded_sum("close_value", 3).alias("total_value"))
     return g.orderBy(*by, F.desc("expected_revenue"), "sales_agent")
 
 

@@ -117,11 +117,11 @@ f0 AS (
 f1 AS (SELECT f0.*, t.manager, t.regional_office FROM f0 LEFT JOIN teams t USING (sales_agent)),
 agent_s AS (
   SELECT snapshot_period, sales_agent, count(*) AS agent_opportunity_count,
-         round_even(avg(CASE WHEN is_closed = 1 THEN is_won END), 3) AS agent_win_rate
+         CAST(round_even(CAST(avg(CASE WHEN is_closed = 1 THEN is_won END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS agent_win_rate
   FROM f1 GROUP BY snapshot_period, sales_agent),
 product_s AS (
   SELECT snapshot_period, product, count(*) AS product_popularity,
-         round_even(avg(CASE WHEN is_closed = 1 THEN is_won END), 3) AS product_win_rate
+         CAST(round_even(CAST(avg(CASE WHEN is_closed = 1 THEN is_won END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS product_win_rate
   FROM f1 GROUP BY snapshot_period, product),
 f2 AS (
   SELECT f1.*, a.agent_opportunity_count, a.agent_win_rate, p.product_popularity, p.product_win_rate,

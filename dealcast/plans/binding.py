@@ -113,4 +113,4 @@ def products(t: dict[str, DataFrame]) -> DataFrame:
     """product (brand), number of parts, average list price."""
     return (t["part"].groupBy(F.col("p_brand").alias("product"))
             .agg(F.count("*").alias("parts"),
-                 F.bround(F.avg("p_retailprice"), 2).alias("sales_price")))
+                 F.bround(F.avg("p_retailprice").cast("decimal(38,10)"), 2).cast("double").alias("sales_price")))

@@ -41,11 +41,11 @@ def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
     f = join_sales_teams(f, teams)
     f = attach_group_stats(f, [*by, "sales_agent"], {
         "agent_opportunity_count": F.count("*"),
-        "agent_win_rate": F.bround(F.avg(F.when(closed, F.col("is_won"))), 3),
+        "agent_win_rate": S.rounded_avg(F.when(closed, F.col("is_won")), 3),
     })
     f = attach_group_stats(f, [*by, "product"], {
         "product_popularity": F.count("*"),
-        "product_win_rate": F.bround(F.avg(F.when(closed, F.col("is_won"))), 3),
+        "product_win_rate": S.rounded_avg(F.when(closed, F.col("is_won")), 3),
     })
     cyc = S.cycle_days()
     f = f.withColumns({

@@ -41,10 +41,10 @@ def q_snapshots(spark, d):
 
 @query("a1_agent_performance", O.with_(O.SNAPS) + """
 SELECT snapshot_period, sales_agent,
-       round_even(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END), 3) AS win_rate,
+       CAST(round_even(CAST(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS win_rate,
        sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS total_wins,
-       round_even(avg(close_value), 3) AS avg_deal_value,
-       round_even(sum(close_value), 3) AS total_revenue,
+       CAST(round_even(CAST(avg(close_value) AS DECIMAL(38,10)), 3) AS DOUBLE) AS avg_deal_value,
+       CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_revenue,
        count(*) AS closed_deals
 FROM snaps WHERE deal_stage IN ('Won', 'Lost') AND sales_agent IS NOT NULL
 GROUP BY snapshot_period, sales_agent""")
@@ -113,7 +113,7 @@ def q_j1_unmatched(spark, d):
 
 
 @query("j3_product_join", O.with_(O.SNAPS) + """,
-prods AS (SELECT p_brand AS product, count(*) AS parts, round_even(avg(p_retailprice), 2) AS sales_price
+prods AS (SELECT p_brand AS product, count(*) AS parts, CAST(round_even(CAST(avg(p_retailprice) AS DECIMAL(38,10)), 2) AS DOUBLE) AS sales_price
           FROM part GROUP BY p_brand)
 SELECT s.opportunity_id, s.snapshot_period, s.product, p.parts, p.sales_price
 FROM snaps s LEFT JOIN prods p USING (product)""")
@@ -166,10 +166,10 @@ _CLOSED_SNAPS = "FROM snaps WHERE deal_stage IN ('Won', 'Lost')"
 
 @query("a2_product_performance", O.with_(O.SNAPS) + f"""
 SELECT snapshot_period, product,
-       round_even(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END), 3) AS win_rate,
+       CAST(round_even(CAST(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS win_rate,
        CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS total_wins,
-       round_even(avg(close_value), 3) AS avg_deal_value,
-       round_even(sum(close_value), 3) AS total_revenue, count(*) AS closed_deals
+       CAST(round_even(CAST(avg(close_value) AS DECIMAL(38,10)), 3) AS DOUBLE) AS avg_deal_value,
+       CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_revenue, count(*) AS closed_deals
 {_CLOSED_SNAPS} AND product IS NOT NULL GROUP BY snapshot_period, product""")
 def q_a2(spark, d):
     return A.performance(D.snapshots(spark, d), "product", by=BY)
@@ -177,7 +177,7 @@ def q_a2(spark, d):
 
 @query("a3_account_performance", O.with_(O.SNAPS) + """
 SELECT snapshot_period, account,
-       round_even(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END), 3) AS account_win_rate,
+       CAST(round_even(CAST(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS account_win_rate,
        sum(close_value) AS account_value, count(*) AS account_deals
 FROM snaps WHERE account IS NOT NULL GROUP BY snapshot_period, account""")
 def q_a3(spark, d):
@@ -317,8 +317,8 @@ def q_m1(spark, d):
 
 @query("a8_probability_bands", O.with_(O.SCORED) + """
 SELECT snapshot_period, probability_category, count(win_probability) AS count,
-       round_even(avg(win_probability), 2) AS avg_probability,
-       round_even(sum(close_value), 2) AS total_value, round_even(sum(expected_revenue), 2) AS expected_revenue
+       CAST(round_even(CAST(avg(win_probability) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_probability,
+       CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 2) AS DOUBLE) AS total_value, CAST(round_even(sum(CAST(expected_revenue AS DECIMAL(38,10))), 2) AS DOUBLE) AS expected_revenue
 FROM pipe WHERE probability_category IS NOT NULL GROUP BY snapshot_period, probability_category""")
 def q_a8(spark, d):
     from dealcast.operators.reports import probability_band_summary
@@ -327,8 +327,8 @@ def q_a8(spark, d):
 
 @query("a9_agent_insights", O.with_(O.SCORED) + """
 SELECT snapshot_period, sales_agent, count(win_probability) AS pipeline_count,
-       round_even(avg(win_probability), 3) AS avg_win_prob, round_even(sum(win_probability), 3) AS total_win_prob,
-       round_even(sum(expected_revenue), 3) AS expected_revenue, round_even(sum(close_value), 3) AS total_value
+       CAST(round_even(CAST(avg(win_probability) AS DECIMAL(38,10)), 3) AS DOUBLE) AS avg_win_prob, CAST(round_even(sum(CAST(win_probability AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_win_prob,
+       CAST(round_even(sum(CAST(expected_revenue AS DECIMAL(38,10))), 3) AS DOUBLE) AS expected_revenue, CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_value
 FROM pipe WHERE sales_agent IS NOT NULL GROUP BY snapshot_period, sales_agent""")
 def q_a9(spark, d):
     from dealcast.operators.reports import agent_insights
@@ -393,10 +393,10 @@ def q_t2(spark, d):
 
 @query("t2_top_agents", O.with_(O.SCORED) + """,
 a AS (SELECT snapshot_period, sales_agent, count(win_probability) AS pipeline_count,
-             round_even(avg(win_probability), 3) AS avg_win_prob,
-             round_even(sum(win_probability), 3) AS total_win_prob,
-             round_even(sum(expected_revenue), 3) AS expected_revenue,
-             round_even(sum(close_value), 3) AS total_value
+             CAST(round_even(CAST(avg(win_probability) AS DECIMAL(38,10)), 3) AS DOUBLE) AS avg_win_prob,
+             CAST(round_even(sum(CAST(win_probability AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_win_prob,
+             CAST(round_even(sum(CAST(expected_revenue AS DECIMAL(38,10))), 3) AS DOUBLE) AS expected_revenue,
+             CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 3) AS DOUBLE) AS total_value
       FROM pipe WHERE sales_agent IS NOT NULL GROUP BY 1, 2)
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY snapshot_period ORDER BY expected_revenue DESC, sales_agent) AS rn
