@@ -101,9 +101,10 @@ def enrich_new_records(new: DataFrame, history: DataFrame,
     account = history.groupBy("account").agg(F.count("*").alias("account_frequency"))
     out = (new.join(agent, "sales_agent", "left").join(product, "product", "left")
            .join(account, "account", "left"))
-    for c in ("sales_agent", "product", "regional_office", "sector"):
+    for c in ("product", "regional_office", "sector"):          # bounded label sets
         out = out.join(_codes(history, c), c, "left")
-    out = out.join(_codes(history, "account", high_cardinality=True), "account", "left")
+    for c in ("sales_agent", "account"):                          # grow with the data
+        out = out.join(_codes(history, c, high_cardinality=True), c, "left")
     mgr = _codes(history, "manager")
     agent_mgr = history.select("sales_agent", "manager").where(F.col("sales_agent").isNotNull()).distinct() \
         .join(mgr, "manager", "inner").groupBy("sales_agent").agg(F.min("manager_encoded").alias("manager_encoded"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dealcast.operators.stats import attach_stats, exact_quantiles
+from dealcast.operators.stats import attach_stats, exact_quantiles, exact_quantiles_many
 
 # Flag windows in days and the model's feature list.
 DUE_WINDOW = (-15, 45)
@@ -43,14 +43,14 @@ def monthly_features(df: DataFrame, by: Sequence[str] = (), as_of: Column | None
     Velocity divides only by a positive cycle (ANSI-safe).
     """
     by = list(by)
-    closed = df.where(F.col("is_closed") == 1)
-    med = exact_quantiles(closed, "sales_cycle_days", [0.5], by=by, names=["_med_cycle"])
-    q_val = exact_quantiles(df, "close_value", [0.8], by=by, names=["_q80_value"])
-    q_cyc = exact_quantiles(df, "sales_cycle_days", [0.8], by=by, names=["_q80_cycle"])
+    # the three quantiles are one distributed ranking over stacked values
+    qs = exact_quantiles_many(df, [
+        ("_med_cycle", F.when(F.col("is_closed") == 1, F.col("sales_cycle_days")), 0.5),
+        ("_q80_value", F.col("close_value"), 0.8),
+        ("_q80_cycle", F.col("sales_cycle_days"), 0.8)], by=by)
     stats = df.groupBy(*by).agg(F.max("snapshot_date").alias("_max_snap"),
                                 F.max(F.col("is_closed")).alias("_any_closed"))
-    for t in (med, q_val, q_cyc):
-        stats = stats.join(t, by, "left") if by else attach_stats(stats, t, by)
+    stats = stats.join(qs, by, "left") if by else attach_stats(stats, qs, by)
     j = attach_stats(df, stats, by)
     as_of = as_of if as_of is not None else F.date_add(F.col("_max_snap"), AS_OF_LAG_DAYS)
     # pandas' median of an empty closed set is the 90-day default; of closed

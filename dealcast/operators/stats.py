@@ -90,6 +90,29 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     return g.select(*by, *[interp(i).alias(names[i]) for i in range(len(qs))])
 
 
+def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, Column, float]],
+                         by: Sequence[str] = ()) -> DataFrame:
+    """Several exact quantiles of different columns / row subsets in one
+    distributed ranking: ``specs`` = [(name, value expression, q)], where the
+    expression is null for rows outside the spec's subset. The rows are
+    stacked to (spec, value) and ranked per (group, spec). Returns one row
+    per group with one column per spec."""
+    by = list(by)
+    names = [n for n, _, _ in specs]
+    long = None
+    for n, expr, _ in specs:
+        part = df.select(*by, F.lit(n).alias("_spec"), expr.cast("double").alias("_value"))
+        long = part if long is None else long.unionByName(part)
+    qs = sorted({q for _, _, q in specs})
+    qn = [f"_q{i}" for i in range(len(qs))]
+    q = exact_quantiles(long, "_value", qs, by=[*by, "_spec"], names=qn)
+    pick = F.lit(None).cast("double")
+    for n, _, qv in specs:
+        pick = F.when(F.col("_spec") == n, F.col(qn[qs.index(qv)])).otherwise(pick)
+    q = q.select(*by, "_spec", pick.alias("_pick"))
+    return q.groupBy(*by).pivot("_spec", names).agg(F.first("_pick"))
+
+
 def quantile_scalar(df: DataFrame, value: str, q: float) -> Column:
     """One exact quantile of a whole table as a scalar-subquery column."""
     return exact_quantiles(df, value, [q], names=["_q"]).select("_q").scalar()

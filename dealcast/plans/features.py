@@ -14,7 +14,8 @@ from dealcast.session import materialize
 from dealcast.operators.joins import attach_group_stats, join_accounts, join_sales_teams
 
 TARGET = "deal_stage"
-HIGH_CARDINALITY = ("opportunity_id", "account")
+# labels whose value count grows with the data (ids, customers, suppliers)
+HIGH_CARDINALITY = ("opportunity_id", "account", "sales_agent")
 
 # Columns the reference label-encodes (text columns of the
 # feature table other than the target and the dates).
