@@ -135,3 +135,19 @@ def clean_opportunities(df: DataFrame, by: Sequence[str] = (),
     out = fill_text_unknown(out)
     nums = list(numeric) if numeric is not None else [c for c in numeric_columns(out) if c not in by]
     return fill_numeric_median(out, nums, by=by)
+
+
+def time_slice(df: DataFrame, ts: str, start, end) -> DataFrame:
+    """Half-open time slice ``start <= ts < end`` (pushed to the scan)."""
+    return df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+
+
+def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    """Columns present in both tables, in ``a``'s order (metadata only)."""
+    return [c for c in a.columns if c in set(b.columns)]
+
+
+def column_differences(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
+    """Columns only in ``a`` and only in ``b``."""
+    return {"only_left": [c for c in a.columns if c not in b.columns],
+            "only_right": [c for c in b.columns if c not in a.columns]}

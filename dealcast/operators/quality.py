@@ -299,3 +299,21 @@ def invalid_dates(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Non-null values that do not parse as a date."""
     s = F.col(col).cast("string")
     return df.groupBy(*by).agg(_flag(s.isNotNull() & F.try_to_timestamp(s).isNull()).alias("invalid_dates"))
+
+
+def validation_report(score: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The human-readable validation report as rows (one line per check
+    and group), built from the small score table with ``format_string`` -
+    nothing is collected."""
+    by = list(by)
+    mark = lambda c: F.when(F.col(c), F.lit("PASS")).otherwise(F.lit("FAIL"))
+    lines = [
+        (1, F.format_string("Overall score: %.3f (%s)", F.col("score"), mark("overall_passed"))),
+        (2, F.format_string("Schema validation: %s", mark("schema_passed"))),
+        (3, F.format_string("Missing values: %s", mark("missing_passed"))),
+        (4, F.format_string("Duplicate rows: %s", mark("duplicates_passed"))),
+        (5, F.format_string("Data types: %s", mark("types_passed"))),
+        (6, F.format_string("Business rules passed: %d of 4", F.col("rules_passed"))),
+    ]
+    arr = F.array(*[F.struct(F.lit(i).alias("line_no"), t.alias("text")) for i, t in lines])
+    return score.select(*by, F.inline(arr))

@@ -127,3 +127,13 @@ def reliability_curve(df: DataFrame, label: str = "is_won", bins: int = 10,
     return df.where(F.col(P).isNotNull()).groupBy(*by, b.alias("bin")).agg(
         F.count("*").alias("count"), F.avg(P).alias("mean_predicted"),
         F.avg(F.col(label).cast("double")).alias("fraction_positive"))
+
+
+def monthly_report(df: DataFrame, by: Sequence[str] = (), top_n: int = 50) -> dict[str, DataFrame]:
+    """The monthly pipeline report - totals, probability bands, top
+    opportunities and agent insights - as lazy tables over the report rows
+    (open deals plus those due next month)."""
+    from dealcast.operators.monthly import pipeline_rows
+    pipe = pipeline_rows(df)
+    return {"totals": pipeline_totals(pipe, by), "bands": probability_band_summary(pipe, by),
+            "top_opportunities": top_opportunities(pipe, top_n, by), "agents": agent_insights(pipe, by)}

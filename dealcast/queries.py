@@ -1221,3 +1221,19 @@ _P12 = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "en
 def q_p12(spark, d):
     """The processed table's core columns (31)."""
     return D.row_features(spark, d).select(*_P12)
+
+
+@query("v15_validation_report", None)
+def q_v15(spark, d):
+    """Report lines per snapshot from the V9 score table."""
+    from dealcast.operators.quality import validation_report, validation_score
+    return validation_report(validation_score(D.validated(spark, d), by=BY), by=BY)
+
+
+@query("m14_monthly_report_totals", O.with_(O.SCORED) + """
+SELECT snapshot_period, count(*) AS opportunities, sum(close_value) AS total_value,
+       sum(expected_revenue) AS expected_revenue, avg(win_probability) AS avg_probability
+FROM pipe GROUP BY snapshot_period""")
+def q_m14(spark, d):
+    from dealcast.operators.reports import monthly_report
+    return monthly_report(D.scored(spark, d), by=BY)["totals"]

@@ -19,7 +19,8 @@ from pyspark.sql.types import StructType
 # Layer names, encodings to try, source files kept by
 # retention, and the retention categories.
 LAYERS = ("raw", "processed", "features", "monitoring", "monitoring_reports")
-ENCODINGS = ("utf-8", "latin-1", "cp1252")
+# (Spark names; windows-1252 is only accepted with spark.sql.legacy.javaCharsets)
+ENCODINGS = ("utf-8", "iso-8859-1", "windows-1252")
 SOURCE_FILES = ("accounts.csv", "products.csv", "sales_pipeline.csv", "sales_teams.csv",
                 "data_dictionary.csv")
 RETENTION_CATEGORIES = ("processed_files", "feature_files", "monitoring_files", "prediction_files",
@@ -45,8 +46,11 @@ def read_csv_any_encoding(spark: SparkSession, path: str, schema: StructType | N
     in any text column (one counting job per tried encoding)."""
     last = None
     for enc in encodings:
-        df = read_csv(spark, path, schema, enc)
-        text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+        try:
+            df = read_csv(spark, path, schema, enc)
+            text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+        except Exception:  # noqa: BLE001 - a charset this session does not allow
+            continue
         if not text:
             return df, enc
         bad = F.greatest(*[F.coalesce(F.instr(F.col(c), "\ufffd"), F.lit(0)) for c in text]) \

@@ -49,7 +49,7 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
     assert rows_only <= {"m3_m9_model_comparison", "m13_monitoring_thresholds", "m15_feature_importance",
                          "m11_batch_scoring", "s14_s15_retention_plan", "st1_daily_metrics_stream",
-                         "st2_quality_gate_stream"}
+                         "st2_quality_gate_stream", "v15_validation_report"}
 
 
 def test_entry_smoke(spark):
