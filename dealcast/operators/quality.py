@@ -252,7 +252,7 @@ def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Duplicate columns are found in the same single pass: for every pair of
     columns of the same type a mismatch count (null-safe) is aggregated; a
     pair with zero mismatches is a duplicate. Constant = at most one distinct
-    non-null value and no mix of null and non-null.
+    non-null value and no mix of null and non-null (from min/max).
     """
     by = list(by)
     cols = [c for c in df.columns if c not in by]
@@ -261,12 +261,17 @@ def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in cols])
     aggs = [F.count("*").alias("rows"), F.sum(any_null).alias("rows_with_missing")]
     aggs += [_flag(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
-    aggs += [F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)]
+    # constant: one non-null value (min = max) and no null, or only nulls -
+    # plain min/max, since several distinct counts would make Spark expand
+    # every row once per column before the shuffle
+    aggs += [F.min(F.col(c)).alias(f"_lo{i}") for i, c in enumerate(cols)]
+    aggs += [F.max(F.col(c)).alias(f"_hi{i}") for i, c in enumerate(cols)]
     aggs += [_flag(~F.col(a).eqNullSafe(F.col(b))).alias(f"_p{k}") for k, (a, b) in enumerate(pairs)]
     g = df.groupBy(*by).agg(*aggs)
     cols_missing = sum(((F.col(f"_n{i}") > 0).cast("int") for i in range(len(cols))), F.lit(0))
-    constant = sum((((F.col(f"_d{i}") <= 1) & ((F.col(f"_n{i}") == 0) | (F.col(f"_d{i}") == 0))).cast("int")
-                    for i in range(len(cols))), F.lit(0))
+    constant = sum(((F.col(f"_n{i}") == F.col("rows"))
+                    | ((F.col(f"_n{i}") == 0) & F.col(f"_lo{i}").eqNullSafe(F.col(f"_hi{i}")))).cast("int")
+                   for i in range(len(cols)))
     dup_cols = sum(((F.col(f"_p{k}") == 0).cast("int") for k in range(len(pairs))), F.lit(0))
     dups = duplicate_rows(df, by).select(*by, F.col("duplicates").alias("duplicated_rows"))
     out = g.select(*by, "rows", cols_missing.alias("columns_with_missing"),
