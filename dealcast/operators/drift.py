@@ -272,7 +272,7 @@ def daily_metrics(events: DataFrame, ts: str = "ts", prediction: str = "value",
     med = exact_quantiles(cur, quantile_col, [0.5], by=PAIR, names=["quantile"])
     rng = in_range_share(tagged, quantile_col)
     j = pred.join(drifted, PAIR, "left").join(miss, PAIR, "left").join(med, PAIR, "left").join(rng, PAIR, "left")
-    return j.select(F.col("cur_period").cast("timestamp").alias("timestamp"), "prediction_drift",
+    return j.select(F.col("cur_period").cast("timestamp_ntz").alias("timestamp"), "prediction_drift",
                     F.col("num_drifted_columns").cast("long").alias("num_drifted_columns"),
                     "share_missing_values", "quantile", F.col("value_range_share").alias("value_range"))
 

@@ -57,7 +57,9 @@ def monthly_features(df: DataFrame, by: Sequence[str] = (), as_of: Column | None
     # rows with no cycle it is NaN (-> null expected close)
     cycle = F.when(F.col("_any_closed") == 1, F.col("_med_cycle")).otherwise(F.lit(float(DEFAULT_CYCLE_DAYS)))
     to_close = F.datediff(F.col("engage_date"), as_of) + F.floor(cycle)
-    expected = F.timestamp_seconds(F.unix_timestamp(F.col("engage_date").cast("timestamp")) + cycle * 86400)
+    # zone-free: a local date-time plus a (possibly fractional) number of days
+    expected = F.col("engage_date").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (cycle * 86400).cast("decimal(18,6)"))
     v, c = F.col("close_value"), F.col("sales_cycle_days")
     out = j.withColumns({
         "as_of_date": as_of,

@@ -69,9 +69,9 @@ def effective_close(df: DataFrame, by: Sequence[str] = (), default_cycle: int =
     j = attach_stats(df, med, by)
     days = F.coalesce(F.col("_med_cycle"), F.lit(float(default_cycle)))
     # the median may be fractional: keep the time of day, as a timestamp
-    fallback = F.timestamp_seconds(F.unix_timestamp(F.col("engage_date").cast("timestamp"))
-                                   + F.floor(days * 86400))
-    eff = F.coalesce(F.col("close_date").cast("timestamp"), fallback)
+    fallback = F.col("engage_date").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.floor(days * 86400).cast("decimal(18,6)"))
+    eff = F.coalesce(F.col("close_date").cast("timestamp_ntz"), fallback)
     return j.withColumn("effective_close", eff).drop("_med_cycle")
 
 

@@ -19,8 +19,15 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 
 def query(name: str, sql: str | None):
+    """Register a builder. Dates are compared with the SQL twin in UTC, and
+    the event-time day windows of the streams are UTC days, so the builder
+    pins the session time zone."""
     def deco(fn):
-        REGISTRY[name] = (fn, sql)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        build.__name__, build.__doc__ = fn.__name__, fn.__doc__
+        REGISTRY[name] = (build, sql)
         return fn
     return deco
 

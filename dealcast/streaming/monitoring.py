@@ -88,7 +88,7 @@ def metrics_from_counts(cur: DataFrame, ref: DataFrame, prediction: str = "value
         (F.sum(F.when((F.col("num") >= F.col("_rmin")) & (F.col("num") <= F.col("_rmax")), F.col("n")).otherwise(0))
          / F.sum("n")).alias("value_range"))
     j = pred.join(drifted, "day", "left").join(miss, "day", "left").join(med, "day", "left").join(rng, "day", "left")
-    return j.select(F.col("day").cast("timestamp").alias("timestamp"), "prediction_drift", "num_drifted_columns",
+    return j.select(F.col("day").cast("timestamp_ntz").alias("timestamp"), "prediction_drift", "num_drifted_columns",
                     "share_missing_values", "quantile", "value_range", F.col("day"))
 
 
