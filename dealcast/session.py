@@ -72,5 +72,11 @@ def materialize(df):
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    # Scratch tables only: tasks commit straight into the folder (no second
+    # rename at job commit) and no success marker is written; nobody but this
+    # plan reads them. The schema is known, so the read-back infers nothing.
+    (df.write.mode("error")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
