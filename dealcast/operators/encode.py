@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from dealcast.operators.stats import attach_stats, running_totals
 
@@ -30,13 +31,44 @@ def label_codes(df: DataFrame, col: str, by: Sequence[str] = (), out: str | None
     return ranked.select(*by, col, (F.col("cum__one") - 1).cast("int").alias(out))
 
 
+def stacked_codes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Codes of several bounded text columns in one pass: the columns are
+    unpivoted to ``(_column, _value)``, made distinct (partial map-side) and
+    ranked per ``(by..., _column)``. One scan and one shuffle for all columns
+    instead of one per column; the result has one row per distinct value."""
+    by = list(by)
+    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+    long = df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _value)"))
+    distinct = long.where(F.col("_value").isNotNull()).distinct()
+    w = Window.partitionBy(*by, "_column").orderBy("_value")
+    return distinct.withColumn("_code", (F.dense_rank().over(w) - 1).cast("int"))
+
+
 def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                  high_cardinality: Sequence[str] = ()) -> DataFrame:
-    """F23 (fit + transform): add ``<col>_encoded`` for each column."""
+    """F23 (fit + transform): add ``<col>_encoded`` for each column.
+
+    Bounded text columns share one code table (``stacked_codes``), written
+    once and joined back per column; it is a few rows per group, so the
+    joins are broadcast from its file size. High-cardinality columns are
+    ranked one by one with ``running_totals``."""
+    from dealcast.session import materialize
+    by = list(by)
+    stacked = [c for c in cols if c not in high_cardinality
+               and isinstance(df.schema[c].dataType, StringType)]
     out = df
+    if len(stacked) > 1:
+        codes = materialize(stacked_codes(df, stacked, by))
+        for c in stacked:
+            one = codes.where(F.col("_column") == c).select(
+                *by, F.col("_value").alias(c), F.col("_code").alias(f"{c}_encoded"))
+            out = out.join(one, [*by, c], "left")
+    else:
+        stacked = []
     for c in cols:
-        out = out.join(label_codes(df, c, by, high_cardinality=c in high_cardinality), [*by, c], "left")
-    return out
+        if c not in stacked:
+            out = out.join(label_codes(df, c, by, high_cardinality=c in high_cardinality), [*by, c], "left")
+    return out.select(*df.columns, *[f"{c}_encoded" for c in cols])
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
