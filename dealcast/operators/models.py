@@ -30,7 +30,7 @@ THRESHOLD_RULES = {"roc_auc": (0.75, 0.95, "max"), "brier": (0.25, 1.1, "min"),
 
 
 def candidates(label: str = "label", features: str = "features") -> dict:
-    """M3-M5: logistic regression (1000 iterations), random forest (200
+    """M3-M5: logistic regression (1000 iterations), random forest (M4: 200
     trees), and two boosted-tree learners (deep/fast and shallow/slow)."""
     common = dict(labelCol=label, featuresCol=features)
     return {
@@ -98,7 +98,8 @@ def evaluate(pred: DataFrame, label: str = "label", score: str = "prediction") -
 
 def compare_models(train: DataFrame, test: DataFrame, names: Sequence[str] | None = None):
     """M3-M9: fit every candidate with calibration, evaluate on the test rows,
-    rank by AUC. Returns (metrics DataFrame, {name: CalibratedModel})."""
+    rank by AUC and mark the best (M8). Returns (metrics DataFrame,
+    {name: CalibratedModel})."""
     cands = candidates()
     names = list(names) if names else list(cands)
     models, rows = {}, None

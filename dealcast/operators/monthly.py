@@ -34,8 +34,9 @@ CATEGORICAL_DRIFT = ("close_value_category_encoded", "engage_month", "engage_qua
 
 
 def monthly_features(df: DataFrame, by: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
-    """M1: days since engagement, expected close, due/overdue/early flags,
-    sales velocity, high-value and long-cycle flags.
+    """M1: days since engagement, expected close, due/overdue/early flags
+    (F13, inclusive ``between``: P6), sales velocity (F14), high-value and
+    long-cycle flags.
 
     ``as_of`` defaults to the group's latest snapshot date + 30 days (the
     training convention). The median cycle (closed deals, 90 days when none)

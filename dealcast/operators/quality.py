@@ -110,11 +110,11 @@ def duplicate_rows(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def business_rules(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """V5-V8: invalid stages, negative and zero values, close before engage,
+    """V5-V8: invalid stages, negative and zero values (V6), close before engage (V7),
     closed deals without a close date; each with its pass flag."""
     st, v = F.col("deal_stage"), F.col("close_value")
     g = df.groupBy(*by).agg(
-        _flag(st.isNull() | ~st.isin(*STAGES)).alias("invalid_stage_rows"),
+        _flag(st.isNull() | ~st.isin(*STAGES)).alias("invalid_stage_rows"),  # membership: P5
         _flag(v < 0).alias("negative_values"), _flag(v == 0).alias("zero_values"),
         _flag(F.col("close_date") < F.col("engage_date")).alias("close_before_engage"),
         _flag(st.isin("Won", "Lost") & F.col("close_date").isNull()).alias("closed_without_date"))

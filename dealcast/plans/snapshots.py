@@ -33,7 +33,8 @@ def add_creation_dates(df: DataFrame, offset_days: Column | None = None,
 
 
 def rewind_to(df: DataFrame, snapshot_date: Column) -> DataFrame:
-    """State of each opportunity as known at ``snapshot_date``.
+    """State of each opportunity as known at ``snapshot_date`` (masked
+    updates, P10: ``when(cond, v).otherwise(col)``).
 
     A close after the snapshot date reverts the deal to Engaging with no close
     date; an engagement after it reverts the deal to Prospecting with no engage
@@ -52,7 +53,8 @@ def rewind_to(df: DataFrame, snapshot_date: Column) -> DataFrame:
 
 
 def assemble_snapshots(df: DataFrame, first_month: str) -> DataFrame:
-    """Rows created up to ``first_month`` form the first snapshot; each
+    """C10 (and U1: one table, not concatenated groups): rows created up to
+    ``first_month`` form the first snapshot; each
     later creation month is its own snapshot. Each snapshot is rewound to its
     month end. Periods before ``first_month`` are kept even when the first
     month itself has no rows."""
