@@ -113,10 +113,14 @@ def fill_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
 def training_matrix(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] = MODEL_FEATURES,
                     keep: Sequence[str] = ("opportunity_id", "is_won")) -> DataFrame:
     """M2: training rows, available features, nulls filled by medians of the
-    training rows (velocity and days-since first, then every feature)."""
+    training rows (velocity and days-since first, then every feature).
+
+    The two passes are one: after the first, velocity and days-since hold no
+    nulls the second could fill, and no other column's median depends on
+    them, so every median is taken over the unfilled rows in one ranking."""
     by = list(by)
     rows = training_rows(df)
     have = [c for c in features if c in df.columns]
-    rows = fill_medians(rows, ["sales_velocity", "days_since_engage"], by)
-    rows = fill_medians(rows, have, by)
+    first = [c for c in ("sales_velocity", "days_since_engage") if c in df.columns]
+    rows = fill_medians(rows, [*first, *[c for c in have if c not in first]], by)
     return rows.select(*by, *[k for k in keep if k in rows.columns], *have)
