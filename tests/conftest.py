@@ -10,10 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from dealcast.session import local_session
+    from dealcast.session import local_session, stop
     s = local_session(4, shuffle_partitions=4, app="dealcast-tests")
     yield s
-    s.stop()
+    stop(s)
 
 
 @pytest.fixture(scope="session")
