@@ -48,3 +48,21 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op1(spark, d):
     from dealcast.llm import decontaminate as op
     return op.digest(op.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")))
+
+
+# ---------------------------------------------------------------- 2 near duplicates
+
+@query("op2_near_duplicates", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(""" + _LOWER.format("text") + r""", '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')) ELSE w END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON reach.r = both_ways.x),
+low AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(low.r, doc_id) AS component_id, doc_id = coalesce(low.r, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)""")
+def op2(spark, d):
+    from dealcast.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, d, "documents"), size=2, percent=80)
