@@ -15,14 +15,17 @@ Two documents are linked if their sets have Jaccard similarity >= ``percent``
    sketches have an exact bound; for larger ones the overlap of the sketches of a
    pair at the threshold is binomial(k, percent / 100), and ``need`` leaves a
    chance of about 1e-8 to fall below it.
-3. *Pairs without all pairs.* Rounds compare each list's members with two pivots
-   of the list and merge what is confirmed; lists within one component are done.
+3. *Pairs without all pairs.* Rounds compare each list's members with pivots of
+   the list and merge what is confirmed; lists within one component are done.
    Members of what is still mixed are compared with all members outside their
    own component, so no link between different components is left out, while a
    group of thousands of near copies costs a few comparisons for each member.
+   A posting carries the set size and a bitmap of its class's sketch; pairs
+   whose sizes or common bits rule the overlap out are never formed.
 4. *Estimate.* The k smallest values of the two sketches' union give the
    similarity; a pair goes on if as many of them are shared as ``need`` says.
-5. *Exact.* Jaccard on the full sets decides every link.
+5. *Exact.* Jaccard on the full sets decides every link; only texts that are in
+   a pair are moved for it.
 
 Shingles are told apart by 64-bit hashes. Defined results: null text is empty
 text; every row gives one row; a row with a null id takes part in no group
@@ -44,7 +47,10 @@ from dealcast.llm import common as C
 from dealcast.llm.components import merge_components
 
 IDS_BROADCAST = 1_000_000   # rows of an id table that may be broadcast (16 MB)
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 4
+BITMAP = 8                  # 64-bit numbers of a class's bitmap
+_BITS = [f"b{i}" for i in range(BITMAP)]
+_ITEM = ["rep", "n", "least", *_BITS]
 
 
 def needed_overlap(k: int, percent: int, risk: float = 2e-8) -> int:
@@ -80,49 +86,61 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int, k: int) -> DataFrame:
-    """(doc_id, n, same, sketch): set size, digest of the whole set, and the k
-    smallest hashes (as bytes)."""
+    """(doc_id, n, same, sketch, b0 to b7): set size, digest of the whole set,
+    the k smallest hashes (as bytes) and a bitmap of them."""
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in C.text_slices(batch, "text"):
                 sets = shingle_sets(part.column(1), size)
+                kept = [s[:k] for s in sets]
+                owner = np.repeat(np.arange(len(sets)), [len(s) for s in kept])
+                spot = C.mix(np.concatenate([*kept, np.zeros(0, np.uint64)])) % np.uint64(64 * BITMAP)
+                bits = np.zeros((BITMAP, len(sets)), np.uint64)
+                np.bitwise_or.at(bits, ((spot // np.uint64(64)).astype(int), owner), np.uint64(1) << (spot % np.uint64(64)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                     pa.array([s[:k].tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "same", "sketch"])
+                     pa.array([s.tobytes() for s in kept], pa.binary()), *[pa.array(x.view(np.int64)) for x in bits]],
+                    names=["doc_id", "n", "same", "sketch", *_BITS])
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(rows, "doc_id long, n long, same binary, sketch binary"))
+            .mapInArrow(rows, "doc_id long, n long, same binary, sketch binary, " + ", ".join(f"{b} long" for b in _BITS)))
 
 
-def _values(classes: DataFrame, k: int, percent: int, need: int) -> DataFrame:
-    """(value, rep, n, post, held): sketch values by row; of a class's ``held``
-    values the ``post`` rarest are posted."""
+def _values(classes: DataFrame) -> DataFrame:
+    """(value, rep): sketch values by row."""
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
-                sk = [np.frombuffer(b, np.int64) for b in part.column(2).to_pylist()]
-                sizes = np.array([len(s) for s in sk], np.int64)
-                n = part.column(1).to_numpy()
-                # wholly retained on both sides: the partner has at most n * 100 / percent <= k shingles
-                least = np.where(n * 100 <= k * percent, -(-n * percent // 100), np.minimum(need, sizes))
+                sk = [np.frombuffer(b, np.int64) for b in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sk) if sk else [], pa.int64()), pa.array(np.repeat(part.column(0).to_numpy(), sizes)),
-                     pa.array(np.repeat(n, sizes)), pa.array(np.repeat(sizes - least + 1, sizes).astype(np.int32)),
-                     pa.array(np.repeat(sizes, sizes).astype(np.int32))], names=["value", "rep", "n", "post", "held"])
-    return classes.select("rep", "n", "sketch").mapInArrow(rows, "value long, rep long, n long, post int, held int")
+                    [pa.array(np.concatenate(sk)), pa.array(np.repeat(part.column(0).to_numpy(), [len(s) for s in sk]))], names=["value", "rep"])
+    return classes.select("rep", "sketch").mapInArrow(rows, "value long, rep long")
 
 
 def postings(classes: DataFrame, k: int, percent: int, need: int) -> DataFrame:
-    """(value, rep, n) of the posted values that two classes or more retain."""
-    values = _values(classes, k, percent, need)
+    """(value, rep, n, least, bitmap) of the posted values that two classes or
+    more retain. ``least``: the overlap that any similar partner has."""
+    values = _values(classes)
     seen = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") > 1)
-    shared = values.join(seen, "value")
+    held = F.least(F.col("n"), F.lit(k))
+    # wholly retained on both sides: the partner has at most n * 100 / percent <= k shingles
+    least = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(held, F.lit(need)))
+    shared = values.join(seen, "value").join(classes.select("rep", "n", *_BITS).withColumn("least", least.cast("long")), "rep")
     # a class's values that nobody else retains come first in the order and can match nothing
     by = Window.partitionBy("rep")
     nth = F.row_number().over(by.orderBy("seen", "value"))
-    return (shared.withColumn("_nth", nth + F.col("held") - F.count(F.lit(1)).over(by))
-            .where(F.col("_nth") <= F.col("post")).select("value", "rep", "n"))
+    return (shared.withColumn("_nth", nth + held - F.count(F.lit(1)).over(by))
+            .where(F.col("_nth") <= held - F.col("least") + 1).select("value", "rep", "n", "least", *_BITS))
+
+
+def _possible(x: str, y: str, percent: int):
+    """Whether sizes and common bits allow a link. Distinct values may share a
+    bit; the allowance for that keeps the chance of a loss below 1e-9."""
+    size = (F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (F.col(f"{y}.n") * 100 >= F.col(f"{x}.n") * percent)
+    common = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseAND(F.col(f"{y}.{b}"))) for b in _BITS), F.lit(0))
+    least = F.greatest(f"{x}.least", f"{y}.least")
+    return size & (common >= F.floor(least * 0.75) - 4)
 
 
 def _jaccard(pairs: DataFrame, size: int, k: int, percent: int, need: int) -> DataFrame:
@@ -163,10 +181,6 @@ def _jaccard(pairs: DataFrame, size: int, k: int, percent: int, need: int) -> Da
     return pairs.select("a", "b", "sketch_a", "sketch_b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
 
 
-def _near_size(x: str, y: str, percent: int):
-    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
                     k: int = 48) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id (the smallest
@@ -174,59 +188,61 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     need = needed_overlap(k, percent)
     read = C.materialize(sketches(docs, doc_id, text, size, k))
     classes = C.materialize(read.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("same")
-                            .agg(F.min(F.struct("doc_id", "n", "sketch")).alias("m"))
-                            .select("same", F.col("m.doc_id").alias("rep"), F.col("m.n").alias("n"), F.col("m.sketch").alias("sketch")))
-    lists = postings(classes, k, percent, need)
-    shared = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("value")
-    lists = C.materialize(lists.join(shared, "value"))
-    asked = C.materialize(lists.select("rep").distinct())
-    # the few documents that meet another one, with all that a comparison needs
-    whole = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
-    few = C.broadcast_if_small(asked, IDS_BROADCAST)
-    texts = whole.join(few, "rep", "left_semi")
+                            .agg(F.min(F.struct("doc_id", "n", "sketch", *_BITS)).alias("m"))
+                            .select("same", F.col("m.doc_id").alias("rep"), *[F.col(f"m.{c}").alias(c) for c in ("n", "sketch", *_BITS)]))
+    lists = C.materialize(postings(classes, k, percent, need))
+    met = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("value")
     repeated = not read.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty()
-    if repeated:
-        texts = texts.dropDuplicates(["rep", "text"])
-    held = C.materialize(classes.join(few, "rep", "left_semi").select("rep", "sketch")
-                         .join(texts, "rep"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
 
     def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs that are links. Of the documents, only those in a pair are read out."""
+        pairs = C.materialize(pairs.distinct())
+        asked = C.materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
+        few = C.broadcast_if_small(asked, IDS_BROADCAST)
+        own = texts.join(few, "rep", "left_semi")
+        if repeated:
+            own = own.dropDuplicates(["rep", "text"])
+        held = classes.select("rep", "sketch").join(few, "rep", "left_semi").join(own, "rep")
         left = held.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"), F.col("text").alias("text_a"))
         right = held.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"), F.col("text").alias("text_b"))
         return C.materialize(_jaccard(pairs.join(left, "a").join(right, "b"), size, k, percent, need))
 
-    labels = asked.select("rep", F.col("rep").alias("comp"))
-    mixed = lists.withColumn("comp", F.col("rep"))
+    labels = classes.select("rep", F.col("rep").alias("comp"))
+    mixed = C.materialize(lists.join(met, "value").withColumn("comp", F.col("rep")))
     for turn in range(PIVOT_ROUNDS):
-        tops = (mixed.groupBy("value").agg(F.min(F.struct("comp", "rep", "n")).alias("p"), F.max(F.struct("comp", "rep", "n")).alias("q")))
-        met = mixed.join(tops, "value")
-        either = [met.select(F.least("rep", f"{x}.rep").alias("a"), F.greatest("rep", f"{x}.rep").alias("b"), "n", F.col(f"{x}.n").alias("m"),
-                             F.col("comp"), F.col(f"{x}.comp").alias("other")) for x in ("p", "q")]
-        pairs = either[0].union(either[1]) if turn else either[0]
-        pairs = pairs.where((F.col("comp") != F.col("other")) & _near_size("n", "m", percent)).select("a", "b").distinct()
+        item = F.struct("comp", *_ITEM)
+        order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+        tops = mixed.groupBy("value").agg(F.min_by(item, order).alias("p"), F.max_by(item, order).alias("q"))
+        both = mixed.select("value", item.alias("x")).join(tops, "value")
+        pairs = None
+        for y in ("p", "q")[:1 + bool(turn)]:
+            own = (both.where((F.col("x.comp") != F.col(f"{y}.comp")) & _possible("x", y, percent))
+                   .select(F.least("x.rep", f"{y}.rep").alias("a"), F.greatest("x.rep", f"{y}.rep").alias("b")))
+            pairs = own if pairs is None else pairs.union(own)
         links = confirmed(pairs)
-        if links.isEmpty():
-            break
-        labels = merge_components(labels, links)
-        mixed = lists.join(labels, "rep")
-        several = mixed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
-        mixed = C.materialize(mixed.join(several, "value"))
-        if mixed.isEmpty():
+        new = links.count()
+        if new:
+            labels = merge_components(labels, links)
+            mixed = mixed.drop("comp").join(labels, "rep")
+            several = mixed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
+            mixed = C.materialize(mixed.join(several, "value"))
+        if new * 50 < mixed.count():  # pivots hardly find anything any more
             break
     # what is left: members of all components but a list's largest, with every member outside their own
     counts = mixed.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("members"))
     largest = counts.groupBy("value").agg(F.max(F.struct("members", "comp"))["comp"].alias("main"))
-    rest = mixed.join(largest, "value")
-    minor = rest.where(F.col("comp") != F.col("main")).select("value", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    pairs = (minor.join(rest, "value")
-             .where((F.col("cx") != F.col("comp")) & _near_size("n", "nx", percent)
-                    & ((F.col("comp") == F.col("main")) | (F.col("rep") > F.col("x"))))
-             .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct())
+    rest = mixed.join(largest, "value").select("value", "main", F.struct("comp", *_ITEM).alias("x"))
+    minor = rest.where("x.comp <> main").select("value", F.col("x").alias("y"))
+    pairs = (rest.join(minor, "value")
+             .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
+                    & _possible("x", "y", percent))
+             .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
     links = confirmed(pairs)
     if not links.isEmpty():
         labels = merge_components(labels, links)
     if repeated:  # rows with one id are one document: their groups are one
-        labels = classes.select("rep").distinct().join(labels, "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp"))
+        labels = labels.distinct()
         own = read.where(F.col("doc_id").isNotNull()).select("doc_id", "same").join(classes.select("same", "rep"), "same").select("doc_id", "rep")
         first = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
         labels = merge_components(labels, own.join(first, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
