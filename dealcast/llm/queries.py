@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from dealcast.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -66,3 +67,32 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)""")
 def op2(spark, d):
     from dealcast.llm.neardup import near_duplicates
     return near_duplicates(table(spark, d, "documents"), size=2, percent=80)
+
+
+# ---------------------------------------------------------------- 3 toxicity, 5 quality: trained, so no SQL
+
+@query("op3_toxicity")
+def op3(spark, d):
+    from dealcast.llm.toxicity import toxicity
+    return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op5_quality")
+def op5(spark, d):
+    from dealcast.llm.quality import quality
+    return quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+# ---------------------------------------------------------------- 7 packing: a search, so no SQL
+
+@query("op7_packing")
+def op7(spark, d):
+    from dealcast.llm.packing import packed_pieces
+    return packed_pieces(table(spark, d, "documents"))
+
+
+# ---------------------------------------------------------------- the pipeline
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
