@@ -96,3 +96,11 @@ def op7(spark, d):
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
+
+
+# ---------------------------------------------------------------- 10 token files: a tokenizer, so no SQL
+
+@query("op10_token_files")
+def op10(spark, d):
+    from dealcast.llm.tokenfiles import round_trip
+    return round_trip(table(spark, d, "documents"))
