@@ -104,3 +104,11 @@ def pipeline(spark, d):
 def op10(spark, d):
     from dealcast.llm.tokenfiles import round_trip
     return round_trip(table(spark, d, "documents"))
+
+
+# ---------------------------------------------------------------- 6 language: trained, so no SQL
+
+@query("op6_language")
+def op6(spark, d):
+    from dealcast.llm.language import language
+    return language(table(spark, d, "documents"))
