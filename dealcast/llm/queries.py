@@ -112,3 +112,47 @@ def op10(spark, d):
 def op6(spark, d):
     from dealcast.llm.language import language
     return language(table(spark, d, "documents"))
+
+
+# ---------------------------------------------------------------- 4 neighbours: approximate, so no SQL
+
+@query("op4_neighbours")
+def op4(spark, d):
+    from dealcast.llm.neighbours import nearest
+    return nearest(table(spark, d, "embeddings"), query_every=50, top=5)
+
+
+# ---------------------------------------------------------------- 8 archive revisits
+
+@query("op8_revisits", r"""
+WITH p AS (SELECT page_id AS p, url, md5(coalesce(html, '')) AS dig, 1700000000 + ((page_id * 7919) % 100000) * 60 AS ts FROM pages),
+c AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM p),
+s AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+        || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS front,
+        list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'),
+                  lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS args FROM c),
+k AS (SELECT p, ts, dig, front || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS site FROM s),
+resp AS (SELECT p * 4 AS rid, site, ts, dig FROM k),
+rev AS (
+  SELECT p * 4 + 1 AS rid, site, ts + 3600 AS vts, '"' || dig || '"' AS etag, NULL AS modified, 'max-age=60' AS cc, NULL AS ex FROM k WHERE p % 2 = 0
+  UNION ALL SELECT p * 4 + 2, site, ts + 7200 + (p % 7) * 3600, NULL, CAST(ts - 86400 AS VARCHAR), NULL, '0' FROM k WHERE p % 3 = 0 AND p % 9 <> 0
+  UNION ALL SELECT p * 4 + 2, site, ts + 7200 + (p % 7) * 3600, '"other"', NULL, NULL, NULL FROM k WHERE p % 9 = 0
+  UNION ALL SELECT p * 4 + 3, site, ts - 1800, NULL, NULL, NULL, NULL FROM k WHERE p % 5 = 0),
+last AS (SELECT v.rid, max(r.ts) AS lts FROM rev v JOIN resp r ON r.site = v.site AND r.ts < v.vts GROUP BY v.rid),
+pick AS (SELECT l.rid, max(r.rid) AS ref FROM last l JOIN rev v ON v.rid = l.rid JOIN resp r ON r.site = v.site AND r.ts = l.lts GROUP BY l.rid),
+j AS (SELECT v.*, r.rid AS ref, r.ts AS rts, r.dig AS rdig,
+        CASE WHEN r.rid IS NULL THEN 'orphan'
+             WHEN v.etag IS NOT NULL THEN CASE WHEN v.etag = '"' || r.dig || '"' THEN 'resolved' ELSE 'mismatch' END
+             WHEN v.modified IS NOT NULL THEN CASE WHEN v.modified = CAST(r.ts - 86400 AS VARCHAR) THEN 'resolved' ELSE 'mismatch' END
+             ELSE 'unverified' END AS outcome
+      FROM rev v LEFT JOIN pick USING (rid) LEFT JOIN resp r ON r.rid = pick.ref)
+SELECT rid AS record_id, site, vts AS ts, ref AS refers_to, outcome,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN
+    coalesce('cache-control: ' || cc || chr(10), '') || 'content-type: text/html' || chr(10) || 'date: ' || vts || chr(10)
+    || 'etag: ' || CASE WHEN etag IS NOT NULL THEN 'W/' || etag ELSE '"' || rdig || '"' END || chr(10)
+    || coalesce('expires: ' || ex || chr(10), '') || 'last-modified: ' || (rts - 86400) || chr(10) || 'server: a' END AS headers,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN rdig END AS payload_digest
+FROM j""")
+def op8(spark, d):
+    from dealcast.llm import revisits as op
+    return op.digest(op.resolve_revisits(op.crawl_of_pages(table(spark, d, "pages"))))
