@@ -156,3 +156,22 @@ FROM j""")
 def op8(spark, d):
     from dealcast.llm import revisits as op
     return op.digest(op.resolve_revisits(op.crawl_of_pages(table(spark, d, "pages"))))
+
+
+# ---------------------------------------------------------------- 9 perspectives
+
+@query("op9_perspectives", r"""
+WITH t AS (SELECT conv_id, replace(coalesce(role, 'unknown'), '<|', '< |') AS r, replace(coalesce(text, ''), '<|', '< |') AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, replace(coalesce(role, 'unknown'), '<|', '< |'),
+                                replace(coalesce(text, ''), '<|', '< |')) - 1 AS pos FROM conversations),
+v AS (SELECT DISTINCT conv_id AS c, r AS perspective FROM t WHERE r <> 'system'),
+seg AS (SELECT conv_id, perspective, pos, pos // 256 AS block, r, length(head) AS lead, head || x || '<|end|>' || chr(10) AS s
+        FROM (SELECT t.*, v.perspective, CASE WHEN r = perspective THEN '<|assistant|>' || chr(10) WHEN r = 'system' THEN '<|system|>' || chr(10)
+                ELSE '<|user name=' || r || '|>' || chr(10) END AS head FROM t JOIN v ON t.conv_id IS NOT DISTINCT FROM v.c)),
+pos AS (SELECT *, sum(length(s)) OVER (PARTITION BY conv_id, perspective, block ORDER BY pos) - length(s) AS p FROM seg)
+SELECT conv_id, perspective, CAST(block AS BIGINT) AS block, count(*) AS n_turns, string_agg(s, '' ORDER BY pos) AS rendered,
+  coalesce(string_agg(CASE WHEN r = perspective THEN CAST(p + lead AS BIGINT) || '-' || CAST(p + length(s) - 1 AS BIGINT) END, ',' ORDER BY pos), '') AS mask
+FROM pos GROUP BY conv_id, perspective, block""")
+def op9(spark, d):
+    from dealcast.llm import perspectives as op
+    return op.digest(op.perspectives(table(spark, d, "conversations")))
