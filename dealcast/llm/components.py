@@ -23,20 +23,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .where("a <> b").distinct())
 
 
-def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (rep, comp) after the links (a, b) between reps are added.
-    ``comp`` is the smallest rep of a component. Each turn writes its edges, and
-    the turns end when the edges are stars."""
-    side = lambda c: labels.select(F.col("rep").alias(c), F.col("comp").alias(f"c_{c}"))
-    edges = (links.join(side("a"), "a").join(side("b"), "b")
-             .select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).where("a <> b").distinct())
-    edges = C.materialize(edges)
+def components(links: DataFrame, rows_a_task: int = 50_000) -> DataFrame:
+    """(rep, comp) for every node of the links (a, b); ``comp`` is the smallest
+    node that it reaches. Each turn writes its edges; the turns end when the
+    edges are stars. A table of few edges is read by few tasks, by its size."""
+    def few(df: DataFrame) -> DataFrame:
+        written = C.materialize(df)
+        return written.coalesce(max(1, -(-written.count() // rows_a_task)))
+
+    edges = few(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b"))
+    edges = few(edges.distinct())
     while True:
         # stars: no node has two smaller ones, and no smaller one is itself linked to a smaller one
-        twice = edges.groupBy("b").count().where("count > 1").limit(1)
-        chain = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").limit(1)
-        if twice.select(F.lit(1).alias("x")).union(chain.select(F.lit(1).alias("x"))).isEmpty():
+        twice = edges.groupBy("b").count().where("count > 1").select(F.lit(1).alias("x")).limit(1)
+        chain = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").select(F.lit(1).alias("x")).limit(1)
+        if twice.union(chain).isEmpty():
             break
-        edges = C.materialize(_small_star(_large_star(edges)))
-    return C.materialize(labels.join(edges.select(F.col("b").alias("comp"), F.col("a").alias("low")), "comp", "left")
-                         .select("rep", F.coalesce("low", "comp").alias("comp")))
+        edges = few(_small_star(_large_star(edges)))
+    return C.materialize(edges.select(F.col("b").alias("rep"), F.col("a").alias("comp"))
+                         .union(edges.select(F.col("a").alias("rep"), F.col("a").alias("comp")).distinct()))

@@ -15,17 +15,18 @@ Two documents are linked if their sets have Jaccard similarity >= ``percent``
    sketches have an exact bound; for larger ones the overlap of the sketches of a
    pair at the threshold is binomial(k, percent / 100), and ``need`` leaves a
    chance of about 1e-8 to fall below it.
-3. *Pairs without all pairs.* Rounds compare each list's members with pivots of
-   the list and merge what is confirmed; lists within one component are done.
-   Members of what is still mixed are compared with all members outside their
-   own component, so no link between different components is left out, while a
-   group of thousands of near copies costs a few comparisons for each member.
-   A posting carries the set size and a bitmap of its class's sketch; pairs
-   whose sizes or common bits rule the overlap out are never formed.
+3. *Pairs without all pairs.* First each list's members meet one pivot of the
+   list. Lists whose members are then in one component are done. In short lists
+   that are left, members of different components are paired (a posting carries
+   the set size and a bitmap of its class's sketch, so pairs that can't be links
+   are never formed). A long list that is left goes into the bucket of its main
+   component, and buckets are compared block by block inside tasks: only links
+   come out, so no link between different components is lost and no pairs of a
+   large group are ever rows. If much is left, more pivots come before that.
 4. *Estimate.* The k smallest values of the two sketches' union give the
    similarity; a pair goes on if as many of them are shared as ``need`` says.
 5. *Exact.* Jaccard on the full sets decides every link; only texts that are in
-   a pair are moved for it.
+   a comparison are moved for it.
 
 Shingles are told apart by 64-bit hashes. Defined results: null text is empty
 text; every row gives one row; a row with a null id takes part in no group
@@ -44,10 +45,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from dealcast.llm import common as C
-from dealcast.llm.components import merge_components
+from dealcast.llm.components import components
 
 IDS_BROADCAST = 1_000_000   # rows of an id table that may be broadcast (16 MB)
-PIVOT_ROUNDS = 4
+GROUPS_BROADCAST = 100_000  # rows of a table of comparisons that may be broadcast
+PIVOT_ROUNDS = 3
+SHORT = 32                  # members of a list whose pairs may be formed
+SIDE = 128                  # documents on each side of a comparison in a task
+EFFORT = 100                # comparisons a class that buckets may leave without further pivots
 BITMAP = 8                  # 64-bit numbers of a class's bitmap
 _BITS = [f"b{i}" for i in range(BITMAP)]
 _ITEM = ["rep", "n", "least", *_BITS]
@@ -143,6 +148,15 @@ def _possible(x: str, y: str, percent: int):
     return size & (common >= F.floor(least * 0.75) - 4)
 
 
+def _possible(x: str, y: str, percent: int):
+    """Whether sizes and common bits allow a link. Distinct values may share a
+    bit; the allowance for that keeps the chance of a loss below 1e-9."""
+    size = (F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (F.col(f"{y}.n") * 100 >= F.col(f"{x}.n") * percent)
+    common = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseAND(F.col(f"{y}.{b}"))) for b in _BITS), F.lit(0))
+    least = F.greatest(f"{x}.least", f"{y}.least")
+    return size & (common >= F.floor(least * 0.75) - 4)
+
+
 def _jaccard(pairs: DataFrame, size: int, k: int, percent: int, need: int) -> DataFrame:
     """(a, b) of the pairs whose estimate passes and whose full sets are similar."""
     def rows(batches: Iterator[pa.RecordBatch]):
@@ -181,6 +195,88 @@ def _jaccard(pairs: DataFrame, size: int, k: int, percent: int, need: int) -> Da
     return pairs.select("a", "b", "sketch_a", "sketch_b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
 
 
+def _shared(left: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Number of values that each sorted set of ``others`` shares with ``left``."""
+    values = np.concatenate(others)
+    at = np.minimum(np.searchsorted(left, values), len(left) - 1)
+    owner = np.repeat(np.arange(len(others)), [len(o) for o in others])
+    return np.bincount(owner[left[at] == values], minlength=len(others))
+
+
+def _shared_all(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """The same for each of ``rows`` with all sets, by matrix products over
+    the values that several sets have."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    names, at, seen = np.unique(values, return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1
+    kept = seen[at] > 1
+    at, owner = number[at[kept]], owner[kept]
+    out = np.zeros((len(rows), len(sets)), np.float32)
+    for lo in range(0, int(number[-1]) + 1 if len(names) else 0, 4096):
+        here = (at >= lo) & (at < lo + 4096)
+        x = np.zeros((len(sets), 4096), np.float32)
+        x[owner[here], at[here] - lo] = 1
+        out += x[rows] @ x.T
+    return out.astype(np.int64)
+
+
+def _estimates(left: np.ndarray, others: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the k smallest values of each union of two sketches: how many there
+    are, and how many of them both have."""
+    top = np.uint64(2 ** 64 - 1)
+    both = np.full((len(others), 2 * k), top, np.uint64)
+    both[:, :len(left)] = left
+    for i, o in enumerate(others):
+        both[i, k:k + len(o)] = o
+    both.sort(axis=1)
+    again = np.zeros(both.shape, bool)
+    again[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != top)
+    rank = np.cumsum(~again, axis=1)
+    size = np.minimum(k, (~again & (both != top)).sum(1))
+    return size, (again & (rank <= k)).sum(1)
+
+
+def _compare(size: int, k: int, percent: int, need: int):
+    """The links of one group of documents: each ``minor`` one with those of the
+    other side (side 2: with all) outside its component. Links that earlier ones
+    of the group imply are left out."""
+    def run(group: pa.Table) -> pa.Table:
+        rep = group.column("rep").to_numpy()
+        comp = group.column("comp").to_numpy()
+        minor, side = group.column("minor").to_numpy(), group.column("side").to_numpy()
+        sets = []
+        for batch in group.select(["text"]).combine_chunks().to_batches():
+            for part in C.text_slices(batch, "text"):
+                sets += shingle_sets(part.column(0), size)
+        n = np.array([len(s) for s in sets], np.int64)
+        sketch = [s[:k] for s in sets]
+        lefts = np.flatnonzero(minor & (n > 0))
+        exact = _shared_all(sets, lefts) if len(lefts) > 8 else None
+        names, comp = np.unique(comp, return_inverse=True)
+        links_a, links_b = [], []
+        for p, i in enumerate(lefts.tolist()):
+            ok = (comp != comp[i]) & (n * 100 >= n[i] * percent) & (n * percent <= n[i] * 100) & (n > 0)
+            # two minor ones meet once
+            ok &= ((side == 2) & (~minor | (np.arange(len(n)) > i))) if side[i] == 2 else (side != side[i]) & (~minor | (side[i] == 0))
+            others = np.flatnonzero(ok)
+            if not len(others):
+                continue
+            seen, both = _estimates(sketch[i], [sketch[j] for j in others], k)
+            # a sketch of fewer than k values is the whole set: those go to the exact step
+            others = others[(both >= np.minimum(need, seen)) | ((n[others] < k) & (n[i] < k))]
+            if not len(others):
+                continue
+            same = exact[p, others] if exact is not None else _shared(sets[i], [sets[j] for j in others])
+            for j in others[100 * same >= percent * (n[i] + n[others] - same)].tolist():
+                if comp[j] != comp[i]:
+                    links_a.append(rep[i])
+                    links_b.append(rep[j])
+                    comp[comp == comp[j]] = comp[i]
+        return pa.table([pa.array(links_a, pa.int64()), pa.array(links_b, pa.int64())], names=["a", "b"])
+    return run
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
                     k: int = 48) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id (the smallest
@@ -191,62 +287,84 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                             .agg(F.min(F.struct("doc_id", "n", "sketch", *_BITS)).alias("m"))
                             .select("same", F.col("m.doc_id").alias("rep"), *[F.col(f"m.{c}").alias(c) for c in ("n", "sketch", *_BITS)]))
     lists = C.materialize(postings(classes, k, percent, need))
-    met = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("value")
+    many = classes.count()
     repeated = not read.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty()
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs that are links. Of the documents, only those in a pair are read out."""
-        pairs = C.materialize(pairs.distinct())
-        asked = C.materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
-        few = C.broadcast_if_small(asked, IDS_BROADCAST)
-        own = texts.join(few, "rep", "left_semi")
+    def confirmed(groups: DataFrame) -> DataFrame:
+        """Links of ``groups`` (g, rep, comp, minor, side). Of the documents only
+        those in a group are read out."""
+        groups = C.materialize(groups)
+        if groups.limit(GROUPS_BROADCAST + 1).count() <= GROUPS_BROADCAST:
+            met = texts.join(F.broadcast(groups), "rep")
+        else:
+            asked = C.materialize(groups.select("rep").distinct())
+            met = groups.join(texts.join(C.broadcast_if_small(asked, IDS_BROADCAST), "rep", "left_semi"), "rep")
         if repeated:
-            own = own.dropDuplicates(["rep", "text"])
-        held = classes.select("rep", "sketch").join(few, "rep", "left_semi").join(own, "rep")
-        left = held.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"), F.col("text").alias("text_a"))
-        right = held.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"), F.col("text").alias("text_b"))
-        return C.materialize(_jaccard(pairs.join(left, "a").join(right, "b"), size, k, percent, need))
-
-    labels = classes.select("rep", F.col("rep").alias("comp"))
-    mixed = C.materialize(lists.join(met, "value").withColumn("comp", F.col("rep")))
+            met = met.dropDuplicates()
+        found = met.select("g", "rep", "comp", "minor", "side", "text").groupBy("g").applyInArrow(_compare(size, k, percent, need), "a long, b long")
+        return C.materialize(found)
+
+    def by_pivot(pairs: DataFrame) -> DataFrame:
+        """Groups of pairs (a, b, comp_a, comp_b): a document and up to about ``SIDE`` others."""
+        pairs = C.materialize(pairs.distinct())
+        most = pairs.groupBy("a").count().agg(F.max("count").alias("most")).first().most or 0
+        cut = F.pmod(F.xxhash64("b"), F.lit(max(1, -(-most // SIDE))))
+        keyed = pairs.withColumn("g", F.concat_ws("/", F.lit("p"), "a", cut))
+        own = keyed.select("g", F.col("a").alias("rep"), F.col("comp_a").alias("comp"), F.lit(True).alias("minor"), F.lit(0).alias("side")).distinct()
+        return own.union(keyed.select("g", "b", "comp_b", F.lit(False), F.lit(1)))
+
+    def by_bucket(members: DataFrame) -> DataFrame:
+        """Groups of ``members`` (bucket, rep, comp, minor): every two blocks of a
+        bucket, if a minor one is in them."""
+        sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("cuts"))
+        placed = members.join(sizes, "bucket").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
+        each = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        low, high = F.least("i", "j"), F.greatest("i", "j")
+        return each.select(F.concat_ws("/", F.lit("b"), "bucket", low, high).alias("g"), "rep", "comp", "minor",
+                           F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"))
+
+    links, labels = None, None
+    item = F.struct("comp", *_ITEM)
+    mixed = lists.withColumn("comp", F.col("rep"))
     for turn in range(PIVOT_ROUNDS):
-        item = F.struct("comp", *_ITEM)
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        tops = mixed.groupBy("value").agg(F.min_by(item, order).alias("p"), F.max_by(item, order).alias("q"))
-        both = mixed.select("value", item.alias("x")).join(tops, "value")
-        pairs = None
-        for y in ("p", "q")[:1 + bool(turn)]:
-            own = (both.where((F.col("x.comp") != F.col(f"{y}.comp")) & _possible("x", y, percent))
-                   .select(F.least("x.rep", f"{y}.rep").alias("a"), F.greatest("x.rep", f"{y}.rep").alias("b")))
-            pairs = own if pairs is None else pairs.union(own)
-        links = confirmed(pairs)
-        new = links.count()
-        if new:
-            labels = merge_components(labels, links)
-            mixed = mixed.drop("comp").join(labels, "rep")
-            several = mixed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
-            mixed = C.materialize(mixed.join(several, "value"))
-        if new * 50 < mixed.count():  # pivots hardly find anything any more
+        tops = mixed.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min_by(item, order).alias("y")).where("members > 1")
+        pairs = (mixed.select("value", item.alias("x")).join(tops, "value")
+                 .where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", percent))
+                 .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
+        new = confirmed(by_pivot(pairs))
+        links = new if links is None else links.union(new)
+        labels = components(links)
+        # the lists that are still of several components; any component may be a list's main one, the largest saves work
+        told = lists.join(C.broadcast_if_small(labels, IDS_BROADCAST), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        own = told.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("n"))
+        state = (own.groupBy("value").agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp"))["comp"].alias("main"),
+                                          F.count(F.lit(1)).alias("comps")).where("comps > 1"))
+        mixed = C.materialize(told.join(state, "value"))
+        minor = F.col("comp") != F.col("main")
+        members = (mixed.where(F.col("members") > SHORT).groupBy(F.col("main").alias("bucket"), "rep", "comp").agg(F.max(minor).alias("minor")))
+        members = C.materialize(members)
+        work = members.groupBy("bucket").agg((F.sum(F.col("minor").cast("double")) * F.count(F.lit(1))).alias("w")).agg(F.sum("w").alias("w")).first().w
+        if (work or 0) <= EFFORT * many:
             break
-    # what is left: members of all components but a list's largest, with every member outside their own
-    counts = mixed.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("members"))
-    largest = counts.groupBy("value").agg(F.max(F.struct("members", "comp"))["comp"].alias("main"))
-    rest = mixed.join(largest, "value").select("value", "main", F.struct("comp", *_ITEM).alias("x"))
-    minor = rest.where("x.comp <> main").select("value", F.col("x").alias("y"))
-    pairs = (rest.join(minor, "value")
+        mixed = mixed.drop("members", "main", "comps")
+    short = mixed.where(F.col("members") <= SHORT).select("value", "main", item.alias("x"))
+    pairs = (short.join(short.where("x.comp <> main").select("value", F.col("x").alias("y")), "value")
              .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
                     & _possible("x", "y", percent))
-             .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
-    links = confirmed(pairs)
-    if not links.isEmpty():
-        labels = merge_components(labels, links)
+             .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
+    new = confirmed(by_pivot(pairs).union(by_bucket(members)))
+    links = links.union(new)
     if repeated:  # rows with one id are one document: their groups are one
-        labels = labels.distinct()
         own = read.where(F.col("doc_id").isNotNull()).select("doc_id", "same").join(classes.select("same", "rep"), "same").select("doc_id", "rep")
         first = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
-        labels = merge_components(labels, own.join(first, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
-    of_class = classes.select("same", "rep").join(labels, "rep", "left").select("same", F.coalesce("comp", "rep").alias("comp"))
+        links = links.union(own.join(first, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
+    elif new.isEmpty():
+        links = None
+    labels = labels if links is None else components(links)
+    of_class = (classes.select("same", "rep").join(C.broadcast_if_small(labels, IDS_BROADCAST), "rep", "left")
+                .select("same", F.coalesce("comp", "rep").alias("comp")))
     found = read.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(of_class, "same", "left")
     component = F.when(F.col("same").isNull(), F.col("doc_id")).otherwise(F.col("comp"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -5,7 +5,7 @@ from brute import near_duplicates as brute
 from conftest import rows
 
 from dealcast.llm import neardup
-from dealcast.llm.components import merge_components
+from dealcast.llm.components import components
 
 
 def test_needed_overlap():
@@ -44,8 +44,27 @@ def test_whole_small_table(spark, docs):
     assert rows(neardup.near_duplicates(docs)) == sorted(want, key=str)
 
 
+def test_large_groups_of_near_copies_go_through_buckets(spark, monkeypatch):
+    """Long lists whose members are only partly similar, in many blocks."""
+    monkeypatch.setattr(neardup, "SHORT", 4)
+    monkeypatch.setattr(neardup, "SIDE", 8)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(60), rng.choice([1, 3, 4, 5, 9])):
+            words[at] = f"x{rng.randrange(10**9)}"
+        docs.append((i, " ".join(words)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(brute(docs, 2), key=str)
+    assert rows(neardup.near_duplicates(d, size=2)) == want
+    monkeypatch.setattr(neardup, "EFFORT", 0)
+    assert rows(neardup.near_duplicates(d, size=2)) == want
+
+
 def test_components_of_a_long_chain(spark):
-    labels = spark.range(60).selectExpr("id rep", "id comp")
     links = spark.range(1, 40).selectExpr("id - 1 a", "id b").union(spark.range(51, 60).selectExpr("cast(50 as long) a", "id b"))
-    got = dict(rows(merge_components(labels, links)))
-    assert got == {i: 0 if i < 40 else 50 if i >= 50 else i for i in range(60)}
+    want = {i: 0 if i < 40 else 50 for i in [*range(40), *range(50, 60)]}
+    assert dict(rows(components(links))) == dict(rows(components(links, rows_a_task=7))) == want
+    assert components(links.limit(0)).count() == 0
