@@ -329,6 +329,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     mixed = lists.withColumn("comp", F.col("rep"))
     for turn in range(PIVOT_ROUNDS):
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+        mixed = mixed.select("value", "comp", *_ITEM)
         tops = mixed.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min_by(item, order).alias("y")).where("members > 1")
         pairs = (mixed.select("value", item.alias("x")).join(tops, "value")
                  .where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", percent))
@@ -348,7 +349,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         work = members.groupBy("bucket").agg((F.sum(F.col("minor").cast("double")) * F.count(F.lit(1))).alias("w")).agg(F.sum("w").alias("w")).first().w
         if (work or 0) <= EFFORT * many:
             break
-        mixed = mixed.drop("members", "main", "comps")
     short = mixed.where(F.col("members") <= SHORT).select("value", "main", item.alias("x"))
     pairs = (short.join(short.where("x.comp <> main").select("value", F.col("x").alias("y")), "value")
              .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
