@@ -11,10 +11,11 @@ VALUE_BAND_LABELS = ("Small", "Medium", "Large", "Very Large", "Enterprise")
 CYCLE_BAND_EDGES = (0, 30, 90, 180, 365)
 CYCLE_BAND_LABELS = ("Quick", "Short", "Medium", "Long", "Very Long")
 PROB_BAND_EDGES = (0.0, 0.3, 0.6, 0.8, 1.0)
-PROB_BAND_LABELS = ("Low (0-30%)", "Medium (30-60%)", "High (60-80%)", "Very High (80-100%)")
+PROB_BAND_LABELS = ("Low (0-30%)", "Medium (30-60%)", "High (60-80%)", "Very High (80%+)")
 STAGE_ORDER = {"Prospecting": 1, "Engaging": 2, "Won": 4, "Lost": 0}
 RISK_LEVELS = ((0.7, "Low"), (0.4, "Medium"))          # p > 0.7 Low, p > 0.4 Medium, else High
-PRIORITY_TEXT = {"Low": "Standard follow-up", "Medium": "Needs attention", "High": "Urgent action"}
+PRIORITIES = ((0.7, "High Priority Opportunity"), (0.4, "Medium Priority - Needs Attention"))
+LOW_PRIORITY = "Low Priority - High Risk"
 DEAL_SIZES = ((5000, "Large"), (1000, "Medium"))        # value > 5000 Large, > 1000 Medium, else Small
 QUARTER_END_MONTHS = (3, 6, 9, 12)
 
@@ -124,12 +125,12 @@ def risk_level(p) -> Column:
     return F.when(p > t1, l1).when(p > t2, l2).otherwise("High")
 
 
-def priority_text(risk) -> Column:
-    r = _col(risk)
-    expr = None
-    for k, v in PRIORITY_TEXT.items():
-        expr = F.when(r == k, v) if expr is None else expr.when(r == k, v)
-    return expr
+def priority(p) -> Column:
+    """recommendation heading by win probability (> .7, > .4, else; a
+    null probability is low, as a failed > is)."""
+    p = _col(p)
+    (t1, l1), (t2, l2) = PRIORITIES
+    return F.when(p > t1, l1).when(p > t2, l2).otherwise(LOW_PRIORITY)
 
 
 def deal_size(value) -> Column:

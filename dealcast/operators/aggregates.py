@@ -37,11 +37,12 @@ def performance(df: DataFrame, key: str, by: Sequence[str] = (), digits: int = 3
 
 def account_performance(df: DataFrame, by: Sequence[str] = (), stage: str = "deal_stage",
                         value: str = "close_value") -> DataFrame:
-    """A3: win rate, value sum and count per account (all rows)."""
-    src = df.where(F.col("account").isNotNull())
+    """A3: win rate, value sum and count per account over closed deals,
+    rounded to 3 (half-even)."""
+    src = df.where(_closed(stage) & F.col("account").isNotNull())
     return src.groupBy(*by, "account").agg(
         S.rounded_avg(_won(stage), 3).alias("account_win_rate"),
-        F.sum(value).alias("account_value"),
+        S.rounded_sum(value, 3).alias("account_value"),
         F.count("*").alias("account_deals"))
 
 
@@ -54,39 +55,39 @@ def value_counts(df: DataFrame, key: str | Column, by: Sequence[str] = (), name:
 
 def monthly_pattern(df: DataFrame, by: Sequence[str] = (), date: str = "engage_date",
                     stage: str = "deal_stage", value: str = "close_value") -> DataFrame:
-    """A5: by engage month (closed deals): count, wins, win rate, mean value."""
-    src = df.where(_closed(stage) & F.col(date).isNotNull())
-    return src.groupBy(*by, F.month(date).alias("engage_month")).agg(
+    """A5: by engage month (all rows): count, wins, win rate, mean value,
+    rounded to 3 (half-even)."""
+    return df.where(F.col(date).isNotNull()).groupBy(*by, F.month(date).alias("engage_month")).agg(
         F.count("*").alias("deals"), F.sum(_won(stage)).alias("wins"),
-        F.avg(_won(stage)).alias("win_rate"), F.avg(value).alias("avg_value"))
+        S.rounded_avg(_won(stage), 3).alias("win_rate"), S.rounded_avg(value, 3).alias("avg_value"))
 
 
 def win_rate_by_band(df: DataFrame, by: Sequence[str] = (), value: str = "close_value",
                      stage: str = "deal_stage") -> DataFrame:
-    """Win rate per value band over closed deals."""
-    src = df.where(_closed(stage)).withColumn("value_band", S.value_band(value))
+    """Win rate per value band (all rows that have a band)."""
+    src = df.withColumn("value_band", S.value_band(value))
     return src.where(F.col("value_band").isNotNull()).groupBy(*by, "value_band").agg(
         F.count("*").alias("deals"), F.avg(_won(stage)).alias("win_rate"))
 
 
 def win_rate_by_quartile(df: DataFrame, by: Sequence[str] = (), value: str = "close_value",
                          stage: str = "deal_stage") -> DataFrame:
-    """A6 fallback: win rate per quartile-cut category of the value (cut
-    points are exact quantiles of closed deals, one row per group)."""
-    src = df.where(_closed(stage) & F.col(value).isNotNull())
-    cuts = exact_quantiles(src, value, [0.25, 0.5, 0.75], by=by)
+    """A6 fallback: win rate per value category (all rows). Every row starts as
+    Medium and is then overwritten in the order <= q20 Very Low, <= q40 Low,
+    >= q80 Very High, >= q60 High, so the later, wider rules win: what is left
+    is Low, Medium and High. A null value stays Medium. The cuts are exact."""
+    cuts = exact_quantiles(df, value, [0.4, 0.6], by=by)
     v = F.col(value)
-    cat = (F.when(v <= F.col("q25"), "Q1").when(v <= F.col("q50"), "Q2")
-           .when(v <= F.col("q75"), "Q3").otherwise("Q4"))
-    j = attach_stats(src, cuts, by).withColumn("value_quartile", cat)
-    return j.groupBy(*by, "value_quartile").agg(F.count("*").alias("deals"),
+    cat = F.when(v >= F.col("q60"), "High").when(v <= F.col("q40"), "Low").otherwise("Medium")
+    j = attach_stats(df, cuts, by).withColumn("value_category", cat)
+    return j.groupBy(*by, "value_category").agg(F.count("*").alias("deals"),
                                                 F.avg(_won(stage)).alias("win_rate"))
 
 
 def agent_stats(df: DataFrame, by: Sequence[str] = (), min_deals: int = 10,
                 stage: str = "deal_stage", value: str = "close_value") -> DataFrame:
-    """Agent stats over closed deals, HAVING at least ``min_deals``."""
-    src = df.where(_closed(stage) & F.col("sales_agent").isNotNull())
+    """Agent stats over all rows, HAVING at least ``min_deals``."""
+    src = df.where(F.col("sales_agent").isNotNull())
     g = src.groupBy(*by, "sales_agent").agg(
         F.count("*").alias("deals"), F.avg(_won(stage)).alias("win_rate"),
         F.avg(value).alias("avg_value"))
@@ -124,9 +125,10 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 20, by: Sequence[str] = (),
               split: str | None = None) -> DataFrame:
     """Equal-width histogram between the group's min and max (the max
-    falls in the last bin), optionally split by ``split``; count and density
-    (count / (n * width))."""
-    by = list(by)
+    falls in the last bin); count and density (count / (n * width)). With
+    ``split`` each of its values is a histogram of its own: own range, own
+    bins, and a density that sums to 1."""
+    by = [*by, *([split] if split else [])]
     src = df.where(F.col(value).isNotNull())
     rng = src.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"),
                                F.count("*").alias("_n"))
@@ -135,12 +137,11 @@ def histogram(df: DataFrame, value: str, bins: int = 20, by: Sequence[str] = (),
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("_lo")) / F.when(width == 0, 1).otherwise(width)),
                 F.lit(bins - 1)))
-    keys = [*by, *( [split] if split else [])]
-    g = j.withColumn("bin", b.cast("int")).groupBy(*keys, "bin").agg(
+    g = j.withColumn("bin", b.cast("int")).groupBy(*by, "bin").agg(
         F.count("*").alias("count"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
         F.first("_n").alias("_n"))
     w = (F.col("_hi") - F.col("_lo")) / bins
-    return g.select(*keys, "bin",
+    return g.select(*by, "bin",
                     (F.col("_lo") + F.col("bin") * w).alias("bin_start"),
                     (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_end"),
                     "count",

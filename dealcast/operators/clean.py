@@ -13,9 +13,12 @@ from dealcast.operators.stats import exact_quantiles
 
 CLOSED = ("Won", "Lost")
 
-# Column-name standardisation (substring -> canonical name).
-NAME_MAP = {"opportunity": "opportunity_id", "agent": "sales_agent", "stage": "deal_stage",
-            "engage": "engage_date", "close_date": "close_date", "value": "close_value"}
+# Column-name standardisation; the first rule whose words are all
+# in the name gives the canonical name.
+NAME_RULES = ((("opportunity", "id"), "opportunity_id"), (("sales", "agent"), "sales_agent"),
+              (("account",), "account"), (("deal", "stage"), "deal_stage"),
+              (("close", "value"), "close_value"), (("close", "date"), "close_date"),
+              (("engage", "date"), "engage_date"), (("product",), "product"))
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -34,20 +37,21 @@ def date_columns(df: DataFrame) -> list[str]:
             if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
 
 
-def standard_name(name: str, mapping: dict[str, str] = NAME_MAP) -> str:
+def standard_name(name: str, rules=NAME_RULES) -> str:
     """Lower-case, strip, ``' ', '-', '.'`` -> ``_``, drop parentheses, then
-    map a name containing a known substring to its canonical name."""
-    n = re.sub(r"[()]", "", name.strip().lower())
-    n = re.sub(r"[ \-.]", "_", n)
-    for key, canon in mapping.items():
-        if key in n:
-            return canon
-    return n
-
-
-def clean_column_names(df: DataFrame, mapping: dict[str, str] = NAME_MAP) -> DataFrame:
-    """P1 (metadata only, no data pass)."""
-    return df.toDF(*[standard_name(c, mapping) for c in df.columns])
+    the canonical name of the first rule whose words are all in the name."""
+    n = re.sub(r"[()]", "", re.sub(r"[ \-.]", "_", name.lower().strip()))
+    return next((canon for words, canon in rules if all(w in n for w in words)), n)
+
+
+def clean_column_names(df: DataFrame, rules=NAME_RULES) -> DataFrame:
+    """P1 (metadata only, no data pass). Two columns with one canonical name
+    are an error: a table can't hold both."""
+    names = [standard_name(c, rules) for c in df.columns]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"several columns become {', '.join(twice)}: {df.columns}")
+    return df.toDF(*names)
 
 
 def select_existing(df: DataFrame, wanted: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -72,9 +72,8 @@ def ks_from_counts(counts: DataFrame, key: Sequence[str] = (*PAIR, "feature")) -
     """Exact KS from per-value side counts: the largest gap between the two
     ECDFs over the merged distinct values (distributed running totals)."""
     key = list(key)
-    cum = running_totals(counts, ["value"], ["n_ref", "n_cur"], by=key)
-    tot = counts.groupBy(*key).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = cum.join(tot, key, "inner")
+    j = (running_totals(counts, ["value"], ["n_ref", "n_cur"], by=key, totals="all_")
+         .withColumnsRenamed({"all_n_ref": "t_ref", "all_n_cur": "t_cur"}))
     gap = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
     score = j.groupBy(*key).agg(F.max(F.when((F.col("t_ref") > 0) & (F.col("t_cur") > 0), gap)).alias("drift_score"))
     return score.withColumns({"stattest": F.lit("ks"),
@@ -189,9 +188,8 @@ def roc_points(df: DataFrame, label: str = "is_won", score: str = "prediction",
     y = F.col(label).cast("int")
     per = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("threshold")) \
         .agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")).withColumn("_desc", -F.col("threshold"))
-    cum = running_totals(per, ["_desc"], ["_pos", "_neg"], by=by)
-    tot = per.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_Q"))
-    j = cum.join(tot, by, "inner") if by else attach_stats(cum, tot, by)
+    j = (running_totals(per, ["_desc"], ["_pos", "_neg"], by=by, totals="_all")
+         .withColumnsRenamed({"_all_pos": "_P", "_all_neg": "_Q"}))
     return j.select(*by, "threshold",
                     F.when(F.col("_P") > 0, F.col("cum__pos") / F.col("_P")).alias("tpr"),
                     F.when(F.col("_Q") > 0, F.col("cum__neg") / F.col("_Q")).alias("fpr"))

@@ -13,8 +13,9 @@ from dealcast.operators.stats import attach_stats, running_totals
 
 def label_codes(df: DataFrame, col: str, by: Sequence[str] = (), out: str | None = None,
                 high_cardinality: bool = False) -> DataFrame:
-    """Lexicographic 0-based code of each distinct non-null value of ``col``
-    (per ``by`` group): ``(by..., col, <col>_encoded)``.
+    """Lexicographic 0-based code of each distinct value of ``col`` (per ``by``
+    group): ``(by..., col, <col>_encoded)``. Null is a class of its own, after
+    all values; its row is there for every group.
 
     Label columns with a bounded set of values (agents, regions, sectors,
     bands) are ranked with one window per group over their distinct values.
@@ -26,9 +27,25 @@ def label_codes(df: DataFrame, col: str, by: Sequence[str] = (), out: str | None
     distinct = df.select(*by, col).where(F.col(col).isNotNull()).distinct()
     if not high_cardinality:
         w = Window.partitionBy(*by).orderBy(col)
-        return distinct.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
-    ranked = running_totals(distinct.withColumn("_one", F.lit(1)), [col], ["_one"], by=by)
-    return ranked.select(*by, col, (F.col("cum__one") - 1).cast("int").alias(out))
+        codes = distinct.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
+    else:
+        ranked = running_totals(distinct.withColumn("_one", F.lit(1)), [col], ["_one"], by=by)
+        codes = ranked.select(*by, col, (F.col("cum__one") - 1).cast("int").alias(out))
+    kind = df.schema[col].dataType
+    null = codes.groupBy(*by).agg((F.max(out) + 1).alias(out)).select(*by, F.lit(None).cast(kind).alias(col), out)
+    return codes.unionByName(null)
+
+
+def join_codes(df: DataFrame, codes: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add the codes to rows; null values meet the null class. A group whose
+    values are all null has no code table: its one class is 0."""
+    out = [c for c in codes.columns if c not in (*by, col)]
+    named = codes.select(*[F.col(b).alias(f"_by_{b}") for b in by], F.col(col).alias("_class"), *out)
+    on = F.col(col).eqNullSafe(F.col("_class"))
+    for b in by:
+        on = on & (F.col(b) == F.col(f"_by_{b}"))
+    joined = df.join(named, on, "left").drop("_class", *[f"_by_{b}" for b in by])
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in out})
 
 
 def stacked_codes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -39,9 +56,9 @@ def stacked_codes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     by = list(by)
     pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
     long = df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _value)"))
-    distinct = long.where(F.col("_value").isNotNull()).distinct()
-    w = Window.partitionBy(*by, "_column").orderBy("_value")
-    return distinct.withColumn("_code", (F.dense_rank().over(w) - 1).cast("int"))
+    # null sorts after all values: a class of its own where it occurs
+    w = Window.partitionBy(*by, "_column").orderBy(F.col("_value").asc_nulls_last())
+    return long.distinct().withColumn("_code", (F.dense_rank().over(w) - 1).cast("int"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -62,12 +79,12 @@ def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
         for c in stacked:
             one = codes.where(F.col("_column") == c).select(
                 *by, F.col("_value").alias(c), F.col("_code").alias(f"{c}_encoded"))
-            out = out.join(one, [*by, c], "left")
+            out = join_codes(out, one, c, by)
     else:
         stacked = []
     for c in cols:
         if c not in stacked:
-            out = out.join(label_codes(df, c, by, high_cardinality=c in high_cardinality), [*by, c], "left")
+            out = join_codes(out, label_codes(df, c, by, high_cardinality=c in high_cardinality), c, by)
     return out.select(*df.columns, *[f"{c}_encoded" for c in cols])
 
 
@@ -115,5 +132,4 @@ def standard_scale(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
 def targets(df: DataFrame, stage: str = "deal_stage", by: Sequence[str] = ()) -> DataFrame:
     """binary target (Won) and multi-class code of the stage."""
     out = df.withColumn("target_binary", F.coalesce(F.col(stage) == "Won", F.lit(False)).cast("int"))
-    codes = label_codes(df, stage, by, out="target_multiclass")
-    return out.join(codes, [*by, stage], "left")
+    return join_codes(out, label_codes(df, stage, by, out="target_multiclass"), stage, by)

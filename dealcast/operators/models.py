@@ -83,8 +83,10 @@ def fit_calibrated(name: str, estimator, train: DataFrame, key: str = "opportuni
     for k in range(folds):
         base = estimator.fit(tagged.where(F.col("_fold") != k))
         held = positive_probability(base.transform(tagged.where(F.col("_fold") == k)))
-        held = held.select("score", "label")
-        iso = IsotonicRegression(featuresCol="score", labelCol="label", predictionCol="_iso",
+        # one row a distinct score, weighted by its count: the same fit, and only
+        # as many rows reach the pooled blocks as there are scores
+        held = held.groupBy("score").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
+        iso = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="_w", predictionCol="_iso",
                                  isotonic=True).fit(held)
         cal.folds.append((base, iso))
     return cal
@@ -133,15 +135,24 @@ def feature_importance(model, features: Sequence[str]) -> DataFrame:
     return df.orderBy(F.desc("importance"), "feature")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """M10."""
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | CalibratedModel, path: str) -> None:
+    """A pipeline model, or every fold of a calibrated model."""
+    if isinstance(model, CalibratedModel):
+        for i, (base, iso) in enumerate(model.folds):
+            PipelineModel([base, iso]).write().overwrite().save(f"{path}/{model.name}/fold-{i}")
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_calibrated(path: str, name: str, folds: int = FOLDS) -> CalibratedModel:
+    """The calibrated model that ``save_model`` wrote."""
+    return CalibratedModel(name, [tuple(PipelineModel.load(f"{path}/{name}/fold-{i}").stages) for i in range(folds)])
+
+
 def score_batch(model: CalibratedModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Probability, class and a monitoring timestamp."""
     out = model.predict(df)

@@ -68,7 +68,8 @@ def schema_check(df: DataFrame, by: Sequence[str] = (), schema: StructType = REQ
                 aggs.append(_flag(F.col(c) > hi).alias(f"{c}_above_max"))
                 range_terms.append(F.col(f"{c}_above_max"))
     if stage in df.columns:
-        aggs.append(_flag(F.col(stage).isNotNull() & ~F.col(stage).isin(*STAGES)).alias("invalid_stage_rows"))
+        # a null stage is no valid stage
+        aggs.append(_flag(F.col(stage).isNull() | ~F.col(stage).isin(*STAGES)).alias("invalid_stage_rows"))
     g = df.groupBy(*by).agg(*aggs)
     issues = F.lit(len(iss["missing"]) > 0).cast("int") + F.lit(len(iss["types"]))
     for t in range_terms:
@@ -210,39 +211,46 @@ def notebook_rules(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def training_gate(df: DataFrame, by: Sequence[str] = (), min_rows: int = 1000,
                   min_span_days: int = 30) -> DataFrame:
-    """Fail on missing required columns or nulls in target/value of
-    closed deals; warn on few rows, extreme win rate, null dates, short span."""
-    need = ["deal_stage", "close_value", "engage_date", "close_date"]
+    """Fails on missing required columns (is_won, is_closed,
+    sales_cycle_days, close_value) or nulls in is_won or close_value; warns on few
+    rows, an extreme win rate, null engage or close dates and a short or absent
+    span of engage dates. A missing column is a result, not an error."""
+    need = ["is_won", "is_closed", "sales_cycle_days", "close_value"]
     missing = [c for c in need if c not in df.columns]
-    st = F.col("deal_stage")
-    closed = st.isin("Won", "Lost")
-    g = df.groupBy(*by).agg(
-        F.count("*").alias("rows"),
-        F.avg(F.when(closed, F.when(st == "Won", 1.0).otherwise(0.0))).alias("win_rate"),
-        _flag(st.isNull()).alias("null_target"),
-        _flag(closed & F.col("close_value").isNull()).alias("null_value"),
-        _flag(F.col("engage_date").isNull()).alias("null_engage"),
-        F.datediff(F.max("engage_date"), F.min("engage_date")).alias("span_days"))
-    fail = (F.lit(len(missing) > 0) | (F.col("null_target") > 0) | (F.col("null_value") > 0))
-    warns = ((F.col("rows") < min_rows).cast("int")
-             + F.coalesce((F.col("win_rate") < 0.1) | (F.col("win_rate") > 0.9), F.lit(False)).cast("int")
-             + (F.col("null_engage") > 0).cast("int")
-             + F.coalesce(F.col("span_days") < min_span_days, F.lit(True)).cast("int"))
+    aggs = [F.count("*").alias("rows")]
+    fail, warns = F.lit(len(missing) > 0), F.when(F.col("rows") < min_rows, 1).otherwise(0)
+    if "is_won" in df.columns:
+        aggs.append(F.avg(F.col("is_won").cast("double")).alias("win_rate"))
+        warns = warns + F.when((F.col("win_rate") < 0.1) | (F.col("win_rate") > 0.9), 1).otherwise(0)
+    for c in ("is_won", "close_value"):
+        if c in df.columns:
+            aggs.append(_flag(F.col(c).isNull()).alias(f"null_{c}"))
+            fail = fail | (F.col(f"null_{c}") > 0)
+    for c in ("engage_date", "close_date"):
+        if c in df.columns:
+            aggs.append(_flag(F.col(c).isNull()).alias(f"null_{c}"))
+            warns = warns + F.when(F.col(f"null_{c}") > 0, 1).otherwise(0)
+    if "engage_date" in df.columns:
+        aggs.append(F.datediff(F.max("engage_date"), F.min("engage_date")).alias("span_days"))
+        warns = warns + F.when(F.col("span_days") >= min_span_days, 0).otherwise(1)
+    g = df.groupBy(*by).agg(*aggs)
     return g.withColumns({"missing_columns": F.lit(len(missing)), "warnings": warns, "passed": ~fail})
 
 
 def reference_set_check(df: DataFrame, prediction: str = "prediction", target: str = "is_won",
-                        by: Sequence[str] = ()) -> DataFrame:
+                        by: Sequence[str] = (), groups: DataFrame | None = None) -> DataFrame:
     """Prediction and target present, predictions within [0, 1], no
-    missing values in them, at least one row."""
+    missing values in them, at least one row. ``groups`` lists the groups that
+    must have a reference set: one without rows fails instead of vanishing."""
+    by = list(by)
     has = prediction in df.columns and target in df.columns
-    if not has:
-        return df.groupBy(*by).agg(F.count("*").alias("rows")).withColumn("passed", F.lit(False))
-    p = F.col(prediction)
-    g = df.groupBy(*by).agg(F.count("*").alias("rows"),
-                            _flag((p < 0) | (p > 1)).alias("out_of_range"),
-                            _flag(p.isNull() | F.col(target).isNull()).alias("missing"))
-    return g.withColumn("passed", (F.col("rows") > 0) & (F.col("out_of_range") == 0) & (F.col("missing") == 0))
+    p = F.col(prediction) if has else F.lit(None).cast("double")
+    t = F.col(target) if has else F.lit(None).cast("int")
+    g = df.groupBy(*by).agg(F.count("*").alias("rows"), _flag((p < 0) | (p > 1)).alias("out_of_range"),
+                            _flag(p.isNull() | t.isNull()).alias("missing"))
+    if groups is not None:
+        g = groups.select(*by).join(g, by, "left").fillna(0, subset=["rows", "out_of_range", "missing"])
+    return g.withColumn("passed", F.lit(has) & (F.col("rows") > 0) & (F.col("out_of_range") == 0) & (F.col("missing") == 0))
 
 
 def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -33,6 +33,7 @@ def with_expected_revenue(df: DataFrame) -> DataFrame:
         "expected_revenue": S.expected_revenue("close_value", P),
         "probability_category": S.probability_band(P),
         "risk_level": S.risk_level(P),
+        "priority": S.priority(P),
         "deal_size": S.deal_size("close_value"),
     })
 
@@ -49,14 +50,13 @@ def probability_band_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 def agent_insights(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per agent - pipeline count, mean and total probability, expected
-    revenue and value (rounded 3), ordered by expected revenue."""
+    revenue and value (rounded 3). Sort it where it is shown."""
     src = with_expected_revenue(df).where(F.col("sales_agent").isNotNull())
-    g = src.groupBy(*by, "sales_agent").agg(
+    return src.groupBy(*by, "sales_agent").agg(
         F.count(P).alias("pipeline_count"), S.rounded_avg(P, 3).alias("avg_win_prob"),
         S.rounded_sum(P, 3).alias("total_win_prob"),
         S.rounded_sum("expected_revenue", 3).alias("expected_revenue"),
         S.rounded_sum("close_value", 3).alias("total_value"))
-    return g.orderBy(*by, F.desc("expected_revenue"), "sales_agent")
 
 
 def pipeline_totals(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -122,8 +122,10 @@ def top_agents(df: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFrame:
 
 def reliability_curve(df: DataFrame, label: str = "is_won", bins: int = 10,
                       by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width probability bins - mean predicted vs observed rate."""
-    b = F.least(F.floor(F.col(P) * bins), F.lit(bins - 1)).cast("int")
+    """Equal-width probability bins - mean predicted vs observed rate. A
+    probability on an edge is in the lower bin; the edges are multiples of the
+    bin width, as floating-point numbers."""
+    b = sum(((F.col(P) > F.lit(i * (1.0 / bins))).cast("int") for i in range(1, bins)), F.lit(0))
     return df.where(F.col(P).isNotNull()).groupBy(*by, b.alias("bin")).agg(
         F.count("*").alias("count"), F.avg(P).alias("mean_predicted"),
         F.avg(F.col(label).cast("double")).alias("fraction_positive"))

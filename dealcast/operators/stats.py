@@ -27,24 +27,32 @@ from dealcast.session import materialize, shuffle_partitions
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    by: Sequence[str] = (), slices: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", totals: str | None = None, bounded: bool = True) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same ``by`` group whose
-    ordering key is <= the row's key (ties included, as a RANGE frame).
+    ordering key is <= the row's key (ties included, as a RANGE frame), and
+    with ``totals`` (a prefix) the group's whole sums. Both come from the
+    written slices, so the input is evaluated once.
+
+    ``bounded`` states that the ``by`` groups are few whatever the data's size
+    (periods, column names): the offsets, at most slices + groups rows, are then
+    broadcast. Pass False for groups that grow with the data.
     Runs one checkpoint job when called (see the module notes)."""
     by, order_cols, sum_cols = list(by), list(order_cols), list(sum_cols)
     n = slices or shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *by, *order_cols).withColumn("_slice", F.spark_partition_id())
     w_in = Window.partitionBy("_slice", *by).orderBy(*order_cols)  # default RANGE frame: peers included
     local = materialize(ranged.select("*", *[F.sum(c).over(w_in).alias(f"_loc_{c}") for c in sum_cols]))
-    totals = local.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    w_off = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_slice", *[
-        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    if not by:
-        offsets = F.broadcast(offsets)  # at most `slices` rows
+    sums = local.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    w_all = Window.partitionBy(*by)
+    w_off = w_all.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = [F.sum(f"_tot_{c}").over(w_all).alias(f"{totals}{c}") for c in sum_cols] if totals else []
+    offsets = sums.select(*by, "_slice", *[
+        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *whole)
+    if bounded or not by:
+        offsets = F.broadcast(offsets)
     out = local.join(offsets, [*by, "_slice"], "inner")
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}")
-                                     for c in sum_cols])
+                                     for c in sum_cols], *([f"{totals}{c}" for c in sum_cols] if totals else []))
 
 
 def _qname(q: float) -> str:
@@ -68,11 +76,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     counts = (df.where(F.col(value).isNotNull())
               .groupBy(*by, F.col(value).cast("double").alias("_v"))
               .agg((F.sum(weight) if weight else F.count("*")).cast("long").alias("_n")))
-    ranked = running_totals(counts, ["_v"], ["_n"], by=by, slices=slices)
-    if by:
-        r = ranked.join(counts.groupBy(*by).agg(F.sum("_n").alias("_total")), by, "inner")
-    else:  # whole-table count as a scalar subquery
-        r = ranked.withColumn("_total", counts.select(F.sum("_n")).scalar())
+    r = running_totals(counts, ["_v"], ["_n"], by=by, slices=slices, totals="_all").withColumnRenamed("_all_n", "_total")
     first_rank = F.col("cum__n") - F.col("_n")          # 0-based rank of the value's first copy
     last_rank = F.col("cum__n") - 1
     aggs = []
@@ -127,6 +131,11 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
             .drop("_one_row_key"))
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join per-group statistics (one row per ``by`` group) back to rows."""
-    return df.join(stats, list(by), "left") if by else attach_row(df, stats)
+def attach_stats(df: DataFrame, stats: DataFrame, by: Sequence[str], bounded: bool = True) -> DataFrame:
+    """Join per-group statistics (one row per ``by`` group) back to rows.
+    ``bounded`` states that the groups are few whatever the data's size
+    (periods, outcomes, column names): they are broadcast, and the rows, a third
+    of which may be one period's, are not shuffled. Pass False for others."""
+    if not by:
+        return attach_row(df, stats)
+    return df.join(F.broadcast(stats) if bounded else stats, list(by), "left")

@@ -15,16 +15,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dealcast.operators.stats import attach_stats, exact_quantiles, running_totals
 
-# The multiplicative hash used for reproducible sampling/splits.
-HASH_MULT, HASH_MOD = 2654435761, 1000003
-
 
 def stable_hash(key: str | Column, seed: int = 42, buckets: int = 1000) -> Column:
-    """Reproducible bucket in [0, buckets) from an integer key; plain integer
-    arithmetic, so the same bucket is computable in any SQL engine, and it
-    cannot overflow (the key is reduced first)."""
+    """Reproducible bucket in [0, buckets) from a key of any type: the first 60
+    bits of the md5 of its text and the seed, so any SQL engine can compute the
+    same bucket and no two keys share it by a narrow modulus."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k.cast("long"), F.lit(HASH_MOD)) * F.lit(HASH_MULT) + F.lit(seed), F.lit(buckets))
+    bits = F.substring(F.md5(F.concat(k.cast("string"), F.lit(f"-{seed}"))), 1, 15)
+    return F.pmod(F.conv(bits, 16, 10).cast("long"), F.lit(buckets))
 
 
 def known_at_engage(df: DataFrame, key: str, by: Sequence[str] = (), stage: str = "deal_stage",
@@ -80,11 +78,9 @@ def position_split(df: DataFrame, order_cols: Sequence[str], by: Sequence[str] =
     """First ``floor(n * share)`` rows by ``order_cols`` (per group) are
     'train', the rest 'test' - a distributed rank, not a one-task window."""
     by = list(by)
-    r = running_totals(df.withColumn("_one", F.lit(1)), list(order_cols), ["_one"], by=by)
-    n = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    r = attach_stats(r, n, by)
-    return r.withColumn(name, F.when(F.col("cum__one") <= F.floor(F.col("_n") * train_share), "train")
-                        .otherwise("test")).drop("_one", "cum__one", "_n")
+    r = running_totals(df.withColumn("_one", F.lit(1)), list(order_cols), ["_one"], by=by, totals="_all")
+    return r.withColumn(name, F.when(F.col("cum__one") <= F.floor(F.col("_all_one") * train_share), "train")
+                        .otherwise("test")).drop("_one", "cum__one", "_all_one")
 
 
 def temporal_split(df: DataFrame, by: Sequence[str] = (), train_share: float = 0.8,
@@ -103,10 +99,12 @@ def temporal_split(df: DataFrame, by: Sequence[str] = (), train_share: float = 0
 
 def stratified_split(df: DataFrame, key: str, strata: str, train_share: float = 0.8,
                      seed: int = 42) -> DataFrame:
-    """Within every stratum, a reproducible hash bucket decides the split
-    (no shuffle; each stratum is split independently by the same rule)."""
-    b = stable_hash(key, seed, 1000)
-    return df.withColumn("split", F.when(b < int(train_share * 1000), "train").otherwise("test"))
+    """In every stratum, the first ``floor(n * share)`` rows by a seeded hash
+    are 'train' - a distributed rank in each stratum (null is a stratum too)."""
+    cols = df.columns
+    tagged = df.withColumns({"_hash": stable_hash(key, seed, 1 << 30),
+                             "_stratum": F.coalesce(F.col(strata).cast("string"), F.lit("\u0000"))})
+    return position_split(tagged, ["_hash", key], ["_stratum"], train_share).select(*cols, "split")
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column], by: Sequence[str] = (),
@@ -120,17 +118,11 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column], by: Sequence[str] = ()
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, by: Sequence[str] = (), seed: int = 42,
-                  where: Column | None = None, only_if_larger: bool = True) -> DataFrame:
+                  where: Column | None = None) -> DataFrame:
     """Fixed-size reproducible sample of ``n`` rows per group, ordered by
-    a seeded hash of the key (tie-break on the key). With ``where`` (the
-    reference samples won rows only), the filter applies only to groups
-    larger than ``n``; smaller groups are taken whole."""
+    a seeded hash of the key (tie-break on the key), of the rows that satisfy
+    ``where`` whatever the group's size."""
     by = list(by)
-    src = df
-    if where is not None and only_if_larger:
-        sizes = df.groupBy(*by).agg(F.count("*").alias("_size"))
-        src = attach_stats(df, sizes, by).where((F.col("_size") <= n) | where).drop("_size")
-    elif where is not None:
-        src = df.where(where)
+    src = df if where is None else df.where(where)
     order = [stable_hash(key, seed, 1 << 30), F.col(key)]
     return top_k(src, n, order, by=by).drop("rank")

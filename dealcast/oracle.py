@@ -8,6 +8,8 @@ snapshot assembly.
 
 from __future__ import annotations
 
+from dealcast.operators.monthly import MODEL_FEATURES
+
 FIRST_MONTH = "1995-12"
 
 _WON = "o.o_orderstatus = 'F' AND substr(o.o_orderpriority, 1, 1) IN ('1', '2', '3')"
@@ -156,8 +158,9 @@ SCALED = ("close_value", "close_value_log", "deal_stage_order", "is_closed", "is
 
 
 def _enc(c: str) -> str:
-    return (f"CAST(CASE WHEN {c} IS NOT NULL THEN dense_rank() OVER "
-            f"(PARTITION BY snapshot_period ORDER BY {c} NULLS LAST) - 1 END AS INTEGER) AS {c}_encoded")
+    # null is a class of its own, after all values
+    return (f"CAST(dense_rank() OVER (PARTITION BY snapshot_period ORDER BY {c} NULLS LAST) - 1 AS INTEGER) "
+            f"AS {c}_encoded")
 
 
 def _scaled(c: str) -> str:
@@ -221,7 +224,7 @@ pipe AS (
          CASE WHEN win_probability > 0 AND win_probability <= 0.3 THEN 'Low (0-30%)'
               WHEN win_probability > 0.3 AND win_probability <= 0.6 THEN 'Medium (30-60%)'
               WHEN win_probability > 0.6 AND win_probability <= 0.8 THEN 'High (60-80%)'
-              WHEN win_probability > 0.8 AND win_probability <= 1.0 THEN 'Very High (80-100%)' END
+              WHEN win_probability > 0.8 AND win_probability <= 1.0 THEN 'Very High (80%+)' END
            AS probability_category
   FROM scored WHERE is_closed = 0 OR should_close_next_month = 1)"""
 
@@ -289,16 +292,6 @@ dr AS (
     DRIFT_NUMERIC, DRIFT_CATEGORICAL) + "," + drift_ctes(
     "dr", "snapshot_period", "SELECT * FROM pairs", ["prediction"], ["close_value_category"], prefix="p_")
 
-MODEL_FEATURES = (
-    "close_value_log", "close_value_category_encoded", "days_since_engage", "sales_cycle_days",
-    "engage_month", "engage_quarter", "engage_day_of_week", "agent_win_rate",
-    "agent_opportunity_count", "product_win_rate", "product_popularity", "revenue", "employees",
-    "is_repeat_account", "account_frequency", "should_close_next_month", "is_overdue",
-    "is_early_stage", "high_value_deal", "long_sales_cycle", "sales_velocity",
-    "sales_agent_encoded", "product_encoded", "account_encoded", "manager_encoded",
-    "regional_office_encoded", "sector_encoded")
-
-
 def training_matrix_sql() -> str:
     meds = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in MODEL_FEATURES)
     cols = ", ".join(f"coalesce(CAST(t.{c} AS DOUBLE), m.m_{c}) AS {c}" for c in MODEL_FEATURES)

@@ -115,14 +115,19 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 over all snapshots: training rows with the 27 model features
-    (median-filled), label and split (W3 over the whole table)."""
-    from dealcast.functions import scalar as S
-    from dealcast.operators.monthly import MODEL_FEATURES, monthly_features, training_matrix
+    """M2 over all snapshots (see ``model_rows``)."""
+    from dealcast.operators.monthly import monthly_features
+    from dealcast.session import materialize
+    return model_rows(materialize(monthly_features(features(spark, sf_dir), by=BY)))
+
+
+def model_rows(monthly_rows: DataFrame) -> DataFrame:
+    """Training rows with the 27 model features (median-filled), label and
+    split (W3 over the whole table) of written monthly features."""
+    from dealcast.operators.monthly import MODEL_FEATURES, training_matrix
     from dealcast.operators.windows import temporal_split
     from dealcast.session import materialize
-    f = materialize(monthly_features(features(spark, sf_dir), by=BY))
-    m = training_matrix(f, by=BY, keep=("opportunity_id", "opportunity_key", "is_won", "is_closed",
+    m = training_matrix(monthly_rows, by=BY, keep=("opportunity_id", "opportunity_key", "is_won", "is_closed",
                                          "deal_stage", "engage_date", "close_date"))
     split = temporal_split(m.where(F.col("is_closed") == 1), by=())
     return materialize(split.select("opportunity_id", "opportunity_key", "is_won", "split", *MODEL_FEATURES))

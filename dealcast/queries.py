@@ -182,11 +182,11 @@ def q_a2(spark, d):
     return A.performance(D.snapshots(spark, d), "product", by=BY)
 
 
-@query("a3_account_performance", O.with_(O.SNAPS) + """
+@query("a3_account_performance", O.with_(O.SNAPS) + f"""
 SELECT snapshot_period, account,
        CAST(round_even(CAST(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS account_win_rate,
-       sum(close_value) AS account_value, count(*) AS account_deals
-FROM snaps WHERE account IS NOT NULL GROUP BY snapshot_period, account""")
+       CAST(round_even(sum(CAST(close_value AS DECIMAL(38,10))), 3) AS DOUBLE) AS account_value, count(*) AS account_deals
+{_CLOSED_SNAPS} AND account IS NOT NULL GROUP BY snapshot_period, account""")
 def q_a3(spark, d):
     return A.account_performance(D.snapshots(spark, d), by=BY)
 
@@ -198,11 +198,12 @@ def q_a4(spark, d):
     return A.value_counts(D.snapshots(spark, d), "deal_stage", by=BY)
 
 
-@query("a5_monthly_pattern", O.with_(O.SNAPS) + f"""
+@query("a5_monthly_pattern", O.with_(O.SNAPS) + """
 SELECT CAST(month(engage_date) AS INTEGER) AS engage_month, count(*) AS deals,
        CAST(sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS BIGINT) AS wins,
-       avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate, avg(close_value) AS avg_value
-{_CLOSED_SNAPS} AND engage_date IS NOT NULL GROUP BY 1""")
+       CAST(round_even(CAST(avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS DECIMAL(38,10)), 3) AS DOUBLE) AS win_rate,
+       CAST(round_even(CAST(avg(close_value) AS DECIMAL(38,10)), 3) AS DOUBLE) AS avg_value
+FROM snaps WHERE engage_date IS NOT NULL GROUP BY 1""")
 def q_a5(spark, d):
     return A.monthly_pattern(D.snapshots(spark, d))
 
@@ -210,28 +211,25 @@ def q_a5(spark, d):
 @query("a6_win_rate_by_band", O.with_(O.SNAPS) + f"""
 SELECT snapshot_period, value_band, count(*) AS deals,
        avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate
-FROM (SELECT *, {O.VALUE_BAND} AS value_band {_CLOSED_SNAPS})
+FROM (SELECT *, {O.VALUE_BAND} AS value_band FROM snaps)
 WHERE value_band IS NOT NULL GROUP BY snapshot_period, value_band""")
 def q_a6(spark, d):
     return A.win_rate_by_band(D.snapshots(spark, d), by=BY)
 
 
-@query("a6_win_rate_by_quartile", O.with_(O.SNAPS) + f""",
-c AS (SELECT * {_CLOSED_SNAPS} AND close_value IS NOT NULL),
-q AS (SELECT quantile_cont(close_value, 0.25) AS q25, quantile_cont(close_value, 0.5) AS q50,
-             quantile_cont(close_value, 0.75) AS q75 FROM c)
-SELECT CASE WHEN close_value <= q25 THEN 'Q1' WHEN close_value <= q50 THEN 'Q2'
-            WHEN close_value <= q75 THEN 'Q3' ELSE 'Q4' END AS value_quartile,
+@query("a6_win_rate_by_quartile", O.with_(O.SNAPS) + """,
+q AS (SELECT quantile_cont(close_value, 0.4) AS q40, quantile_cont(close_value, 0.6) AS q60 FROM snaps)
+SELECT CASE WHEN close_value >= q60 THEN 'High' WHEN close_value <= q40 THEN 'Low' ELSE 'Medium' END AS value_category,
        count(*) AS deals, avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate
-FROM c, q GROUP BY 1""")
+FROM snaps, q GROUP BY 1""")
 def q_a6q(spark, d):
     return A.win_rate_by_quartile(D.snapshots(spark, d))
 
 
-@query("a7_agent_stats_having", O.with_(O.SNAPS) + f"""
+@query("a7_agent_stats_having", O.with_(O.SNAPS) + """
 SELECT sales_agent, count(*) AS deals, avg(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) AS win_rate,
        avg(close_value) AS avg_value
-{_CLOSED_SNAPS} AND sales_agent IS NOT NULL GROUP BY sales_agent HAVING count(*) >= 10""")
+FROM snaps WHERE sales_agent IS NOT NULL GROUP BY sales_agent HAVING count(*) >= 10""")
 def q_a7(spark, d):
     return A.agent_stats(D.snapshots(spark, d))
 
@@ -271,23 +269,42 @@ def q_a15(spark, d):
     return A.describe(D.snapshots(spark, d), "close_value", by=BY)
 
 
-@query("a16_value_histogram", O.with_(O.SNAPS) + f""",
-c AS (SELECT deal_stage, close_value {_CLOSED_SNAPS} AND close_value IS NOT NULL),
-r AS (SELECT min(close_value) AS lo, max(close_value) AS hi, count(*) AS n FROM c),
-b AS (SELECT c.deal_stage, r.lo, r.hi, r.n,
-             CAST(CASE WHEN (r.hi - r.lo) / 20 = 0 THEN 0
-                       ELSE least(floor((c.close_value - r.lo) / ((r.hi - r.lo) / 20)), 19) END AS INTEGER) AS bin
-      FROM c, r)
-SELECT deal_stage, bin, any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 20 AS bin_start,
-       any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / 20 AS bin_end, count(*) AS count,
-       CASE WHEN (any_value(hi) - any_value(lo)) / 20 > 0
-            THEN count(*) / (any_value(n) * ((any_value(hi) - any_value(lo)) / 20)) END AS density
-FROM b GROUP BY deal_stage, bin""")
+def _histogram_sql(src: str, value: str, bins: int, split: str) -> str:
+    """Each value of ``split`` is a histogram of its own."""
+    return f""",
+c AS (SELECT {split}, {value} AS v FROM {src} WHERE {value} IS NOT NULL),
+r AS (SELECT {split}, min(v) AS lo, max(v) AS hi, count(*) AS n FROM c GROUP BY 1),
+b AS (SELECT c.{split}, r.lo, r.hi, r.n,
+             CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((c.v - r.lo) / ((r.hi - r.lo) / {bins})), {bins - 1}) END AS INTEGER) AS bin
+      FROM c JOIN r USING ({split}))
+SELECT {split}, bin, any_value(lo) + bin * ((any_value(hi) - any_value(lo)) / {bins}) AS bin_start,
+       any_value(lo) + (bin + 1) * ((any_value(hi) - any_value(lo)) / {bins}) AS bin_end, count(*) AS count,
+       CASE WHEN any_value(hi) > any_value(lo) THEN count(*) / (any_value(n) * ((any_value(hi) - any_value(lo)) / {bins})) END AS density
+FROM b GROUP BY {split}, bin"""
+
+
+@query("a16_value_histogram", O.with_(O.SNAPS) + _histogram_sql(
+    "(SELECT * FROM snaps WHERE deal_stage IN ('Won', 'Lost'))", "close_value", 20, "deal_stage"))
 def q_a16(spark, d):
     s = D.snapshots(spark, d).where(F.col("deal_stage").isin("Won", "Lost"))
     return A.histogram(s, "close_value", bins=20, split="deal_stage")
 
 
+@query("a16_cycle_histogram", O.with_(O.SNAPS) + _histogram_sql(
+    "(SELECT *, CAST(close_date - engage_date AS DOUBLE) AS cycle FROM snaps WHERE deal_stage IN ('Won', 'Lost'))", "cycle", 30, "deal_stage"))
+def q_a16_cycle(spark, d):
+    """Sales cycle days by outcome, 30 bins, as densities."""
+    from dealcast.functions import scalar as S
+    s = D.snapshots(spark, d).where(F.col("deal_stage").isin("Won", "Lost")).withColumn("cycle", S.cycle_days().cast("double"))
+    return A.histogram(s, "cycle", bins=30, split="deal_stage")
+
+
+@query("a16_probability_histogram", O.with_(O.SCORED) + _histogram_sql("pipe", "win_probability", 30, "snapshot_period"))
+def q_a16_probability(spark, d):
+    """Win probability of each period's open pipeline, 30 bins."""
+    return A.histogram(D.pipeline(spark, d), "win_probability", bins=30, split="snapshot_period")
+
+
 @query("a17_monthly_trend", O.with_(O.SNAPS) + """
 SELECT CAST(year(engage_date) AS INTEGER) AS year, CAST(month(engage_date) AS INTEGER) AS month,
        count(*) AS count FROM snaps WHERE engage_date IS NOT NULL GROUP BY 1, 2""")
@@ -413,8 +430,11 @@ def q_t2_agents(spark, d):
     return top_agents(D.pipeline(spark, d), 5, by=BY)
 
 
-@query("m12_reliability_curve", O.with_(O.SCORED) + """
-SELECT CAST(least(floor(win_probability * 10), 9) AS INTEGER) AS bin, count(*) AS count,
+_BIN10 = " + ".join(f"(win_probability > CAST({i * 0.1!r} AS DOUBLE))::INT" for i in range(1, 10))
+
+
+@query("m12_reliability_curve", O.with_(O.SCORED) + f"""
+SELECT CAST({_BIN10} AS INTEGER) AS bin, count(*) AS count,
        avg(win_probability) AS mean_predicted, avg(CAST(is_won AS DOUBLE)) AS fraction_positive
 FROM scored WHERE is_closed = 1 AND win_probability IS NOT NULL GROUP BY 1""")
 def q_m12(spark, d):
@@ -482,27 +502,29 @@ def q_w4(spark, d):
         "opportunity_id", "snapshot_period", "deal_stage", "effective_close", "split")
 
 
-@query("w5_stratified_split", O.with_(O.SNAPS) + """
+_HASH = "CAST(('0x' || substr(md5(CAST(opportunity_key AS VARCHAR) || '-42'), 1, 15)) AS BIGINT)"
+
+
+@query("w5_stratified_split", O.with_(O.SNAPS) + f"""
 SELECT opportunity_id, deal_stage,
-       CASE WHEN ((opportunity_key % 1000003) * 2654435761 + 42) % 1000 < 800 THEN 'train' ELSE 'test' END AS split
+       CASE WHEN row_number() OVER (PARTITION BY deal_stage ORDER BY {_HASH} % 1073741824, opportunity_key)
+                 <= floor(count(*) OVER (PARTITION BY deal_stage) * 0.8) THEN 'train' ELSE 'test' END AS split
 FROM snaps""")
 def q_w5(spark, d):
     from dealcast.operators.windows import stratified_split
-    s = D.snapshots(spark, d)
+    s = D.snapshots(spark, d).select("opportunity_id", "opportunity_key", "deal_stage")
     return stratified_split(s, "opportunity_key", "deal_stage").select("opportunity_id", "deal_stage", "split")
 
 
-@query("t3_seeded_sample", O.with_(O.SNAPS) + """,
-sz AS (SELECT snapshot_period, count(*) AS n FROM snaps GROUP BY 1),
-src AS (SELECT s.* FROM snaps s JOIN sz USING (snapshot_period) WHERE sz.n <= 1000 OR s.deal_stage = 'Won')
+@query("t3_seeded_sample", O.with_(O.SNAPS) + f"""
 SELECT opportunity_id, snapshot_period, deal_stage FROM (
-  SELECT *, row_number() OVER (PARTITION BY snapshot_period
-         ORDER BY ((opportunity_key % 1000003) * 2654435761 + 42) % 1073741824, opportunity_key) AS rn FROM src)
+  SELECT *, row_number() OVER (PARTITION BY snapshot_period ORDER BY {_HASH} % 1073741824, opportunity_key) AS rn
+  FROM snaps WHERE deal_stage = 'Won')
 WHERE rn <= 1000""")
 def q_t3(spark, d):
+    """At most 1000 of each period's won rows, by a seeded hash (the sample is the feature)."""
     from dealcast.operators.windows import seeded_sample
-    s = D.snapshots(spark, d)
-    out = seeded_sample(s, 1000, "opportunity_key", by=BY, where=F.col("deal_stage") == "Won")
+    out = seeded_sample(D.snapshots(spark, d), 1000, "opportunity_key", by=BY, where=F.col("deal_stage") == "Won")
     return out.select("opportunity_id", "snapshot_period", "deal_stage")
 
 
@@ -521,7 +543,7 @@ def _cnt(cond: str) -> str:
 
 
 _V1_AGG = f"""count(*) AS rows, {_cnt('close_value < 0')} AS close_value_below_min,
-       {_cnt(f'deal_stage IS NOT NULL AND deal_stage NOT IN {_STAGE_LIST}')} AS invalid_stage_rows"""
+       {_cnt(f'deal_stage IS NULL OR deal_stage NOT IN {_STAGE_LIST}')} AS invalid_stage_rows"""
 _V1_SQL = O.with_(O.VAL) + f""",
 v1 AS (SELECT snapshot_period, {_V1_AGG} FROM val GROUP BY snapshot_period)
 SELECT *, CAST(0 AS INTEGER) AS missing_columns, CAST(1 AS INTEGER) AS extra_columns,
@@ -650,23 +672,22 @@ def q_v12(spark, d):
     return notebook_rules(D.validated(spark, d), by=BY)
 
 
-@query("v13_training_gate", O.with_(O.VAL) + f""",
-g AS (SELECT snapshot_period, count(*) AS rows,
-             avg(CASE WHEN deal_stage IN ('Won', 'Lost') THEN CASE WHEN deal_stage = 'Won' THEN 1.0 ELSE 0.0 END END)
-               AS win_rate,
-             {_cnt('deal_stage IS NULL')} AS null_target,
-             {_cnt("deal_stage IN ('Won', 'Lost') AND close_value IS NULL")} AS null_value,
-             {_cnt('engage_date IS NULL')} AS null_engage,
+@query("v13_training_gate", O.with_(O.SCORED) + f""",
+g AS (SELECT snapshot_period, count(*) AS rows, avg(CAST(is_won AS DOUBLE)) AS win_rate,
+             {_cnt('is_won IS NULL')} AS null_is_won, {_cnt('close_value IS NULL')} AS null_close_value,
+             {_cnt('engage_date IS NULL')} AS null_engage_date, {_cnt('close_date IS NULL')} AS null_close_date,
              CAST(max(engage_date) - min(engage_date) AS INTEGER) AS span_days
-      FROM val GROUP BY snapshot_period)
+      FROM base GROUP BY snapshot_period)
 SELECT *, CAST(0 AS INTEGER) AS missing_columns,
-       CAST((rows < 1000)::INT + coalesce(win_rate < 0.1 OR win_rate > 0.9, false)::INT + (null_engage > 0)::INT
+       CAST((rows < 1000)::INT + (win_rate < 0.1 OR win_rate > 0.9)::INT + (null_engage_date > 0)::INT + (null_close_date > 0)::INT
             + coalesce(span_days < 30, true)::INT AS INTEGER) AS warnings,
-       NOT (null_target > 0 OR null_value > 0) AS passed
+       NOT (null_is_won > 0 OR null_close_value > 0) AS passed
 FROM g""")
 def q_v13(spark, d):
+    from dealcast.functions import scalar as S
     from dealcast.operators.quality import training_gate
-    return training_gate(D.validated(spark, d), by=BY)
+    c = D.cleaned(spark, d).withColumns({**S.stage_flags(), "sales_cycle_days": S.cycle_days()})
+    return training_gate(c, by=BY)
 
 
 def _suite_sql() -> str:
@@ -945,7 +966,7 @@ def q_m3(spark, d):
 def q_m13(spark, d):
     from dealcast.operators import models as M
     train, test = _model_data(spark, d)
-    metrics, _ = M.compare_models(train, test, ["logistic_regression", "random_forest"])
+    metrics, _ = M.compare_models(train, test)
     return M.monitoring_thresholds(metrics)
 
 
@@ -960,21 +981,20 @@ def q_m15(spark, d):
 
 @query("m11_batch_scoring", None)
 def q_m11(spark, d):
-    """Calibrated logistic model scores the open pipeline (M10 round trip
-    through a saved pipeline model under the checkpoint folder)."""
-    from dealcast.operators import models as M
-    from dealcast.operators.monthly import MODEL_FEATURES, fill_medians, monthly_features, pipeline_rows
-    from dealcast.session import scratch_path
+    """The saved and loaded calibrated logistic model scores the open pipeline;
+    a feature that is missing there is 0."""
     import uuid
-    train, _ = _model_data(spark, d)
-    cal = M.fit_calibrated("logistic_regression", M.candidates()["logistic_regression"], train)
+    from dealcast.operators import models as M
+    from dealcast.operators.monthly import MODEL_FEATURES, monthly_features, pipeline_rows
+    from dealcast.session import materialize, scratch_path
+    monthly = materialize(monthly_features(D.features(spark, d), by=BY))
+    data = M.prepare(D.model_rows(monthly), MODEL_FEATURES)
+    train = data.where(F.col("split") == "train")
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
-    M.save_model(M.pipeline_for(MODEL_FEATURES, M.candidates()["logistic_regression"]).fit(
-        D.model_frame(spark, d).withColumn("label", F.col("is_won").cast("double"))), path)
-    M.load_model(path)
-    pipe = pipeline_rows(monthly_features(D.features(spark, d), by=BY))
-    pipe = fill_medians(pipe, list(MODEL_FEATURES), by=BY)
-    scored = M.score_batch(cal, M.prepare(pipe, MODEL_FEATURES))
+    M.save_model(M.fit_calibrated("logistic_regression", M.candidates()["logistic_regression"], train), path)
+    model = M.load_calibrated(path, "logistic_regression")
+    pipe = pipeline_rows(monthly).fillna(0, subset=list(MODEL_FEATURES))
+    scored = M.score_batch(model, M.prepare(pipe, MODEL_FEATURES))
     return scored.select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
 
 
@@ -1148,12 +1168,14 @@ def q_f10(spark, d):
 @query("f16_f18_pipeline_labels", O.with_(O.SCORED) + """
 SELECT opportunity_id, snapshot_period, expected_revenue,
        CASE WHEN win_probability > 0.7 THEN 'Low' WHEN win_probability > 0.4 THEN 'Medium' ELSE 'High' END AS risk_level,
+       CASE WHEN win_probability > 0.7 THEN 'High Priority Opportunity' WHEN win_probability > 0.4 THEN 'Medium Priority - Needs Attention'
+            ELSE 'Low Priority - High Risk' END AS priority,
        CASE WHEN close_value > 5000 THEN 'Large' WHEN close_value > 1000 THEN 'Medium' ELSE 'Small' END AS deal_size
 FROM pipe""")
 def q_f17(spark, d):
     from dealcast.operators.reports import with_expected_revenue
     return with_expected_revenue(D.pipeline(spark, d)).select(
-        "opportunity_id", "snapshot_period", "expected_revenue", "risk_level", "deal_size")
+        "opportunity_id", "snapshot_period", "expected_revenue", "risk_level", "priority", "deal_size")
 
 
 @query("f19_period_arithmetic", O.with_(O.SNAPS) + """
@@ -1173,25 +1195,22 @@ def q_f19(spark, d):
 
 
 @query("d1_v14_reference_set", O.with_(O.SCORED) + """,
-sz AS (SELECT snapshot_period, count(*) AS n FROM scored GROUP BY 1),
-src AS (SELECT s.* FROM scored s JOIN sz USING (snapshot_period) WHERE sz.n <= 1000 OR s.is_won = 1),
-ref AS (SELECT * FROM (
-          SELECT *, row_number() OVER (PARTITION BY snapshot_period
-                 ORDER BY ((opportunity_key % 1000003) * 2654435761 + 42) % 1073741824, opportunity_key) AS rn
-          FROM src) WHERE rn <= 1000)
-SELECT snapshot_period, count(*) AS rows,
-       CAST(sum(CASE WHEN win_probability < 0 OR win_probability > 1 THEN 1 ELSE 0 END) AS BIGINT) AS out_of_range,
-       CAST(sum(CASE WHEN win_probability IS NULL OR is_won IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
-       count(*) > 0 AND sum(CASE WHEN win_probability < 0 OR win_probability > 1 THEN 1 ELSE 0 END) = 0
-         AND sum(CASE WHEN win_probability IS NULL OR is_won IS NULL THEN 1 ELSE 0 END) = 0 AS passed
-FROM ref GROUP BY snapshot_period""")
+p AS (SELECT DISTINCT snapshot_period FROM snaps),
+ref AS (SELECT snapshot_period, count(*) AS rows,
+               sum(CASE WHEN win_probability < 0 OR win_probability > 1 THEN 1 ELSE 0 END) AS bad,
+               sum(CASE WHEN win_probability IS NULL OR is_won IS NULL THEN 1 ELSE 0 END) AS missing
+        FROM scored WHERE is_closed = 1 GROUP BY snapshot_period)
+SELECT snapshot_period, CAST(coalesce(rows, 0) AS BIGINT) AS rows, CAST(coalesce(bad, 0) AS BIGINT) AS out_of_range,
+       CAST(coalesce(missing, 0) AS BIGINT) AS missing,
+       coalesce(rows, 0) > 0 AND coalesce(bad, 0) = 0 AND coalesce(missing, 0) = 0 AS passed
+FROM p LEFT JOIN ref USING (snapshot_period)""")
 def q_d1(spark, d):
-    """The reference set is a seeded sample (won rows when the snapshot
-    is larger than the sample) of the scored set; V14 checks it."""
+    """The reference set holds all closed deals of a period's scored set (their
+    outcome is known); V14 checks it for every period, also one without any."""
     from dealcast.operators.quality import reference_set_check
-    from dealcast.operators.windows import seeded_sample
-    ref = seeded_sample(D.scored(spark, d), 1000, "opportunity_key", by=BY, where=F.col("is_won") == 1)
-    return reference_set_check(ref, "win_probability", "is_won", by=BY)
+    s = D.scored(spark, d)
+    return reference_set_check(s.where(F.col("is_closed") == 1), "win_probability", "is_won", by=BY,
+                               groups=s.select("snapshot_period").distinct())
 
 
 @query("c11_first_n_periods", O.with_(O.OPPS) + """,

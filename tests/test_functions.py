@@ -26,7 +26,7 @@ def test_probability_band_excludes_zero(spark):
     assert _one(spark, S.probability_band, 0.0) is None
     assert _one(spark, S.probability_band, 0.3) == "Low (0-30%)"
     assert _one(spark, S.probability_band, 0.31) == "Medium (30-60%)"
-    assert _one(spark, S.probability_band, 1.0) == "Very High (80-100%)"
+    assert _one(spark, S.probability_band, 1.0) == "Very High (80%+)"
 
 
 def test_cycle_band(spark):
