@@ -34,12 +34,6 @@ def consecutive_pairs(df: DataFrame, period: str) -> DataFrame:
         .where(F.col("ref_period").isNotNull())
 
 
-def fixed_reference_pairs(df: DataFrame, period: str, reference: Column) -> DataFrame:
-    """(reference, each period) - every period against one fixed reference."""
-    p = df.select(F.col(period).alias("cur_period")).where(F.col("cur_period").isNotNull()).distinct()
-    return p.select(reference.alias("ref_period"), "cur_period")
-
-
 def sides(df: DataFrame, period: str, pairs: DataFrame) -> DataFrame:
     """Rows tagged ``side`` = 'ref' / 'cur' for every pair they belong to.
     ``pairs`` has one row per period (calendar-bounded): broadcast."""
@@ -204,24 +198,49 @@ def alert_level(dataset_drift_flag: Column, prediction_drift: Column, drifted: C
             .when(drifted > ALERT_LOW_COLUMNS, "LOW").otherwise("NONE"))
 
 
+def tests_against_reference(suite: DataFrame, pairs: DataFrame, period: str) -> DataFrame:
+    """Whether a period's quality counts (V16) are no worse than its reference
+    period's: no more columns with missing values or constant ones, as many
+    duplicated columns, and rows with missing values or repeated ones in the
+    reference's proportion, within a tenth. One row a pair."""
+    cols = ("rows", "columns_with_missing", "rows_with_missing", "constant_columns", "duplicated_columns", "duplicated_rows")
+    ref = suite.select(F.col(period).alias("ref_period"), *[F.col(c).alias(f"r_{c}") for c in cols])
+    cur = suite.select(F.col(period).alias("cur_period"), *cols)
+    scale = F.col("rows") / F.col("r_rows")
+    copies = F.col("r_duplicated_rows") * scale
+    passed = ((F.col("columns_with_missing") <= F.col("r_columns_with_missing"))
+              & (F.col("rows_with_missing") <= F.col("r_rows_with_missing") * scale * 1.1)
+              & (F.col("constant_columns") <= F.col("r_constant_columns"))
+              & (F.col("duplicated_columns") == F.col("r_duplicated_columns"))
+              & (F.abs(F.col("duplicated_rows") - copies) <= copies * 0.1))
+    # a row a period on each side
+    return (pairs.join(F.broadcast(ref), "ref_period").join(F.broadcast(cur), "cur_period")
+            .select(*PAIR, passed.alias("quality_passed")))
+
+
 def monitoring_summary(tagged: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                       prediction: str = "prediction", label: str = "is_won") -> DataFrame:
+                       prediction: str = "prediction", label: str = "is_won",
+                       quality: DataFrame | None = None) -> DataFrame:
     """D5, D6, D9, D13-D15 per pair: dataset drift, prediction drift (KS of
-    the prediction), drifted columns, missing share, classification quality
-    on the current side, drift flag, alert level and health."""
-    cd = column_drift(tagged, numeric, categorical)
-    ds = dataset_drift(cd)
-    pred = numeric_drift(tagged, [prediction]).select(*PAIR, F.col("drift_score").alias("prediction_drift"))
+    the prediction, ranked together with the other columns), drifted columns,
+    missing share, classification quality on the current side, drift flag, alert
+    level and health: no drift and, with ``quality`` (a row a pair), passed tests."""
+    from dealcast.session import materialize
+    cd = materialize(column_drift(tagged, [*numeric, prediction], categorical))
+    ds = dataset_drift(cd.where(F.col("feature") != prediction))
+    pred = cd.where(F.col("feature") == prediction).select(*PAIR, F.col("drift_score").alias("prediction_drift"))
     cur = tagged.where(F.col("side") == "cur")
     miss = missing_share(cur, list(numeric) + list(categorical), PAIR)
     qual = classification_quality(cur.where(F.col(label).isNotNull()), label, prediction, by=PAIR) \
         .select(*PAIR, "accuracy", "precision", "recall", "f1", "roc_auc")
     j = ds.join(pred, PAIR, "left").join(miss, PAIR, "left").join(qual, PAIR, "left")
+    j = j.join(quality, PAIR, "left") if quality is not None else j.withColumn("quality_passed", F.lit(True))
     detected = F.col("dataset_drift") | F.coalesce(F.col("prediction_drift") > PREDICTION_DRIFT_DETECTED, F.lit(False))
     return j.withColumns({
+        "quality_passed": F.coalesce("quality_passed", F.lit(False)),
         "drift_detected": detected,
         "alert_level": alert_level(F.col("dataset_drift"), F.col("prediction_drift"), F.col("num_drifted_columns")),
-        "healthy": ~detected})
+        "healthy": ~detected & F.coalesce("quality_passed", F.lit(False))})
 
 
 def alerts(summary: DataFrame) -> DataFrame:
@@ -252,27 +271,80 @@ def performance_drop(summary: DataFrame, metric: str = "roc_auc", threshold: flo
                           F.coalesce(prev - F.col(metric) > threshold, F.lit(False)).alias("performance_drift"))
 
 
+def fixed_reference_ks(counts: DataFrame, period: str, reference: Column) -> DataFrame:
+    """Exact KS distance of every period to one reference period, from counts
+    ``(period, feature, value, n)``: ``(period, feature, drift_score)``.
+
+    The reference's cumulative counts are taken once per feature over all
+    values, each period's own over its values; no row of the reference is
+    repeated for a period. Between two values of a period its ECDF is flat, so
+    the largest gap is at one of its values or just before it."""
+    per_value = counts.groupBy("feature", "value").agg(
+        F.sum(F.when(F.col(period) == reference, F.col("n")).otherwise(0)).alias("ref"))
+    base = running_totals(per_value, ["value"], ["ref"], by=["feature"], totals="all_")
+    own = running_totals(counts, ["value"], ["n"], by=[period, "feature"], totals="all_")
+    j = own.join(base, ["feature", "value"])
+    at = F.abs(F.col("cum_n") / F.col("all_n") - F.col("cum_ref") / F.col("all_ref"))
+    before = F.abs((F.col("cum_n") - F.col("n")) / F.col("all_n") - (F.col("cum_ref") - F.col("ref")) / F.col("all_ref"))
+    return j.where("all_ref > 0").groupBy(period, "feature").agg(F.max(F.greatest(at, before)).alias("drift_score"))
+
+
+def fixed_reference_js(counts: DataFrame, period: str, reference: Column) -> DataFrame:
+    """Jensen-Shannon distance of every period to one reference period, from
+    counts of category values. Values that only the reference has add half of
+    their share times log 2, which is their total share less the shared ones."""
+    totals = counts.groupBy(period, "feature").agg(F.sum("n").alias("t"))
+    ref = counts.where(F.col(period) == reference).select("feature", "value", F.col("n").alias("r"))
+    t_ref = totals.where(F.col(period) == reference).select("feature", F.col("t").alias("tr"))
+    j = (counts.join(totals, [period, "feature"]).join(F.broadcast(t_ref), "feature").join(ref, ["feature", "value"], "left"))
+    p, q = F.coalesce(F.col("r"), F.lit(0)) / F.col("tr"), F.col("n") / F.col("t")
+    m = (p + q) / 2
+    term = F.when(p > 0, 0.5 * p * F.log(p / m)).otherwise(0.0) + 0.5 * q * F.log(q / m)
+    g = j.groupBy(period, "feature").agg(F.sum(term).alias("_s"), F.sum(p).alias("_p"))
+    lone = (F.lit(1.0) - F.col("_p")) * 0.5 * F.log(F.lit(2.0))
+    return g.select(period, "feature", F.sqrt(F.greatest(F.col("_s") + lone, F.lit(0.0))).alias("drift_score"))
+
+
+def period_counts(df: DataFrame, period: str, cols: Sequence[str], cast: str) -> DataFrame:
+    """(period, feature, value, n) of the non-null values: one pass, partial counts."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS {cast})" for c in cols)
+    long = df.select(period, F.expr(f"stack({len(cols)}, {pairs}) AS (feature, value)"))
+    return long.where(F.col("value").isNotNull()).groupBy(period, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def daily_metrics(events: DataFrame, ts: str = "ts", prediction: str = "value",
                   numeric: Sequence[str] = ("value", "k"), categorical: Sequence[str] = ("event_type",),
                   quantile_col: str = "value", reference_day: Column | None = None) -> DataFrame:
     """Per day - prediction drift, drifted columns, share of missing
     values, median and share in the reference range, every day against one
-    fixed reference day (the first day by default). One plan, no day loop."""
-    ev = events.withColumn("day", F.to_date(F.col(ts)))
-    ref_day = reference_day if reference_day is not None else ev.select(F.min("day")).scalar()
-    pairs = fixed_reference_pairs(ev, "day", ref_day)
-    tagged = sides(ev, "day", pairs)
-    cd = column_drift(tagged, numeric, categorical)
-    drifted = cd.groupBy(*PAIR).agg(F.sum(F.col("drifted").cast("int")).alias("num_drifted_columns"))
-    pred = numeric_drift(tagged, [prediction]).select(*PAIR, F.col("drift_score").alias("prediction_drift"))
-    cur = tagged.where(F.col("side") == "cur")
-    miss = missing_share(cur, list(numeric) + list(categorical), PAIR)
-    med = exact_quantiles(cur, quantile_col, [0.5], by=PAIR, names=["quantile"])
-    rng = in_range_share(tagged, quantile_col)
-    j = pred.join(drifted, PAIR, "left").join(miss, PAIR, "left").join(med, PAIR, "left").join(rng, PAIR, "left")
-    return j.select(F.col("cur_period").cast("timestamp_ntz").alias("timestamp"), "prediction_drift",
+    fixed reference day (the first day by default). One plan, no day loop, and
+    the reference day's rows are counted once."""
+    from dealcast.session import materialize
+    day = F.to_date(F.col(ts))
+    ref_day = reference_day if reference_day is not None else events.select(F.min(day)).scalar()
+    cols = list(dict.fromkeys([*numeric, *categorical, quantile_col, prediction]))
+    ev = events.select(day.alias("day"), *cols).where(F.col("day").isNotNull())
+    features = list(dict.fromkeys([*numeric, prediction]))
+    nums = materialize(period_counts(ev, "day", list(dict.fromkeys([*features, quantile_col])), "DOUBLE"))
+    ks = materialize(fixed_reference_ks(nums.where(F.col("feature").isin(*features)), "day", ref_day))
+    scores = ks.where(F.col("feature").isin(*numeric))
+    if categorical:
+        scores = scores.unionByName(fixed_reference_js(materialize(period_counts(ev, "day", categorical, "STRING")), "day", ref_day))
+    drifted = scores.groupBy("day").agg(F.sum((F.col("drift_score") >= COLUMN_DRIFT_THRESHOLD).cast("int")).alias("num_drifted_columns"))
+    pred = ks.where(F.col("feature") == prediction).select("day", F.col("drift_score").alias("prediction_drift"))
+    # the reference's range: one row, two scalars
+    own = nums.where(F.col("feature") == quantile_col)
+    ref = own.where(F.col("day") == ref_day)
+    low, high = ref.select(F.min("value")).scalar(), ref.select(F.max("value")).scalar()
+    inside = own.groupBy("day").agg((F.sum(F.when(F.col("value").between(low, high), F.col("n")).otherwise(0)) / F.sum("n")).alias("value_range"))
+    med = exact_quantiles(own, "value", [0.5], by=["day"], names=["quantile"], weight="n")
+    miss = missing_share(ev, list(numeric) + list(categorical), ["day"])
+    j = pred
+    for side in (drifted, miss, med, inside):  # a row a day
+        j = j.join(side, "day", "left")
+    return j.select(F.col("day").cast("timestamp_ntz").alias("timestamp"), "prediction_drift",
                     F.col("num_drifted_columns").cast("long").alias("num_drifted_columns"),
-                    "share_missing_values", "quantile", F.col("value_range_share").alias("value_range"))
+                    "share_missing_values", "quantile", "value_range")
 
 
 def events_with_props(events: DataFrame) -> DataFrame:

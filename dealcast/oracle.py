@@ -8,7 +8,7 @@ snapshot assembly.
 
 from __future__ import annotations
 
-from dealcast.operators.monthly import MODEL_FEATURES
+from dealcast.operators.monthly import CATEGORICAL_DRIFT as DRIFT_CATEGORICAL, MODEL_FEATURES, NUMERIC_DRIFT as DRIFT_NUMERIC
 
 FIRST_MONTH = "1995-12"
 
@@ -230,15 +230,9 @@ pipe AS (
 
 VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "engage_date",
              "close_date", "close_value", "creation_date", "creation_year_month", "snapshot_date")
-VAL = SNAPS + f""",
+VAL_ONLY = f"""
 val AS (SELECT {", ".join(VALIDATED)}, snapshot_period FROM snaps)"""
-
-DRIFT_NUMERIC = ("close_value_log", "days_since_engage", "sales_cycle_days", "sales_velocity",
-                 "days_to_expected_close")
-DRIFT_CATEGORICAL = ("sales_agent", "product", "close_value_category", "engage_month", "engage_quarter",
-                     "engage_day_of_week", "should_close_next_month", "is_overdue", "is_early_stage",
-                     "high_value_deal", "long_sales_cycle")
-
+VAL = SNAPS + "," + VAL_ONLY
 
 def drift_ctes(src: str, period: str, pairs_sql: str, numeric, categorical, prefix: str = "") -> str:
     """Tagged sides, KS per numeric column, JS per categorical column."""
@@ -280,17 +274,18 @@ def drift_ctes(src: str, period: str, pairs_sql: str, numeric, categorical, pref
   UNION ALL SELECT *, coalesce(drift_score >= 0.1, false) AS drifted FROM {prefix}cat)"""
 
 
-DRIFT_SRC = SCORED + f""",
-dr AS (
-  SELECT *, ln(1 + close_value) AS close_value_log, {VALUE_BAND} AS close_value_category,
-         CAST(month(engage_date) AS INTEGER) AS engage_month, CAST(quarter(engage_date) AS INTEGER) AS engage_quarter,
-         CAST(isodow(engage_date) - 1 AS INTEGER) AS engage_day_of_week, win_probability AS prediction
-  FROM scored),""" + drift_ctes(
+DRIFT_SRC = FEATURE_TABLE + "," + monthly_sql("features") + """,
+prob AS (
+  SELECT snapshot_period, sales_agent,
+         (sum(CASE WHEN deal_stage = 'Won' THEN 1 ELSE 0 END) + 1)
+           / (sum(CASE WHEN deal_stage IN ('Won', 'Lost') THEN 1 ELSE 0 END) + 2) AS prediction
+  FROM features GROUP BY snapshot_period, sales_agent),
+dr AS (SELECT m.*, coalesce(p.prediction, 0.5) AS prediction FROM monthly m LEFT JOIN prob p USING (snapshot_period, sales_agent)),""" + drift_ctes(
     "dr", "snapshot_period",
     "SELECT * FROM (SELECT lag(cur_period) OVER (ORDER BY cur_period) AS ref_period, cur_period "
     "FROM (SELECT DISTINCT snapshot_period AS cur_period FROM dr)) WHERE ref_period IS NOT NULL",
     DRIFT_NUMERIC, DRIFT_CATEGORICAL) + "," + drift_ctes(
-    "dr", "snapshot_period", "SELECT * FROM pairs", ["prediction"], ["close_value_category"], prefix="p_")
+    "dr", "snapshot_period", "SELECT * FROM pairs", ["prediction"], ["is_overdue"], prefix="p_")
 
 def training_matrix_sql() -> str:
     meds = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in MODEL_FEATURES)

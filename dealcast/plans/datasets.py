@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dealcast.operators.monthly import CATEGORICAL_DRIFT as DRIFT_CATEGORICAL, NUMERIC_DRIFT as DRIFT_NUMERIC
 from dealcast.plans import binding
 from dealcast.plans.snapshots import build_snapshots
 from dealcast.sources.tables import load_tables
@@ -89,22 +90,16 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots(spark, sf_dir).select(*VALIDATED)
 
 
-DRIFT_NUMERIC = ("close_value_log", "days_since_engage", "sales_cycle_days", "sales_velocity",
-                 "days_to_expected_close")
-DRIFT_CATEGORICAL = ("sales_agent", "product", "close_value_category", "engage_month", "engage_quarter",
-                     "engage_day_of_week", "should_close_next_month", "is_overdue", "is_early_stage",
-                     "high_value_deal", "long_sales_cycle")
-
-
 def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored set (D2) with the drift feature columns and ``prediction``."""
-    from dealcast.functions import scalar as S
-    s = scored(spark, sf_dir)
-    return s.withColumns({"close_value_log": S.log_value("close_value"),
-                          "close_value_category": S.value_band("close_value"),
-                          "engage_month": F.month("engage_date"), "engage_quarter": F.quarter("engage_date"),
-                          "engage_day_of_week": F.weekday("engage_date"),
-                          "prediction": F.col("win_probability")})
+    """The scored set (D2): all 27 model features of every row, the outcome and
+    ``prediction`` (the closed-form win rate, so that SQL can repeat it; a fitted
+    model's score goes through the same operators)."""
+    from dealcast.operators.monthly import monthly_features
+    from dealcast.operators.reports import smoothed_win_rate
+    from dealcast.session import materialize
+    f = monthly_features(features(spark, sf_dir), by=BY)
+    keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    return materialize(smoothed_win_rate(f.select(*keep), "sales_agent", by=BY, name="prediction"))
 
 
 def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:

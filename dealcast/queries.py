@@ -690,7 +690,7 @@ def q_v13(spark, d):
     return training_gate(c, by=BY)
 
 
-def _suite_sql() -> str:
+def _suite_ctes() -> str:
     types = {"close_value": "double", "engage_date": "date", "close_date": "date", "creation_date": "date",
              "snapshot_date": "date"}
     cols = list(_VCOLS)
@@ -702,7 +702,7 @@ def _suite_sql() -> str:
     miss = " + ".join(f"CASE WHEN {_nulls(c)} > 0 THEN 1 ELSE 0 END" for c in cols)
     dupc = " + ".join(f"CASE WHEN sum(CASE WHEN {a} IS DISTINCT FROM {b} THEN 1 ELSE 0 END) = 0 THEN 1 ELSE 0 END"
                       for a, b in pairs)
-    return O.with_(O.VAL, _DUP) + f""",
+    return _DUP + f""",
 g AS (SELECT snapshot_period, count(*) AS rows, CAST({miss} AS INTEGER) AS columns_with_missing,
              CAST(sum({_ANYNULL}) AS BIGINT) AS rows_with_missing, CAST({const} AS INTEGER) AS constant_columns,
              CAST({dupc} AS INTEGER) AS duplicated_columns
@@ -710,7 +710,11 @@ g AS (SELECT snapshot_period, count(*) AS rows, CAST({miss} AS INTEGER) AS colum
 j AS (SELECT g.*, dup.duplicates AS duplicated_rows,
              CAST((columns_with_missing = 0)::INT + (rows_with_missing = 0)::INT + (constant_columns = 0)::INT
                   + (dup.duplicates = 0)::INT + (duplicated_columns = 0)::INT + 1 AS INTEGER) AS passed_tests
-      FROM g JOIN dup USING (snapshot_period))
+      FROM g JOIN dup USING (snapshot_period))"""
+
+
+def _suite_sql() -> str:
+    return O.with_(O.VAL, _suite_ctes()) + """
 SELECT *, CAST(6 AS INTEGER) AS total_tests, CAST(6 - passed_tests AS INTEGER) AS failed_tests,
        passed_tests = 6 AS all_tests_passed FROM j"""
 
@@ -793,7 +797,12 @@ quality AS (
   FROM q_g LEFT JOIN q_auc USING ({by}))"""
 
 
-_SUMMARY = O.with_(O.DRIFT_SRC, _DS) + f""",
+_SUMMARY = O.with_(O.DRIFT_SRC, _DS, O.VAL_ONLY, _suite_ctes()) + f""",
+tests AS (SELECT pr.ref_period, pr.cur_period,
+    c.columns_with_missing <= r.columns_with_missing AND c.rows_with_missing <= r.rows_with_missing * (c.rows / r.rows) * 1.1
+    AND c.constant_columns <= r.constant_columns AND c.duplicated_columns = r.duplicated_columns
+    AND abs(c.duplicated_rows - r.duplicated_rows * (c.rows / r.rows)) <= r.duplicated_rows * (c.rows / r.rows) * 0.1 AS quality_passed
+  FROM pairs pr JOIN j c ON c.snapshot_period = pr.cur_period JOIN j r ON r.snapshot_period = pr.ref_period),
 cur AS (SELECT * FROM tagged WHERE side = 'cur'),
 miss AS (SELECT {_PAIR}, sum({_MISS}) / (count(*) * {_NDRIFT}) AS share_missing_values FROM cur GROUP BY {_PAIR}),
 cur_l AS (SELECT *, ref_period || '|' || cur_period AS pair_key FROM cur WHERE is_won IS NOT NULL),
@@ -805,14 +814,21 @@ summary AS (
          CASE WHEN ds.dataset_drift OR coalesce(pn.drift_score, 0.0) > 0.2 THEN 'HIGH'
               WHEN coalesce(pn.drift_score, 0.0) > 0.1 OR ds.num_drifted_columns > 5 THEN 'MEDIUM'
               WHEN ds.num_drifted_columns > 2 THEN 'LOW' ELSE 'NONE' END AS alert_level,
-         NOT (ds.dataset_drift OR coalesce(pn.drift_score > 0.1, false)) AS healthy
-  FROM ds LEFT JOIN p_num pn USING ({_PAIR}) LEFT JOIN miss USING ({_PAIR})
+         coalesce(t.quality_passed, false) AS quality_passed,
+         NOT (ds.dataset_drift OR coalesce(pn.drift_score > 0.1, false)) AND coalesce(t.quality_passed, false) AS healthy
+  FROM ds LEFT JOIN p_num pn USING ({_PAIR}) LEFT JOIN miss USING ({_PAIR}) LEFT JOIN tests t USING ({_PAIR})
           LEFT JOIN quality q ON q.pair_key = ds.ref_period || '|' || ds.cur_period)"""
 
 
 def _summary_df(spark, d):
-    from dealcast.operators.drift import monitoring_summary
-    return monitoring_summary(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL)
+    from dealcast.operators.drift import consecutive_pairs, monitoring_summary, sides, tests_against_reference
+    from dealcast.operators.quality import quality_suite
+    from dealcast.session import materialize
+    data = D.drift_input(spark, d)
+    pairs = consecutive_pairs(data, "snapshot_period")
+    suite = materialize(quality_suite(D.validated(spark, d), by=BY))
+    return monitoring_summary(sides(data, "snapshot_period", pairs), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL,
+                              quality=tests_against_reference(suite, pairs, "snapshot_period"))
 
 
 @query("d15_monitoring_summary", _SUMMARY + "SELECT * FROM summary")
