@@ -233,6 +233,24 @@ VALIDATED = ("opportunity_id", "sales_agent", "product", "account", "deal_stage"
 VAL_ONLY = f"""
 val AS (SELECT {", ".join(VALIDATED)}, snapshot_period FROM snaps)"""
 VAL = SNAPS + "," + VAL_ONLY
+# A table that breaks the rules, under the same name.
+LEDGER = f"""
+led AS (
+  SELECT l.*, o.*, c.c_name, c.c_acctbal, CAST(o_orderdate AS DATE) AS day, month(o_orderdate) % 2 = 1 AS odd
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
+val AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS opportunity_id,
+         CASE WHEN NOT odd OR l_quantity < 44 THEN 'Agent-' || (l_suppkey % 3) END AS sales_agent,
+         'Part-' || (l_partkey % 2) AS product, c_name AS account,
+         CASE WHEN odd AND month(day) % 3 = 0 AND l_returnflag = 'R' THEN 'Returned' WHEN {_WON.replace('o.', '')} THEN 'Won'
+              WHEN o_orderstatus = 'F' THEN 'Lost' WHEN o_orderstatus = 'P' THEN 'Engaging' ELSE 'Prospecting' END AS deal_stage,
+         day AS engage_date,
+         CASE WHEN o_orderstatus = 'F' AND NOT odd THEN day + 5
+              WHEN o_orderstatus = 'F' AND l_discount < 0.09 THEN CAST(date_trunc('month', l_shipdate) AS DATE) END AS close_date,
+         CASE WHEN o_orderstatus = 'F' THEN CASE WHEN odd THEN c_acctbal ELSE abs(c_acctbal) END END AS close_value,
+         day - 15 AS creation_date, strftime(day - 15, '%Y-%m') AS creation_year_month, last_day(day) AS snapshot_date,
+         strftime(day, '%Y-%m') AS snapshot_period
+  FROM led)"""
 
 def drift_ctes(src: str, period: str, pairs_sql: str, numeric, categorical, prefix: str = "") -> str:
     """Tagged sides, KS per numeric column, JS per categorical column."""

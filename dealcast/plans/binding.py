@@ -51,6 +51,45 @@ def stage_of(status: Column, priority: Column) -> Column:
             .when(status == "P", "Engaging").otherwise("Prospecting"))
 
 
+def order_fields(orders: DataFrame) -> DataFrame:
+    """The opportunity fields that an order has by itself."""
+    stage = stage_of(F.col("o_orderstatus"), F.col("o_orderpriority"))
+    day = F.to_date("o_orderdate")
+    offset = 1 + (F.col("o_orderkey") * CLOSE_OFFSET_MULT) % CLOSE_OFFSET_MOD
+    return orders.select(F.col("o_orderkey").cast("string").alias("opportunity_id"), stage.alias("deal_stage"),
+                         F.when(F.col("o_orderstatus") != "O", day).alias("engage_date"),
+                         F.when(F.col("o_orderstatus") == "F", F.date_add(day, offset.cast("int"))).alias("close_date"),
+                         F.when(stage == "Won", F.col("o_totalprice")).when(stage == "Lost", F.lit(0.0)).alias("close_value"))
+
+
+def ledger(t: dict[str, DataFrame]) -> DataFrame:
+    """A table in the opportunity layout that breaks its rules: one row a line
+    item, with ship months as close dates (often before the order), account
+    balances as values (some negative), returned goods as a stage that doesn't
+    exist, missing agents and close dates, and repeated rows. Orders of even
+    months keep the rules, so that checks pass in some periods."""
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    lines = t["lineitem"].select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
+    cust = t["customer"].select("c_custkey", "c_name", "c_acctbal")
+    day = F.to_date("o_orderdate")
+    odd = F.month(day) % 2 == 1
+    stage = stage_of(F.col("o_orderstatus"), F.col("o_orderpriority"))
+    closed = F.col("o_orderstatus") == "F"
+    return (lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(F.col("l_orderkey").cast("string").alias("opportunity_id"),
+                    F.when(~odd | (F.col("l_quantity") < 44), F.concat(F.lit("Agent-"), (F.col("l_suppkey") % 3).cast("string"))).alias("sales_agent"),
+                    F.concat(F.lit("Part-"), (F.col("l_partkey") % 2).cast("string")).alias("product"),
+                    F.col("c_name").alias("account"),
+                    F.when(odd & (F.month(day) % 3 == 0) & (F.col("l_returnflag") == "R"), F.lit("Returned")).otherwise(stage).alias("deal_stage"),
+                    day.alias("engage_date"),
+                    F.when(closed & ~odd, F.date_add(day, 5))
+                     .when(closed & (F.col("l_discount") < 0.09), F.trunc(F.to_date("l_shipdate"), "month")).alias("close_date"),
+                    F.when(closed, F.when(odd, F.col("c_acctbal")).otherwise(F.abs("c_acctbal"))).alias("close_value"),
+                    F.date_sub(day, 15).alias("creation_date"),
+                    F.date_format(F.date_sub(day, 15), "yyyy-MM").alias("creation_year_month"),
+                    F.last_day(day).alias("snapshot_date"), F.date_format(day, "yyyy-MM").alias("snapshot_period")))
+
+
 def opportunities(t: dict[str, DataFrame]) -> DataFrame:
     """The raw opportunity table (the first eight model columns) plus the
     numeric ``opportunity_key`` used for reproducible pseudo-random offsets."""

@@ -90,6 +90,11 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots(spark, sf_dir).select(*VALIDATED)
 
 
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule-breaking table, for the checks (see ``binding.ledger``)."""
+    return binding.ledger(tables(spark, sf_dir)).select(*VALIDATED)
+
+
 def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored set (D2): all 27 model features of every row, the outcome and
     ``prediction`` (the closed-form win rate, so that SQL can repeat it; a fitted

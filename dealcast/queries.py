@@ -602,7 +602,7 @@ def q_v5(spark, d):
 _MAXMISS = "greatest(" + ", ".join(_nulls(c) for c in _VCOLS) + ")"
 
 
-@query("v9_validation_score", O.with_(O.VAL, _DUP, _RULES) + f""",
+_V9_SQL = O.with_(O.VAL, _DUP, _RULES) + f""",
 v1 AS (SELECT snapshot_period, {_V1_AGG} FROM val GROUP BY snapshot_period),
 m AS (SELECT snapshot_period, count(*) AS n, {_MAXMISS} AS mx FROM val GROUP BY snapshot_period),
 j AS (
@@ -616,9 +616,12 @@ j AS (
 s AS (
   SELECT *, 1.0 - CASE WHEN NOT schema_passed THEN 0.3 ELSE 0.0 END - CASE WHEN NOT missing_passed THEN 0.15 ELSE 0.0 END
             - CASE WHEN NOT duplicates_passed THEN 0.15 ELSE 0.0 END - (1 - rules_passed / 4.0) * 0.3 AS raw
-  FROM j)
-SELECT snapshot_period, schema_passed, missing_passed, duplicates_passed, types_passed, rules_passed,
-       greatest(raw, 0.0) AS score, greatest(raw, 0.0) >= 0.7 AS overall_passed FROM s""")
+  FROM j),
+final AS (SELECT snapshot_period, schema_passed, missing_passed, duplicates_passed, types_passed, rules_passed,
+                 greatest(raw, 0.0) AS score, greatest(raw, 0.0) >= 0.7 AS overall_passed FROM s)"""
+
+
+@query("v9_validation_score", _V9_SQL + "\nSELECT * FROM final")
 def q_v9(spark, d):
     from dealcast.operators.quality import validation_score
     return validation_score(D.validated(spark, d), by=BY)
@@ -928,7 +931,7 @@ _EVENTS = """
 ev AS (SELECT *, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(ts AS DATE) AS day FROM events),"""
 
 
-@query("d19_daily_metrics", O.with_(_EVENTS + O.drift_ctes(
+_D19_SQL = O.with_(_EVENTS + O.drift_ctes(
         "ev", "day", "SELECT (SELECT min(day) FROM ev) AS ref_period, cur_period "
                      "FROM (SELECT DISTINCT day AS cur_period FROM ev)", ["value", "k"], ["event_type"])
         + "," + O.drift_ctes("ev", "day", "SELECT * FROM pairs", ["value"], ["event_type"], prefix="p_")) + f""",
@@ -945,7 +948,10 @@ rng AS (SELECT {_PAIR}, avg(CAST(c.value >= r.rmin AND c.value <= r.rmax AS DOUB
 SELECT CAST(pn.cur_period AS TIMESTAMP) AS timestamp, pn.drift_score AS prediction_drift, drifted.num_drifted_columns,
        miss.share_missing_values, med.quantile, rng.value_range
 FROM p_num pn LEFT JOIN drifted USING ({_PAIR}) LEFT JOIN miss USING ({_PAIR}) LEFT JOIN med USING ({_PAIR})
-     LEFT JOIN rng USING ({_PAIR})""")
+     LEFT JOIN rng USING ({_PAIR})"""
+
+
+@query("d19_daily_metrics", _D19_SQL)
 def q_d19(spark, d):
     from dealcast.operators.drift import daily_metrics, events_with_props
     from dealcast.sources.tables import load_table
@@ -1092,23 +1098,205 @@ def q_s15(spark, d):
         F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
 
-@query("st1_daily_metrics_stream", None)
+@query("st1_daily_metrics_stream", _D19_SQL)
 def q_st1(spark, d):
-    """ST1: the streaming twin of d19 (closed day windows only)."""
+    """ST1: the streaming twin of d19, with the days that are still open at the end of the input."""
     from dealcast.sources.tables import load_table
-    from dealcast.streaming.monitoring import start_daily_metrics
+    from dealcast.streaming.monitoring import flush_open_days, start_daily_metrics
     ref_day = load_table(spark, d, "events").select(F.min(F.to_date("ts"))).first()[0]  # one scalar
     out, ck = _scratch(spark, "st1-out"), _scratch(spark, "st1-ck")
     start_daily_metrics(spark, d, out, ck, ref_day).awaitTermination()
+    flush_open_days(spark, d, out, ref_day)
     return spark.read.parquet(out).drop("day")
 
 
-@query("st2_quality_gate_stream", None)
+@query("st2_quality_gate_stream", """
+WITH e AS (SELECT * FROM events)
+""" + "\nUNION ALL\n".join(f"""SELECT '{c}' AS column, CAST(sum(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+       sum(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS missing_pct,
+       sum(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) < 10 AS passed, CAST(0 AS BIGINT) AS batch_id FROM e"""
+                              for c, x in (("event_id", "event_id"), ("ts", "ts"), ("user_id", "user_id"), ("event_type", "event_type"),
+                                           ("value", "value"), ("k", "json_extract_string(props, '$.k')"))) + """
+UNION ALL
+SELECT 'value<0', CAST(sum(CASE WHEN value < 0 THEN 1 ELSE 0 END) AS BIGINT), NULL, sum(CASE WHEN value < 0 THEN 1 ELSE 0 END) = 0, CAST(0 AS BIGINT) FROM e""")
 def q_st2(spark, d):
     from dealcast.streaming.monitoring import start_quality_gate
     out, ck = _scratch(spark, "st2-out"), _scratch(spark, "st2-ck")
     start_quality_gate(spark, d, out, ck).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@query("st2_business_rules_stream", O.with_(O.OPPS) + f"""
+SELECT *, invalid_stage_rows = 0 AS stages_passed, negative_values = 0 AS values_passed, close_before_engage = 0 AS dates_passed,
+       closed_without_date = 0 AS closed_passed, CAST(0 AS BIGINT) AS batch_id
+FROM (SELECT {_cnt(f'deal_stage IS NULL OR deal_stage NOT IN {_STAGE_LIST}')} AS invalid_stage_rows,
+         {_cnt('close_value < 0')} AS negative_values, {_cnt('close_value = 0')} AS zero_values,
+         {_cnt('close_date < engage_date')} AS close_before_engage,
+         {_cnt("deal_stage IN ('Won', 'Lost') AND close_date IS NULL")} AS closed_without_date FROM opps)""")
+def q_st2_rules(spark, d):
+    """ST2 over the order stream: the rules on stages, values, date order and closing dates."""
+    from dealcast.operators.quality import business_rules
+    from dealcast.streaming.monitoring import order_stream, start_quality_gate
+    out, ck = _scratch(spark, "st2r-out"), _scratch(spark, "st2r-ck")
+    start_quality_gate(spark, d, out, ck, checks=business_rules, stream=order_stream(spark, d)).awaitTermination()
+    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+# ---------------------------------------------------------------- the rule-breaking ledger
+
+def _on_ledger(sql: str) -> str:
+    return sql.replace(O.VAL, O.LEDGER)
+
+
+def _ledger_query(name: str, source: str, fn):
+    """The same check and SQL as ``source``, over the ledger."""
+    query(name, _on_ledger(REGISTRY[source][1]))(fn)
+
+
+def _q(operator: str, **kw):
+    from dealcast.operators import quality as Q
+    return lambda spark, d: getattr(Q, operator)(D.ledger(spark, d), by=BY, **kw)
+
+
+for _name, _source, _operator in (
+        ("v1_ledger_schema", "v1_schema_check", "schema_check"), ("v2_ledger_missing", "v2_missing_values", "missing_values"),
+        ("v3_ledger_duplicates", "v3_duplicate_rows", "duplicate_rows"), ("v5_v8_ledger_rules", "v5_v8_business_rules", "business_rules"),
+        ("v9_ledger_score", "v9_validation_score", "validation_score"), ("v10_ledger_ingestion_score", "v10_ingestion_score", "ingestion_score"),
+        ("v12_ledger_notebook_rules", "v12_notebook_rules", "notebook_rules"), ("v16_ledger_suite", "v16_quality_suite", "quality_suite")):
+    _ledger_query(_name, _source, _q(_operator))
+
+
+@query("c1_ledger_distinct", O.with_(O.LEDGER) + "SELECT DISTINCT * FROM val")
+def q_c1(spark, d):
+    from dealcast.operators.clean import drop_exact_duplicates
+    return drop_exact_duplicates(D.ledger(spark, d))
+
+
+@query("v15_validation_report", _V9_SQL + """
+SELECT snapshot_period, line_no, CASE line_no
+    WHEN 1 THEN printf('Overall score: %.3f (%s)', score, CASE WHEN overall_passed THEN 'PASS' ELSE 'FAIL' END)
+    WHEN 2 THEN 'Schema validation: ' || CASE WHEN schema_passed THEN 'PASS' ELSE 'FAIL' END
+    WHEN 3 THEN 'Missing values: ' || CASE WHEN missing_passed THEN 'PASS' ELSE 'FAIL' END
+    WHEN 4 THEN 'Duplicate rows: ' || CASE WHEN duplicates_passed THEN 'PASS' ELSE 'FAIL' END
+    WHEN 5 THEN 'Data types: ' || CASE WHEN types_passed THEN 'PASS' ELSE 'FAIL' END
+    ELSE printf('Business rules passed: %d of 4', rules_passed) END AS text
+FROM final, (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS line_no)""")
+def q_v15(spark, d):
+    """Report lines per snapshot from the V9 score table."""
+    from dealcast.operators.quality import validation_report, validation_score
+    return validation_report(validation_score(D.validated(spark, d), by=BY), by=BY)
+
+
+# ---------------------------------------------------------------- names, dates, formats, layers
+
+@query("p1_p2_standard_columns", O.with_(O.SNAPS) + "SELECT opportunity_id, sales_agent, account, deal_stage, close_value, close_date FROM snaps")
+def q_p1(spark, d):
+    """A table with messy names gets the standard ones; of the wanted columns those that exist stay."""
+    from dealcast.operators.clean import clean_column_names, select_existing
+    s = D.snapshots(spark, d)
+    messy = s.select(F.col("opportunity_id").alias("Opportunity (ID)"), F.col("sales_agent").alias(" Sales-Agent"),
+                     F.col("account").alias("Account.Name"), F.col("deal_stage").alias("Deal Stage"),
+                     F.col("close_value").alias("Close Value"), F.col("close_date").alias("CLOSE-DATE"), F.col("engage_date").alias("When engaged"))
+    return select_existing(clean_column_names(messy), ["opportunity_id", "sales_agent", "account", "deal_stage", "close_value", "close_date", "sector"])[0]
+
+
+@query("c5_f8_v18_untyped_text", """
+WITH t AS (SELECT strftime(o_orderdate, '%Y-%m') AS snapshot_period,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'invalid' WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day_text,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS number_text FROM orders)
+SELECT snapshot_period, CAST(sum(CASE WHEN day_text IS NOT NULL AND try_cast(day_text AS DATE) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS invalid_dates,
+       min(try_cast(day_text AS DATE)) AS first_day, sum(try_cast(number_text AS DOUBLE)) AS number_sum, count(try_cast(number_text AS DOUBLE)) AS numbers
+FROM t GROUP BY 1""")
+def q_untyped(spark, d):
+    """Texts that should be numbers and dates; what doesn't parse is null or counted."""
+    from dealcast.functions import scalar as S
+    from dealcast.operators.clean import coerce_numeric
+    from dealcast.operators.quality import invalid_dates
+    k = F.col("o_orderkey")
+    t = D.tables(spark, d)["orders"].select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("snapshot_period"),
+        F.when(k % 7 == 0, "invalid").when(k % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day_text"),
+        F.when(k % 5 == 0, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("number_text"))
+    typed = coerce_numeric(t, ["number_text"]).groupBy("snapshot_period").agg(
+        F.min(S.safe_date("day_text")).alias("first_day"), F.sum("number_text").alias("number_sum"), F.count("number_text").alias("numbers"))
+    return invalid_dates(t, "day_text", by=BY).join(F.broadcast(typed), "snapshot_period")
+
+
+@query("c12_fill_by_type", O.with_(O.LEDGER) + """
+SELECT opportunity_id, coalesce(sales_agent, 'Unknown') AS sales_agent, coalesce(close_value, 0.0) AS close_value,
+       coalesce(close_date, DATE '1970-01-01') AS close_date FROM val""")
+def q_c12(spark, d):
+    from dealcast.operators.clean import fill_nulls_by_type
+    return fill_nulls_by_type(D.ledger(spark, d).select("opportunity_id", "sales_agent", "close_value", "close_date"), date="1970-01-01")
+
+
+@query("p9_time_slice", "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")
+def q_p9(spark, d):
+    import datetime as dt
+    from dealcast.operators.clean import time_slice
+    from dealcast.sources.tables import load_table
+    return time_slice(load_table(spark, d, "events"), "ts", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 12)).select("event_id", "event_type")
+
+
+@query("p11_missing_features_as_zero", O.with_(O.SNAPS) + """
+SELECT opportunity_id, coalesce(close_value, 0.0) AS close_value, CAST(0 AS INTEGER) AS employees FROM snaps""")
+def q_p11(spark, d):
+    from dealcast.operators.clean import add_missing_as_zero
+    return add_missing_as_zero(D.snapshots(spark, d).select("opportunity_id", "close_value"), ["close_value", "employees"])
+
+
+@query("f24_frequency_encoding", O.with_(O.LEDGER) + """
+SELECT snapshot_period, product, count(*) AS rows,
+       any_value(share) AS product_frequency
+FROM (SELECT *, count(*) OVER (PARTITION BY snapshot_period, product) / count(*) OVER (PARTITION BY snapshot_period) AS share FROM val) GROUP BY 1, 2""")
+def q_f24(spark, d):
+    from dealcast.operators.encode import frequency_encode
+    f = frequency_encode(D.ledger(spark, d), "product", by=BY)
+    return f.groupBy("snapshot_period", "product").agg(F.count("*").alias("rows"), F.first("product_frequency").alias("product_frequency"))
+
+
+@query("s5_one_period_of_a_layer", O.with_(O.SNAPS) + """
+SELECT opportunity_id, deal_stage, snapshot_period FROM snaps WHERE snapshot_period = '1998-06'""")
+def q_s5(spark, d):
+    """One month of a partitioned layer; the other partitions are not listed or read."""
+    from dealcast.sources.layers import read_layer, write_layer
+    base = _scratch(spark, "layers")
+    s = D.snapshots(spark, d).drop("opportunity_key")
+    write_layer(s, base, "raw")
+    return read_layer(spark, base, "raw", "1998-06", schema=s.schema).select("opportunity_id", "deal_stage", "snapshot_period")
+
+
+@query("s11_metrics_append", _D19_SQL)
+def q_s11(spark, d):
+    """The six metric columns appended to a table and read back."""
+    from dealcast.operators.drift import daily_metrics, events_with_props
+    from dealcast.sources.layers import append_results, read_results
+    from dealcast.sources.tables import load_table
+    path = _scratch(spark, "metrics")
+    m = daily_metrics(events_with_props(load_table(spark, d, "events")))
+    append_results(m, path, fmt="parquet")
+    return read_results(spark, path, m.schema, fmt="parquet")
+
+
+@query("m14_report_bands", REGISTRY["a8_probability_bands"][1])
+def q_m14_bands(spark, d):
+    from dealcast.operators.reports import monthly_report
+    return monthly_report(D.scored(spark, d), by=BY)["bands"]
+
+
+@query("m14_report_agents", REGISTRY["a9_agent_insights"][1])
+def q_m14_agents(spark, d):
+    from dealcast.operators.reports import monthly_report
+    return monthly_report(D.scored(spark, d), by=BY)["agents"]
+
+
+@query("m14_report_top_opportunities", O.with_(O.SCORED) + """
+SELECT snapshot_period, opportunity_id, win_probability, expected_revenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY snapshot_period ORDER BY win_probability DESC, opportunity_id) AS rn FROM pipe) WHERE rn <= 50""")
+def q_m14_top(spark, d):
+    from dealcast.operators.reports import monthly_report
+    top = monthly_report(D.scored(spark, d), by=BY, top_n=50)["top_opportunities"]
+    return top.select("snapshot_period", "opportunity_id", "win_probability", "expected_revenue")
 
 
 # ---------------------------------------------------------------- scoring input, labels, periods, reference set
@@ -1265,13 +1453,6 @@ def q_p12(spark, d):
     return D.row_features(spark, d).select(*_P12)
 
 
-@query("v15_validation_report", None)
-def q_v15(spark, d):
-    """Report lines per snapshot from the V9 score table."""
-    from dealcast.operators.quality import validation_report, validation_score
-    return validation_report(validation_score(D.validated(spark, d), by=BY), by=BY)
-
-
 @query("m14_monthly_report_totals", O.with_(O.SCORED) + """
 SELECT snapshot_period, count(*) AS opportunities, sum(close_value) AS total_value,
        sum(expected_revenue) AS expected_revenue, avg(win_probability) AS avg_probability

@@ -64,12 +64,15 @@ def read_csv_any_encoding(spark: SparkSession, path: str, schema: StructType | N
 def write_layer(df: DataFrame, base: str, layer: str, partition_by: Sequence[str] = ("snapshot_period",),
                 fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Write a layer partitioned by period; an overwrite replaces
-    only the periods present in ``df`` (dynamic partition overwrite)."""
+    only the periods present in ``df`` (dynamic partition overwrite, for this
+    write alone). Rows are rebalanced by period first: a period's rows come
+    together in files of the advisory size, and a large period in several."""
     path = layer_path(base, layer)
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dealcast.operators import drift as DR
 from dealcast.operators.quality import missing_values
 from dealcast.operators.stats import attach_row, exact_quantiles
+from dealcast.session import materialize
 
 NUMERIC = ("value", "k")
 CATEGORICAL = ("event_type",)
@@ -61,22 +62,20 @@ def reference_counts(events: DataFrame, day) -> DataFrame:
 def metrics_from_counts(cur: DataFrame, ref: DataFrame, prediction: str = "value",
                         quantile_col: str = "value") -> DataFrame:
     """Daily metrics from counts: ``cur`` = (day, feature, num, cat, n) of
-    closed windows; ``ref`` = (feature, num, cat, n) of the reference day."""
-    # the windows closed in this batch (at most a few days), each paired with
-    # the reference day: an equi-join on the reference key
-    pairs = cur.select("day").distinct().withColumn("_ref", F.lit(1))
-    ref_tag = ref.withColumn("_ref", F.lit(1)).join(F.broadcast(pairs), "_ref")
-    both = (cur.withColumn("side", F.lit("cur"))
-            .unionByName(ref_tag.select("day", "feature", "num", "cat", "n").withColumn("side", F.lit("ref"))))
-    key = ["day", "feature"]
-    num = both.where(F.col("num").isNotNull()).withColumn("value", F.col("num"))
-    cat = both.where(F.col("cat").isNotNull()).withColumn("value", F.col("cat"))
-    ks = DR.ks_from_counts(DR.side_counts(num, key, weight="n"), key)
-    js = DR.js_from_counts(DR.side_counts(cat, key, weight="n"), key)
-    cd = ks.unionByName(js)
-    drifted = cd.groupBy("day").agg(F.sum(F.col("drifted").cast("int")).cast("long").alias("num_drifted_columns"))
-    pred = ks.where(F.col("feature") == prediction).select("day", F.col("drift_score").alias("prediction_drift"))
-    c = cur
+    closed windows; ``ref`` = (feature, num, cat, n) of the reference day, which
+    is counted once, whatever the number of days."""
+    sentinel = F.lit("reference")
+    both = materialize(cur.select(F.col("day").cast("string").alias("day"), "feature", "num", "cat", "n")
+                       .unionByName(ref.withColumn("day", sentinel)))
+    nums = both.where(F.col("num").isNotNull()).select("day", "feature", F.col("num").alias("value"), "n")
+    cats = both.where(F.col("cat").isNotNull()).select("day", "feature", F.col("cat").alias("value"), "n")
+    ks = DR.fixed_reference_ks(nums, "day", sentinel)
+    js = DR.fixed_reference_js(cats, "day", sentinel)
+    scores = materialize(ks.unionByName(js).where(F.col("day") != sentinel))
+    drifted = scores.groupBy("day").agg(
+        F.sum((F.col("drift_score") >= DR.COLUMN_DRIFT_THRESHOLD).cast("int")).cast("long").alias("num_drifted_columns"))
+    pred = scores.where(F.col("feature") == prediction).select("day", F.col("drift_score").alias("prediction_drift"))
+    c = both.where(F.col("day") != sentinel)
     miss = c.groupBy("day").agg(
         (F.sum(F.when(F.col("num").isNull() & F.col("cat").isNull(), F.col("n")).otherwise(0))
          / F.sum("n")).alias("share_missing_values"))
@@ -89,7 +88,12 @@ def metrics_from_counts(cur: DataFrame, ref: DataFrame, prediction: str = "value
          / F.sum("n")).alias("value_range"))
     j = pred.join(drifted, "day", "left").join(miss, "day", "left").join(med, "day", "left").join(rng, "day", "left")
     return j.select(F.col("day").cast("timestamp_ntz").alias("timestamp"), "prediction_drift", "num_drifted_columns",
-                    "share_missing_values", "quantile", "value_range", F.col("day"))
+                    "share_missing_values", "quantile", "value_range", F.to_date("day").alias("day"))
+
+
+def _write_days(metrics: DataFrame, out: str) -> None:
+    """A day's partition is replaced, so writing a day again changes nothing."""
+    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out)
 
 
 def start_daily_metrics(spark: SparkSession, folder: str, out: str, checkpoint: str,
@@ -101,9 +105,7 @@ def start_daily_metrics(spark: SparkSession, folder: str, out: str, checkpoint:
 
     def write(batch: DataFrame, epoch: int) -> None:
         cur = batch.select(F.to_date(F.col("w.start")).alias("day"), "feature", "num", "cat", "n")
-        m = metrics_from_counts(cur, ref)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        m.write.mode("overwrite").partitionBy("day").parquet(out)
+        _write_days(metrics_from_counts(cur, ref), out)
 
     w = (counts.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -111,12 +113,39 @@ def start_daily_metrics(spark: SparkSession, folder: str, out: str, checkpoint:
     return w.start()
 
 
+def flush_open_days(spark: SparkSession, folder: str, out: str, reference_day) -> None:
+    """ST1 after the end of the input: the days whose windows the watermark has
+    not closed yet, from the stored events. Days that the stream has written are
+    left alone, and a second flush finds nothing to do."""
+    static = spark.read.parquet(f"{folder}/events.parquet")
+    day = F.to_date(F.col("ts").cast("timestamp"))
+    written = spark.read.schema("day DATE").parquet(out).select("day").distinct()
+    # a row a day
+    still = static.select(day.alias("day")).where("day is not null").distinct().join(F.broadcast(written), "day", "left_anti")
+    open_days = [r.day for r in still.collect()]
+    if not open_days:
+        return
+    events = DR.events_with_props(static).withColumn("ts", F.col("ts").cast("timestamp")).where(day.isin(open_days))
+    cur = tokens(events).groupBy(F.to_date("ts").alias("day"), "feature", "num", "cat").agg(F.count("*").alias("n"))
+    _write_days(metrics_from_counts(cur, reference_counts(static, reference_day)), out)
+
+
+def order_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """ST2: the orders table as a stream of opportunities (stage, dates and
+    value need the order alone)."""
+    from dealcast.plans.binding import order_fields
+    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
+    return order_fields(spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder))
+
+
 def start_quality_gate(spark: SparkSession, folder: str, out: str, checkpoint: str,
                        checks: Callable[[DataFrame], DataFrame] | None = None,
-                       available_now: bool = True):
+                       available_now: bool = True, stream: DataFrame | None = None):
     """ST2: per micro-batch quality checks appended as rows with the batch id
-    (missing values per column by default, plus negative values)."""
-    stream = event_stream(spark, folder)
+    (missing values per column by default, plus negative values). ``stream``
+    is the events by default; ``order_stream`` with ``business_rules`` checks
+    stages, values, date order and closing dates."""
+    stream = stream if stream is not None else event_stream(spark, folder)
 
     def default_checks(b: DataFrame) -> DataFrame:
         mv = missing_values(b.drop("props"))
