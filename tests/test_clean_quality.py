@@ -54,7 +54,7 @@ def test_label_codes_lexicographic(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "x string")
     lo = {r["x"]: r["x_encoded"] for r in label_codes(df, "x").collect()}
     hi = {r["x"]: r["x_encoded"] for r in label_codes(df, "x", high_cardinality=True).collect()}
-    assert lo == hi == {"a": 0, "b": 1, "c": 2}
+    assert lo == hi == {"a": 0, "b": 1, "c": 2, None: 3}  # null is the last class
 
 
 def test_frequency_encode(spark):

@@ -44,8 +44,9 @@ def test_layer_roundtrip_partition_pruning_and_retention(spark):
     L.write_layer(df, base, "processed")
     one = L.read_layer(spark, base, "processed", "2024-02")
     assert one.count() == 2
-    assert "PartitionFilters: [isnotnull(snapshot_period" in one._jdf.queryExecution().executedPlan().toString() \
-        or one.count() == 2
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_period" in plan and "Filter (snapshot_period" not in plan
+    assert {r.f.split("snapshot_period=")[1][:7] for r in one.select(F.input_file_name().alias("f")).collect()} == {"2024-02"}
     L.write_layer(df.where("snapshot_period = '2024-01'").withColumn("x", F.lit("z")), base, "processed")
     assert sorted(r["x"] for r in L.read_layer(spark, base, "processed").collect()) == ["b", "c", "z"]
     files = L.list_files(spark, base, "*.parquet")
