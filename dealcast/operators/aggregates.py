@@ -102,9 +102,16 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float] = (0.25, 0.5, 0.75,
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     approx: bool = False) -> DataFrame:
-    """Distinct values per column (``approx`` uses HyperLogLog++)."""
-    fn = F.approx_count_distinct if approx else F.countDistinct
-    return df.groupBy(*by).agg(*[fn(c).alias(f"distinct_{c}") for c in cols])
+    """Distinct values per column (``approx`` uses HyperLogLog++). The
+    columns are stacked and made distinct (partial, so a value that repeats
+    costs one row a task), then counted: no row is expanded in the shuffle."""
+    by = list(by)
+    if approx:
+        return df.groupBy(*by).agg(*[F.approx_count_distinct(c).alias(f"distinct_{c}") for c in cols])
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
+    values = df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _value)")).distinct()
+    return values.groupBy(*by).agg(*[
+        F.count(F.when(F.col("_column") == c, F.col("_value"))).alias(f"distinct_{c}") for c in cols])
 
 
 def date_span(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:

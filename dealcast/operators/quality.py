@@ -32,8 +32,20 @@ PASS_SCORE = 0.7
 WEIGHTS = {"schema": 0.3, "missing": 0.15, "duplicates": 0.15, "types": 0.10, "rules": 0.3}
 
 
-def _flag(c: Column) -> Column:
-    return F.sum(F.when(c, 1).otherwise(0))
+def _flag(c: Column, weight: Column | None = None) -> Column:
+    """Rows that satisfy ``c`` (``weight``: rows that each input row stands for)."""
+    return F.sum(F.when(c, weight if weight is not None else F.lit(1)).otherwise(0))
+
+
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows with ``_copies``. The scores that need duplicates and other
+    counts take all of them from here: one scan, and a repeated row is collapsed
+    before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+
+
+def _copies() -> Column:
+    return F.col("_copies")
 
 
 def schema_issues(df: DataFrame, schema: StructType = REQUIRED) -> dict[str, list[str]]:
@@ -51,38 +63,39 @@ def schema_issues(df: DataFrame, schema: StructType = REQUIRED) -> dict[str, lis
     return {"missing": missing, "extra": extra, "types": bad}
 
 
+def _range_counts(columns: Sequence[str], weight: Column | None = None) -> list[Column]:
+    out = []
+    for c, (lo, hi) in VALUE_RANGES.items():
+        if c in columns:
+            out += [_flag(F.col(c) < lo, weight).alias(f"{c}_below_min")] if lo is not None else []
+            out += [_flag(F.col(c) > hi, weight).alias(f"{c}_above_max")] if hi is not None else []
+    return out
+
+
+def _invalid_stage(stage: str, weight: Column | None = None) -> Column:
+    # membership: P5; a null stage is no valid stage
+    return _flag(F.col(stage).isNull() | ~F.col(stage).isin(*STAGES), weight).alias("invalid_stage_rows")
+
+
+def _schema_flags(g: DataFrame, df: DataFrame, schema: StructType) -> DataFrame:
+    """The schema check's flags from its counts."""
+    iss = schema_issues(df, schema)
+    counts = [c for c in g.columns if c.endswith(("_below_min", "_above_max")) or c == "invalid_stage_rows"]
+    issues = F.lit(len(iss["missing"]) > 0).cast("int") + F.lit(len(iss["types"]))
+    for c in counts:
+        issues = issues + (F.col(c) > 0).cast("int")
+    return g.withColumns({"missing_columns": F.lit(len(iss["missing"])), "extra_columns": F.lit(len(iss["extra"])),
+                          "type_issues": F.lit(len(iss["types"])), "serious_issues": issues,
+                          "is_valid": (issues == 0) & (F.col("rows") > 0)})
+
+
 def schema_check(df: DataFrame, by: Sequence[str] = (), schema: StructType = REQUIRED,
                  stage: str = "deal_stage") -> DataFrame:
     """V1: one row per group - counts of rows, missing/extra/mistyped columns,
     rows below a column's minimum or above its maximum, invalid stages; and
     ``is_valid`` (extra columns only warn; an empty table is invalid)."""
-    iss = schema_issues(df, schema)
-    aggs = [F.count("*").alias("rows")]
-    range_terms = []
-    for c, (lo, hi) in VALUE_RANGES.items():
-        if c in df.columns:
-            if lo is not None:
-                aggs.append(_flag(F.col(c) < lo).alias(f"{c}_below_min"))
-                range_terms.append(F.col(f"{c}_below_min"))
-            if hi is not None:
-                aggs.append(_flag(F.col(c) > hi).alias(f"{c}_above_max"))
-                range_terms.append(F.col(f"{c}_above_max"))
-    if stage in df.columns:
-        # a null stage is no valid stage
-        aggs.append(_flag(F.col(stage).isNull() | ~F.col(stage).isin(*STAGES)).alias("invalid_stage_rows"))
-    g = df.groupBy(*by).agg(*aggs)
-    issues = F.lit(len(iss["missing"]) > 0).cast("int") + F.lit(len(iss["types"]))
-    for t in range_terms:
-        issues = issues + (t > 0).cast("int")
-    if stage in df.columns:
-        issues = issues + (F.col("invalid_stage_rows") > 0).cast("int")
-    return g.withColumns({
-        "missing_columns": F.lit(len(iss["missing"])),
-        "extra_columns": F.lit(len(iss["extra"])),
-        "type_issues": F.lit(len(iss["types"])),
-        "serious_issues": issues,
-        "is_valid": (issues == 0) & (F.col("rows") > 0),
-    })
+    stages = [_invalid_stage(stage)] if stage in df.columns else []
+    return _schema_flags(df.groupBy(*by).agg(F.count("*").alias("rows"), *_range_counts(df.columns), *stages), df, schema)
 
 
 def missing_values(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -110,15 +123,15 @@ def duplicate_rows(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                     (F.col("duplicates") * 100.0 / F.col("rows") < DUPLICATE_FAIL_PCT).alias("passed"))
 
 
-def business_rules(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """V5-V8: invalid stages, negative and zero values (V6), close before engage (V7),
-    closed deals without a close date; each with its pass flag."""
+def _rule_counts(weight: Column | None = None) -> list[Column]:
     st, v = F.col("deal_stage"), F.col("close_value")
-    g = df.groupBy(*by).agg(
-        _flag(st.isNull() | ~st.isin(*STAGES)).alias("invalid_stage_rows"),  # membership: P5
-        _flag(v < 0).alias("negative_values"), _flag(v == 0).alias("zero_values"),
-        _flag(F.col("close_date") < F.col("engage_date")).alias("close_before_engage"),
-        _flag(st.isin("Won", "Lost") & F.col("close_date").isNull()).alias("closed_without_date"))
+    return [_invalid_stage("deal_stage", weight), _flag(v < 0, weight).alias("negative_values"),
+            _flag(v == 0, weight).alias("zero_values"),
+            _flag(F.col("close_date") < F.col("engage_date"), weight).alias("close_before_engage"),
+            _flag(st.isin("Won", "Lost") & F.col("close_date").isNull(), weight).alias("closed_without_date")]
+
+
+def _rule_flags(g: DataFrame) -> DataFrame:
     return g.withColumns({
         "stages_passed": F.col("invalid_stage_rows") == 0,
         "values_passed": F.col("negative_values") == 0,
@@ -126,71 +139,77 @@ def business_rules(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "closed_passed": F.col("closed_without_date") == 0})
 
 
+def business_rules(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """V5-V8: invalid stages, negative and zero values (V6), close before engage (V7),
+    closed deals without a close date; each with its pass flag."""
+    return _rule_flags(df.groupBy(*by).agg(*_rule_counts()))
+
+
+def _greatest(cols: list[Column]) -> Column:
+    return F.greatest(*cols) if len(cols) > 1 else cols[0]
+
+
 def validation_score(df: DataFrame, by: Sequence[str] = (), schema: StructType = REQUIRED) -> DataFrame:
     """V9: weighted score - schema .3, missing .15, duplicates .15, types .1,
-    business rules .3 by failed share; passed at >= 0.7. One aggregation for
-    missing/rules plus one for duplicates."""
+    business rules .3 by failed share; passed at >= 0.7. All counts come from one
+    pass over the distinct rows."""
     by = list(by)
     cols = [c for c in df.columns if c not in by]
-    sch = schema_check(df, by, schema).select(*by, "is_valid", "type_issues")
-    miss = df.groupBy(*by).agg(F.count("*").alias("_rows"),
-                               F.greatest(*[_flag(F.col(c).isNull()) for c in cols]).alias("_max_missing")) \
-        if len(cols) > 1 else df.groupBy(*by).agg(F.count("*").alias("_rows"),
-                                                  _flag(F.col(cols[0]).isNull()).alias("_max_missing"))
-    dup = duplicate_rows(df, by).select(*by, F.col("passed").alias("duplicates_passed"))
-    rules = business_rules(df, by)
-    j = miss.join(sch, by, "inner") if by else attach_stats(miss, sch, by)
-    j = j.join(dup, by, "inner") if by else attach_stats(j, dup, by)
-    j = j.join(rules, by, "inner") if by else attach_stats(j, rules, by)
-    missing_passed = F.col("_max_missing") * 100.0 / F.col("_rows") < MISSING_FAIL_PCT
+    n = _copies()
+    g = _distinct_rows(df).groupBy(*by).agg(
+        F.sum(n).alias("rows"), F.sum(n - 1).alias("_duplicates"),
+        _greatest([_flag(F.col(c).isNull(), n) for c in cols]).alias("_max_missing"),
+        *_range_counts(df.columns, n), *_rule_counts(n))
+    j = _rule_flags(_schema_flags(g, df, schema))
+    missing_passed = F.col("_max_missing") * 100.0 / F.col("rows") < MISSING_FAIL_PCT
+    duplicates_passed = F.col("_duplicates") * 100.0 / F.col("rows") < DUPLICATE_FAIL_PCT
     rules_passed = (F.col("stages_passed").cast("int") + F.col("values_passed").cast("int")
                     + F.col("dates_passed").cast("int") + F.col("closed_passed").cast("int"))
     w = WEIGHTS
     score = (F.lit(1.0) - F.when(~F.col("is_valid"), w["schema"]).otherwise(0.0)
              - F.when(~missing_passed, w["missing"]).otherwise(0.0)
-             - F.when(~F.col("duplicates_passed"), w["duplicates"]).otherwise(0.0)
+             - F.when(~duplicates_passed, w["duplicates"]).otherwise(0.0)
              - F.when(F.col("type_issues") > 0, w["types"]).otherwise(0.0)
              - (1 - rules_passed / 4.0) * w["rules"])
     return j.select(*by, F.col("is_valid").alias("schema_passed"), missing_passed.alias("missing_passed"),
-                    "duplicates_passed", (F.col("type_issues") == 0).alias("types_passed"),
+                    duplicates_passed.alias("duplicates_passed"), (F.col("type_issues") == 0).alias("types_passed"),
                     rules_passed.alias("rules_passed"), F.greatest(score, F.lit(0.0)).alias("score"),
                     (F.greatest(score, F.lit(0.0)) >= PASS_SCORE).alias("overall_passed"))
 
 
 def ingestion_score(df: DataFrame, by: Sequence[str] = (), schema: StructType = REQUIRED) -> DataFrame:
     """1 - .3 x missing-cell ratio - .2 x duplicate-row ratio - .1 per
-    serious schema issue, clamped to [0, 1]."""
+    serious schema issue, clamped to [0, 1]. One pass over the distinct rows."""
     by = list(by)
     cols = [c for c in df.columns if c not in by]
-    cells = df.groupBy(*by).agg(F.count("*").alias("_rows"),
-                                sum((_flag(F.col(c).isNull()) for c in cols), F.lit(0)).alias("_missing"))
-    dup = duplicate_rows(df, by).select(*by, "duplicates")
-    sch = schema_check(df, by, schema).select(*by, "serious_issues")
-    j = cells.join(dup, by, "inner").join(sch, by, "inner") if by else \
-        attach_stats(attach_stats(cells, dup, by), sch, by)
-    raw = (1.0 - 0.3 * F.col("_missing") / (F.col("_rows") * len(cols))
-           - 0.2 * F.col("duplicates") / F.col("_rows") - 0.1 * F.col("serious_issues"))
-    return j.select(*by, (F.col("_missing") / (F.col("_rows") * len(cols))).alias("missing_ratio"),
-                    (F.col("duplicates") / F.col("_rows")).alias("duplicate_ratio"),
-                    "serious_issues", F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0)).alias("quality_score"))
+    n = _copies()
+    stages = [_invalid_stage("deal_stage", n)] if "deal_stage" in df.columns else []
+    g = _distinct_rows(df).groupBy(*by).agg(
+        F.sum(n).alias("rows"), F.sum(n - 1).alias("_duplicates"),
+        sum((_flag(F.col(c).isNull(), n) for c in cols), F.lit(0)).alias("_missing"), *_range_counts(df.columns, n), *stages)
+    j = _schema_flags(g, df, schema)
+    missing, repeated = F.col("_missing") / (F.col("rows") * len(cols)), F.col("_duplicates") / F.col("rows")
+    raw = 1.0 - 0.3 * F.col("_missing") / (F.col("rows") * len(cols)) - 0.2 * F.col("_duplicates") / F.col("rows") \
+        - 0.1 * F.col("serious_issues")
+    return j.select(*by, missing.alias("missing_ratio"), repeated.alias("duplicate_ratio"), "serious_issues",
+                    F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0)).alias("quality_score"))
 
 
 def notebook_score(df: DataFrame, by: Sequence[str] = (), schema: StructType = REQUIRED) -> DataFrame:
     """Mean of schema (share of required columns present), completeness
     (1 - missing-cell ratio) and uniqueness (1 - duplicate ratio); plus the
-    share of complete rows."""
+    share of complete rows. One pass over the distinct rows."""
     by = list(by)
     cols = [c for c in df.columns if c not in by]
     present = sum(1 for f in schema.fields if f.name in df.columns) / len(schema.fields)
-    any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in cols]) if len(cols) > 1 \
-        else F.col(cols[0]).isNull().cast("int")
-    cells = df.groupBy(*by).agg(F.count("*").alias("_rows"),
-                                sum((_flag(F.col(c).isNull()) for c in cols), F.lit(0)).alias("_missing"),
-                                F.sum(1 - any_null).alias("_complete"))
-    dup = duplicate_rows(df, by).select(*by, "duplicates")
-    j = cells.join(dup, by, "inner") if by else attach_stats(cells, dup, by)
+    any_null = _greatest([F.col(c).isNull().cast("int") for c in cols])
+    n = _copies()
+    j = _distinct_rows(df).groupBy(*by).agg(
+        F.sum(n).alias("_rows"), F.sum(n - 1).alias("_duplicates"),
+        sum((_flag(F.col(c).isNull(), n) for c in cols), F.lit(0)).alias("_missing"),
+        F.sum((1 - any_null) * n).alias("_complete"))
     completeness = 1.0 - F.col("_missing") / (F.col("_rows") * len(cols))
-    uniqueness = 1.0 - F.col("duplicates") / F.col("_rows")
+    uniqueness = 1.0 - F.col("_duplicates") / F.col("_rows")
     return j.select(*by, F.lit(present).alias("schema_score"), completeness.alias("completeness"),
                     uniqueness.alias("uniqueness"),
                     ((F.lit(present) + completeness + uniqueness) / 3).alias("quality_score"),
@@ -257,35 +276,36 @@ def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Columns with missing values, rows with missing values, constant
     columns, duplicated rows, duplicated columns; tests passed / failed.
 
-    Duplicate columns are found in the same single pass: for every pair of
-    columns of the same type a mismatch count (null-safe) is aggregated; a
-    pair with zero mismatches is a duplicate. Constant = at most one distinct
+    All counts come from one pass over the distinct rows. Duplicate columns:
+    for every pair of columns of the same type a mismatch count (null-safe) is
+    aggregated; a pair with zero mismatches is a duplicate. A count must be 0 to
+    pass; the sixth test (column types) is the schema check's and always passes
+    here, where a table is its own reference. Constant = at most one distinct
     non-null value and no mix of null and non-null (from min/max).
     """
     by = list(by)
     cols = [c for c in df.columns if c not in by]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if types[a] == types[b]]
-    any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in cols])
-    aggs = [F.count("*").alias("rows"), F.sum(any_null).alias("rows_with_missing")]
-    aggs += [_flag(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
+    any_null = _greatest([F.col(c).isNull().cast("int") for c in cols])
+    n = _copies()
+    aggs = [F.sum(n).alias("rows"), F.sum(any_null * n).alias("rows_with_missing"), F.sum(n - 1).alias("duplicated_rows")]
+    aggs += [_flag(F.col(c).isNull(), n).alias(f"_n{i}") for i, c in enumerate(cols)]
     # constant: one non-null value (min = max) and no null, or only nulls -
     # plain min/max, since several distinct counts would make Spark expand
     # every row once per column before the shuffle
     aggs += [F.min(F.col(c)).alias(f"_lo{i}") for i, c in enumerate(cols)]
     aggs += [F.max(F.col(c)).alias(f"_hi{i}") for i, c in enumerate(cols)]
     aggs += [_flag(~F.col(a).eqNullSafe(F.col(b))).alias(f"_p{k}") for k, (a, b) in enumerate(pairs)]
-    g = df.groupBy(*by).agg(*aggs)
+    g = _distinct_rows(df).groupBy(*by).agg(*aggs)
     cols_missing = sum(((F.col(f"_n{i}") > 0).cast("int") for i in range(len(cols))), F.lit(0))
     constant = sum(((F.col(f"_n{i}") == F.col("rows"))
                     | ((F.col(f"_n{i}") == 0) & F.col(f"_lo{i}").eqNullSafe(F.col(f"_hi{i}")))).cast("int")
                    for i in range(len(cols)))
     dup_cols = sum(((F.col(f"_p{k}") == 0).cast("int") for k in range(len(pairs))), F.lit(0))
-    dups = duplicate_rows(df, by).select(*by, F.col("duplicates").alias("duplicated_rows"))
     out = g.select(*by, "rows", cols_missing.alias("columns_with_missing"),
                    F.col("rows_with_missing").cast("long").alias("rows_with_missing"),
-                   constant.alias("constant_columns"), dup_cols.alias("duplicated_columns"))
-    out = out.join(dups, by, "inner") if by else attach_stats(out, dups, by)
+                   constant.alias("constant_columns"), dup_cols.alias("duplicated_columns"), "duplicated_rows")
     tests = [F.col("columns_with_missing") == 0, F.col("rows_with_missing") == 0,
              F.col("constant_columns") == 0, F.col("duplicated_rows") == 0,
              F.col("duplicated_columns") == 0, F.lit(True)]  # column types: checked by schema
