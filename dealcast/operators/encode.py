@@ -61,30 +61,43 @@ def stacked_codes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     return long.distinct().withColumn("_code", (F.dense_rank().over(w) - 1).cast("int"))
 
 
+def stacked_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The same table for text columns whose values grow with the data (ids,
+    customers): one distributed ranking of all of them, so neither a group's nor a
+    column's distinct values meet in one task."""
+    by = list(by)
+    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+    long = df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _value)"))
+    distinct = long.where(F.col("_value").isNotNull()).distinct().withColumn("_one", F.lit(1))
+    ranked = running_totals(distinct, ["_value"], ["_one"], by=[*by, "_column"])
+    codes = ranked.select(*by, "_column", "_value", (F.col("cum__one") - 1).cast("int").alias("_code"))
+    null = codes.groupBy(*by, "_column").agg((F.max("_code") + 1).alias("_code"))
+    return codes.unionByName(null.withColumn("_value", F.lit(None).cast("string")))
+
+
 def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                  high_cardinality: Sequence[str] = ()) -> DataFrame:
     """F23 (fit + transform): add ``<col>_encoded`` for each column.
 
     Bounded text columns share one code table (``stacked_codes``), written
     once and joined back per column; it is a few rows per group, so the
-    joins are broadcast from its file size. High-cardinality columns are
-    ranked one by one with ``running_totals``."""
+    joins are broadcast from its file size. High-cardinality text columns share
+    one distributed ranking (``stacked_ranks``); other types are coded one by one."""
     from dealcast.session import materialize
     by = list(by)
-    stacked = [c for c in cols if c not in high_cardinality
-               and isinstance(df.schema[c].dataType, StringType)]
+    text = [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
+    tables = {}
+    for group, rank in (([c for c in text if c not in high_cardinality], stacked_codes),
+                        ([c for c in text if c in high_cardinality], stacked_ranks)):
+        if group:
+            codes = materialize(rank(df, group, by))
+            for c in group:
+                tables[c] = codes.where(F.col("_column") == c).select(
+                    *by, F.col("_value").alias(c), F.col("_code").alias(f"{c}_encoded"))
     out = df
-    if len(stacked) > 1:
-        codes = materialize(stacked_codes(df, stacked, by))
-        for c in stacked:
-            one = codes.where(F.col("_column") == c).select(
-                *by, F.col("_value").alias(c), F.col("_code").alias(f"{c}_encoded"))
-            out = join_codes(out, one, c, by)
-    else:
-        stacked = []
     for c in cols:
-        if c not in stacked:
-            out = join_codes(out, label_codes(df, c, by, high_cardinality=c in high_cardinality), c, by)
+        codes = tables[c] if c in tables else label_codes(df, c, by, high_cardinality=c in high_cardinality)
+        out = join_codes(out, codes, c, by)
     return out.select(*df.columns, *[f"{c}_encoded" for c in cols])
 
 

@@ -59,6 +59,16 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(feature_table(cleaned(spark, sf_dir), teams, accts, by=BY))
 
 
+def model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dealcast.operators.monthly import monthly_features
+    from dealcast.plans.features import model_features as build
+    from dealcast.session import materialize
+    teams, accts, _ = dims(spark, sf_dir)
+    # written once: the monthly statistics and the rows both read it
+    f = materialize(build(cleaned(spark, sf_dir), teams, accts, by=BY))
+    return monthly_features(f, by=BY)
+
+
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned snapshots + stage flags + cycle + M1 monthly features."""
     from dealcast.functions import scalar as S
@@ -99,10 +109,9 @@ def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored set (D2): all 27 model features of every row, the outcome and
     ``prediction`` (the closed-form win rate, so that SQL can repeat it; a fitted
     model's score goes through the same operators)."""
-    from dealcast.operators.monthly import monthly_features
     from dealcast.operators.reports import smoothed_win_rate
     from dealcast.session import materialize
-    f = monthly_features(features(spark, sf_dir), by=BY)
+    f = model_features(spark, sf_dir)
     keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
     return materialize(smoothed_win_rate(f.select(*keep), "sales_agent", by=BY, name="prediction"))
 
@@ -116,9 +125,8 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 over all snapshots (see ``model_rows``)."""
-    from dealcast.operators.monthly import monthly_features
     from dealcast.session import materialize
-    return model_rows(materialize(monthly_features(features(spark, sf_dir), by=BY)))
+    return model_rows(materialize(model_features(spark, sf_dir)))
 
 
 def model_rows(monthly_rows: DataFrame) -> DataFrame:

@@ -23,6 +23,10 @@ ENCODED = ("opportunity_id", "sales_agent", "product", "account", "creation_year
            "close_value_category", "sales_cycle_category", "manager", "regional_office", "sector")
 
 
+# The encoded columns among the model's features.
+MODEL_ENCODED = ("sales_agent", "product", "account", "close_value_category", "manager", "regional_office", "sector")
+
+
 def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
                     by: Sequence[str] = ()) -> DataFrame:
     """Value, stage, agent, product, date, cycle and account features.
@@ -84,6 +88,14 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
     return keep
 
 
+def model_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
+                   by: Sequence[str] = ()) -> DataFrame:
+    """What the model and the drift comparison use of the feature table: the row
+    features and the codes of seven labels, without the scaled columns."""
+    f = materialize(create_features(opps, teams, accounts, list(by)))
+    return label_encode(f, MODEL_ENCODED, by, high_cardinality=HIGH_CARDINALITY)
+
+
 def feature_table(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
                   by: Sequence[str] = ()) -> DataFrame:
     """The reference's feature engineering run, end to end."""

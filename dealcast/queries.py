@@ -458,7 +458,10 @@ WHERE s.engage_date IS NOT NULL AND s.sales_agent IS NOT NULL
 GROUP BY s.opportunity_id, s.snapshot_period, s.sales_agent""")
 def q_w2(spark, d):
     from dealcast.operators.windows import known_at_engage
-    s = D.snapshots(spark, d).where(F.col("engage_date").isNotNull() & F.col("sales_agent").isNotNull())
+    from dealcast.session import materialize
+    # events, questions and rows are three branches of one written table
+    s = materialize(D.snapshots(spark, d).where(F.col("engage_date").isNotNull() & F.col("sales_agent").isNotNull())
+                    .select("opportunity_id", "snapshot_period", "sales_agent", "deal_stage", "engage_date", "close_date"))
     out = known_at_engage(s, "sales_agent", by=BY)
     return out.select("opportunity_id", "snapshot_period", "sales_agent",
                       F.coalesce("sales_agent_prior_closed", F.lit(0)).alias("sales_agent_prior_closed"),
@@ -965,8 +968,8 @@ _KEEP = ("opportunity_id", "opportunity_key", "is_won", "is_closed", "deal_stage
 
 @query("m2_training_matrix", O.training_matrix_sql())
 def q_m2(spark, d):
-    from dealcast.operators.monthly import monthly_features, training_matrix
-    return training_matrix(monthly_features(D.features(spark, d), by=BY), by=BY, keep=_KEEP)
+    from dealcast.operators.monthly import training_matrix
+    return training_matrix(D.model_features(spark, d), by=BY, keep=_KEEP)
 
 
 def _model_data(spark, d):
@@ -1007,9 +1010,9 @@ def q_m11(spark, d):
     a feature that is missing there is 0."""
     import uuid
     from dealcast.operators import models as M
-    from dealcast.operators.monthly import MODEL_FEATURES, monthly_features, pipeline_rows
+    from dealcast.operators.monthly import MODEL_FEATURES, pipeline_rows
     from dealcast.session import materialize, scratch_path
-    monthly = materialize(monthly_features(D.features(spark, d), by=BY))
+    monthly = materialize(D.model_features(spark, d))
     data = M.prepare(D.model_rows(monthly), MODEL_FEATURES)
     train = data.where(F.col("split") == "train")
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
