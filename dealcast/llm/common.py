@@ -8,9 +8,11 @@ non-ASCII character are >= 0x80, so byte classes decide words exactly.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,21 @@ from dealcast.session import materialize
 
 __all__ = ["materialize"]
 
-SLICE_BYTES = 4 << 20  # text bytes that a task turns into arrays at once
+SLICE_BYTES = 1 << 20  # text bytes that a task turns into arrays at once; they take about 60 times as much
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are large: at most ``rows`` rows go to a Python worker at once, so
+    that a batch takes some megabytes on either side. A smaller setting stays."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS, "0")) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -45,6 +58,28 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+# ------------------------------------------------------------------ tasks
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again, and
+    what one task has freed counts against the executor until then."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def task(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A mapper of a task's batches that gives its memory back at the end."""
+    @functools.wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+    return run
+
+
 # ------------------------------------------------------------------ Arrow slices
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -129,7 +164,7 @@ class Words:
         return np.bincount(self.doc, minlength=self.n_docs).astype(np.int64)
 
 
-def read_words(col: pa.Array, rule: WordRule, piece: int = 1 << 21) -> Words:
+def read_words(col: pa.Array, rule: WordRule, piece: int = 1 << 19) -> Words:
     """All words of every text. Long data is hashed in pieces of ``piece``
     bytes that end between words."""
     raw, offsets = text_bytes(col)

@@ -43,6 +43,7 @@ _HITS = "doc_id long, n_words long, found array<struct<pos:int,size:int,shingle:
 
 def _windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """(item_id, window): each item's windows, as words joined by a space."""
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in C.text_slices(batch, "text"):
@@ -79,6 +80,7 @@ def _bit(h: np.ndarray, size: int) -> np.ndarray:
 
 def _bitmap(shingles: DataFrame) -> tuple[bytes, list[int]]:
     """The bitmap of (size, shingle) rows and the sizes that occur."""
+    @C.task
     def bits(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             words = C.read_words(batch.column(1), C.ALNUM)
@@ -99,6 +101,7 @@ def _found(docs: DataFrame, doc_id: str, text: str, bitmap: bytes, sizes: list[i
     """For each document its number of words, and its shingles that pass the bitmap."""
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         flags = np.unpackbits(np.frombuffer(held.value, np.uint8)).astype(bool)
         kind = pa.struct([("pos", pa.int32()), ("size", pa.int32()), ("shingle", pa.string())])
@@ -130,6 +133,7 @@ def _found(docs: DataFrame, doc_id: str, text: str, bitmap: bytes, sizes: list[i
 
 def _verify(matched: DataFrame) -> DataFrame:
     """(row, start, window, len) of the candidates whose shingles all follow each other."""
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             out: dict[str, list] = {"row": [], "start": [], "window": [], "len": []}

@@ -30,7 +30,9 @@ def fit(docs: DataFrame, sample: DataFrame, featurize: Callable[[pa.Array], list
         train: Callable[[list[np.ndarray], np.ndarray], bytes], doc_id: str = "doc_id", text: str = "text") -> bytes | None:
     """The model that ``train(features, labels)`` makes of the sample, or None
     if the sample is empty. ``sample`` is bounded (see above), so it is broadcast.
-    A repeated document counts as often as it is there, within the bound."""
+    Of rows that repeat an id one is learned from, so the task that fits gets at
+    most as many documents as the sample has ids."""
+    @C.task
     def features(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in C.text_slices(batch, "text"):
@@ -38,16 +40,27 @@ def fit(docs: DataFrame, sample: DataFrame, featurize: Callable[[pa.Array], list
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())],
                                                  names=["doc_id", "label", "features"])
 
+    @C.task
     def model(batches: Iterator[pa.RecordBatch]):
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
             return
-        got = pa.Table.from_batches(tables).sort_by([("doc_id", "ascending"), ("features", "ascending")])
-        rows = [np.frombuffer(b, np.int64) for b in got.column("features").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([train(rows, got.column("label").to_numpy().astype(np.int64))], pa.binary())], names=["model"])
+        ids = np.concatenate([b.column(0).to_numpy() for b in parts])
+        labels = np.concatenate([b.column(1).to_numpy() for b in parts]).astype(np.int64)
+        rows = []
+        for b in parts:  # views of the batches' buffers
+            column = b.column(2)
+            _, ends, data = column.buffers()
+            at = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1]
+            rows += [np.frombuffer(data, np.int32, (at[i + 1] - at[i]) // 4, at[i]) if at[i + 1] > at[i] else np.zeros(0, np.int32)
+                     for i in range(len(column))]
+        order = sorted(range(len(rows)), key=lambda i: (ids[i], rows[i].tobytes()))
+        fitted = train([rows[i] for i in order], labels[order])
+        yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], names=["model"])
 
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     read = (texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
             .mapInArrow(features, "doc_id long, label int, features binary"))
-    found = read.repartition(1).mapInArrow(model, "model binary").collect()
+    once = read.groupBy("doc_id").agg(F.min(F.struct("features", "label")).alias("m")).select("doc_id", "m.label", "m.features")
+    found = once.coalesce(1).mapInArrow(model, "model binary").collect()
     return bytes(found[0].model) if found else None

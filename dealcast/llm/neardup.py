@@ -93,6 +93,7 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int, k: int) -> DataFrame:
     """(doc_id, n, same, sketch, b0 to b7): set size, digest of the whole set,
     the k smallest hashes (as bytes) and a bitmap of them."""
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in C.text_slices(batch, "text"):
@@ -113,6 +114,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int, k: int) -> Data
 
 def _values(classes: DataFrame) -> DataFrame:
     """(value, rep): sketch values by row."""
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
@@ -148,53 +150,6 @@ def _possible(x: str, y: str, percent: int):
     return size & (common >= F.floor(least * 0.75) - 4)
 
 
-def _possible(x: str, y: str, percent: int):
-    """Whether sizes and common bits allow a link. Distinct values may share a
-    bit; the allowance for that keeps the chance of a loss below 1e-9."""
-    size = (F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (F.col(f"{y}.n") * 100 >= F.col(f"{x}.n") * percent)
-    common = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseAND(F.col(f"{y}.{b}"))) for b in _BITS), F.lit(0))
-    least = F.greatest(f"{x}.least", f"{y}.least")
-    return size & (common >= F.floor(least * 0.75) - 4)
-
-
-def _jaccard(pairs: DataFrame, size: int, k: int, percent: int, need: int) -> DataFrame:
-    """(a, b) of the pairs whose estimate passes and whose full sets are similar."""
-    def rows(batches: Iterator[pa.RecordBatch]):
-        known: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part in C.text_slices(batch, "text_b", 1 << 20):
-                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-                sa, sb = part.column(2).to_pylist(), part.column(3).to_pylist()
-                keep = []
-                for i in range(part.num_rows):
-                    x, y = np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64)
-                    low = np.union1d(x, y)[:k]
-                    both = np.isin(low, x, assume_unique=True) & np.isin(low, y, assume_unique=True)
-                    if len(x) < k and len(y) < k or both.sum() >= min(need, len(low)):
-                        keep.append(i)
-                if keep:
-                    some = part.take(pa.array(keep))
-                    new = [j for j, i in enumerate(keep) if a[i] not in known]
-                    if len(known) > 200:
-                        known.clear()
-                        new = list(range(len(keep)))
-                    firsts = {}
-                    for j in new:
-                        firsts.setdefault(a[keep[j]], j)
-                    got = shingle_sets(some.column(4).take(pa.array(list(firsts.values()), pa.int64())), size)
-                    known.update(zip(firsts, got))
-                    right = shingle_sets(some.column(5), size)
-                    hit = []
-                    for j, i in enumerate(keep):
-                        x, y = known[a[i]], right[j]
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        if 100 * both >= percent * (len(x) + len(y) - both):
-                            hit.append(i)
-                    yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in hit], pa.int64()), pa.array([b[i] for i in hit], pa.int64())],
-                                                     names=["a", "b"])
-    return pairs.select("a", "b", "sketch_a", "sketch_b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
-
-
 def _shared(left: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     """Number of values that each sorted set of ``others`` shares with ``left``."""
     values = np.concatenate(others)

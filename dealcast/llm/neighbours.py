@@ -59,6 +59,7 @@ def _indexed(clean: DataFrame, pivots: np.ndarray) -> DataFrame:
     """(vec_id, v, order): vectors and orders as bytes."""
     held = clean.sparkSession.sparkContext.broadcast(pivots)  # at most 256 vectors
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         dim = held.value.shape[1]
         for batch in batches:

@@ -43,6 +43,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, pat
     are little-endian unsigned 32-bit numbers."""
     path = path or default_vocabulary()
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for part, ids, offsets in token_slices(batches, path):
             n = part.num_rows

@@ -76,7 +76,7 @@ def featurize(column: pa.Array) -> list[np.ndarray]:
     rows = []
     for d in range(n):
         got, times = np.unique(bucket[order[ends[d - 1] if d else 0:ends[d]]], return_counts=True)
-        rows.append(np.concatenate([got, times]).astype(np.int64))
+        rows.append(np.concatenate([got, times]).astype(np.int32))
     return rows
 
 
@@ -123,6 +123,7 @@ def score(docs: DataFrame, model: bytes | None, doc_id: str = "doc_id", text: st
         logit = weights[0] + total / np.maximum(1, np.bincount(doc, minlength=n))
         return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -60, 60)))
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in C.text_slices(batch, text if keep else "text"):

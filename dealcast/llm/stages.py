@@ -40,6 +40,7 @@ def _stage(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, _DONE)
+        C.small_batches(spark)
         before = set(scratch_tables())
         out = fn(spark, docs, sf_dir)
         _DONE[:] = [t for t in scratch_tables() if t not in before]

@@ -210,6 +210,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, path: str |
     fs, local = file_system(folder)
     fs.create_dir(local, recursive=True)
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         width = 2 if tokenizer(path).model.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
         shard = TaskContext.get().partitionId()
@@ -245,6 +246,7 @@ def read_token_files(spark: SparkSession, manifest: Manifest, keys: DataFrame, k
     high = np.array([files[i]["high"] for i in ranged], np.int64)
     nulls = [i for i, f in enumerate(files) if f["has_null"]]
 
+    @C.task
     def route(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             column = batch.column(0)

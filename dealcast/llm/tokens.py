@@ -25,8 +25,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 1_000_000
-SLICE_BYTES = 8 << 20
+MEMO_WORDS = 300_000
+SLICE_BYTES = 4 << 20
 
 # The declared text rules under which the short way is exact.
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"

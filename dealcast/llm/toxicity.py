@@ -36,13 +36,14 @@ from dealcast.llm import common as C
 from dealcast.llm.learning import fit, labelled_sample
 
 BITS = 20
-SAMPLE = 6000    # labelled rows that the fit may use
+SAMPLE = 3000    # labelled rows that the fit may use
 FOLDS = 4
-SEEN = (3, 0.3)  # a feature counts if at least 3 rows of the sample have it, and at most this share
+SEEN = (3, 0.15)  # a feature counts if at least 3 rows of the sample have it, and at most this share
+SIZES = (4, 5)   # bytes of a run
 KEEP = 512
 TURNS = 120
 PENALTY = 1e-3
-CUT = 0.3
+CUT = 0.25
 
 # The words of the finer categories.
 CATEGORIES = {
@@ -69,7 +70,7 @@ def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int, C.Word
     pos = np.flatnonzero(inside)
     line[pos] = words.data[pos + np.repeat(words.start - at, size)[pos]] if len(pos) else 0
     owner = np.repeat(words.doc, size)
-    for n in (4, 5):
+    for n in SIZES:
         m = max(0, len(line) - n + 1)
         h = np.full(m, n, np.uint64)
         with np.errstate(over="ignore"):
@@ -96,7 +97,16 @@ def featurize(column: pa.Array) -> list[np.ndarray]:
     bits = _marks(words)
     order = np.argsort(doc, kind="stable")
     ends = np.cumsum(np.bincount(doc, minlength=n))
-    return [np.concatenate([bits[d:d + 1], np.unique(bucket[order[ends[d - 1] if d else 0:ends[d]]])]) for d in range(n)]
+    return [np.concatenate([bits[d:d + 1], np.unique(bucket[order[ends[d - 1] if d else 0:ends[d]]])]).astype(np.int32) for d in range(n)]
+
+
+def _counts(at: np.ndarray, width: int, only: np.ndarray | None = None) -> np.ndarray:
+    """How often each number occurs, in slices: numpy widens what it counts."""
+    out = np.zeros(width, np.int64)
+    for lo in range(0, len(at), 1 << 19):
+        part = at[lo:lo + (1 << 19)]
+        out += np.bincount(part if only is None else part[only[lo:lo + (1 << 19)]], minlength=width)
+    return out
 
 
 class Linear:
@@ -104,8 +114,8 @@ class Linear:
     the label best, and on ``extra`` columns (the earlier probabilities)."""
 
     def __init__(self, at: np.ndarray, owner: np.ndarray, n: int, width: int, label: np.ndarray, extra: np.ndarray):
-        yes = np.bincount(at[label[owner] > 0], minlength=width)
-        seen = np.bincount(at, minlength=width)
+        yes = _counts(at, width, (label > 0)[owner])
+        seen = _counts(at, width)
         total, ones = n + 1e-9, label.sum()
         # what knowing the feature adds to the likelihood of the rows that have it
         rate = (yes + 0.5 * (ones + 1) / (total + 2)) / (seen + 0.5)
@@ -114,11 +124,13 @@ class Linear:
         gain[seen < SEEN[0]] = 0
         self.at = np.sort(np.argsort(-gain, kind="stable")[:KEEP])
         self.at = self.at[gain[self.at] > 0]
-        place = np.full(width, -1, np.int64)
+        place = np.full(width, -1, np.int16)
         place[self.at] = np.arange(len(self.at))
         x = np.zeros((n, len(self.at) + extra.shape[1]), np.float32)
-        kept = place[at] >= 0
-        x[owner[kept], place[at][kept]] = 1
+        spot = place[at]
+        kept = spot >= 0
+        x[owner[kept], spot[kept]] = 1
+        del spot, kept
         x[:, len(self.at):] = extra
         # gradient steps with a moving average of squares (Adam)
         w, b = np.zeros(x.shape[1], np.float32), float(np.log(base / (1 - base)))
@@ -139,7 +151,9 @@ class Linear:
         """``at`` and ``owner``: distinct (bucket, text) pairs."""
         value = np.zeros(self.width)
         value[self.at] = self.weights
-        z = np.bincount(owner, value[at], minlength=n) + self.bias + extra @ self.extra
+        used = value != 0
+        hit = used[at]
+        z = np.bincount(owner[hit], value[at[hit]], minlength=n) + self.bias + extra @ self.extra
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -147,14 +161,17 @@ def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
     """The chain: [(buckets, weights, bias, weights of earlier categories)]."""
     n = len(rows)
     bits = np.array([r[0] for r in rows])
-    at = np.concatenate([r[1:] for r in rows])
-    owner = np.repeat(np.arange(n), [len(r) - 1 for r in rows])
-    seen = np.bincount(at, minlength=1 << BITS)
+    seen = np.zeros(1 << BITS, np.int32)
+    for r in rows:  # a row's buckets are distinct
+        seen[r[1:]] += 1
     names = np.flatnonzero((seen >= SEEN[0]) & (seen <= max(SEEN[0], SEEN[1] * n)))
-    number = np.full(1 << BITS, -1, np.int64)
+    number = np.full(1 << BITS, -1, np.int32)
     number[names] = np.arange(len(names))
-    at = number[at]
-    at, owner = at[at >= 0], owner[at >= 0]
+    kept = [number[r[1:]] for r in rows]
+    kept = [k[k >= 0] for k in kept]
+    at = np.concatenate(kept)
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(k) for k in kept])
+    del kept
     toxic = (labels > 0).astype(np.float64)
     targets = [toxic * (bits >> k & 1) for k in range(len(CATEGORIES))] + [toxic]
     fold = np.arange(n) % FOLDS
@@ -168,10 +185,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
             own = fold != f
             if own.all() or not own.any():
                 continue
-            new = np.cumsum(own) - 1
+            new = (np.cumsum(own) - 1).astype(np.int32)
             kept = own[owner]
             part = Linear(at[kept], new[owner[kept]], int(own.sum()), len(names), y[own], earlier[own])
-            other = np.cumsum(~own) - 1
+            other = (np.cumsum(~own) - 1).astype(np.int32)
             left = ~kept
             outside[~own] = part.probability(at[left], other[owner[left]], int((~own).sum()), earlier[~own])
         earlier = np.column_stack([earlier, outside]).astype(np.float32)
@@ -187,6 +204,7 @@ def score(docs: DataFrame, model: bytes | None, text: str = "text") -> DataFrame
     held = docs.sparkSession.sparkContext.broadcast(model)
     columns = [f"p_{c}" for c in names()]
 
+    @C.task
     def rows(batches: Iterator[pa.RecordBatch]):
         chain = pickle.loads(held.value) if held.value is not None else None
         if chain:

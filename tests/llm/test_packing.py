@@ -29,19 +29,18 @@ def check(docs, placed, capacity=2048):
     model = tokenizer(default_vocabulary()).model
     want = sorted(model.encode(t or "", add_special_tokens=False).ids + [0] for _, t in docs)
     got = placed.toPandas()
-    runs, current = [], None
     for r in got.sort_values(["doc_id", "start"], na_position="first", kind="stable").itertuples():
         assert r.start == r.piece * capacity and zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length <= 4 * capacity
     for _, seq in got.groupby("sequence_id"):
         seq = seq.sort_values("offset")
         assert seq.offset.tolist() == (seq.length.cumsum() - seq.length).tolist() and seq.length.sum() <= capacity
     assert sum(map(len, want)) == got.length.sum()
-    return got, want, runs, current
+    return got, want
 
 
 def test_edge_cases(spark):
     d = spark.createDataFrame([(*x, 7, 8) for x in EDGES], "doc_id long, text string, length int, sequence_id int")
-    got, want, _, _ = check(EDGES, packing.packed_pieces(d, keep_ids=True))
+    got, want = check(EDGES, packing.packed_pieces(d, keep_ids=True))
     assert len(got[got.doc_id == 3]) == 2 and got[got.doc_id.isna()].shape[0] == 1
     long = got[got.doc_id == 4].sort_values("piece")
     assert np.concatenate([np.frombuffer(x, "<u4") for x in long.ids]).tolist() in want
@@ -49,7 +48,7 @@ def test_edge_cases(spark):
 
 
 def test_whole_small_table(spark, docs):
-    got, want, _, _ = check([(r.doc_id, r.text) for r in docs.collect()], packing.packed_pieces(docs, keep_ids=True))
+    got, want = check([(r.doc_id, r.text) for r in docs.collect()], packing.packed_pieces(docs, keep_ids=True))
     whole = [np.concatenate([np.frombuffer(x, "<u4") for x in g.sort_values("piece").ids]).tolist() for _, g in got.groupby("doc_id")]
     assert sorted(whole) == want
     assert got.sequence_id.nunique() <= 1.02 * -(-got.length.sum() // 2048)
