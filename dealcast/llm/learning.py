@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dealcast.llm import common as C
 
@@ -26,6 +26,25 @@ def labelled_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
 
 
+def text_hash(text: str) -> Column:
+    """A null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, label): like ``labelled_sample``, but of ids with
+    one text only the smallest, so that copies of a text are one row. Its label
+    is the one that most of these ids have, the larger one if there are two. An
+    id with several texts has the one with the smallest hash."""
+    ids = (docs.where(F.col(doc_id).isNotNull() & ~C.held_out(doc_id))
+           .select(F.col(doc_id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash")))
+    known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~C.held_out(doc_id))
+             .groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max((F.col(label) > 0).cast("int")).alias("label")))
+    return (ids.join(known, "doc_id").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"), F.max("label").alias("label"))
+            .groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "text_hash", "label"))
+
+
 def fit(docs: DataFrame, sample: DataFrame, featurize: Callable[[pa.Array], list[np.ndarray]],
         train: Callable[[list[np.ndarray], np.ndarray], bytes], doc_id: str = "doc_id", text: str = "text") -> bytes | None:
     """The model that ``train(features, labels)`` makes of the sample, or None

@@ -11,12 +11,15 @@ a labelled row has one if it is toxic and has a word of the category's list.
 The last category is the label itself and decides.
 
 Features are what a text has at all (not how often): lower-cased words and runs
-of 4 and 5 bytes, hashed. What nearly no or very many sample rows have is left
-out. A model keeps the ``KEEP`` features that tell its category best in its
-training rows and is a logistic regression on them.
-
-The fit uses at most ``sample`` labelled rows outside the held-out fold; scores
-use the whole text only. Defined results: a null or empty text has no features
+of 4 and 5 bytes, hashed. What nearly no sample row has is left out. A model
+keeps the ``KEEP`` features that tell its category best in its training rows
+(of all others, however many rows have them) and is a logistic regression on
+them. Features are counted by fold and category in Spark; the task that fits
+gets only what some model keeps.
+
+The fit uses at most ``sample`` labelled rows outside the held-out fold, one of
+each distinct text, so copies of a text count once; scores use the whole text
+only. Defined results: a null or empty text has no features
 (its probabilities are those of the models' constants); every row gives one
 row; without any labelled row all probabilities are 0. Other columns are never
 read.
@@ -29,21 +32,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window
 from pyspark.sql import types as T
 
 from dealcast.llm import common as C
-from dealcast.llm.learning import fit, labelled_sample
+from dealcast.llm.learning import labelled_texts, text_hash
 
 BITS = 20
 SAMPLE = 3000    # labelled rows that the fit may use
 FOLDS = 4
-SEEN = (3, 0.15)  # a feature counts if at least 3 rows of the sample have it, and at most this share
+SEEN = 3         # a feature counts if at least 3 of a model's training rows have it
 SIZES = (4, 5)   # bytes of a run
 KEEP = 512
 TURNS = 120
 PENALTY = 1e-3
-CUT = 0.25
+CUT = 0.3
 
 # The words of the finer categories.
 CATEGORIES = {
@@ -100,13 +103,19 @@ def featurize(column: pa.Array) -> list[np.ndarray]:
     return [np.concatenate([bits[d:d + 1], np.unique(bucket[order[ends[d - 1] if d else 0:ends[d]]])]).astype(np.int32) for d in range(n)]
 
 
-def _counts(at: np.ndarray, width: int, only: np.ndarray | None = None) -> np.ndarray:
-    """How often each number occurs, in slices: numpy widens what it counts."""
-    out = np.zeros(width, np.int64)
-    for lo in range(0, len(at), 1 << 19):
-        part = at[lo:lo + (1 << 19)]
-        out += np.bincount(part if only is None else part[only[lo:lo + (1 << 19)]], minlength=width)
-    return out
+def targets(bits: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    """Of each category, in the chain's order: whether a row has it."""
+    toxic = (labels > 0).astype(np.float64)
+    return [toxic * (bits >> k & 1) for k in range(len(CATEGORIES))] + [toxic]
+
+
+def gains(seen: np.ndarray, yes: np.ndarray, n: int, ones: float) -> np.ndarray:
+    """What knowing a feature adds to the likelihood of the rows that have it:
+    ``seen`` of the ``n`` rows, ``yes`` of the ``ones`` rows of the category."""
+    rate = (yes + 0.5 * (ones + 1) / (n + 2)) / (seen + 0.5)
+    base = (ones + 0.5) / (n + 1)
+    gain = seen * (rate * np.log(rate / base) + (1 - rate) * np.log(np.maximum(1 - rate, 1e-12) / (1 - base)))
+    return np.where(seen < SEEN, 0, gain)
 
 
 class Linear:
@@ -114,14 +123,9 @@ class Linear:
     the label best, and on ``extra`` columns (the earlier probabilities)."""
 
     def __init__(self, at: np.ndarray, owner: np.ndarray, n: int, width: int, label: np.ndarray, extra: np.ndarray):
-        yes = _counts(at, width, (label > 0)[owner])
-        seen = _counts(at, width)
-        total, ones = n + 1e-9, label.sum()
-        # what knowing the feature adds to the likelihood of the rows that have it
-        rate = (yes + 0.5 * (ones + 1) / (total + 2)) / (seen + 0.5)
-        base = (ones + 0.5) / (total + 1)
-        gain = seen * (rate * np.log(rate / base) + (1 - rate) * np.log(np.maximum(1 - rate, 1e-12) / (1 - base)))
-        gain[seen < SEEN[0]] = 0
+        ones = label.sum()
+        base = (ones + 0.5) / (n + 1)
+        gain = gains(np.bincount(at, minlength=width), np.bincount(at, label[owner] > 0, minlength=width), n, ones)
         self.at = np.sort(np.argsort(-gain, kind="stable")[:KEEP])
         self.at = self.at[gain[self.at] > 0]
         place = np.full(width, -1, np.int16)
@@ -157,27 +161,18 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
-    """The chain: [(buckets, weights, bias, weights of earlier categories)]."""
+def train(rows: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, names: np.ndarray) -> bytes:
+    """The chain: [(buckets, weights, bias, weights of earlier categories)].
+    ``names``: the buckets, sorted, that some model may keep."""
     n = len(rows)
     bits = np.array([r[0] for r in rows])
-    seen = np.zeros(1 << BITS, np.int32)
-    for r in rows:  # a row's buckets are distinct
-        seen[r[1:]] += 1
-    names = np.flatnonzero((seen >= SEEN[0]) & (seen <= max(SEEN[0], SEEN[1] * n)))
-    number = np.full(1 << BITS, -1, np.int32)
-    number[names] = np.arange(len(names))
-    kept = [number[r[1:]] for r in rows]
-    kept = [k[k >= 0] for k in kept]
+    kept = [np.searchsorted(names, r[1:]) for r in rows]  # a row's buckets are distinct
     at = np.concatenate(kept)
     owner = np.repeat(np.arange(n, dtype=np.int32), [len(k) for k in kept])
     del kept
-    toxic = (labels > 0).astype(np.float64)
-    targets = [toxic * (bits >> k & 1) for k in range(len(CATEGORIES))] + [toxic]
-    fold = np.arange(n) % FOLDS
     earlier = np.zeros((n, 0), np.float32)
     chain = []
-    for y in targets:
+    for y in targets(bits, labels):
         whole = Linear(at, owner, n, len(names), y, earlier)
         chain.append((names[whole.at], whole.weights, whole.bias, whole.extra))
         outside = np.zeros(n, np.float32)
@@ -234,9 +229,108 @@ def score(docs: DataFrame, model: bytes | None, text: str = "text") -> DataFrame
     return docs.mapInArrow(rows, schema)
 
 
+def _unpack(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32) for x in column.to_pylist()]
+
+
+def _sampled(docs: DataFrame, sample: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, label, fold, features) of the sampled texts, an id once."""
+    @C.task
+    def features(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part in C.text_slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in featurize(part.column(2))], pa.binary())],
+                                                 names=["doc_id", "label", "features"])
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
+    read = (texts.join(F.broadcast(sample), ["doc_id", "text_hash"]).select("doc_id", "label", "text")  # at most ``sample`` rows
+            .mapInArrow(features, "doc_id long, label int, features binary"))
+    return (read.groupBy("doc_id").agg(F.min(F.struct("features", "label")).alias("m"))
+            .select("doc_id", "m.label", F.pmod(F.hash("doc_id"), F.lit(FOLDS)).alias("fold"), "m.features"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(bucket, c0, c1, ...): of each fold, how many rows have the bucket, then
+    how many of each category. Bucket -1 is in every row."""
+    wide = 1 + len(CATEGORIES) + 1
+
+    @C.task
+    def count(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):  # some megabytes of features
+                part = batch.slice(lo, 256)
+                got = _unpack(part.column(2))
+                label, fold = part.column(0).to_numpy(), part.column(1).to_numpy()
+                marks = np.column_stack([np.ones(len(got)), *targets(np.array([r[0] for r in got]), label)])
+                own = [np.concatenate([[-1], r[1:]]) for r in got]
+                bucket, place = np.unique(np.concatenate(own), return_inverse=True)
+                owner = np.repeat(np.arange(len(got)), [len(r) for r in own])
+                table = [np.bincount(place, (marks[:, k] * (fold == f))[owner], minlength=len(bucket)).astype(np.int32)
+                         for f in range(FOLDS) for k in range(wide)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), *map(pa.array, table)],
+                                                 names=["bucket", *(f"c{i}" for i in range(len(table)))])
+
+    columns = [f"c{i}" for i in range(FOLDS * wide)]
+    part = rows.select("label", "fold", "features").mapInArrow(count, "bucket int, " + ", ".join(f"{c} int" for c in columns))
+    return part.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in columns))
+
+
+def _kept(rows: DataFrame) -> np.ndarray:
+    """The buckets, sorted, that one of the chain's models keeps: of each
+    category the model of all rows and those of all folds but one."""
+    wide = 1 + len(CATEGORIES) + 1
+    counted = C.materialize(_counted(rows))
+    all_rows = counted.where("bucket = -1").collect()
+    if not all_rows:
+        return np.zeros(0, np.int64)
+    sizes = np.array(all_rows[0][1:], np.int64).reshape(FOLDS, wide)
+
+    @C.task
+    def best(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            table = np.stack([c.to_numpy() for c in batch.columns[1:]], 1).reshape(-1, FOLDS, wide)
+            for m in range(-1, FOLDS):  # -1: all rows
+                inside = np.arange(FOLDS) != m
+                n, seen = sizes[inside].sum(0), table[:, inside].sum(1)
+                for k in range(1, wide):
+                    gain = gains(seen[:, 0], seen[:, k], n[0], n[k])
+                    top = np.lexsort((bucket, -gain))[:KEEP]
+                    top = top[gain[top] > 0]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), (m + 1) * wide + k, np.int32)), pa.array(bucket[top]), pa.array(gain[top])],
+                                                     names=["model", "bucket", "gain"])
+
+    found = counted.where("bucket >= 0").mapInArrow(best, "model int, bucket int, gain double")
+    order = Window.partitionBy("model").orderBy(F.desc("gain"), "bucket")
+    top = found.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= KEEP).select("bucket").distinct()
+    return np.array(sorted(r.bucket for r in top.collect()), np.int64)  # at most KEEP of each model
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE,
                  doc_id: str = "doc_id", text: str = "text") -> bytes | None:
-    return fit(docs, labelled_sample(labels, label, sample, doc_id), featurize, train, doc_id, text)
+    """The chain, or None if there is nothing to learn from."""
+    rows = C.materialize(_sampled(docs, labelled_texts(docs, labels, label, sample, doc_id, text), doc_id, text))
+    held = docs.sparkSession.sparkContext.broadcast(_kept(rows))
+
+    @C.task
+    def less(batches: Iterator[pa.RecordBatch]):
+        used = np.zeros(1 << BITS, bool)
+        used[held.value] = True
+        for batch in batches:
+            cut = [np.concatenate([r[:1], r[1:][used[r[1:]]]]).tobytes() for r in _unpack(batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(cut, pa.binary())], names=["doc_id", "label", "fold", "features"])
+
+    @C.task
+    def model(batches: Iterator[pa.RecordBatch]):
+        parts = pa.Table.from_batches([b for b in batches], pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("fold", pa.int32()), ("features", pa.binary())]))
+        if parts.num_rows:
+            parts = parts.sort_by("doc_id").combine_chunks()
+            fitted = train(_unpack(parts.column("features")), parts.column("label").to_numpy(), parts.column("fold").to_numpy(), held.value)
+            yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], names=["model"])
+
+    found = (rows.mapInArrow(less, "doc_id long, label int, fold int, features binary").coalesce(1)
+             .mapInArrow(model, "model binary").collect())
+    return bytes(found[0].model) if found else None
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, cut: float = CUT, doc_id: str = "doc_id", text: str = "text", **fitting) -> DataFrame:
