@@ -1,13 +1,15 @@
 """Approximate nearest neighbours with a permutation index.
 
-A bounded sample of vectors are the pivots. A vector is represented by the order
-in which the pivots are near to it (cosine), and posted in the inverted files of
-its ``posted`` nearest pivots. A query probes the files of its ``probes`` nearest
-pivots. In a file, candidates are ranked by the footrule distance of the two
-orders (the sum of the pivots' rank differences), and the nearest ``rerank``
-share of them is ranked again by the cosine of the original vectors in double
-precision. A pair that meets in several files counts in the one that is nearest
-to the query. The best of all files is the result.
+A bounded sample of distinct directions are the pivots: copies of a vector, and
+its multiples, are one direction, however many rows they are. A vector is
+represented by the order in which the pivots are near to it (cosine), and
+posted in the inverted files of its ``posted`` nearest pivots. A query probes
+the files of its ``probes`` nearest pivots. In a file, candidates are ranked by
+the footrule distance of the two orders (the sum of the pivots' rank
+differences), and the nearest ``rerank`` share of them is ranked again by the
+cosine of the original vectors in double precision. A pair that meets in
+several files counts in the one that is nearest to the query. The best of all
+files is the result.
 
 Every row is indexed; shares, not numbers, bound what is reranked, so the
 index behaves alike at every size. Popular pivots' files are dealt out in blocks
@@ -48,6 +50,17 @@ def _clean(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
             .where(good))
 
 
+def _pivots(vectors: DataFrame, pivots: int) -> DataFrame:
+    """(vec_id, v): of the directions with the smallest hashes the row with the
+    smallest id. Only hashes of the directions are shuffled."""
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    named = vectors.withColumn("_most", most).withColumn(
+        "_way", F.xxhash64(F.transform("v", lambda x: F.round(x / F.col("_most"), 9) + 0.0)))  # + 0.0: no negative zeros
+    few = named.select("_way").distinct().orderBy("_way").limit(pivots)
+    return (named.join(F.broadcast(few), "_way").groupBy("_way").agg(F.min(F.struct("vec_id", "v")).alias("p"))
+            .orderBy("_way").select("p.vec_id", "p.v"))
+
+
 def _orders(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """For each row, the pivots from the nearest to the farthest."""
     unit = x / np.abs(x).max(1, keepdims=True)  # so that no square over- or underflows
@@ -123,7 +136,7 @@ def nearest(vectors: DataFrame, query_every: int = 50, top: int = 5, pivots: int
     dims = clean.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     if not dims:
         return empty
-    sample = clean.where(F.size("v") == dims[0].n).orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).collect()
+    sample = _pivots(clean.where(F.size("v") == dims[0].n), pivots).collect()
     unit = np.array([r.v for r in sample])
     unit /= np.abs(unit).max(1, keepdims=True)
     unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
