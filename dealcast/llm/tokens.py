@@ -1,10 +1,18 @@
 """Token ids of whole texts, at the speed of their distinct words.
 
-The public word-level BPE vocabulary drops white space and never merges across
-it, so the ids of a text are the ids of its white-space separated words in a
-row. Each batch is split and dictionary-encoded by Arrow, only words that the
-task hasn't met yet go through the ``tokenizers`` library, and the ids are
-gathered by numpy. The memo has a bound and is emptied when it is reached.
+Both public vocabularies of merges never merge across the start of a run of
+white space, so the ids of a text are the ids of its segments in a row: for the
+word-level vocabulary, which drops white space, the words between it; for the
+byte-level one a run of white space together with the word after it. Each slice
+is split and dictionary-encoded by Arrow, only segments that the worker doesn't
+remember go through the ``tokenizers`` library, and the ids are gathered by
+numpy.
+
+The memory has two generations of a bounded number of bytes. A segment that is
+new goes to the young one, and one that is met again in the old one moves to
+the young one. When the young one is full it becomes the old one, and the old
+one is forgotten: what is met again and again stays, what isn't goes. Long
+segments and those with digits hardly come again and are not remembered.
 
 A word of plain Latin letters, with or without sentence marks after it, is one
 or two pieces for the merges; it goes to the library's merge model at once,
@@ -25,19 +33,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 300_000
-SLICE_BYTES = 4 << 20
+MEMO_BYTES = 32 << 20     # of each generation, about
+MEMO_LONGEST = 40         # bytes of a segment that is remembered
+SLICE_BYTES = 6 << 20
 
-# The declared text rules under which the short way is exact.
+# The declared text rules under which the short ways are exact.
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 # Letters of ASCII and Latin-1 have no other composed form and one lower case.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_PLAIN = re.compile("( ?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 # The byte-level alphabet: printable bytes stand for themselves, the others are
 # numbered from 256 upward.
 _ODD = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 _ALPHABET = {b: 256 + i for i, b in enumerate(_ODD)}
+_SPACE = chr(_ALPHABET[32])
 
 
 def default_vocabulary() -> str:
@@ -45,41 +55,95 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordTokenizer:
+def byte_vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+class _Generation:
+    """Distinct segments with their ids: ``first`` and ``count`` say where in
+    ``ids`` those of the segment in the same row are. Rows beyond ``names`` are
+    fleeting."""
+
+    def __init__(self):
+        self.names = pa.array([], pa.string())
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.first = np.zeros(1 << 14, np.int32)
+        self.count = np.zeros(1 << 14, np.int32)
+        self.used = 0
+
+    @property
+    def bytes(self) -> int:
+        return self.names.nbytes + 8 * len(self.names) + 4 * self.used
+
+    def find(self, segments: pa.Array) -> np.ndarray:
+        """Row of each segment, or -1."""
+        if not len(self.names):
+            return np.full(len(segments), -1, np.int32)
+        return pc.fill_null(pc.index_in(segments, self.names), -1).to_numpy()
+
+    def _room(self, rows: int, ids: int) -> None:
+        while rows > len(self.first):
+            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
+        while self.used + ids > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+
+    def add(self, segments: pa.Array, ids: np.ndarray, sizes: np.ndarray, keep: np.ndarray) -> np.ndarray:
+        """Take in segments with their ids; the row of each, which holds for the
+        ``gather`` that follows. Those in ``keep`` are remembered."""
+        have, n = len(self.names), len(sizes)
+        self._room(have + n, len(ids))
+        starts = np.cumsum(sizes) - sizes
+        order = np.argsort(~keep, kind="stable")  # the remembered ones first
+        ids, _ = _gather(ids, starts, sizes, order)
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.first[have:have + n] = self.used + np.cumsum(sizes[order]) - sizes[order]
+        self.count[have:have + n] = sizes[order]
+        self.names = pa.concat_arrays([self.names, segments.filter(pa.array(keep))])
+        self.used += int(sizes[keep].sum())
+        rows = np.empty(n, np.int32)
+        rows[order] = np.arange(have, have + n)
+        return rows
+
+
+def _gather(ids: np.ndarray, first: np.ndarray, count: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the rows in a row, and where each row's begin (and the end)."""
+    size = count[rows]
+    ends = np.zeros(len(rows) + 1, np.int64)
+    np.cumsum(size, out=ends[1:])
+    kind = np.int32 if max(ends[-1], len(ids)) < 1 << 31 else np.int64
+    at = np.arange(ends[-1], dtype=kind)
+    at += np.repeat(first[rows].astype(kind) - ends[:-1].astype(kind), size)
+    return ids[at], ends
+
+
+class Tokenizer:
     """``ids(texts)`` equals ``Tokenizer.encode(text, add_special_tokens=False).ids``
-    for vocabularies whose pre-tokenizer drops ASCII white space (checked when
-    the file is read). The path of the vocabulary is a parameter."""
+    of the library. The path of the vocabulary is a parameter; its file is read
+    and probed for the rules that the segments need."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        probe = [self.model.encode(t, add_special_tokens=False).ids
-                 for t in ("a b.c", "a", "b.c", "  a \t\n\v\f\r b.c ")]
-        if probe[0] != probe[1] + probe[2] or probe[3] != probe[0]:
-            raise ValueError(f"the tokenizer of {path} doesn't drop white space")
-        with open(path, encoding="utf-8") as f:
-            rules = json.load(f)
-        parts = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.plain = (parts[0].get("pattern") == {"Regex": PATTERN} and len(parts) == 2
-                      and parts[1].get("type") == "ByteLevel" and not parts[1].get("add_prefix_space")
-                      and [x.get("type") for x in (rules.get("normalizer") or {}).get("normalizers", [])] == NORMALIZERS)
+        from tokenizers import Tokenizer as Library
+        self.model = Library.from_file(path)
         self.merges = self.model.model
         self.marks: dict[str, list[int]] = {"": []}
-        self.row_of: dict[str, int] = {}
-        self.ids_of = np.zeros(1 << 16, np.uint32)   # ids of all known words in a row
-        self.first = np.zeros(1 << 14, np.int64)     # of each known word
-        self.count = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.young, self.old = _Generation(), _Generation()
+        with open(path, encoding="utf-8") as f:
+            self.check(path, json.load(f))
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        got: list = [None] * len(words)
+    def plain_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, segments: list[str]) -> list[list[int]]:
+        got: list = [None] * len(segments)
         if self.plain:
             merged = self.merges.tokenize
-            for i, w in enumerate(words):
+            for i, w in enumerate(segments):
                 if m := _PLAIN.fullmatch(w):
-                    letters, marks = m.groups()
-                    letters = letters.lower()
+                    space, letters, marks = m.groups()
+                    if self.lower:
+                        letters = letters.lower()
                     if not w.isascii():
                         letters = letters.encode().decode("latin-1").translate(_ALPHABET)
                     tail = self.marks.get(marks)
@@ -87,60 +151,111 @@ class WordTokenizer:
                         if len(self.marks) > 4096:  # runs of marks can have any length
                             self.marks = {"": []}
                         tail = self.marks[marks] = [t.id for t in merged(marks)]
-                    got[i] = [t.id for t in merged(letters)] + tail
+                    got[i] = [t.id for t in merged(_SPACE + letters if space else letters)] + tail
         rest = [i for i, x in enumerate(got) if x is None]
         if rest:
-            whole = self.model.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)
-            for i, e in zip(rest, whole):
-                got[i] = e.ids
+            for i, ids in zip(rest, self.plain_ids([segments[i] for i in rest])):
+                got[i] = ids
         return got
 
-    def _learn(self, words: list[str]) -> None:
-        got = self._encode(words)
+    def _rows(self, segments: pa.Array) -> np.ndarray:
+        """The young generation's row of each distinct segment. What the old one
+        has and what is new goes to the young one in one step."""
+        rows = self.young.find(segments).copy()
+        left = np.flatnonzero(rows < 0)
+        if not len(left):
+            return rows
+        other = segments.take(pa.array(left))
+        before = self.old.find(other)
+        back, new = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
+        names = other.take(pa.array(new))
+        got = self._encode(names.to_pylist())
         sizes = np.fromiter(map(len, got), np.int64, len(got))
-        have, total = len(self.row_of), int(sizes.sum())
-        while have + len(words) > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        while self.used + total > len(self.ids_of):
-            self.ids_of = np.concatenate([self.ids_of, np.zeros_like(self.ids_of)])
-        self.ids_of[self.used:self.used + total] = np.fromiter((i for x in got for i in x), np.uint32, total)
-        self.first[have:have + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.count[have:have + len(words)] = sizes
-        self.row_of.update(zip(words, range(have, have + len(words))))
-        self.used += total
+        ids = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
+        old_ids, ends = _gather(self.old.ids, self.old.first, self.old.count, before[back])
+        stays = pc.and_(pc.less_equal(pc.binary_length(names), MEMO_LONGEST), pc.invert(pc.match_substring_regex(names, "[0-9]")))
+        rows[left[np.concatenate([back, new])]] = self.young.add(
+            pa.concat_arrays([other.take(pa.array(back)), names]), np.concatenate([old_ids, ids]), np.concatenate([np.diff(ends), sizes]),
+            np.concatenate([np.ones(len(back), bool), stays.to_numpy(zero_copy_only=False).astype(bool)]))
+        return rows
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32) and the texts' offsets into them.
         A null text has none."""
-        texts = pc.fill_null(texts, "")
+        segments, offsets = self.segments(pc.fill_null(texts.cast(pa.string()), ""))
+        coded = pc.dictionary_encode(segments)  # type: ignore[attr-defined]
+        rows = self._rows(coded.dictionary)
+        ids, ends = _gather(self.young.ids, self.young.first, self.young.count, rows[coded.indices.to_numpy()])
+        if self.young.bytes > MEMO_BYTES:
+            self.young, self.old = _Generation(), self.young
+        return ids, ends[offsets]
+
+
+class WordTokenizer(Tokenizer):
+    """For vocabularies whose pre-tokenizer drops ASCII white space."""
+
+    lower = True
+
+    def check(self, path: str, rules: dict) -> None:
+        probe = self.plain_ids(["a b.c", "a", "b.c", "  a \t\n\v\f\r b.c "])
+        if probe[0] != probe[1] + probe[2] or probe[3] != probe[0]:
+            raise ValueError(f"the tokenizer of {path} doesn't drop white space")
+        parts = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.plain = (parts[0].get("pattern") == {"Regex": PATTERN} and len(parts) == 2
+                      and parts[1].get("type") == "ByteLevel" and not parts[1].get("add_prefix_space")
+                      and [x.get("type") for x in (rules.get("normalizer") or {}).get("normalizers", [])] == NORMALIZERS)
+
+    def segments(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if self.plain and not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)  # as the normalizer does; special tokens have "<|" and keep their case
         lists = pc.ascii_split_whitespace(texts)
         offsets = lists.offsets.to_numpy()
-        words = pc.dictionary_encode(lists.values)  # type: ignore[attr-defined]
-        distinct = words.dictionary.to_pylist()
-        if len(self.row_of) + len(distinct) > MEMO_WORDS:
-            self.row_of.clear()
-            self.used = 0
-        new = [w for w in distinct if w not in self.row_of]
-        if new:
-            self._learn(new)
-        row = np.fromiter(map(self.row_of.__getitem__, distinct), np.int64, len(distinct))
-        row = row[words.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
-        size = self.count[row]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        at = np.arange(ends[-1]) + np.repeat(self.first[row] - ends[:-1], size)
-        return self.ids_of[at], ends[offsets - offsets[0]]
-
-
-_LOADED: dict[str, WordTokenizer] = {}
-
-
-def tokenizer(path: str) -> WordTokenizer:
+        return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+
+class ByteTokenizer(Tokenizer):
+    """For byte-level vocabularies with the library's own pattern, by which a
+    run of white space always begins a piece, and no normalizer."""
+
+    lower = False
+
+    def check(self, path: str, rules: dict) -> None:
+        pre = rules.get("pre_tokenizer") or {}
+        loose = [t for t in rules.get("added_tokens") or () if t.get("lstrip") or t.get("rstrip") or t.get("single_word") or " " in t["content"]]
+        if pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space") or rules.get("normalizer") or loose:
+            raise ValueError(f"the tokenizer of {path} is none of bytes with the library's pattern")
+        self.plain = True
+
+    def segments(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        from dealcast.llm.common import text_bytes
+        raw, offsets = text_bytes(texts)
+        n = len(raw)
+        cut = np.zeros(n + 1, bool)
+        if n:
+            # before a space or line end that follows a character which certainly is no white space
+            gap = (raw == 32) | (raw == 10)
+            solid = (raw > 32) & (raw < 127)
+            high = np.flatnonzero((raw[1:] >= 128) & np.append(gap[2:], False)) + 1  # last byte of a longer character before a gap
+            a, b = raw[high - 1], raw[high]
+            blank = (((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0x9A) & (b == 0x80)) | ((a == 0x81) & (b == 0x9F))
+                     | ((a == 0x80) & ((b <= 0x8A) | (b == 0xA8) | (b == 0xA9) | (b == 0xAF))))
+            solid[high[~blank]] = True
+            cut[1:n] = gap[1:] & solid[:-1]
+        cut[offsets] = True
+        at = np.flatnonzero(cut)
+        values = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw)))
+        return values, np.searchsorted(at, offsets)
+
+
+_LOADED: dict[str, Tokenizer] = {}
+
+
+def tokenizer(path: str) -> Tokenizer:
     """One tokenizer for each path and Python worker."""
     if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
+        with open(path, encoding="utf-8") as f:
+            kind = ByteTokenizer if (json.load(f).get("pre_tokenizer") or {}).get("type") == "ByteLevel" else WordTokenizer
+        _LOADED[path] = kind(path)
     return _LOADED[path]
 
 

@@ -1,27 +1,47 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from conftest import rows
 
-from dealcast.llm import packing
-from dealcast.llm.tokens import WordTokenizer, default_vocabulary, tokenizer
+from dealcast.llm import packing, tokens
+from dealcast.llm.tokens import byte_vocabulary, default_vocabulary, tokenizer
 
 EDGES = [(1, None), (2, ""), (None, "some words"), (3, "x"), (3, "x"), (4, "long text " * 4000), (5, "<|endoftext|> Don't")]
 
 
-def test_word_tokenizer_equals_the_library():
-    import random
+ODD = ["Don't", "it's", "I'LL", "Ünïcode", "straße", "ÀÉ.", "x", "<|endoftext|>", "<|ENDOFTEXT|>", "a1b2", "ß!!", "ǅ", "İ", "éa", "Σας", "日本語",
+       "🙂", "...", ".a", "a..", "a,b.", "\x1c", "\x85z", "\x85", "\xa0", "\u2003", "\u3000", "\u205f", "\u1680", " q", "ª", "µ", "K", "ﬁ", "foo**.", "''",
+       "﷽", "½", "É!", "Ÿ.", "x́", "́", "long" * 30, "2024-01-01"]
 
-    import pyarrow as pa
+
+@pytest.mark.parametrize("path, limit", [(default_vocabulary(), 1 << 25), (byte_vocabulary(), 1 << 25), (default_vocabulary(), 2000), (byte_vocabulary(), 2000)])
+def test_tokenizers_equal_the_library(path, limit, monkeypatch):
+    """Also when the memory is so small that its generations go all the time."""
     rng = random.Random(1)
-    odd = ["Don't", "it's", "I'LL", "Ünïcode", "straße", "ÀÉ.", "x", "<|endoftext|>", "<|ENDOFTEXT|>", "a1b2", "ß!!", "ǅ", "İ", "éa", "Σας", "日本語",
-           "🙂", "...", ".a", "a..", "a,b.", "\x1c", "\x85z", " q", "ª", "µ", "K", "ﬁ", "foo**.", "''", "﷽", "½", "É!", "Ÿ.", "x́", "́"]
-    texts = ["".join(rng.choice(odd) + rng.choice([" ", "\n", "\t", "\r\n", "  ", ""]) for _ in range(rng.randint(0, 25))) for _ in range(800)]
-    texts += ["", None, " "]
-    own = WordTokenizer(default_vocabulary())
-    ids, at = own.ids(pa.array(texts))
-    for i, t in enumerate(texts):
-        assert ids[at[i]:at[i + 1]].tolist() == own.model.encode(t or "", add_special_tokens=False).ids, repr(t)
+    texts = ["".join(rng.choice(ODD) + rng.choice([" ", "\n", "\t", "\r\n", "  ", " \n ", ""]) for _ in range(rng.randint(0, 25))) for _ in range(800)]
+    texts += ["", None, " ", "\n\n", "a \u00a0\n b"]
+    monkeypatch.setattr(tokens, "MEMO_BYTES", limit)
+    own = type(tokenizer(path))(path)
+    for lo in range(0, len(texts), 100):
+        ids, at = own.ids(pa.array(texts[:50] + texts[lo:lo + 100], pa.string())[50:])
+        for i, t in enumerate(texts[lo:lo + 100]):
+            assert ids[at[i]:at[i + 1]].tolist() == own.model.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def test_the_memory_keeps_what_comes_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 30_000)
+    own = type(tokenizer(default_vocabulary()))(default_vocabulary())
+    asked = []
+    plain = own._encode
+    own._encode = lambda words: asked.extend(words) or plain(words)
+    for k in range(40):
+        own.ids(pa.array(["again and again " + " ".join(f"once{chr(97 + k % 26)}{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + k // 26)}" for i in range(200))]))
+    assert asked.count("again") == 1 and own.young.bytes + own.old.bytes < 80_000
+    own.ids(pa.array(["2024 " + "x" * 50] * 3))
+    assert not {"2024", "x" * 50} & set(own.young.names.to_pylist())
 
 
 def check(docs, placed, capacity=2048):
