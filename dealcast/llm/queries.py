@@ -175,3 +175,11 @@ FROM pos GROUP BY conv_id, perspective, block""")
 def op9(spark, d):
     from dealcast.llm import perspectives as op
     return op.digest(op.perspectives(table(spark, d, "conversations")))
+
+
+# ---------------------------------------------------------------- 11 vector packing: a tokenizer, so no SQL
+
+@query("op11_vector_packing")
+def op11(spark, d):
+    from dealcast.llm.vectorpack import pack_examples
+    return pack_examples(table(spark, d, "documents"), keep_ids=False)
