@@ -183,3 +183,45 @@ def op9(spark, d):
 def op11(spark, d):
     from dealcast.llm.vectorpack import pack_examples
     return pack_examples(table(spark, d, "documents"), keep_ids=False)
+
+
+# ---------------------------------------------------------------- 12 Merkle manifest
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+@query("op12_merkle_manifest", r"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, sha256(""" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text"))) + """) AS leaf,
+  sha256(""" + " || ".join(map(_field, ("doc_id", "source", "lang", "(n_chars + 1)", "text"))) + """) AS changed FROM documents),
+crc AS (SELECT doc_id, doc_id IS NOT NULL AND xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+          lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, k: xor(z >> 1, CASE WHEN z & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 7 = 0 AS hit
+        FROM (SELECT DISTINCT doc_id FROM documents)),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+        dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM d),
+up AS (SELECT g, 0 AS lv, pos, n, leaf AS dig FROM p
+       UNION ALL SELECT g, any_value(lv) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(dig, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY g, pos // 2),
+sub AS (SELECT g, dig, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lv, g AS pos, n, dig FROM sub
+        UNION ALL SELECT any_value(lv) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(dig, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY pos // 2),
+way AS (SELECT p.doc_id, p.leaf, p.g, p.pos AS own, u.lv AS lv, (p.pos >> u.lv) & 1 AS side, s.dig AS sib
+        FROM p JOIN (SELECT DISTINCT g, lv, n FROM up WHERE n > 1) u ON u.g = p.g
+        LEFT JOIN up s ON s.g = p.g AND s.lv = u.lv AND s.pos = xor(p.pos >> u.lv, 1)
+        UNION ALL
+        SELECT p.doc_id, p.leaf, p.g, p.pos, 1000 + t.lv, (p.g >> t.lv) & 1, s.dig
+        FROM p CROSS JOIN (SELECT DISTINCT lv, n FROM top WHERE n > 1) t LEFT JOIN top s ON s.lv = t.lv AND s.pos = xor(p.g >> t.lv, 1)),
+steps AS (SELECT g, own, string_agg(coalesce(sib, ''), '' ORDER BY lv) AS proof, list(side ORDER BY lv) AS sides, list(coalesce(sib, '') ORDER BY lv) AS sibs
+          FROM way GROUP BY g, own),
+start AS (SELECT p.g, p.pos, p.doc_id, p.leaf, coalesce(steps.proof, '') AS proof, coalesce(steps.sides, []) AS sides, coalesce(steps.sibs, []) AS sibs,
+            CASE WHEN crc.hit THEN coalesce(p.changed, p.leaf) ELSE p.leaf END AS cur
+          FROM p LEFT JOIN steps ON steps.g = p.g AND steps.own = p.pos JOIN crc ON crc.doc_id IS NOT DISTINCT FROM p.doc_id),
+folding AS (SELECT g, pos, 0 AS k, cur, sides, sibs FROM start
+            UNION ALL SELECT g, pos, k + 1, sha256(CASE WHEN sides[k + 1] = 1 THEN sibs[k + 1] || cur ELSE cur || sibs[k + 1] END), sides, sibs
+            FROM folding WHERE k < len(sides)),
+root AS (SELECT dig FROM top WHERE n = 1)
+SELECT start.doc_id, start.leaf, sub.dig AS subroot, (SELECT dig FROM root) AS root, sha256(start.proof) AS proof_sha256,
+  f.cur AS folded_root, f.cur = (SELECT dig FROM root) AS verified
+FROM start JOIN sub ON sub.g = start.g JOIN folding f ON f.g = start.g AND f.pos = start.pos AND f.k = len(f.sides)""")
+def op12(spark, d):
+    from dealcast.llm import merkle as op
+    return op.manifest(op.tampered_documents(table(spark, d, "documents")), check="check").drop("lang")
