@@ -225,3 +225,25 @@ FROM start JOIN sub ON sub.g = start.g JOIN folding f ON f.g = start.g AND f.pos
 def op12(spark, d):
     from dealcast.llm import merkle as op
     return op.manifest(op.tampered_documents(table(spark, d, "documents")), check="check").drop("lang")
+
+
+# ---------------------------------------------------------------- 13 ranked search
+
+_TERMS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op13_ranked_search", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, """ + _TERMS + """ AS w FROM documents),
+nn AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+st AS (SELECT count(*) AS docs, sum(n) AS words FROM nn),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(""" + _TERMS + """) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+       FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), st),
+s AS (SELECT q.item_id, tf.r, nn.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+      FROM q JOIN tf USING (t) JOIN wt USING (t) JOIN nn USING (r) CROSS JOIN st GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10""")
+def op13(spark, d):
+    from dealcast.llm.ranking import ranked
+    return ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
