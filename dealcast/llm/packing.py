@@ -11,7 +11,7 @@ In a group, pieces go longest first into the fullest sequence with room
 swapped for a smaller one, or two are swapped for one, whenever a fuller
 sequence gets fuller by it, so that the sum of squared fills grows. Sequences
 that become empty are dropped; the search ends when the total can't need fewer
-sequences or when no exchange helps.
+sequences, or when a whole pass over the underfull ones finds no exchange.
 
 Defined results: a null or empty text is one piece of the end id; every row
 gives its pieces, repeated rows their own, rows with a null id too (their
@@ -31,8 +31,6 @@ from dealcast.llm.tokens import default_vocabulary, token_slices
 
 CAPACITY = 2048
 GROUP = 4096       # pieces that a task packs at once, about
-SOURCES = 32       # emptiest sequences that the search tries to empty at a time
-STEPS = 20_000     # exchanges that a group may make
 
 
 # ------------------------------------------------------------------ pieces
@@ -94,7 +92,9 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Exchanges between underfull bins that increase the sum of squared fills."""
+    """Exchanges between underfull bins, each of which increases the sum of
+    squared fills, until no bin has one or the bins are as few as the total
+    allows. The sum is a whole number with a bound, so this ends."""
     total = int(lengths.sum())
     least = -(-total // capacity)
     owner = np.full(len(lengths), -1, np.int64)
@@ -110,48 +110,61 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
         fill[to] += lengths[i]
         owner[i] = to
 
-    steps, changed = 0, True
-    while alive > least and changed and steps < STEPS:
-        changed = False
-        under = np.flatnonzero((fill > 0) & (fill < capacity))
-        for a in under[np.argsort(fill[under], kind="stable")][:SOURCES].tolist():
-            while bins[a] and steps < STEPS:
-                # where a gain of d tokens fits: the other underfull bins that are at least as full
-                gap = np.where((fill >= fill[a]) & (fill < capacity), capacity - fill, 0)
-                gap[a] = 0
-                own = sorted(bins[a], key=lambda i: -int(lengths[i]))
-                if not gap.any():
+    def exchange(a: int):
+        """(gap that stays in the target, what leaves a, what comes back, target)
+        of the exchange that fills another underfull bin, as full as ``a`` at
+        least, the most; a move before others."""
+        gap = np.where((fill >= fill[a]) & (fill < capacity), capacity - fill, 0)
+        gap[a] = 0
+        if not gap.any():
+            return None
+        own = np.array(bins[a])
+        own = own[np.argsort(lengths[own], kind="stable")]
+        own_sizes = lengths[own]
+        k = int(np.searchsorted(own_sizes, gap.max(), "right")) - 1
+        if k >= 0:
+            n = int(own_sizes[k])
+            t = int(np.where(gap >= n, gap, capacity + 1).argmin())
+            return int(gap[t]) - n, (int(own[k]),), None, t
+        # one or two pieces for a smaller one: what may come back, by what may leave
+        items = np.flatnonzero(gap[owner] > 0)
+        back, room = lengths[items], gap[owner[items]]
+        best = None
+        # of one piece, or of a sum of two, the largest that is no larger than back + room does best
+        for two in (False, True):
+            if two:
+                if len(own) < 2:
                     break
-                best = None  # (left over gap of the target, what leaves a, what comes back, target)
-                for i in own:  # move
-                    fits = np.flatnonzero(gap >= lengths[i])
-                    if len(fits):
-                        t = int(fits[np.argmin(gap[fits])])
-                        best = min(best or (capacity + 1,), (int(gap[t] - lengths[i]), (i,), None, t))
-                        break
-                if best is None:
-                    items = np.flatnonzero(gap[owner] > 0)  # what may come back
-                    room = gap[owner[items]]
-                    back = lengths[items]
-                    pairs = [(i, j) for k, i in enumerate(own[:8]) for j in own[k + 1:8]]
-                    for leave in [(i,) for i in own] + pairs:  # one for one, two for one
-                        gain = sum(int(lengths[i]) for i in leave) - back
-                        ok = np.flatnonzero((gain > 0) & (gain <= room))
-                        if len(ok):
-                            k = int(ok[np.argmin(room[ok] - gain[ok])])
-                            one = (int(room[k] - gain[k]), leave, int(items[k]), int(owner[items[k]]))
-                            if best is None or one[0] < best[0]:
-                                best = one
-                            if best[0] == 0:
-                                break
-                if best is None:
+                x, y = np.triu_indices(len(own), 1) if len(own) <= 64 else _close_pairs(own_sizes, back + room)
+                sums = own_sizes[x] + own_sizes[y]
+                rank = np.argsort(sums, kind="stable")
+                sums = sums[rank]
+            else:
+                sums = own_sizes
+            at = np.searchsorted(sums, back + room, "right") - 1
+            ok = np.flatnonzero(at >= 0)
+            ok = ok[sums[at[ok]] > back[ok]]
+            if len(ok):
+                stays = room[ok] - (sums[at[ok]] - back[ok])
+                k = int(ok[np.argmin(stays)])
+                leave = (int(own[at[k]]),) if not two else (int(own[x[rank[at[k]]]]), int(own[y[rank[at[k]]]]))
+                if best is None or int(stays.min()) < best[0]:
+                    best = (int(stays.min()), leave, int(items[k]), int(owner[items[k]]))
+                if best[0] == 0:
                     break
-                _, leave, back_item, target = best
+        return best
+
+    changed = True
+    while alive > least and changed:
+        changed = False
+        under = np.flatnonzero((fill > 0) & (fill < capacity))
+        for a in under[np.argsort(fill[under], kind="stable")].tolist():
+            while bins[a] and fill[a] < capacity and (found := exchange(a)):
+                _, leave, back_item, target = found
                 if back_item is not None:
                     move(back_item, a)
                 for i in leave:
                     move(i, target)
-                steps += 1
                 changed = True
             if not bins[a]:
                 alive -= 1
@@ -160,6 +173,16 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     return [b for b in bins if b]
 
 
+def _close_pairs(sizes: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For many pieces: of each piece (sorted by size) with each bound, the
+    largest partner that keeps the sum within it."""
+    x, bound = np.repeat(np.arange(len(sizes)), len(bounds := np.unique(most))), np.tile(bounds, len(sizes))
+    y = np.searchsorted(sizes, bound - sizes[x], "right") - 1
+    y = np.minimum(y, x - 1)  # the smaller one of the pair, so that no piece is taken twice
+    ok = y >= 0
+    return y[ok], x[ok]
+
+
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each piece of a group."""
     bins = improve(best_fit(lengths, capacity), lengths, capacity)

@@ -94,3 +94,37 @@ def test_groups_are_whole(spark, docs):
     one, many = packing.pack(pieces), packing.pack(pieces, group=16)
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert rows(one.select(*cols)) == rows(many.select(*cols))
+
+
+def exchanges_left(bins, lengths, capacity):
+    """Every move, swap and two-for-one swap that would still help, by loops."""
+    fill = [sum(int(lengths[i]) for i in b) for b in bins]
+    for a, own in enumerate(bins):
+        for t, other in enumerate(bins):
+            if a == t or not fill[a] <= fill[t] < capacity:
+                continue
+            leaves = [int(lengths[i]) for i in own] + [int(lengths[i] + lengths[j]) for k, i in enumerate(own) for j in own[k + 1:]]
+            for gain in [int(lengths[i]) for i in own] + [n - int(lengths[j]) for n in leaves for j in other]:
+                if 0 < gain <= capacity - fill[t]:
+                    return a, t, gain
+    return None
+
+
+@pytest.mark.parametrize("capacity, low, high, n", [(100, 20, 60, 60), (100, 31, 36, 120), (100, 1, 9, 80), (2048, 650, 720, 150), (64, 1, 64, 90)])
+def test_the_search_ends_only_when_no_exchange_is_left(capacity, low, high, n):
+    """No limit on sources, steps or pieces: also with many equal pieces that
+    nothing can take."""
+    rng = np.random.default_rng(n)
+    for stuck in (0, n // 3):
+        lengths = np.concatenate([rng.integers(low, high, n), np.full(stuck, capacity // 2 + 1)])
+        bins = packing.improve(packing.best_fit(lengths, capacity), lengths, capacity)
+        assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+        assert len(bins) == -(-int(lengths.sum()) // capacity) or exchanges_left(bins, lengths, capacity) is None
+
+
+def test_pairs_of_many_pieces():
+    sizes = np.sort(np.random.default_rng(4).integers(1, 50, 90))
+    for most in (3, 40, 77, 98):
+        x, y = packing._close_pairs(sizes, np.array([most]))
+        want = max((int(a + b) for i, a in enumerate(sizes) for b in sizes[i + 1:] if a + b <= most), default=0)
+        assert (x != y).all() and max((sizes[x] + sizes[y]).tolist(), default=0) == want
