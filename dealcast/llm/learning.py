@@ -1,7 +1,8 @@
 """Fitting on a bounded sample of labelled documents, inside Spark tasks.
 
-The sample is the ``rows`` labelled ids with the smallest hash (a top-k, so it
-is the same on every run and nothing larger than it meets in a task). Its texts
+The sample is the ``rows`` labelled texts whose ids have the smallest hash (a
+top-k, so it is the same on every run and nothing larger than it meets in a
+task). Its texts
 are turned into sparse features where they are read; one task then gets the
 features of at most ``rows`` documents and fits the model. Only the fitted
 model, of fixed size, comes to the driver.
@@ -18,22 +19,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dealcast.llm import common as C
 
 
-def labelled_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, label): at most ``rows`` ids that may be learned from. A null id
-    or label is left out; an id with several labels has the largest."""
-    return (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~C.held_out(doc_id))
-            .groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-
-
 def text_hash(text: str) -> Column:
     """A null text is an empty one."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, label): like ``labelled_sample``, but of ids with
-    one text only the smallest, so that copies of a text are one row. Its label
+    """(doc_id, text_hash, label): at most ``rows`` documents that may be learned
+    from, those with the smallest hashes of their ids. A null id or label is left
+    out. Of ids with one text only the smallest, so that copies of a text are one
+    row. Its label
     is the one that most of these ids have, the larger one if there are two. An
     id with several texts has the one with the smallest hash."""
     ids = (docs.where(F.col(doc_id).isNotNull() & ~C.held_out(doc_id))

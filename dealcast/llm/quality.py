@@ -10,8 +10,8 @@ The layer is linear in the mean, so a fitted model scores with one number a
 feature, its vector times the difference of the two label weights: the softmax
 of label 1 is the logistic function of their mean.
 
-The fit uses at most ``sample`` labelled rows outside the held-out fold; scores
-use the text only. Defined results: a null or empty text has no features and
+The fit uses at most ``sample`` labelled rows outside the held-out fold, one a
+distinct text; scores use the text only. Defined results: a null or empty text has no features and
 gets the share of label 1 in the sample; every row gives one row, in the order
 and number of the input; without any labelled row all scores are 0.5. Other
 columns are never read.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from dealcast.llm import common as C
-from dealcast.llm.learning import fit, labelled_sample
+from dealcast.llm.learning import fit, labelled_texts
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -80,8 +80,8 @@ def featurize(column: pa.Array) -> list[np.ndarray]:
     return rows
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
-    """Stochastic gradient descent; the model is the bias and a number for each bucket."""
+def descend(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stochastic gradient descent: the buckets' vectors, the layer and its bias."""
     rng = np.random.default_rng(7)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer = np.zeros((DIM, 2), np.float32)
@@ -105,6 +105,12 @@ def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
         layer -= rate * np.outer(mean, p)
         # a bucket's share of the mean is small: its step is scaled to the largest share
         vectors[at] = own - (rate / weight.max()) * weight[:, None] * back[None, :]
+    return vectors, layer, bias
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray) -> bytes:
+    """The fitted model: the difference of the biases and a number for each bucket."""
+    vectors, layer, bias = descend(rows, labels)
     value = vectors @ (layer[:, 1] - layer[:, 0])
     return np.concatenate([[bias[1] - bias[0]], value]).astype(np.float32).tobytes()
 
@@ -141,7 +147,8 @@ def score(docs: DataFrame, model: bytes | None, doc_id: str = "doc_id", text: st
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
                 doc_id: str = "doc_id", text: str = "text") -> bytes | None:
-    return fit(docs, labelled_sample(labels, label, sample, doc_id), featurize, train, doc_id, text)
+    rows = labelled_texts(docs, labels, label, sample, doc_id, text).select("doc_id", "label")
+    return fit(docs, rows, featurize, train, doc_id, text)
 
 
 def quality(docs: DataFrame, labels: DataFrame, cut: float = 0.3, **names) -> DataFrame:
