@@ -1123,10 +1123,10 @@ WITH e AS (SELECT * FROM events)
 UNION ALL
 SELECT 'value<0', CAST(sum(CASE WHEN value < 0 THEN 1 ELSE 0 END) AS BIGINT), NULL, sum(CASE WHEN value < 0 THEN 1 ELSE 0 END) = 0, CAST(0 AS BIGINT) FROM e""")
 def q_st2(spark, d):
-    from dealcast.streaming.monitoring import start_quality_gate
+    from dealcast.streaming.monitoring import gate_results, start_quality_gate
     out, ck = _scratch(spark, "st2-out"), _scratch(spark, "st2-ck")
     start_quality_gate(spark, d, out, ck).awaitTermination()
-    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+    return gate_results(spark, out)
 
 
 @query("st2_business_rules_stream", O.with_(O.OPPS) + f"""
@@ -1139,10 +1139,88 @@ FROM (SELECT {_cnt(f'deal_stage IS NULL OR deal_stage NOT IN {_STAGE_LIST}')} AS
 def q_st2_rules(spark, d):
     """ST2 over the order stream: the rules on stages, values, date order and closing dates."""
     from dealcast.operators.quality import business_rules
-    from dealcast.streaming.monitoring import order_stream, start_quality_gate
+    from dealcast.streaming.monitoring import gate_results, order_stream, start_quality_gate
     out, ck = _scratch(spark, "st2r-out"), _scratch(spark, "st2r-ck")
     start_quality_gate(spark, d, out, ck, checks=business_rules, stream=order_stream(spark, d)).awaitTermination()
-    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+    # the same batches once more, as after a lost checkpoint: nothing is added
+    start_quality_gate(spark, d, out, _scratch(spark, "st2r-ck"), checks=business_rules, stream=order_stream(spark, d)).awaitTermination()
+    return gate_results(spark, out)
+
+
+_NAME = "c_name || ' ' || chr(233) || chr(252) || CASE c_custkey % 3 WHEN 0 THEN chr(26085) WHEN 1 THEN '' ELSE chr(8364) || chr(8217) END"
+
+
+@query("s4_v4_mixed_encodings", f"""
+SELECT c_custkey, {_NAME} AS label, c_acctbal, CASE c_custkey % 3 WHEN 0 THEN 'utf-8' WHEN 1 THEN 'iso-8859-1' ELSE 'windows-1252' END AS encoding FROM customer""")
+def q_s4(spark, d):
+    """A folder with files in three encodings, each read by its own."""
+    from dealcast.sources import lines as L
+    base, c = _scratch(spark, "encodings"), D.tables(spark, d)["customer"]
+    name = F.concat("c_name", F.lit(" éü"))
+    bytes_of = {0: F.concat(name, F.lit("日")).cast("binary"), 1: F.encode(name, "ISO-8859-1"), 2: F.encode(F.concat(name, F.lit("\x80\x92")), "ISO-8859-1")}
+    for kind, text in bytes_of.items():  # the text sink writes bytes as they are
+        line = F.concat_ws(",", F.col("c_custkey").cast("string"), text.cast("string"), F.col("c_acctbal").cast("string"))
+        c.where(F.col("c_custkey") % 3 == kind).select(line.alias("value")).write.text(f"{base}/{kind}")
+    schema = c.select("c_custkey", F.col("c_name").alias("label"), "c_acctbal").schema
+    got = L.parsed(L.decoded_lines(spark, [f"{base}/{kind}" for kind in bytes_of]), schema)
+    return got.select("row.*", "encoding")
+
+
+_BAD = "CASE WHEN o_orderkey % 101 = 0 THEN 'wrong number of fields' WHEN o_orderkey % 97 = 0 THEN 'o_totalprice: no double' WHEN o_orderkey % 89 = 0 THEN 'o_orderdate: no date' END"
+
+
+@query("s1_c5_rescued_lines", f"""
+SELECT reason, count(*) AS lines, sum(CASE WHEN reason IS NULL THEN o_totalprice END) AS total, min(CASE WHEN reason IS NULL THEN CAST(o_orderdate AS DATE) END) AS first_day,
+  count(DISTINCT CASE WHEN reason IS NULL THEN o_custkey END) AS customers
+FROM (SELECT *, {_BAD} AS reason FROM orders) GROUP BY reason""")
+def q_s1_rescue(spark, d):
+    """Lines with fields that are missing or can't be read go to a reject table with the reason."""
+    from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructType
+    from dealcast.sources.lines import read_delimited
+    path, k = _scratch(spark, "rescue"), F.col("o_orderkey")
+    price = F.when(k % 97 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(k % 89 == 0, "32nd").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fields = [k.cast("string"), F.col("o_custkey").cast("string"), price, day]
+    line = F.when(k % 101 == 0, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields, F.col("o_orderpriority")))
+    D.tables(spark, d)["orders"].select(line.alias("value")).write.text(path)
+    schema = (StructType().add("o_orderkey", LongType()).add("o_custkey", LongType()).add("o_totalprice", DoubleType()).add("o_orderdate", DateType())
+              .add("o_orderpriority", StringType()))
+    good, bad = read_delimited(spark, path, schema)
+    none = F.lit(None)
+    return good.agg(none.cast("string").alias("reason"), F.count("*").alias("lines"), F.sum("o_totalprice").alias("total"), F.min("o_orderdate").alias("first_day"),
+                    F.countDistinct("o_custkey").alias("customers")).unionByName(
+        bad.groupBy("reason").agg(F.count("*").alias("lines"), none.cast("double").alias("total"), none.cast("date").alias("first_day"), F.lit(0).cast("long").alias("customers")))
+
+
+@query("s10_f26_result_history", """
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS f FROM orders GROUP BY 1),
+g AS (SELECT *, CAST(right(month, 2) AS INTEGER) % 4 AS shape FROM m)
+SELECT month AS current_month, CASE WHEN shape <> 0 THEN CAST(month || '-01' AS TIMESTAMP) + INTERVAL 1 HOUR END AS timestamp,
+  shape <> 0 AND n % 2 = 0 AS drift_detected, CASE WHEN shape IN (1, 2) THEN f / n ELSE 0.0 END AS prediction_drift, CASE WHEN shape = 0 THEN 0 ELSE f END AS num_drifted_columns,
+  CASE WHEN shape = 2 THEN 'HIGH' ELSE 'NONE' END AS alert_level, CASE WHEN shape = 3 THEN f / n END AS accuracy, CAST(0.0 AS DOUBLE) AS missing_values_share, CAST(0 AS BIGINT) AS broken
+FROM g WHERE shape <> 0
+UNION ALL SELECT 'unreadable', NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*) FROM g WHERE shape = 0""")
+def q_s10_history(spark, d):
+    """Result files of three generations and broken ones, written one a month and read into the trend table."""
+    from dealcast.sources.history import FIELDS, result_history, trend
+    base, o = _scratch(spark, "history"), D.tables(spark, d)["orders"]
+    m = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("current_month")).agg(
+        F.count("*").alias("n"), F.sum((F.col("o_orderstatus") == "F").cast("long")).alias("num_drifted_columns"))
+    drift = F.col("num_drifted_columns") / F.col("n")
+    first = F.struct(F.concat("current_month", F.lit("-01 01:00:00")).alias("timestamp"), "current_month", (F.col("n") % 2 == 0).alias("drift_detected"),
+                     drift.alias("prediction_drift"), "num_drifted_columns")
+    inner = [(F.col("n") % 2 == 0).alias("drift_detected"), drift.alias("prediction_drift"), "num_drifted_columns", F.lit("HIGH").alias("alert_level")]
+    second = F.struct(F.concat("current_month", F.lit("-01 01:00:00")).alias("timestamp"), "current_month",
+                      F.struct(F.struct(*inner).alias("results"), F.lit("more").alias("extra")).alias("drift_detection"))
+    third = F.struct(F.concat("current_month", F.lit("-01 01:00:00")).alias("timestamp"), "current_month", F.array(F.lit(1)).alias("added"),
+                     F.struct(F.struct((F.col("n") % 2 == 0).alias("drift_detected"), "num_drifted_columns", drift.alias("accuracy")).alias("results")).alias("drift_detection"))
+    shape = F.substring("current_month", 6, 2).cast("int") % 4
+    text = F.when(shape == 1, F.to_json(first)).when(shape == 2, F.to_json(second)).when(shape == 3, F.to_json(third)).otherwise(F.concat(F.lit('{"timestamp": '), "current_month"))
+    m.select(text.alias("value"), F.col("current_month").alias("of")).repartition("of").write.partitionBy("of").text(base)
+    rows, bad = result_history(spark, base, "*.txt")
+    broken = bad.agg(F.lit("unreadable").alias("current_month"), F.count("*").alias("broken"))
+    return trend(rows).withColumn("broken", F.lit(0).cast("long")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).unionByName(
+        broken.select("current_month", F.lit(None).cast("timestamp_ntz").alias("timestamp"), *[F.lit(None).cast(t).alias(k) for k, (t, _) in FIELDS.items()], "broken"))
 
 
 # ---------------------------------------------------------------- the rule-breaking ledger
@@ -1271,14 +1349,17 @@ def q_s5(spark, d):
 
 @query("s11_metrics_append", _D19_SQL)
 def q_s11(spark, d):
-    """The six metric columns appended to a table and read back."""
+    """The six metric columns committed to a table by day, the first ten days
+    before all of them, and read back: no day is there twice."""
     from dealcast.operators.drift import daily_metrics, events_with_props
-    from dealcast.sources.layers import append_results, read_results
+    from dealcast.session import materialize
+    from dealcast.sources.committed import CommittedTable
     from dealcast.sources.tables import load_table
-    path = _scratch(spark, "metrics")
-    m = daily_metrics(events_with_props(load_table(spark, d, "events")))
-    append_results(m, path, fmt="parquet")
-    return read_results(spark, path, m.schema, fmt="parquet")
+    m = materialize(daily_metrics(events_with_props(load_table(spark, d, "events"))))
+    results = CommittedTable(spark, _scratch(spark, "metrics"), m.schema)
+    for part in (m.where(F.dayofmonth("timestamp") <= 10), m):
+        results.commit(part, F.to_date("timestamp"))
+    return results.read().drop("commit_key")
 
 
 @query("m14_report_bands", REGISTRY["a8_probability_bands"][1])

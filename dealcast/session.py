@@ -81,6 +81,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _drop_at_exit(spark: SparkSession, root: str) -> None:
     try:
         if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():

@@ -16,11 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-# Layer names, encodings to try, source files kept by
-# retention, and the retention categories.
+# Layer names, source files kept by retention, and the
+# retention categories.
 LAYERS = ("raw", "processed", "features", "monitoring", "monitoring_reports")
-# (Spark names; windows-1252 is only accepted with spark.sql.legacy.javaCharsets)
-ENCODINGS = ("utf-8", "iso-8859-1", "windows-1252")
 SOURCE_FILES = ("accounts.csv", "products.csv", "sales_pipeline.csv", "sales_teams.csv",
                 "data_dictionary.csv")
 RETENTION_CATEGORIES = ("processed_files", "feature_files", "monitoring_files", "prediction_files",
@@ -40,27 +38,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     return r.csv(path)
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str, schema: StructType | None = None,
-                          encodings: Sequence[str] = ENCODINGS) -> tuple[DataFrame, str]:
-    """The first encoding whose decode produces no replacement character
-    in any text column (one counting job per tried encoding)."""
-    last = None
-    for enc in encodings:
-        try:
-            df = read_csv(spark, path, schema, enc)
-            text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-        except Exception:  # noqa: BLE001 - a charset this session does not allow
-            continue
-        if not text:
-            return df, enc
-        bad = F.greatest(*[F.coalesce(F.instr(F.col(c), "\ufffd"), F.lit(0)) for c in text]) \
-            if len(text) > 1 else F.coalesce(F.instr(F.col(text[0]), "\ufffd"), F.lit(0))
-        if df.where(bad > 0).limit(1).count() == 0:
-            return df, enc
-        last = (df, enc)
-    return last
-
-
 def write_layer(df: DataFrame, base: str, layer: str, partition_by: Sequence[str] = ("snapshot_period",),
                 fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Write a layer partitioned by period; an overwrite replaces
@@ -92,7 +69,8 @@ def read_layer(spark: SparkSession, base: str, layer: str, period: str | None =
 
 
 def append_results(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Append result or metric rows."""
+    """Append result rows. For rows that a second run may bring again, see
+    ``committed.CommittedTable``."""
     df.write.mode("append").format(fmt).save(path)
 
 
@@ -106,10 +84,10 @@ def latest_period(df: DataFrame, period: str = "snapshot_period") -> DataFrame:
     return df.agg(F.max(period).alias("latest_period"))
 
 
-def latest_by(df: DataFrame, order: str, value: Column | str, by: Sequence[str] = ()) -> DataFrame:
+def latest_by(df: DataFrame, order: Column | str, value: Column | str, by: Sequence[str] = ()) -> DataFrame:
     """The value of the latest row by ``order`` (``max_by``)."""
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*by).agg(F.max_by(v, F.col(order)).alias("latest"))
+    v, o = (F.col(x) if isinstance(x, str) else x for x in (value, order))
+    return df.groupBy(*by).agg(F.max_by(v, o).alias("latest"))
 
 
 def available_periods(df: DataFrame, date: str = "engage_date") -> DataFrame:

@@ -8,8 +8,8 @@ with dynamic partition overwrite by day, so a replayed micro-batch rewrites
 the same partitions (idempotent). Events later than the watermark are
 dropped, as Structured Streaming does.
 
-ST2 runs the batch quality checks on every micro-batch and appends check
-rows tagged with the batch id.
+ST2 runs the batch quality checks on every micro-batch and commits the check
+rows under the batch's id, so a replayed micro-batch adds nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from dealcast.operators import drift as DR
 from dealcast.operators.quality import missing_values
 from dealcast.operators.stats import attach_row, exact_quantiles
 from dealcast.session import materialize
+from dealcast.sources.committed import CommittedTable
 
 NUMERIC = ("value", "k")
 CATEGORICAL = ("event_type",)
@@ -140,9 +141,11 @@ def order_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def start_quality_gate(spark: SparkSession, folder: str, out: str, checkpoint: str,
                        checks: Callable[[DataFrame], DataFrame] | None = None,
-                       available_now: bool = True, stream: DataFrame | None = None):
-    """ST2: per micro-batch quality checks appended as rows with the batch id
-    (missing values per column by default, plus negative values). ``stream``
+                       available_now: bool = True, stream: DataFrame | None = None, run: str = "gate"):
+    """ST2: per micro-batch quality checks committed as rows with the batch id
+    (missing values per column by default, plus negative values) to the result
+    table ``out``; ``gate_results`` reads it. ``run`` names the stream: with a new
+    checkpoint, which counts batches from 0 again, take a new one. ``stream``
     is the events by default; ``order_stream`` with ``business_rules`` checks
     stages, values, date order and closing dates."""
     stream = stream if stream is not None else event_stream(spark, folder)
@@ -157,8 +160,14 @@ def start_quality_gate(spark: SparkSession, folder: str, out: str, checkpoint: s
     fn = checks or default_checks
 
     def write(batch: DataFrame, epoch: int) -> None:
-        fn(batch).withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(out)
+        rows = fn(batch).withColumn("batch_id", F.lit(epoch).cast("long"))
+        CommittedTable(spark, out, rows.schema).commit(rows, f"{run}-{epoch}")
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def gate_results(spark: SparkSession, out: str) -> DataFrame:
+    """The committed check rows of all batches."""
+    return CommittedTable(spark, out, spark.read.parquet(f"{out}/rows").schema).read().drop("commit_key")

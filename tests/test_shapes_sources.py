@@ -55,14 +55,6 @@ def test_layer_roundtrip_partition_pruning_and_retention(spark):
     assert L.file_exists(spark, base, "*.parquet")
 
 
-def test_csv_encoding_fallback(spark):
-    d = tempfile.mkdtemp(prefix="dealcast-csv-")
-    with open(os.path.join(d, "a.csv"), "wb") as f:
-        f.write("name,v\nCafé,1\n".encode("latin-1"))
-    df, enc = L.read_csv_any_encoding(spark, d, None)
-    assert enc == "iso-8859-1" and df.first()["name"] == "Café"
-
-
 def test_json_results_roundtrip(spark):
     d = tempfile.mkdtemp(prefix="dealcast-json-")
     df = spark.createDataFrame([("2024-01", 0.12, True)], "cur_period string, prediction_drift double, drift boolean")

@@ -10,7 +10,7 @@ from dealcast.operators import aggregates as A
 from dealcast.operators.drift import daily_metrics, events_with_props
 from dealcast.plans import datasets as D
 from dealcast.sources.tables import load_table
-from dealcast.streaming.monitoring import flush_open_days, start_daily_metrics, start_quality_gate
+from dealcast.streaming.monitoring import flush_open_days, gate_results, start_daily_metrics, start_quality_gate
 
 
 def _close(a, b):
@@ -39,7 +39,7 @@ def test_stream_daily_metrics_equal_batch_on_all_days(spark, sf):
 def test_stream_quality_gate(spark, sf):
     d = tempfile.mkdtemp(prefix="dealcast-st2-")
     start_quality_gate(spark, sf, os.path.join(d, "out"), os.path.join(d, "ck")).awaitTermination()
-    rows = spark.read.parquet(os.path.join(d, "out")).collect()
+    rows = gate_results(spark, os.path.join(d, "out")).collect()
     assert {r["column"] for r in rows} >= {"value", "ts", "value<0"}
 
 
