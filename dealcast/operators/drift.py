@@ -101,6 +101,66 @@ def column_drift(tagged: DataFrame, numeric: Sequence[str], categorical: Sequenc
     return numeric_drift(tagged, numeric).unionByName(categorical_drift(tagged, categorical))
 
 
+def paired_counts(counts: DataFrame, period: str, pairs: DataFrame) -> DataFrame:
+    """(ref_period, cur_period, feature, value, n_ref, n_cur) from counts by
+    period: each period's rows are counted once and only its counts take part
+    in two pairs. ``pairs`` has one row a period (calendar-bounded): broadcast."""
+    pb, zero = F.broadcast(pairs), F.lit(0).cast("long")
+    own = [*PAIR, "feature", "value"]
+    ref = counts.join(pb, counts[period] == pb["ref_period"]).select(*own, F.col("n").alias("n_ref"), zero.alias("n_cur"))
+    cur = counts.join(pb, counts[period] == pb["cur_period"]).select(*own, zero.alias("n_ref"), F.col("n").alias("n_cur"))
+    return ref.unionByName(cur).groupBy(*own).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
+def period_drift(df: DataFrame, period: str, pairs: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``column_drift`` of every pair of periods from one count of the
+    numeric and one of the categorical columns."""
+    ks = ks_from_counts(paired_counts(period_counts(df, period, numeric, "DOUBLE"), period, pairs))
+    return ks.unionByName(js_from_counts(paired_counts(period_counts(df, period, categorical, "STRING"), period, pairs)))
+
+
+def wasserstein(counts: DataFrame, key: Sequence[str] = (*PAIR, "feature")) -> DataFrame:
+    """D3: the 1-Wasserstein distance of two samples from per-value side counts:
+    the area between their ECDFs, which are flat from each merged value to the
+    next. ``normed`` is in standard deviations of the reference (0.001 at least)."""
+    key = list(key)
+    r = running_totals(counts, ["value"], ["n_ref", "n_cur"], by=key, totals="all_", following="next")
+    gap = F.abs(F.col("cum_n_ref") / F.col("all_n_ref") - F.col("cum_n_cur") / F.col("all_n_cur"))
+    both = r.where("all_n_ref > 0 AND all_n_cur > 0")
+    mean = counts.groupBy(*key).agg(F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("_mean"))
+    # a row a pair and column
+    off = both.join(F.broadcast(mean), key)
+    g = off.groupBy(*key).agg(F.sum(F.coalesce(gap * (F.col("next") - F.col("value")), F.lit(0.0))).alias("wasserstein"),
+                              F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean"))) / F.sum("n_ref")).alias("_sd"))
+    return g.select(*key, "wasserstein", (F.col("wasserstein") / F.greatest("_sd", F.lit(0.001))).alias("normed"))
+
+
+def reference_bins(counts: DataFrame, bins: int = 10, key: Sequence[str] = (*PAIR, "feature")) -> DataFrame:
+    """The inner edges of ``bins`` bins of about equal size of the reference:
+    the smallest values that at least a tenth, two tenths ... of it don't exceed.
+    Repeated edges are one; a reference without values has none. A fitted state:
+    write it to compare later data with the same bins."""
+    key = list(key)
+    r = running_totals(counts, ["value"], ["n_ref"], by=key, totals="all_")
+    edge = [F.min(F.when(F.col("cum_n_ref") * bins >= i * F.col("all_n_ref"), F.col("value"))).alias(f"_e{i}") for i in range(1, bins)]
+    g = r.where("all_n_ref > 0").groupBy(*key).agg(*edge)
+    return g.select(*key, F.array_sort(F.array_distinct(F.array(*[f"_e{i}" for i in range(1, bins)]))).alias("edges"))
+
+
+def population_stability(counts: DataFrame, bins: DataFrame, floor: float = 1e-4, key: Sequence[str] = (*PAIR, "feature")) -> DataFrame:
+    """The population stability index over ``reference_bins``. A value lies in
+    the bin of as many edges as are smaller; a bin that one side leaves empty has
+    the share ``floor`` there, one that both leave empty adds nothing."""
+    key = list(key)
+    placed = counts.join(F.broadcast(bins), key)  # a row a pair and column
+    placed = placed.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
+    own = placed.groupBy(*key, "bin").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    whole = own.groupBy(*key).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    p, q = (F.greatest(F.col(f"n_{x}") / F.col(f"t_{x}"), F.lit(floor)) for x in ("ref", "cur"))
+    return (own.join(F.broadcast(whole), key).where("t_ref > 0 AND t_cur > 0").groupBy(*key)
+            .agg(F.sum((q - p) * F.log(q / p)).alias("psi"), F.count("*").alias("bins")))
+
+
 def dataset_drift(col_drift: DataFrame, share: float = DATASET_DRIFT_SHARE) -> DataFrame:
     """Drifted-column count and share per pair; drift when share >= 0.5."""
     g = col_drift.groupBy(*PAIR).agg(F.count("*").alias("num_columns"),
@@ -218,22 +278,22 @@ def tests_against_reference(suite: DataFrame, pairs: DataFrame, period: str) ->
             .select(*PAIR, passed.alias("quality_passed")))
 
 
-def monitoring_summary(tagged: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+def monitoring_summary(df: DataFrame, period: str, pairs: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                        prediction: str = "prediction", label: str = "is_won",
                        quality: DataFrame | None = None) -> DataFrame:
     """D5, D6, D9, D13-D15 per pair: dataset drift, prediction drift (KS of
     the prediction, ranked together with the other columns), drifted columns,
     missing share, classification quality on the current side, drift flag, alert
-    level and health: no drift and, with ``quality`` (a row a pair), passed tests."""
+    level and health: no drift and, with ``quality`` (a row a pair), passed tests.
+    Everything is counted by period; the pairs meet in the counts."""
     from dealcast.session import materialize
-    cd = materialize(column_drift(tagged, [*numeric, prediction], categorical))
+    cd = materialize(period_drift(df, period, pairs, [*numeric, prediction], categorical))
     ds = dataset_drift(cd.where(F.col("feature") != prediction))
     pred = cd.where(F.col("feature") == prediction).select(*PAIR, F.col("drift_score").alias("prediction_drift"))
-    cur = tagged.where(F.col("side") == "cur")
-    miss = missing_share(cur, list(numeric) + list(categorical), PAIR)
-    qual = classification_quality(cur.where(F.col(label).isNotNull()), label, prediction, by=PAIR) \
-        .select(*PAIR, "accuracy", "precision", "recall", "f1", "roc_auc")
-    j = ds.join(pred, PAIR, "left").join(miss, PAIR, "left").join(qual, PAIR, "left")
+    miss = missing_share(df, list(numeric) + list(categorical), [period]).withColumnRenamed(period, "cur_period")
+    qual = classification_quality(df.where(F.col(label).isNotNull()), label, prediction, by=[period]) \
+        .select(F.col(period).alias("cur_period"), "accuracy", "precision", "recall", "f1", "roc_auc")
+    j = ds.join(pred, PAIR, "left").join(miss, "cur_period", "left").join(qual, "cur_period", "left")
     j = j.join(quality, PAIR, "left") if quality is not None else j.withColumn("quality_passed", F.lit(True))
     detected = F.col("dataset_drift") | F.coalesce(F.col("prediction_drift") > PREDICTION_DRIFT_DETECTED, F.lit(False))
     return j.withColumns({

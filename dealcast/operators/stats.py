@@ -27,7 +27,7 @@ from dealcast.session import materialize, shuffle_partitions
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    by: Sequence[str] = (), slices: int | None = None,
-                   prefix: str = "cum_", totals: str | None = None, bounded: bool = True) -> DataFrame:
+                   prefix: str = "cum_", totals: str | None = None, bounded: bool = True, following: str | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same ``by`` group whose
     ordering key is <= the row's key (ties included, as a RANGE frame), and
     with ``totals`` (a prefix) the group's whole sums. Both come from the
@@ -35,24 +35,31 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[
 
     ``bounded`` states that the ``by`` groups are few whatever the data's size
     (periods, column names): the offsets, at most slices + groups rows, are then
-    broadcast. Pass False for groups that grow with the data.
+    broadcast. Pass False for groups that grow with the data. ``following``
+    names a column for the first ordering column's value in the group's next
+    row (null in its last): each slice is told the first value of the next one.
+    It asks for distinct ordering keys in a group.
     Runs one checkpoint job when called (see the module notes)."""
     by, order_cols, sum_cols = list(by), list(order_cols), list(sum_cols)
     n = slices or shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *by, *order_cols).withColumn("_slice", F.spark_partition_id())
     w_in = Window.partitionBy("_slice", *by).orderBy(*order_cols)  # default RANGE frame: peers included
-    local = materialize(ranged.select("*", *[F.sum(c).over(w_in).alias(f"_loc_{c}") for c in sum_cols]))
-    sums = local.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    lead = [F.lead(order_cols[0]).over(w_in).alias("_lead")] if following else []
+    local = materialize(ranged.select("*", *[F.sum(c).over(w_in).alias(f"_loc_{c}") for c in sum_cols], *lead))
+    low = [F.min(order_cols[0]).alias("_low")] if following else []
+    sums = local.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols], *low)
     w_all = Window.partitionBy(*by)
     w_off = w_all.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = [F.sum(f"_tot_{c}").over(w_all).alias(f"{totals}{c}") for c in sum_cols] if totals else []
-    offsets = sums.select(*by, "_slice", *[
+    after = [F.lead("_low").over(w_all.orderBy("_slice")).alias("_after")] if following else []
+    offsets = sums.select(*by, "_slice", *after, *[
         F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *whole)
     if bounded or not by:
         offsets = F.broadcast(offsets)
     out = local.join(offsets, [*by, "_slice"], "inner")
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}")
-                                     for c in sum_cols], *([f"{totals}{c}" for c in sum_cols] if totals else []))
+                                     for c in sum_cols], *([f"{totals}{c}" for c in sum_cols] if totals else []),
+                      *([F.coalesce("_lead", "_after").alias(following)] if following else []))
 
 
 def _qname(q: float) -> str:

@@ -751,8 +751,53 @@ _PAIR = "ref_period, cur_period"
 
 @query("d3_d4_column_drift", O.with_(O.DRIFT_SRC) + "SELECT * FROM coldrift")
 def q_d3(spark, d):
-    from dealcast.operators.drift import column_drift
-    return column_drift(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL)
+    return _column_drift(spark, d)
+
+
+def _column_drift(spark, d):
+    from dealcast.operators.drift import consecutive_pairs, period_drift
+    data = D.drift_input(spark, d)
+    return period_drift(data, "snapshot_period", consecutive_pairs(data, "snapshot_period"), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL)
+
+
+def _numeric_counts(spark, d):
+    """Written side counts of the 11 numeric columns, for every pair of snapshots."""
+    from dealcast.operators.drift import consecutive_pairs, paired_counts, period_counts
+    from dealcast.session import materialize
+    data = D.drift_input(spark, d)
+    counts = period_counts(data, "snapshot_period", D.DRIFT_NUMERIC, "DOUBLE")
+    return materialize(paired_counts(counts, "snapshot_period", consecutive_pairs(data, "snapshot_period")))
+
+
+_KEY = "ref_period, cur_period, feature"
+
+
+@query("d3_wasserstein", O.with_(O.DRIFT_SRC) + f"""
+SELECT {_KEY}, w AS wasserstein, w / greatest(sd, 0.001) AS normed
+FROM (SELECT {_KEY}, sum(CASE WHEN nx IS NULL THEN 0.0 ELSE abs(cr / tr - cc / tc) * (nx - value) END) AS w
+      FROM (SELECT *, lead(value) OVER (PARTITION BY {_KEY} ORDER BY value) AS nx FROM ncum) WHERE tr > 0 AND tc > 0 GROUP BY {_KEY})
+JOIN (SELECT {_KEY}, sqrt(sum(n_ref * (value - m) * (value - m)) / sum(n_ref)) AS sd
+      FROM (SELECT *, sum(value * n_ref) OVER (PARTITION BY {_KEY}) / sum(n_ref) OVER (PARTITION BY {_KEY}) AS m FROM ncnt) GROUP BY {_KEY}) USING ({_KEY})""")
+def q_wasserstein(spark, d):
+    """D3: the 1-Wasserstein distance of every numeric column between each snapshot and the one before."""
+    from dealcast.operators.drift import wasserstein
+    return wasserstein(_numeric_counts(spark, d))
+
+
+@query("d4_population_stability", O.with_(O.DRIFT_SRC) + f""",
+edges AS (SELECT {_KEY}, list_sort(list_distinct(list(e))) AS edges FROM (
+  SELECT {_KEY}, i, min(value) AS e FROM ncum, (SELECT unnest(range(1, 10)) AS i) WHERE tr > 0 AND cr * 10 >= i * tr GROUP BY {_KEY}, i) GROUP BY {_KEY}),
+binned AS (SELECT {_KEY}, len(list_filter(edges, lambda e: e < value)) AS bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur
+           FROM ncnt JOIN edges USING ({_KEY}) GROUP BY {_KEY}, bin),
+shares AS (SELECT {_KEY}, sum(n_ref) OVER w AS tr, sum(n_cur) OVER w AS tc, greatest(n_ref / sum(n_ref) OVER w, 0.0001) AS p,
+             greatest(n_cur / sum(n_cur) OVER w, 0.0001) AS q FROM binned WINDOW w AS (PARTITION BY {_KEY}))
+SELECT {_KEY}, sum((q - p) * ln(q / p)) AS psi, count(*) AS bins FROM shares WHERE tr > 0 AND tc > 0 GROUP BY {_KEY}""")
+def q_psi(spark, d):
+    """The population stability index over bins fitted on the reference's exact quantiles."""
+    from dealcast.operators.drift import population_stability, reference_bins
+    from dealcast.session import materialize
+    counts = _numeric_counts(spark, d)
+    return population_stability(counts, materialize(reference_bins(counts)))
 
 
 _DS = f"""ds AS (
@@ -764,8 +809,8 @@ _DS = f"""ds AS (
 
 @query("d5_dataset_drift", O.with_(O.DRIFT_SRC, _DS) + "SELECT * FROM ds")
 def q_d5(spark, d):
-    from dealcast.operators.drift import column_drift, dataset_drift
-    return dataset_drift(column_drift(D.drift_sides(spark, d), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL))
+    from dealcast.operators.drift import dataset_drift
+    return dataset_drift(_column_drift(spark, d))
 
 
 _MISS = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in O.DRIFT_NUMERIC + O.DRIFT_CATEGORICAL)
@@ -827,13 +872,13 @@ summary AS (
 
 
 def _summary_df(spark, d):
-    from dealcast.operators.drift import consecutive_pairs, monitoring_summary, sides, tests_against_reference
+    from dealcast.operators.drift import consecutive_pairs, monitoring_summary, tests_against_reference
     from dealcast.operators.quality import quality_suite
     from dealcast.session import materialize
     data = D.drift_input(spark, d)
     pairs = consecutive_pairs(data, "snapshot_period")
     suite = materialize(quality_suite(D.validated(spark, d), by=BY))
-    return monitoring_summary(sides(data, "snapshot_period", pairs), D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL,
+    return monitoring_summary(data, "snapshot_period", pairs, D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL,
                               quality=tests_against_reference(suite, pairs, "snapshot_period"))
 
 
