@@ -110,6 +110,26 @@ def q_feature_table(spark, d):
     return D.features(spark, d)
 
 
+def _codes_sql(c: str) -> str:
+    return f"(SELECT v AS {c}_v, dense_rank() OVER (ORDER BY v NULLS LAST) - 1 AS {c}_encoded FROM (SELECT DISTINCT {c} AS v FROM fitted))"
+
+
+@query("f22_f23_transform_only", O.with_(O.SNAPS) + f""",
+fitted AS (SELECT * FROM snaps WHERE snapshot_period <= '1998-06'),
+fresh AS (SELECT * FROM snaps WHERE snapshot_period > '1998-06')
+SELECT snapshot_period, opportunity_id, """ + ", ".join(f"CAST(coalesce({c}_encoded, 0) AS INTEGER) AS {c}_encoded" for c in ("account", "deal_stage", "product", "sales_agent")) + """,
+  (close_value - (SELECT avg(close_value) FROM fitted)) / (SELECT stddev_pop(close_value) FROM fitted) AS close_value_scaled
+FROM fresh """ + " ".join(f"LEFT JOIN {_codes_sql(c)} ON {c} IS NOT DISTINCT FROM {c}_v" for c in ("account", "deal_stage", "product", "sales_agent")))
+def q_transform_only(spark, d):
+    """F22, F23 at inference: codes and scales fitted on the snapshots up to a month, saved, loaded and applied to all later ones."""
+    from dealcast.operators.fitted import Encoders
+    s, path = D.snapshots(spark, d), _scratch(spark, "encoders")
+    before = F.col("snapshot_period") <= "1998-06"
+    Encoders.fit(s.where(before), ["sales_agent", "product", "account", "deal_stage"], ["close_value"], growing=["account"]).save(path, "1998-06")
+    rows = Encoders.load(spark, path, "1998-06").transform(s.where(~before))
+    return rows.select("snapshot_period", "opportunity_id", *[f"{c}_encoded" for c in ("sales_agent", "product", "account", "deal_stage")], "close_value_scaled")
+
+
 @query("j1_unmatched_agents", O.with_(O.SNAPS, O.TEAMS) + """
 SELECT 'sales_agent' AS key_column, count(*) AS unmatched_rows
 FROM snaps s WHERE NOT EXISTS (SELECT 1 FROM teams t WHERE t.sales_agent = s.sales_agent)""")
@@ -251,6 +271,27 @@ def q_a13(spark, d):
     return A.distinct_counts(D.snapshots(spark, d), ["sales_agent", "product", "account", "deal_stage"], by=BY)
 
 
+_SKETCHED = ("opportunity_id", "account", "sales_agent", "product", "deal_stage", "close_date")
+
+
+@query("a13_a20_stored_sketches", O.with_(O.SNAPS) + "SELECT *, missing / rows AS missing_share, TRUE AS within_bound FROM (" + " UNION ALL ".join(f"""
+SELECT left(snapshot_period, 4) AS year, '{c}' AS column, count(DISTINCT snapshot_period) AS periods, count(*) AS rows,
+  CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM snaps GROUP BY 1""" for c in _SKETCHED) + ")")
+def q_sketches(spark, d):
+    """Distinct and missing values of each year from a layer of stored sketches a month, within the stated bound of the exact counts."""
+    from dealcast.operators.sketches import period_sketches, relative_error, roll_up
+    from dealcast.sources.layers import read_layer, write_layer
+    base, s = _scratch(spark, "sketches"), D.snapshots(spark, d)
+    layer = period_sketches(s, _SKETCHED, "snapshot_period")
+    write_layer(layer, base, "monitoring")
+    year = F.substring("snapshot_period", 1, 4).alias("year")
+    rolled = roll_up(read_layer(spark, base, "monitoring", schema=layer.schema), year)
+    exact = s.groupBy(year).agg(*[F.countDistinct(c).alias(c) for c in _SKETCHED])
+    exact = exact.select("year", F.expr(f"stack({len(_SKETCHED)}, " + ", ".join(f"'{c}', `{c}`" for c in _SKETCHED) + ") AS (column, exact)"))
+    return rolled.join(F.broadcast(exact), ["year", "column"]).select(  # a row a year and column
+        "year", "column", "periods", "rows", "missing", "missing_share", (F.abs(F.col("distinct") - F.col("exact")) <= F.ceil(F.col("exact") * relative_error())).alias("within_bound"))
+
+
 @query("a14_date_span", O.with_(O.SNAPS) + """
 SELECT snapshot_period, min(engage_date) AS min_date, max(engage_date) AS max_date,
        CAST(max(engage_date) - min(engage_date) AS INTEGER) AS span_days
@@ -1158,6 +1199,25 @@ def q_st1(spark, d):
     return spark.read.parquet(out).drop("day")
 
 
+@query("st1_bounded_state_stream", """
+SELECT m.timestamp, m.share_missing_values, m.value_range, n AS events, TRUE AS drift_within_bound, TRUE AS quantile_within_bound, CAST(0 AS BIGINT) AS late
+FROM (""" + _D19_SQL + """) m JOIN (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS timestamp, count(*) AS n FROM events GROUP BY 1) USING (timestamp)""")
+def q_st1_bounded(spark, d):
+    """ST1 with sketches as state: shares and counts are exact, drift and median within the stated bounds of d19's."""
+    from dealcast.operators.drift import daily_metrics
+    from dealcast.operators.stats import exact_quantiles
+    from dealcast.streaming import sketched as S
+    out = _scratch(spark, "st1s-out")
+    S.run_to_the_end(spark, d, out, _scratch(spark, "st1s-ck"))
+    rank, drift = S.error_bounds()
+    events = S.events_of(spark, d)
+    exact = daily_metrics(events).select("timestamp", F.col("prediction_drift").alias("exact_drift"))
+    around = exact_quantiles(events.withColumn("day", F.to_date("ts")), "value", [0.5 - rank, 0.5 + rank], by=["day"], names=["low", "high"])
+    got = spark.read.parquet(out).join(S.late_events(events, out), "day").join(F.broadcast(around), "day").join(F.broadcast(exact), "timestamp")  # a row a day
+    return got.select("timestamp", "share_missing_values", "value_range", "events", "late", (F.abs(F.col("prediction_drift") - F.col("exact_drift")) <= drift).alias("drift_within_bound"),
+                      F.col("quantile").between(F.col("low"), F.col("high")).alias("quantile_within_bound"))
+
+
 @query("st2_quality_gate_stream", """
 WITH e AS (SELECT * FROM events)
 """ + "\nUNION ALL\n".join(f"""SELECT '{c}' AS column, CAST(sum(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
