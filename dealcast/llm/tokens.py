@@ -33,9 +33,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_BYTES = 32 << 20     # of each generation, about
+MEMO_BYTES = 14 << 20     # of each generation, about
 MEMO_LONGEST = 40         # bytes of a segment that is remembered
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 # The declared text rules under which the short ways are exact.
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
