@@ -101,14 +101,6 @@ def label_encode(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     return out.select(*df.columns, *[f"{c}_encoded" for c in cols])
 
 
-def apply_codes(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
-    """F23 at inference: known values get their code, unseen values the code
-    of the first class (0), as the reference maps them to ``classes_[0]``."""
-    code = f"{col}_encoded"
-    return (df.join(codes.select(col, code), col, "left")
-            .withColumn(code, F.coalesce(F.col(code), F.lit(0))))
-
-
 def frequency_encode(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """share of rows having the value."""
     by = list(by)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +26,7 @@ from dealcast.operators.windows import stable_hash
 # and monitoring-threshold rules.
 SEED = 42
 FOLDS = 3
+CELLS = 10_000  # cells of the score that a calibration tells apart
 THRESHOLD_RULES = {"roc_auc": (0.75, 0.95, "max"), "brier": (0.25, 1.1, "min"), "accuracy": (0.7, 0.95, "max")}
 
 
@@ -74,6 +75,16 @@ class CalibratedModel:
         return cur.withColumn(out, avg).drop(*[f"_cal{i}" for i in range(len(self.folds))])
 
 
+def score_cells(held: DataFrame, cells: int = CELLS) -> DataFrame:
+    """(score, label, _w): one row for each of ``cells`` equal cells of the score
+    that has rows, with their mean score, mean label and number. The isotonic
+    fit collects its pooled blocks to the driver; so there are ``cells`` at most,
+    however many rows and scores there are. A score moves by less than 1 / cells."""
+    cell = F.least(F.floor(F.col("score") * cells), F.lit(cells - 1))
+    return held.groupBy(cell.alias("_cell")).agg(F.avg("score").alias("score"), F.avg("label").alias("label"),
+                                                 F.count(F.lit(1)).cast("double").alias("_w")).drop("_cell")
+
+
 def fit_calibrated(name: str, estimator, train: DataFrame, key: str = "opportunity_key",
                    folds: int = FOLDS) -> CalibratedModel:
     """Fit ``folds`` base models and isotonic maps (actions: model fits)."""
@@ -83,11 +94,8 @@ def fit_calibrated(name: str, estimator, train: DataFrame, key: str = "opportuni
     for k in range(folds):
         base = estimator.fit(tagged.where(F.col("_fold") != k))
         held = positive_probability(base.transform(tagged.where(F.col("_fold") == k)))
-        # one row a distinct score, weighted by its count: the same fit, and only
-        # as many rows reach the pooled blocks as there are scores
-        held = held.groupBy("score").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
         iso = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="_w", predictionCol="_iso",
-                                 isotonic=True).fit(held)
+                                 isotonic=True).fit(score_cells(held))
         cal.folds.append((base, iso))
     return cal
 
@@ -98,22 +106,14 @@ def evaluate(pred: DataFrame, label: str = "label", score: str = "prediction") -
     return q.select("accuracy", "roc_auc", "brier", "n")
 
 
-def compare_models(train: DataFrame, test: DataFrame, names: Sequence[str] | None = None):
-    """M3-M9: fit every candidate with calibration, evaluate on the test rows,
-    rank by AUC and mark the best (M8). Returns (metrics DataFrame,
-    {name: CalibratedModel})."""
-    cands = candidates()
-    names = list(names) if names else list(cands)
-    models, rows = {}, None
-    for n in names:
-        cal = fit_calibrated(n, cands[n], train)
-        models[n] = cal
-        m = evaluate(cal.predict(test)).withColumn("model", F.lit(n))
-        rows = m if rows is None else rows.unionByName(m)
+def rank_models(scores: DataFrame) -> DataFrame:
+    """M7-M9: metrics of each model from its scores of the test rows (model,
+    label, prediction), ranked by AUC, ties by name, the best one marked."""
     from pyspark.sql import Window
+    q = classification_quality(scores.withColumn("_y", F.col("label").cast("int")), "_y", "prediction", by=["model"])
     w = Window.orderBy(F.desc("roc_auc"), F.asc("model"))  # a handful of rows: one per candidate
-    ranked = rows.withColumn("rank", F.row_number().over(w))
-    return ranked.withColumn("is_best", F.col("rank") == 1), models
+    ranked = q.select("model", "accuracy", "roc_auc", "brier", "n").withColumn("rank", F.row_number().over(w))
+    return ranked.withColumn("is_best", F.col("rank") == 1)
 
 
 def monitoring_thresholds(metrics: DataFrame) -> DataFrame:
@@ -144,10 +144,6 @@ def save_model(model: PipelineModel | CalibratedModel, path: str) -> None:
         model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
 def load_calibrated(path: str, name: str, folds: int = FOLDS) -> CalibratedModel:
     """The calibrated model that ``save_model`` wrote."""
     return CalibratedModel(name, [tuple(PipelineModel.load(f"{path}/{name}/fold-{i}").stages) for i in range(folds)])
@@ -158,8 +154,3 @@ def score_batch(model: CalibratedModel, df: DataFrame, threshold: float = 0.5) -
     out = model.predict(df)
     return out.withColumns({"prediction_binary": (F.col("prediction") >= threshold).cast("int"),
                             "monitoring_timestamp": F.current_timestamp()})
-
-
-def pipeline_for(features: Sequence[str], estimator) -> Pipeline:
-    """Assembler + learner as one persistable pipeline."""
-    return Pipeline(stages=[assembler(features), estimator])

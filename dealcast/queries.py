@@ -1065,20 +1065,30 @@ def _model_data(spark, d):
     return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
 
 
+_RUNS: dict[tuple, str] = {}  # training runs of this driver: (application, tables) -> folder
+
+
+def _trained(spark, d):
+    """The training run over these tables: fitted once for all queries of a session."""
+    from dealcast.operators import models as M
+    from dealcast.operators.monthly import MODEL_FEATURES
+    from dealcast.plans.modelling import TrainedRun, train
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        path = _scratch(spark, "runs")
+        train(M.prepare(D.model_frame(spark, d), MODEL_FEATURES), path)
+        _RUNS[key] = path
+    return TrainedRun(spark, _RUNS[key])
+
+
 @query("m3_m9_model_comparison", None)
 def q_m3(spark, d):
-    from dealcast.operators import models as M
-    train, test = _model_data(spark, d)
-    metrics, _ = M.compare_models(train, test)
-    return metrics.select("model", "accuracy", "roc_auc", "brier", "n", "rank", "is_best")
+    return _trained(spark, d).metrics.select("model", "accuracy", "roc_auc", "brier", "n", "rank", "is_best")
 
 
 @query("m13_monitoring_thresholds", None)
 def q_m13(spark, d):
-    from dealcast.operators import models as M
-    train, test = _model_data(spark, d)
-    metrics, _ = M.compare_models(train, test)
-    return M.monitoring_thresholds(metrics)
+    return _trained(spark, d).thresholds
 
 
 @query("m15_feature_importance", None)
@@ -1092,23 +1102,51 @@ def q_m15(spark, d):
 
 @query("m11_batch_scoring", None)
 def q_m11(spark, d):
-    """The saved and loaded calibrated logistic model scores the open pipeline;
-    a feature that is missing there is 0."""
-    import uuid
-    from dealcast.operators import models as M
-    from dealcast.operators.monthly import MODEL_FEATURES, pipeline_rows
-    from dealcast.session import materialize, scratch_path
-    monthly = materialize(D.model_features(spark, d))
-    data = M.prepare(D.model_rows(monthly), MODEL_FEATURES)
-    train = data.where(F.col("split") == "train")
-    path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
-    M.save_model(M.fit_calibrated("logistic_regression", M.candidates()["logistic_regression"], train), path)
-    model = M.load_calibrated(path, "logistic_regression")
-    pipe = pipeline_rows(monthly).fillna(0, subset=list(MODEL_FEATURES))
-    scored = M.score_batch(model, M.prepare(pipe, MODEL_FEATURES))
+    """The saved and loaded best model scores the open pipeline; a feature that is missing there is 0."""
+    from dealcast.operators.monthly import pipeline_rows
+    from dealcast.session import materialize
+    scored = _trained(spark, d).score(pipeline_rows(materialize(D.model_features(spark, d))))
     return scored.select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
 
 
+def _model_scored(spark, d):
+    """The scored set of all periods (D2) by the fitted model, written."""
+    from dealcast.session import materialize
+    keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won"]
+    from dealcast.operators.monthly import MODEL_FEATURES
+    columns = list(dict.fromkeys([*keep, *D.DRIFT_NUMERIC, *D.DRIFT_CATEGORICAL, *MODEL_FEATURES]))
+    rows = materialize(D.model_features(spark, d).select(*columns))
+    return materialize(_trained(spark, d).score(rows).drop("monitoring_timestamp"))
+
+
+@query("d2_model_scored_periods", O.with_(O.SNAPS) + """
+SELECT snapshot_period, count(*) AS rows, CAST(sum(CASE WHEN deal_stage IN ('Won', 'Lost') THEN 1 ELSE 0 END) AS BIGINT) AS closed,
+  TRUE AS scored, TRUE AS flags_agree, TRUE AS quality_from_scores FROM snaps GROUP BY snapshot_period""")
+def q_d2_model(spark, d):
+    """Every row of every period scored by the loaded model: all have a probability, the class flag follows from it, and a
+    period's quality is what its written scores say."""
+    from dealcast.plans.modelling import monitored_quality
+    scored = _model_scored(spark, d)
+    q = monitored_quality(scored, _trained(spark, d).thresholds).select("snapshot_period", F.col("n").alias("_n"), "accuracy", "brier")
+    closed = F.col("deal_stage").isin("Won", "Lost")
+    right = F.when(closed, ((F.col("prediction") >= 0.5).cast("int") == F.col("is_won")).cast("double"))
+    g = scored.groupBy("snapshot_period").agg(
+        F.count("*").alias("rows"), F.sum(closed.cast("long")).alias("closed"), F.min(F.coalesce(F.col("prediction").between(0, 1), F.lit(False))).alias("scored"),
+        F.min(F.col("prediction_binary") == (F.col("prediction") >= 0.5).cast("int")).alias("flags_agree"), F.avg(right).alias("_right"))
+    same = F.coalesce((F.col("_n") == F.col("closed")) & (F.abs(F.col("accuracy") - F.col("_right")) < 1e-9), F.col("closed") == 0)
+    return g.join(F.broadcast(q), "snapshot_period", "left").select("snapshot_period", "rows", "closed", "scored", "flags_agree", same.alias("quality_from_scores"))
+
+
+@query("d13_model_monitoring", None)
+def q_d13_model(spark, d):
+    """D13-D18 on the fitted model: drift of every period, its health, and alerts by the run's own thresholds."""
+    from dealcast.plans.modelling import model_drift, monitored_quality
+    scored = _model_scored(spark, d)
+    alerts = monitored_quality(scored, _trained(spark, d).thresholds).select(F.col("snapshot_period").alias("cur_period"), "scored_by", "accuracy_alert", "roc_auc_alert",
+                                                                             "brier_alert", "performance_drift")
+    return model_drift(scored, D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL).join(F.broadcast(alerts), "cur_period", "left")  # a row a period
+
+
 # ---------------------------------------------------------------- sources, sinks, streaming
 
 def _scratch(spark, name):
@@ -1176,15 +1214,57 @@ def q_s9(spark, d):
     return read_results(spark, path, summary.schema)
 
 
-@query("s14_s15_retention_plan", None)
+@query("s14_s15_retention_plan", O.with_(O.SNAPS) + """,
+p AS (SELECT snapshot_period, count(*) AS n, count(*) FILTER (WHERE deal_stage = 'Won') AS won, count(*) FILTER (WHERE deal_stage = 'Lost') AS lost FROM snaps GROUP BY 1)
+SELECT category, snapshot_period, has_rows FROM (
+  SELECT 'processed_files' AS category, snapshot_period, n > 0 AS has_rows FROM p UNION ALL SELECT 'feature_files', snapshot_period, n > 0 FROM p
+  UNION ALL SELECT 'prediction_files', snapshot_period, TRUE FROM p WHERE won > 0 UNION ALL SELECT 'monitoring_files', snapshot_period, TRUE FROM p WHERE lost > 0
+  UNION ALL SELECT 'temp_files', snapshot_period, n > 0 FROM p)""")
 def q_s15(spark, d):
-    """List the files of a written layer and classify them for retention."""
-    from dealcast.sources.layers import list_files, retention_plan, write_layer
+    """Files of five layers, a folder a period, listed and classified for retention: which category has which periods."""
+    from dealcast.session import materialize
+    from dealcast.sources.layers import list_files, retention_plan
     base = _scratch(spark, "retention")
-    write_layer(D.snapshots(spark, d).drop("opportunity_key"), base, "processed", fmt="csv")
-    files = list_files(spark, base, "*.csv")
-    return retention_plan(files, F.lit("processed")).groupBy("category").agg(
-        F.count("*").alias("files"), F.sum("size").alias("bytes"))
+    s = materialize(D.snapshots(spark, d).select("snapshot_period", "opportunity_id", "deal_stage"))
+    layers = {"processed/all": s, "features/rows": s, "features/prediction": s.where("deal_stage = 'Won'"), "features/reference_data": s.where("deal_stage = 'Lost'"), "temp/all": s}
+    for name, rows in layers.items():
+        rows.drop("deal_stage").repartition("snapshot_period").write.partitionBy("snapshot_period").csv(f"{base}/{name}")
+    files = list_files(spark, base, "part-*")
+    own = F.regexp_extract("path", "/(processed|features|temp)/([a-z_]+)/snapshot_period=([^/]+)/", 2)
+    named = files.withColumn("name", F.concat_ws("-", own, "name"))  # the reference's files carry what they hold in their name
+    plan = retention_plan(named, F.regexp_extract("path", "/(processed|features|temp)/", 1))
+    return plan.groupBy("category", F.regexp_extract("path", "snapshot_period=([^/]+)/", 1).alias("snapshot_period")).agg((F.sum("size") > 0).alias("has_rows"))
+
+
+@query("u2_u3_p3_column_sets", """
+SELECT 'common' AS what, 'deal_stage,opportunity_id,sales_agent' AS columns, count(*) AS rows FROM orders
+UNION ALL SELECT 'only_left', 'close_value', count(*) FROM orders UNION ALL SELECT 'only_right', 'product', count(*) FROM orders
+UNION ALL SELECT 'features', 'close_value,sales_agent', count(*) FROM orders""")
+def q_column_sets(spark, d):
+    """Column sets of two projections of the opportunities, and the model columns by name."""
+    from dealcast.operators.clean import column_differences, common_columns
+    from dealcast.plans.features import feature_columns
+    o = D.opportunities(spark, d)
+    a, b = o.select("opportunity_id", "sales_agent", "deal_stage", "close_value"), o.select("sales_agent", "opportunity_id", "deal_stage", "product")
+    sets = {"common": common_columns(a, b), **column_differences(a, b), "features": feature_columns(a.columns)}
+    n = o.agg(F.count("*").alias("rows"))
+    return n.select(F.explode(F.array(*[F.struct(F.lit(k).alias("what"), F.lit(",".join(sorted(v))).alias("columns")) for k, v in sets.items()])).alias("s"), "rows").select("s.what", "s.columns", "rows")
+
+
+@query("f19_f21_report_formats", """
+SELECT strftime(o_orderdate, '%Y-%m') AS period, printf('$%,d', CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT)) AS revenue,
+  printf('%.1f%%', CAST(round_even(CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) * 1000.0 / count(*) AS DECIMAL(38,10)), 0) AS DOUBLE) / 10) AS closed_share,
+  strftime(date_trunc('month', min(o_orderdate)) + INTERVAL 1 MONTH, '%Y-%m') || ',' || strftime(date_trunc('month', min(o_orderdate)) + INTERVAL 2 MONTH, '%Y-%m') AS next_periods
+FROM orders GROUP BY 1""")
+def q_formats(spark, d):
+    """currency and percent columns of a monthly report, and the periods that follow."""
+    from dealcast.functions import scalar as S
+    from dealcast.functions.periods import next_period, period_of, period_range
+    g = D.tables(spark, d)["orders"].groupBy(period_of("o_orderdate").alias("period")).agg(
+        F.sum(F.floor("o_totalprice")).alias("total"), F.avg((F.col("o_orderstatus") == "F").cast("int")).alias("share"))
+    share = F.bround(F.col("share").cast("decimal(38,13)") * 1000, 0).cast("double") / 1000
+    return g.select("period", S.currency(F.col("total")).alias("revenue"), S.percent(share).alias("closed_share"),
+                    F.concat_ws(",", period_range(next_period("period"), 2)).alias("next_periods"))
 
 
 @query("st1_daily_metrics_stream", _D19_SQL)

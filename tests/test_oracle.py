@@ -49,7 +49,7 @@ def test_all_oracles(spark, sf, con, name):
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     rows_only = set(REGISTRY) - {n for n, (_, sql) in REGISTRY.items() if sql}
     assert rows_only <= {"m3_m9_model_comparison", "m13_monitoring_thresholds", "m15_feature_importance",
-                         "m11_batch_scoring", "s14_s15_retention_plan"}
+                         "m11_batch_scoring", "d13_model_monitoring"}
 
 
 def test_entry_smoke(spark):
