@@ -232,6 +232,24 @@ def _compare(size: int, k: int, percent: int, need: int):
     return run
 
 
+def bucket_groups(members: DataFrame, side: int = SIDE) -> DataFrame:
+    """Groups (g, rep, comp, minor, side) of the written ``members`` (bucket, rep,
+    comp, minor): each bucket is cut into blocks of about ``side`` members, and
+    each block with a minor member meets every block of its bucket. A member of
+    a block without one is only sent to those that have some, so the rows grow
+    with members times blocks with minor ones."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("cuts"))
+    placed = members.join(C.broadcast_if_small(C.materialize(sizes), IDS_BROADCAST), "bucket").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
+    marked = C.materialize(placed.where("minor").select("bucket", F.col("i").alias("j")).distinct())
+    marked = C.broadcast_if_small(marked, IDS_BROADCAST)
+    of_marked = placed.join(marked.select("bucket", F.col("j").alias("i")), ["bucket", "i"], "left_semi").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    of_others = placed.join(marked.select("bucket", F.col("j").alias("i")), ["bucket", "i"], "left_anti").join(marked, "bucket")
+    each = of_marked.unionByName(of_others)
+    low, high = F.least("i", "j"), F.greatest("i", "j")
+    return each.select(F.concat_ws("/", F.lit("b"), "bucket", low, high).alias("g"), "rep", "comp", "minor",
+                       F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
                     k: int = 48) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id (the smallest
@@ -269,16 +287,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         own = keyed.select("g", F.col("a").alias("rep"), F.col("comp_a").alias("comp"), F.lit(True).alias("minor"), F.lit(0).alias("side")).distinct()
         return own.union(keyed.select("g", "b", "comp_b", F.lit(False), F.lit(1)))
 
-    def by_bucket(members: DataFrame) -> DataFrame:
-        """Groups of ``members`` (bucket, rep, comp, minor): every two blocks of a
-        bucket, if a minor one is in them."""
-        sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("cuts"))
-        placed = members.join(sizes, "bucket").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
-        each = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-        low, high = F.least("i", "j"), F.greatest("i", "j")
-        return each.select(F.concat_ws("/", F.lit("b"), "bucket", low, high).alias("g"), "rep", "comp", "minor",
-                           F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"))
-
     links, labels = None, None
     item = F.struct("comp", *_ITEM)
     mixed = lists.withColumn("comp", F.col("rep"))
@@ -309,7 +317,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
                     & _possible("x", "y", percent))
              .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
-    new = confirmed(by_pivot(pairs).union(by_bucket(members)))
+    new = confirmed(by_pivot(pairs).union(bucket_groups(members)))
     links = links.union(new)
     if repeated:  # rows with one id are one document: their groups are one
         own = read.where(F.col("doc_id").isNotNull()).select("doc_id", "same").join(classes.select("same", "rep"), "same").select("doc_id", "rep")

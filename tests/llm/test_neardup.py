@@ -68,3 +68,37 @@ def test_components_of_a_long_chain(spark):
     want = {i: 0 if i < 40 else 50 for i in [*range(40), *range(50, 60)]}
     assert dict(rows(components(links))) == dict(rows(components(links, rows_a_task=7))) == want
     assert components(links.limit(0)).count() == 0
+
+
+def test_rows_sent_grow_with_the_blocks_that_hold_a_stray(spark):
+    """A bucket of 50 blocks with one minor member: its block meets all others,
+    and those don't meet each other; every minor member meets every other one."""
+    from dealcast.llm.neardup import bucket_groups
+    n, side = 6400, 128
+    big = spark.range(n).selectExpr("1L as bucket", "id as rep", "1L as comp", "false as minor")
+    stray = spark.createDataFrame([(1, 10**6, 7, True), (2, 2 * 10**6, 2, False), (2, 2 * 10**6 + 1, 3, True), (3, 3 * 10**6, 3, False)], big.schema)
+    got = bucket_groups(big.unionByName(stray), side).collect()
+    assert len(got) <= n + 3 * side * (n // side + 1) and len(got) < 4 * n
+    groups = {}
+    for r in got:
+        groups.setdefault(r.g, set()).add((r.rep, r.side))
+    met = set().union(*({x for x, _ in g} for g in groups.values() if 10**6 in {x for x, _ in g}))
+    assert met == set(range(n)) | {10**6}
+    members = [{x for x, _ in g} for g in groups.values()]
+    assert {2 * 10**6, 2 * 10**6 + 1} in members and not any(3 * 10**6 in m for m in members)
+    for g in groups.values():  # one block with itself, or two with their sides
+        assert {s for _, s in g} in ({2}, {0, 1}) and len(g) < 3 * side
+
+
+def test_many_strays_meet_each_other(spark):
+    from dealcast.llm.neardup import bucket_groups
+    rows = spark.range(900).selectExpr("5L as bucket", "id as rep", "id % 7 as comp", "id % 7 <> 0 as minor")
+    groups = {}
+    for r in bucket_groups(rows, 64).collect():
+        groups.setdefault(r.g, []).append((r.rep, r.side, r.minor))
+    met = set()
+    for g in groups.values():
+        for a, x, minor in g:
+            if minor:
+                met.update((a, b) for b, y, _ in g if x == 2 or x != y)
+    assert all((a, b) in met for a in range(900) if a % 7 for b in range(900) if a != b)
