@@ -48,6 +48,15 @@ _FOOTER = struct.Struct("<8Q8s")   # keys, ids, bytes an id, levels, payload, in
 _SLOT = np.dtype([("fingerprint", "<u8"), ("offset", "<u8"), ("length", "<u8"), ("copies", "<u4")])
 _SPARE = 2          # bits for each key of a level
 _BLOCK = 512        # bits for each stored rank
+PARTS = 2           # tasks that read one file's documents
+READ_IDS = 1 << 20  # ids that a reading task gives back at once, about
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's whole URI: a path without a scheme is one of the cluster's
+    default file system for Spark, so it is for the tasks that open it too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -68,54 +77,65 @@ def _spot(h: np.ndarray, level: int, size: int) -> np.ndarray:
 
 
 class PerfectHash:
-    """Numbers a fixed set of distinct 64-bit hashes from 0 to n - 1."""
+    """Numbers a fixed set of distinct 64-bit hashes from 0 to n - 1: bits in
+    64-bit words level by level, and the number of bits before each block."""
 
-    def __init__(self, levels: list[np.ndarray]):
-        self.levels = levels  # bits as booleans
-        bits = np.concatenate([*levels, np.zeros(0, bool)])
-        self.base = np.cumsum([0] + [len(x) for x in levels])
-        self.bits = bits
-        padded = np.concatenate([bits, np.zeros(-len(bits) % _BLOCK, bool)]).reshape(-1, _BLOCK)
-        self.ranks = np.concatenate([[0], np.cumsum(padded.sum(1))]).astype(np.uint64)
+    def __init__(self, sizes: list[int], words: np.ndarray):
+        self.sizes, self.words = sizes, words
+        self.base = np.cumsum([0, *sizes])
+        counts = np.bitwise_count(words).astype(np.uint64)
+        counts = np.concatenate([counts, np.zeros(-len(counts) % (_BLOCK // 64), np.uint64)]).reshape(-1, _BLOCK // 64)
+        self.ranks = np.concatenate([np.zeros(1, np.uint64), np.cumsum(counts.sum(1), dtype=np.uint64)])
 
     @classmethod
     def build(cls, hashes: np.ndarray) -> "PerfectHash":
-        levels, left = [], hashes
+        sizes, words, left = [], [np.zeros(0, np.uint64)], hashes
         while len(left):
             size = -(-_SPARE * len(left) // 64) * 64
-            at = _spot(left, len(levels), size)
+            at = _spot(left, len(sizes), size)
             alone = np.bincount(at, minlength=size) == 1
-            levels.append(alone)
+            sizes.append(size)
+            words.append(np.packbits(alone, bitorder="little").view("<u8"))
             left = left[~alone[at]]
-            if len(levels) > 200:
+            if len(sizes) > 200:
                 raise ValueError("two keys have one hash")
-        return cls(levels)
+        return cls(sizes, np.concatenate(words).astype("<u8"))
 
     def slot(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each hash; -1 for some that aren't in the set (others
         get a number that the fingerprint must refuse)."""
-        out = np.full(len(hashes), -1, np.int64)
-        left = np.arange(len(hashes))
-        for k, level in enumerate(self.levels):
-            at = _spot(hashes[left], k, len(level))
-            hit = level[at]
-            place = self.base[k] + at[hit]
-            block = place // _BLOCK
-            inside = np.fromiter((int(self.bits[b * _BLOCK:p].sum()) for b, p in zip(block.tolist(), place.tolist())), np.int64, len(place))
-            out[left[hit]] = self.ranks[block].astype(np.int64) + inside
-            left = left[~hit]
-        return out
+        return find_slots(hashes, self.sizes, lambda at: self.words[at], lambda at: self.ranks[at])
 
     def to_bytes(self) -> tuple[bytes, bytes]:
-        sizes = np.array([len(x) for x in self.levels], "<u8")
-        return sizes.tobytes() + np.packbits(self.bits, bitorder="little").tobytes(), self.ranks.astype("<u8").tobytes()
+        return np.array(self.sizes, "<u8").tobytes() + self.words.astype("<u8").tobytes(), self.ranks.astype("<u8").tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes, levels: int) -> "PerfectHash":
-        sizes = np.frombuffer(data, "<u8", levels).astype(np.int64)
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=8 * levels), bitorder="little")[:int(sizes.sum())].astype(bool)
-        ends = np.cumsum(sizes)
-        return cls([bits[e - s:e] for e, s in zip(ends, sizes)])
+        sizes = np.frombuffer(data, "<u8", levels).astype(np.int64).tolist()
+        return cls(sizes, np.frombuffer(data, "<u8", offset=8 * levels).copy())
+
+
+def find_slots(hashes: np.ndarray, sizes: list[int], words, ranks) -> np.ndarray:
+    """Slots from the index, of which ``words`` and ``ranks`` give what stands at
+    some places: a word a level until the key is found, then its block's words."""
+    out = np.full(len(hashes), -1, np.int64)
+    left, base, per = np.arange(len(hashes)), 0, _BLOCK // 64
+    for level, size in enumerate(sizes):
+        if not len(left):
+            break
+        place = base + _spot(hashes[left], level, size)
+        hit = (words(place // 64) >> (place % 64).astype(np.uint64)) & np.uint64(1) != 0
+        at, rows = place[hit], left[hit]
+        count = ranks(at // _BLOCK).astype(np.int64)
+        for k in range(per):  # the whole words of the block before the key's own
+            some = np.flatnonzero(k < at // 64 % per)
+            if len(some):
+                count[some] += np.bitwise_count(words(at[some] // _BLOCK * per + k)).astype(np.int64)
+        below = (np.uint64(1) << (at % 64).astype(np.uint64)) - np.uint64(1)
+        out[rows] = count + np.bitwise_count(words(at // 64) & below).astype(np.int64)
+        left = left[~hit]
+        base += size
+    return out
 
 
 # ------------------------------------------------------------------ one file
@@ -158,12 +178,16 @@ def _write_shard(sink: pa.NativeFile, parts: Iterator, end_id: int, width: int)
     bits, ranks = index.to_bytes()
     for x in (bits, ranks, slots.tobytes()):
         sink.write(x)
-    sink.write(_FOOTER.pack(len(key), total, width, len(index.levels), total * width, len(bits), len(ranks), slots.nbytes, MAGIC))
+    sink.write(_FOOTER.pack(len(key), total, width, len(index.sizes), total * width, len(bits), len(ranks), slots.nbytes, MAGIC))
     return key, null, total
 
 
 class TokenFile:
-    """Keyed access to one file: ``find`` gives slots, ``read`` the ids of one."""
+    """Keyed access to one file: ``find`` gives slots, ``read`` the ids of one.
+
+    Opening reads the footer and the levels' sizes. A few keys are looked up by
+    reading their words, ranks and slots by position; for many (a tenth of the
+    file's) the index and the slots are read once."""
 
     def __init__(self, uri: str):
         fs, path = file_system(uri)
@@ -173,15 +197,33 @@ class TokenFile:
             self.source.read_at(_FOOTER.size, end - _FOOTER.size))
         if magic != MAGIC or payload + bits + ranks + slots + _FOOTER.size != end:
             raise ValueError(f"{uri} is no whole token file")
-        self.index = PerfectHash.from_bytes(self.source.read_at(bits, payload), levels)
-        self.slots = np.frombuffer(self.source.read_at(slots, payload + bits + ranks), _SLOT)
+        self.sizes = np.frombuffer(self.source.read_at(8 * levels, payload), "<u8").astype(np.int64).tolist()
+        self._words, self._ranks, self._slots = payload + 8 * levels, payload + bits, payload + bits + ranks
+        self._spans = (bits - 8 * levels, ranks, slots)
+        self._whole: tuple | None = None
+
+    def _at(self, start: int, places: np.ndarray, kind: np.dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(self.source.read_at(kind.itemsize, start + int(p) * kind.itemsize) for p in places), kind)
+
+    def _load(self) -> None:
+        words, ranks, slots = (self.source.read_at(n, at) for n, at in zip(self._spans, (self._words, self._ranks, self._slots)))
+        self._whole = np.frombuffer(words, "<u8"), np.frombuffer(ranks, "<u8"), np.frombuffer(slots, _SLOT)
+
+    def slots(self, places: np.ndarray) -> np.ndarray:
+        return self._whole[2][places] if self._whole else self._at(self._slots, places, _SLOT)
 
     def find(self, ids: np.ndarray, null: np.ndarray, copy: np.ndarray) -> np.ndarray:
         """Slot of each key, or -1."""
+        if not self._whole and 10 * len(ids) >= self.n_keys:
+            self._load()
         h = key_hash(ids, null, copy)
-        at = self.index.slot(h)
+        if self._whole:
+            words, ranks = (lambda at: self._whole[0][at]), (lambda at: self._whole[1][at])
+        else:
+            words, ranks = (lambda at: self._at(self._words, at, np.dtype("<u8"))), (lambda at: self._at(self._ranks, at, np.dtype("<u8")))
+        at = find_slots(h, self.sizes, words, ranks)
         good = at >= 0
-        good[good] = self.slots["fingerprint"][at[good]] == C.mix(h[good] ^ np.uint64(0x2545F4914F6CDD1D))
+        good[good] = self.slots(at[good])["fingerprint"] == C.mix(h[good] ^ np.uint64(0x2545F4914F6CDD1D))
         return np.where(good, at, -1)
 
     def read(self, offset: int, length: int) -> np.ndarray:
@@ -207,6 +249,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, path: str |
     path = path or default_vocabulary()
     spark = docs.sparkSession
     shards = shards or C.partitions(spark)
+    folder = qualified(spark, folder)
     fs, local = file_system(folder)
     fs.create_dir(local, recursive=True)
 
@@ -260,29 +303,56 @@ def read_token_files(spark: SparkSession, manifest: Manifest, keys: DataFrame, k
                 [pa.array(shard), pa.concat_arrays([pa.array(np.repeat(own, many)), pa.nulls(len(nulls) * bool(null.any()), pa.int64())])],
                 names=["at", "doc_id"])
 
-    def look(part: pa.Table) -> pa.Table:
-        k = part.column("at")[0].as_py()
-        column = part.column("doc_id").combine_chunks()
-        null = column.is_null().to_numpy(zero_copy_only=False)
-        ids = column.fill_null(0).to_numpy(zero_copy_only=False)
-        file = TokenFile(files[k]["file"])
+    @C.task
+    def look(batches: Iterator[pa.RecordBatch]):
+        at, file = -1, None
         try:
-            at = file.find(ids, null, np.zeros(len(ids), np.int64))
-            ids, null, at = ids[at >= 0], null[at >= 0], at[at >= 0]
-            copies = file.slots["copies"][at].astype(np.int64)
-            more = np.arange(int(copies.sum())) - np.repeat(np.cumsum(copies) - copies, copies)
-            ids, null = np.repeat(ids, copies), np.repeat(null, copies)
-            slots = file.slots[file.find(ids, null, more)]
-            order = np.argsort(slots["offset"], kind="stable")
-            ids, null, slots = ids[order], null[order], slots[order]
-            values = [file.read(int(s["offset"]), int(s["length"])).astype("<u4").tobytes() for s in slots]
+            for batch in batches:
+                where = batch.column(0).to_numpy()
+                for lo, hi in _runs(where):
+                    if where[lo] != at:
+                        if file is not None:
+                            file.close()
+                        at = int(where[lo])
+                        file = TokenFile(files[at]["file"])
+                    yield from _documents(file, int(base[at]), batch.column(1).slice(lo, hi - lo))
         finally:
-            file.close()
-        return pa.table([pa.array(ids, pa.int64(), mask=null), pa.array(int(base[k]) + slots["offset"].astype(np.int64)),
-                         pa.array(slots["length"].astype(np.int64)), pa.array(values, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+            if file is not None:
+                file.close()
 
     asked = keys.select(F.col(key).cast("long").alias("doc_id")).mapInArrow(route, "at int, doc_id long").distinct()
-    return asked.groupBy("at").applyInArrow(look, "doc_id long, start long, n_tokens long, ids binary")
+    # a file's keys go to PARTS tasks by their hash; the explicit number of partitions stays as it is
+    parted = asked.repartition(max(1, len(files) * PARTS), "at", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).sortWithinPartitions("at", "doc_id")
+    return parted.mapInArrow(look, "doc_id long, start long, n_tokens long, ids binary")
+
+
+def _runs(where: np.ndarray) -> list[tuple[int, int]]:
+    edges = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1, [len(where)]]).tolist()
+    return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+
+
+def _documents(file: TokenFile, base: int, column: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The documents of some distinct keys in one file, ``READ_IDS`` ids at once."""
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    ids = column.fill_null(0).to_numpy(zero_copy_only=False)
+    at = file.find(ids, null, np.zeros(len(ids), np.int64))
+    ids, null, at = ids[at >= 0], null[at >= 0], at[at >= 0]
+    copies = file.slots(at)["copies"].astype(np.int64)
+    again = copies > 1  # all copies of a repeated id but the first
+    more = np.arange(int((copies - 1).sum())) - np.repeat(np.cumsum(copies - 1) - (copies - 1), copies - 1) + 1
+    ids, null = np.concatenate([ids, np.repeat(ids[again], copies[again] - 1)]), np.concatenate([null, np.repeat(null[again], copies[again] - 1)])
+    slots = np.concatenate([file.slots(at), file.slots(file.find(ids[len(at):], null[len(at):], more))])
+    order = np.argsort(slots["offset"], kind="stable")
+    ids, null, slots = ids[order], null[order], slots[order]
+    lo = 0
+    ends = np.cumsum(slots["length"].astype(np.int64))
+    while lo < len(ids):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + READ_IDS, "right")))
+        values = [file.read(int(s["offset"]), int(s["length"])).astype("<u4").tobytes() for s in slots[lo:hi]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[lo:hi], pa.int64(), mask=null[lo:hi]), pa.array(base + slots["offset"][lo:hi].astype(np.int64)),
+             pa.array(slots["length"][lo:hi].astype(np.int64)), pa.array(values, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+        lo = hi
 
 
 def round_trip(docs: DataFrame, folder: str | None = None, **names) -> DataFrame:

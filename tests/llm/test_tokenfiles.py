@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -38,7 +39,9 @@ def test_round_trip_and_keyed_access(spark, docs, tmp_path):
     first = tokenfiles.TokenFile(manifest.files[0]["file"])
     at = first.find(np.array([manifest.files[0]["low"], 10**9]), np.zeros(2, bool), np.zeros(2, int))
     assert at[0] >= 0 and at[1] == -1
-    slot = first.slots[at[0]]
+    slot = first.slots(at[:1])[0]
+    assert first._whole is None and first.find(np.arange(10**6), np.zeros(10**6, bool), np.zeros(10**6, int))[slot["length"] * 0 + manifest.files[0]["low"]] == at[0]
+    assert first._whole is not None and first.slots(at[:1])[0] == slot
     assert first.read(int(slot["offset"]), int(slot["length"]))[-1] == 1
     first.close()
 
@@ -47,14 +50,14 @@ def test_perfect_hash_is_minimal_and_survives_bytes():
     h = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64))
     index = tokenfiles.PerfectHash.build(h)
     assert np.array_equal(np.sort(index.slot(h)), np.arange(len(h)))
-    again = tokenfiles.PerfectHash.from_bytes(index.to_bytes()[0], len(index.levels))
-    assert np.array_equal(again.slot(h), index.slot(h)) and len(index.bits) < 4 * len(h)
+    again = tokenfiles.PerfectHash.from_bytes(index.to_bytes()[0], len(index.sizes))
+    assert np.array_equal(again.slot(h), index.slot(h)) and 64 * len(index.words) < 4 * len(h)
     assert tokenfiles.PerfectHash.build(h[:0]).slot(h[:3]).tolist() == [-1, -1, -1]
 
 
 def test_a_cut_file_is_refused(spark, docs, tmp_path):
     manifest = tokenfiles.write_token_files(docs.limit(5), str(tmp_path), shards=1)
-    path = manifest.files[0]["file"]
+    path = manifest.files[0]["file"].removeprefix("file:")
     data = open(path, "rb").read()
     (tmp_path / "cut").write_bytes(data[10:])
     with pytest.raises(ValueError):
@@ -65,3 +68,17 @@ def test_the_whole_table_is_in_order(spark, docs):
     got = sorted(tokenfiles.round_trip(docs).collect(), key=lambda r: r.doc_id)
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:])) and got[0].start == 0
     assert len(rows(docs.select("doc_id"))) == len(got)
+
+
+def test_reading_has_tasks_for_every_file_and_streams_them(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "READ_IDS", 1000)
+    manifest = tokenfiles.write_token_files(docs, str(tmp_path), shards=5)
+    assert all(f["file"].startswith("file:") for f in manifest.files)
+    got = tokenfiles.read_token_files(spark, manifest, docs)
+    assert got.rdd.getNumPartitions() == len(manifest.files) * tokenfiles.PARTS
+    file = tokenfiles.TokenFile(manifest.files[0]["file"])
+    low, high = manifest.files[0]["low"], manifest.files[0]["high"]
+    batches = list(tokenfiles._documents(file, 0, pa.array(range(low, high + 1))))
+    assert len(batches) > 1 and sum(b.num_rows for b in batches) == manifest.files[0]["n_keys"]
+    assert [x for b in batches for x in b.column(1).to_pylist()] == sorted(x for b in batches for x in b.column(1).to_pylist())
+    file.close()
