@@ -101,13 +101,13 @@ def enrich_new_records(new: DataFrame, history: DataFrame,
     account = history.groupBy("account").agg(F.count("*").alias("account_frequency"))
     out = (new.join(agent, "sales_agent", "left").join(product, "product", "left")
            .join(account, "account", "left"))
+    # null is a class of its own, as in training
     for c in ("product", "regional_office", "sector"):          # bounded label sets
-        out = out.join(_codes(history, c), c, "left")
+        out = _with_codes(out, history, c)
     for c in ("sales_agent", "account"):                          # grow with the data
-        out = out.join(_codes(history, c, high_cardinality=True), c, "left")
-    mgr = _codes(history, "manager")
-    agent_mgr = history.select("sales_agent", "manager").where(F.col("sales_agent").isNotNull()).distinct() \
-        .join(mgr, "manager", "inner").groupBy("sales_agent").agg(F.min("manager_encoded").alias("manager_encoded"))
+        out = _with_codes(out, history, c, high_cardinality=True)
+    agent_mgr = _with_codes(history.select("sales_agent", "manager").where(F.col("sales_agent").isNotNull()).distinct(), history, "manager") \
+        .groupBy("sales_agent").agg(F.min("manager_encoded").alias("manager_encoded"))
     out = out.join(agent_mgr, "sales_agent", "left")
     q = exact_quantiles(history, "close_value", [0.25, 0.5, 0.75], names=["_q25", "_q50", "_q75"])
     out = attach_row(out, q)
@@ -129,6 +129,7 @@ def enrich_new_records(new: DataFrame, history: DataFrame,
     }).drop("_q25", "_q50", "_q75")
 
 
-def _codes(df: DataFrame, col: str, high_cardinality: bool = False) -> DataFrame:
+def _with_codes(df: DataFrame, history: DataFrame, col: str, high_cardinality: bool = False) -> DataFrame:
     from dealcast.operators.encode import label_codes
-    return label_codes(df, col, high_cardinality=high_cardinality)
+    codes = label_codes(history, col, high_cardinality=high_cardinality).withColumnRenamed(col, "_class")
+    return df.join(codes, F.col(col).eqNullSafe(F.col("_class")), "left").drop("_class")

@@ -1578,7 +1578,8 @@ _J8_COLS = ("opportunity_id", "agent_opportunity_count", "agent_win_rate", "prod
 
 def _enc_sql(col: str, src: str = "hist") -> str:
     return (f"(SELECT {col}, CAST(dense_rank() OVER (ORDER BY {col}) - 1 AS INTEGER) AS {col}_encoded "
-            f"FROM (SELECT DISTINCT {col} FROM {src} WHERE {col} IS NOT NULL))")
+            f"FROM (SELECT DISTINCT {col} FROM {src} WHERE {col} IS NOT NULL) "
+            f"UNION ALL SELECT NULL, CAST(count(DISTINCT {col}) AS INTEGER) FROM {src})")  # null: a class of its own, the last one
 
 
 @query("j8_f5_enrich_new_records", O.with_(O.CLEAN, O.TEAMS, O.ACCOUNTS) + f""",
@@ -1595,7 +1596,7 @@ q AS (SELECT quantile_cont(close_value, 0.25) AS q25, quantile_cont(close_value,
              quantile_cont(close_value, 0.75) AS q75 FROM hist),
 mg AS (SELECT h.sales_agent, min(m.manager_encoded) AS manager_encoded
        FROM (SELECT DISTINCT sales_agent, manager FROM hist WHERE sales_agent IS NOT NULL) h
-       JOIN {_enc_sql('manager')} m USING (manager) GROUP BY 1)
+       JOIN {_enc_sql('manager')} m ON m.manager IS NOT DISTINCT FROM h.manager GROUP BY 1)
 SELECT n.opportunity_id,
        coalesce(ag.agent_opportunity_count, 1) AS agent_opportunity_count,
        coalesce(ag.agent_win_rate, 0.5) AS agent_win_rate,
@@ -1612,9 +1613,9 @@ SELECT n.opportunity_id,
        coalesce(e5.sector_encoded, 0) AS sector_encoded
 FROM new n CROSS JOIN q
 LEFT JOIN ag USING (sales_agent) LEFT JOIN pr USING (product) LEFT JOIN ac USING (account)
-LEFT JOIN {_enc_sql('sales_agent')} e1 USING (sales_agent) LEFT JOIN {_enc_sql('product')} e2 USING (product)
-LEFT JOIN {_enc_sql('account')} e3 USING (account) LEFT JOIN mg USING (sales_agent)
-LEFT JOIN {_enc_sql('regional_office')} e4 USING (regional_office) LEFT JOIN {_enc_sql('sector')} e5 USING (sector)""")
+LEFT JOIN {_enc_sql('sales_agent')} e1 ON e1.sales_agent IS NOT DISTINCT FROM n.sales_agent LEFT JOIN {_enc_sql('product')} e2 ON e2.product IS NOT DISTINCT FROM n.product
+LEFT JOIN {_enc_sql('account')} e3 ON e3.account IS NOT DISTINCT FROM n.account LEFT JOIN mg USING (sales_agent)
+LEFT JOIN {_enc_sql('regional_office')} e4 ON e4.regional_office IS NOT DISTINCT FROM n.regional_office LEFT JOIN {_enc_sql('sector')} e5 ON e5.sector IS NOT DISTINCT FROM n.sector""")
 def q_j8(spark, d):
     from dealcast.operators.joins import enrich_new_records, join_accounts, join_sales_teams
     teams, accts, _ = D.dims(spark, d)
