@@ -78,6 +78,7 @@ class Pool:
         self.loss = np.zeros(0, np.int64)
         self.alive = np.zeros(0, bool)
         self.count = 0
+        self.tokens = self.losses = 0  # of all pieces that wait
 
     def add(self, pieces: list[tuple[_Example, int, int]]) -> None:
         """Take in (example, start, length); rows of packed pieces go."""
@@ -87,17 +88,21 @@ class Pool:
         self.loss = np.concatenate([self.loss[keep], np.array([e.loss(s, n) for e, s, n in pieces], np.int64)])
         self.alive = np.ones(len(self.items), bool)
         self.count = len(self.items)
+        self.tokens, self.losses = int(self.length.sum()), int(self.loss.sum())
 
     def take(self, i: int) -> tuple[_Example, int, int]:
+        n = int(self.length[i])
         self.alive[i] = False
         self.count -= 1
-        return (*self.items[i], int(self.length[i]))
+        self.tokens -= n
+        self.losses -= int(self.loss[i])
+        return (*self.items[i], n)
 
     def sequence(self) -> list[tuple[_Example, int, int]]:
         """The next sequence's pieces."""
         lim = self.limits
         left = [lim.tokens, lim.segments, lim.loss]
-        weight = [self.length[self.alive].mean() / lim.tokens ** 3, 1 / lim.segments ** 3, self.loss[self.alive].mean() / lim.loss ** 3]
+        weight = [self.tokens / self.count / lim.tokens ** 3, 1 / lim.segments ** 3, self.losses / self.count / lim.loss ** 3]
         packed: list[tuple[_Example, int, int]] = []
         while left[0] and left[1] and self.count:
             dot = self.length * (weight[0] * left[0]) + self.loss * (weight[2] * left[2]) + weight[1] * left[1]
@@ -109,16 +114,20 @@ class Pool:
             left = [left[0] - int(self.length[i]), left[1] - 1, left[2] - int(self.loss[i])]
         if left[0] and left[1] and self.count:
             # none fits whole: the largest whose beginning fills the rest of the tokens is cut
-            for i in np.argsort(np.where(self.alive, -self.length, 1), kind="stable")[:self.count].tolist():
+            largest = np.where(self.alive & (self.length > left[0]), self.length, 0)
+            while largest[i := int(largest.argmax())]:
                 example, start = self.items[i]
-                if self.length[i] <= left[0] or example.loss(start, left[0]) > left[2]:
-                    continue
-                packed.append((example, start, left[0]))
-                self.items[i] = (example, start + left[0])
-                self.length[i] -= left[0]
-                self.loss[i] = example.loss(start + left[0], int(self.length[i]))
-                left[0] = 0
-                break
+                if example.loss(start, left[0]) <= left[2]:
+                    packed.append((example, start, left[0]))
+                    self.items[i] = (example, start + left[0])
+                    self.length[i] -= left[0]
+                    self.tokens -= left[0]
+                    self.losses -= int(self.loss[i])
+                    self.loss[i] = example.loss(start + left[0], int(self.length[i]))
+                    self.losses += int(self.loss[i])
+                    left[0] = 0
+                    break
+                largest[i] = 0
         fill = lim.tokens - left[0]
         if left[0] and fill & (fill - 1):
             packed = self._cut_back(packed, fill - (1 << (fill.bit_length() - 1)))
