@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dealcast.llm import stages
 from dealcast.llm.common import table
-from dealcast.session import delete_path, scratch_path
+from dealcast.session import delete_path, release, scratch_path, scratch_tables
 
 STAGES = [
     ("toxicity", stages.toxicity),
@@ -30,13 +30,16 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. Each stage's rows are written under the shared
-    checkpoint folder and read again; what the next stage has read goes."""
+    checkpoint folder and read again; then its scratch tables go, and so do the
+    rows that it has read."""
     root = scratch_path(spark, f"pipeline/{uuid.uuid4().hex}")
     docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         out = f"{root}/{name}"
+        before = set(scratch_tables())
         rows = stage(spark, docs, sf_dir)
         rows.write.parquet(out)
+        release(spark, [t for t in scratch_tables() if t not in before])
         if read is not None:
             delete_path(spark, read)
         docs, read = spark.read.schema(rows.schema).parquet(out), out

@@ -3,16 +3,16 @@
 A stage gives back the columns that it gets, whatever else they hold. Decisions
 are taken back to the documents by id: rows that share an id are one document
 and stay or go together, and a row without an id is known by its text.
+
+The rows that a stage gives are lazy and read scratch tables of its own, which
+stay until the session ends or ``session.release`` drops them.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dealcast.llm import common as C
-from dealcast.session import release, scratch_tables
 
 DROP_BROADCAST = 1_000_000  # ids that may be broadcast (16 MB)
 _NAMELESS = 1 << 62         # numbers from here on stand for rows without an id
@@ -20,6 +20,7 @@ _NAMELESS = 1 << 62         # numbers from here on stand for rows without an id
 
 def _plain(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with an id for every row."""
+    C.small_batches(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NAMELESS) + F.shiftrightunsigned(F.xxhash64("text"), 2))
     return docs.select(key.alias("doc_id"), F.col("text"))
 
@@ -31,24 +32,6 @@ def _without(docs: DataFrame, drop: DataFrame) -> DataFrame:
     return docs.withColumn("_known_by", key).join(C.broadcast_if_small(drop, DROP_BROADCAST), F.col("_known_by") == F.col("_gone"), "left_anti").drop("_known_by")
 
 
-_DONE: list[str] = []  # scratch tables of the stage before
-
-
-def _stage(fn):
-    """A stage's rows are written before the next one begins; its scratch tables
-    go then."""
-    @functools.wraps(fn)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, _DONE)
-        C.small_batches(spark)
-        before = set(scratch_tables())
-        out = fn(spark, docs, sf_dir)
-        _DONE[:] = [t for t in scratch_tables() if t not in before]
-        return out
-    return run
-
-
-@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic."""
     from dealcast.llm import toxicity as op
@@ -56,7 +39,6 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, found.where("toxic"))
 
 
-@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts as label 1."""
     from dealcast.llm import quality as op
@@ -64,7 +46,6 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, found.where("predicted = 0"))
 
 
-@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group (five words, similarity 0.8): the smallest
     id's; of rows that repeat that id, the one with the smallest text hash."""
@@ -78,7 +59,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             .select("_row.*"))
 
 
-@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     from dealcast.llm import decontaminate as op
@@ -86,8 +66,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(docs, found.where("contaminated"))
 
 
-@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of what is left, with its sequence and offset."""
     from dealcast.llm import packing as op
+    C.small_batches(spark)
     return op.packed_pieces(docs)

@@ -128,3 +128,16 @@ def test_empty_tables(spark, data):
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, none, data[0])
         assert got.count() == 0 and (name == "packing" or got.columns == none.columns)
+
+
+def test_a_stage_called_alone_keeps_its_scratch_and_run_drops_it(spark, data):
+    """Rows of one stage can still be read after another has run."""
+    from dealcast.session import scratch_tables
+    root, docs = data
+    table = spark.read.parquet(f"{root}/documents.parquet")
+    first = stages.decontamination(spark, table, root)
+    stages.packing(spark, table, root)
+    assert first.count() <= len(docs)
+    before = set(scratch_tables())
+    corpus_pipeline.run(spark, root).count()
+    assert set(scratch_tables()) == before
