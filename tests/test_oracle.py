@@ -17,7 +17,8 @@ QUICK = ["binding_opportunities", "c10_snapshots", "a1_agent_performance", "a12_
          "c3_clean_snapshots", "j4_row_features", "m1_monthly_features", "a8_probability_bands",
          "w2_known_at_engage", "w4_split_with_open", "t3_seeded_sample", "v9_validation_score",
          "v16_quality_suite", "d9_m7_classification_quality", "d12_roc_points", "d19_daily_metrics",
-         "s9_s10_json_results"]
+         "s9_s10_json_results", "s4_v4_mixed_encodings", "s1_c5_rescued_lines", "s10_f26_result_history",
+         "a13_a20_stored_sketches", "f22_f23_transform_only", "s14_s15_retention_plan", "u2_u3_p3_column_sets", "f19_f21_report_formats"]
 
 
 @pytest.fixture(scope="module")
