@@ -186,7 +186,7 @@ class Tokenizer:
         coded = pc.dictionary_encode(segments)  # type: ignore[attr-defined]
         rows = self._rows(coded.dictionary)
         ids, ends = _gather(self.young.ids, self.young.first, self.young.count, rows[coded.indices.to_numpy()])
-        if self.young.bytes > MEMO_BYTES:
+        if self.young.bytes > self.memo * MEMO_BYTES:
             self.young, self.old = _Generation(), self.young
         return ids, ends[offsets]
 
@@ -194,7 +194,7 @@ class Tokenizer:
 class WordTokenizer(Tokenizer):
     """For vocabularies whose pre-tokenizer drops ASCII white space."""
 
-    lower = True
+    lower, memo = True, 1
 
     def check(self, path: str, rules: dict) -> None:
         probe = self.plain_ids(["a b.c", "a", "b.c", "  a \t\n\v\f\r b.c "])
@@ -217,7 +217,7 @@ class ByteTokenizer(Tokenizer):
     """For byte-level vocabularies with the library's own pattern, by which a
     run of white space always begins a piece, and no normalizer."""
 
-    lower = False
+    lower, memo = False, 2  # its segments are more, as they differ by the white space before them
 
     def check(self, path: str, rules: dict) -> None:
         pre = rules.get("pre_tokenizer") or {}
