@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 from dealcast.llm import language as L
@@ -75,3 +76,26 @@ def test_predictions_equal_plain_compression(spark):
         assert (got[i].lang_pred, round(got[i].score, 12)) == (lang, round(score, 12)) and got[i].accepted == (score >= L.MARGIN and lang != "und")
     two = {r.doc_id: r.lang_pred for r in L.predict(docs, dictionaries, shortlist=2).collect()}
     assert np.mean([two[i] == got[i].lang_pred for i, _ in texts]) > 0.95
+
+
+def test_no_language_is_left_out_by_the_probe(spark):
+    """Twenty languages; the blocks that the probe draws are of others than the rest of the text."""
+    rng = random.Random(9)
+    names = [f"l{k:02d}" for k in range(20)]
+    words = {n: tongue(50 + k) for k, n in enumerate(names)}
+    dictionaries = {n: words[n](rng, 400).encode() for n in names}
+    texts = []
+    for i in range(12):
+        data = L._letters(pa.array([words[names[i]](rng, 3000)]))[0].as_py().encode()
+        drawn = [data.index(x) for x in L._spread(data, L.PROBE)]
+        others = L._letters(pa.array([" ".join(words[n](rng, 40) for n in names if n != names[i])]))[0].as_py().encode()
+        cut = [data[k:k + L.BLOCK] for k in range(0, len(data), L.BLOCK)]
+        for at in drawn:  # a block of other languages in the place of a drawn one, if it is drawn again
+            cut[at // L.BLOCK] = (others * 3)[at % 97:at % 97 + L.BLOCK]
+        texts.append((i, b"".join(cut).decode(errors="ignore")))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    whole = {r.doc_id: r for r in L.predict(docs, dictionaries, shortlist=len(names)).collect()}
+    for few in (1, 2, 16):
+        got = {r.doc_id: r for r in L.predict(docs, dictionaries, shortlist=few).collect()}
+        assert got == whole, few
+    assert [whole[i].lang_pred for i, _ in texts] == names[:12]
