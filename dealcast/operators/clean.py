@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (DateType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
-from dealcast.operators.stats import exact_quantiles
+from dealcast.operators.stats import attach_stats, exact_quantiles
+from dealcast.session import materialize
 
 CLOSED = ("Won", "Lost")
 
@@ -87,8 +88,8 @@ def fill_numeric_median(df: DataFrame, cols: Sequence[str] | None = None,
     deals when ``only_closed``), computed per ``by`` group.
 
     Each median is one distributed exact-quantile job whose result is one row
-    per group; it is joined back (AQE broadcasts it when small) - the rows
-    themselves are never gathered.
+    per group (periods: few); it is written and broadcast back, so the rows
+    themselves are neither gathered nor shuffled.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=by)
     if not cols:
@@ -98,7 +99,7 @@ def fill_numeric_median(df: DataFrame, cols: Sequence[str] | None = None,
     for c in cols:
         med = exact_quantiles(base, c, [0.5], by=by, names=[f"_med_{c}"])
         if by:
-            out = out.join(med, list(by), "left")
+            out = attach_stats(out, materialize(med), by)
         else:
             out = out.withColumn(f"_med_{c}", med.select(f"_med_{c}").scalar())
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)))
@@ -134,9 +135,9 @@ def fill_nulls_by_type(df: DataFrame, text: str = "Unknown", number: float = 0.0
 def clean_opportunities(df: DataFrame, by: Sequence[str] = (),
                         numeric: Sequence[str] | None = None) -> DataFrame:
     """C1 -> C2 -> C3 as the reference's ``clean_data``. ``numeric`` limits the
-    median fill to columns known to hold nulls (each fill is one job)."""
-    out = drop_exact_duplicates(df)
-    out = fill_text_unknown(out)
+    median fill to columns known to hold nulls (each fill is one job). The
+    distinct rows are written once, for the medians and for the rows."""
+    out = fill_text_unknown(materialize(drop_exact_duplicates(df)))
     nums = list(numeric) if numeric is not None else [c for c in numeric_columns(out) if c not in by]
     return fill_numeric_median(out, nums, by=by)
 

@@ -7,8 +7,10 @@ triple is the tie-break) names the sales agent (its supplier) and the product
 the agent's manager and regional office.
 
 Scale notes: the first-line aggregate is a partial (map-side) aggregation on
-``l_orderkey`` whose output is already hash-partitioned by the order key, so
-the join with ``orders`` shuffles only ``orders``. Supplier, part and customer
+``l_orderkey``. Suppliers and parts are joined to its narrow rows, customers to
+the orders' fields, and the order key's join comes last: the opportunities are
+dealt by their key then, so dropping repeated ones needs no further shuffle.
+Supplier, part and customer
 are dimensions that grow with the data: they are joined without a broadcast
 hint and AQE broadcasts them only when their runtime size is under
 ``spark.sql.autoBroadcastJoinThreshold``. Nation and region are fixed-size
@@ -105,10 +107,10 @@ def opportunities(t: dict[str, DataFrame]) -> DataFrame:
     odate = F.to_date("o_orderdate")
     closed = F.col("o_orderstatus") == "F"
     close_offset = 1 + (F.col("o_orderkey") * CLOSE_OFFSET_MULT) % CLOSE_OFFSET_MOD
-    return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-            .join(sup, F.col("first_suppkey") == sup.s_suppkey, "left")
-            .join(brand, F.col("first_partkey") == brand.p_partkey, "left")
-            .join(cust, F.col("o_custkey") == cust.c_custkey, "left")
+    named = (lines.join(sup, F.col("first_suppkey") == sup.s_suppkey, "left")
+             .join(brand, F.col("first_partkey") == brand.p_partkey, "left").select("l_orderkey", "sales_agent", "product"))
+    return (o.join(cust, F.col("o_custkey") == cust.c_custkey, "left")
+            .join(named, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(F.col("o_orderkey").cast("string").alias("opportunity_id"),
                     "sales_agent", "product", "account",
                     stage.alias("deal_stage"),

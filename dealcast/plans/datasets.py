@@ -36,13 +36,9 @@ def dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C3 on every snapshot (medians per snapshot)."""
     from dealcast.operators.clean import clean_opportunities
-    from dealcast.session import materialize
-    # The raw snapshot layer is written once (the reference writes its month
-    # files too): the median's ranking passes and the cleaning read it
-    # instead of replaying the line-item aggregate and the dimension joins.
-    raw = materialize(snapshots(spark, sf_dir))
-    # the processed layer: written once, read by every later branch
-    return materialize(clean_opportunities(raw, by=BY, numeric=["close_value"]))
+    # the distinct rows are the one layer written here: the snapshots come
+    # dealt by their key, the medians are broadcast to the rows
+    return clean_opportunities(snapshots(spark, sf_dir), by=BY, numeric=["close_value"])
 
 
 def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +58,9 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dealcast.operators.monthly import monthly_features
     from dealcast.plans.features import model_features as build
-    from dealcast.session import materialize
     teams, accts, _ = dims(spark, sf_dir)
-    # written once: the monthly statistics and the rows both read it
-    f = materialize(build(cleaned(spark, sf_dir), teams, accts, by=BY))
-    return monthly_features(f, by=BY)
+    # the row features are written in there; the bounded labels' codes are broadcast to them
+    return monthly_features(build(cleaned(spark, sf_dir), teams, accts, by=BY), by=BY)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:

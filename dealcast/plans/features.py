@@ -9,9 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from dealcast.functions import scalar as S
-from dealcast.operators.encode import label_encode, standard_scale, targets
+from dealcast.operators.encode import join_codes, label_encode, standard_scale, targets, value_codes
+from dealcast.operators.joins import attach_key_stats, repeated_keys
 from dealcast.session import materialize
-from dealcast.operators.joins import attach_group_stats, join_accounts, join_sales_teams
 
 TARGET = "deal_stage"
 # labels whose value count grows with the data (ids, customers, suppliers)
@@ -28,42 +28,72 @@ MODEL_ENCODED = ("sales_agent", "product", "account", "close_value_category", "m
 
 
 def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), codes: Sequence[str] = ()) -> DataFrame:
     """Value, stage, agent, product, date, cycle and account features.
 
     Per-key statistics are computed over the whole snapshot including the row
     itself, as the reference does (see ``windows.known_at_engage`` for the
-    leakage-free variant). Agent and product stats are one aggregate each.
+    leakage-free variant). All of them come from narrow aggregates of ``opps``; a
+    row that a repeated agent or account name would multiply counts as often.
+    What an agent has (team, statistics, codes) is one table, and so is what an
+    account has, so the rows are shuffled once by agent and once by account. Columns
+    that follow from a row alone are added after that. ``codes`` names text
+    columns whose values grow with the data, for which ``<col>_encoded`` is added.
     """
     by = list(by)
-    closed = F.col("is_closed") == 1
-    f = opps.withColumns({
+    group = [F.col(b) for b in by]
+    flags = S.stage_flags(TARGET)
+    won = F.when(flags["is_closed"] == 1, flags["is_won"])
+    narrow = (opps.select(*by, "sales_agent", "product", "account", won.alias("_won"))
+              .join(repeated_keys(teams, "sales_agent", "_a"), "sales_agent", "left")
+              .join(repeated_keys(accounts, "account", "_b"), "account", "left")
+              .withColumns({"_a": F.coalesce("_a", F.lit(1).cast("long")), "_b": F.coalesce("_b", F.lit(1).cast("long"))}))
+
+    def rates(key: str, count: str, rate: str) -> DataFrame:
+        g = narrow.groupBy(*group, key).agg(F.sum("_a").alias(count), F.sum(F.col("_a") * F.col("_won")).alias("_w"),
+                                            F.sum(F.when(F.col("_won").isNotNull(), F.col("_a"))).alias("_c"))
+        return g.select(*by, key, count, F.bround((F.col("_w") / F.col("_c")).cast(S.EXACT), 3).cast("double").alias(rate))
+
+    tables = {"sales_agent": rates("sales_agent", "agent_opportunity_count", "agent_win_rate"),
+              "account": narrow.groupBy(*group, "account").agg(F.sum(F.col("_a") * F.col("_b")).alias("account_frequency"))}
+    f = opps
+    coded = value_codes(opps, codes, by) if codes else {}
+    for c, table in coded.items():
+        if c in tables:
+            tables[c] = tables[c].join(table, [*by, c], "left")
+        else:
+            f = join_codes(f, table, c, by)
+    f = attach_key_stats(f, teams, tables["sales_agent"], "sales_agent", by)
+    f = attach_key_stats(f, accounts, tables["account"], "account", by)
+    products = materialize(rates("product", "product_popularity", "product_win_rate"))  # brands: few
+    f = f.join(F.broadcast(products), [*by, "product"], "left")
+    for c, table in coded.items():
+        if c in tables:  # rows without a value have the class after all values
+            null = F.broadcast(table.where(F.col(c).isNull()).select(*by, F.col(f"{c}_encoded").alias("_null"))) if by else None
+            if by:
+                f = f.join(null, by, "left")
+            else:
+                f = f.withColumn("_null", table.where(F.col(c).isNull()).select(F.max(f"{c}_encoded")).scalar())
+            f = f.withColumn(f"{c}_encoded", F.coalesce(F.when(F.col(c).isNull(), F.col("_null")).otherwise(F.col(f"{c}_encoded")), F.lit(0))).drop("_null")
+    cyc = S.cycle_days()
+    f = f.withColumns({
         "close_value_log": S.log_value("close_value"),
         "close_value_category": S.value_band("close_value"),
         "deal_stage_order": S.stage_order(TARGET),
-        **S.stage_flags(TARGET),
-    })
-    f = join_sales_teams(f, teams)
-    f = attach_group_stats(f, [*by, "sales_agent"], {
-        "agent_opportunity_count": F.count("*"),
-        "agent_win_rate": S.rounded_avg(F.when(closed, F.col("is_won")), 3),
-    })
-    f = attach_group_stats(f, [*by, "product"], {
-        "product_popularity": F.count("*"),
-        "product_win_rate": S.rounded_avg(F.when(closed, F.col("is_won")), 3),
-    })
-    cyc = S.cycle_days()
-    f = f.withColumns({
+        **flags,
         **S.date_parts("engage_date", "engage"),
         "close_year": F.year("close_date"), "close_month": F.month("close_date"),
         "close_quarter": F.quarter("close_date"), "close_day_of_week": F.weekday("close_date"),
         "sales_cycle_days": cyc,
         "sales_cycle_category": S.cycle_band(cyc),
+        "is_repeat_account": F.coalesce(F.col("account_frequency") > 1, F.lit(False)).cast("int"),
     })
-    f = join_accounts(f, accounts)
-    f = attach_group_stats(f, [*by, "account"], {"account_frequency": F.count("*")})
-    return f.withColumn("is_repeat_account",
-                        F.coalesce(F.col("account_frequency") > 1, F.lit(False)).cast("int"))
+    first = list(dict.fromkeys([*by, "account", "product", "sales_agent", *opps.columns]))
+    own = ["close_value_log", "close_value_category", "deal_stage_order", *flags, *[c for c in teams.columns if c != "sales_agent"],
+           "agent_opportunity_count", "agent_win_rate", "product_popularity", "product_win_rate", *S.date_parts("engage_date", "engage"),
+           "close_year", "close_month", "close_quarter", "close_day_of_week", "sales_cycle_days", "sales_cycle_category",
+           *[c for c in accounts.columns if c != "account"], "account_frequency", "is_repeat_account"]
+    return f.select(*first, *own, *[f"{c}_encoded" for c in coded])
 
 
 def scale_columns(df: DataFrame, by: Sequence[str] = ()) -> list[str]:
@@ -92,8 +122,15 @@ def model_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
                    by: Sequence[str] = ()) -> DataFrame:
     """What the model and the drift comparison use of the feature table: the row
     features and the codes of seven labels, without the scaled columns."""
-    f = materialize(create_features(opps, teams, accounts, list(by)))
-    return label_encode(f, MODEL_ENCODED, by, high_cardinality=HIGH_CARDINALITY)
+    f = materialize(create_features(opps, teams, accounts, list(by), [c for c in MODEL_ENCODED if c in HIGH_CARDINALITY]))
+    return _encoded(f, MODEL_ENCODED, by)
+
+
+def _encoded(f: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows that have the codes of ``HIGH_CARDINALITY`` labels, with the others' as well, in the order of ``cols``."""
+    have = [f"{c}_encoded" for c in cols if c in HIGH_CARDINALITY]
+    out = label_encode(f, [c for c in cols if c not in HIGH_CARDINALITY], by)
+    return out.select(*[c for c in f.columns if c not in have], *[f"{c}_encoded" for c in cols])
 
 
 def feature_table(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
@@ -102,7 +139,7 @@ def feature_table(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
     by = list(by)
     # The row features feed ten encoders, the scaler and the targets: write
     # them once instead of replaying the binding and cleaning per branch.
-    f = materialize(create_features(opps, teams, accounts, by))
-    f = label_encode(f, [c for c in ENCODED if c in f.columns], by, high_cardinality=HIGH_CARDINALITY)
+    f = materialize(create_features(opps, teams, accounts, by, HIGH_CARDINALITY))
+    f = _encoded(f, [c for c in ENCODED if c in f.columns], by)
     f = standard_scale(f, scale_columns(f, by), by)
     return targets(f, TARGET, by)
