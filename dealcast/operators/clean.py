@@ -133,11 +133,12 @@ def fill_nulls_by_type(df: DataFrame, text: str = "Unknown", number: float = 0.0
 
 
 def clean_opportunities(df: DataFrame, by: Sequence[str] = (),
-                        numeric: Sequence[str] | None = None) -> DataFrame:
+                        numeric: Sequence[str] | None = None, distinct: DataFrame | None = None) -> DataFrame:
     """C1 -> C2 -> C3 as the reference's ``clean_data``. ``numeric`` limits the
     median fill to columns known to hold nulls (each fill is one job). The
-    distinct rows are written once, for the medians and for the rows."""
-    out = fill_text_unknown(materialize(drop_exact_duplicates(df)))
+    distinct rows are written once, for the medians and for the rows; ``distinct`` is
+    them, if they are written already."""
+    out = fill_text_unknown(distinct if distinct is not None else materialize(drop_exact_duplicates(df)))
     nums = list(numeric) if numeric is not None else [c for c in numeric_columns(out) if c not in by]
     return fill_numeric_median(out, nums, by=by)
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -26,6 +28,7 @@ from dealcast.operators.windows import stable_hash
 # and monitoring-threshold rules.
 SEED = 42
 FOLDS = 3
+PARALLELISM = 6  # fits at a time
 CELLS = 10_000  # cells of the score that a calibration tells apart
 THRESHOLD_RULES = {"roc_auc": (0.75, 0.95, "max"), "brier": (0.25, 1.1, "min"), "accuracy": (0.7, 0.95, "max")}
 
@@ -85,19 +88,34 @@ def score_cells(held: DataFrame, cells: int = CELLS) -> DataFrame:
                                                  F.count(F.lit(1)).cast("double").alias("_w")).drop("_cell")
 
 
+def fit_fold(estimator, train: DataFrame, k: int, key: str = "opportunity_key", folds: int = FOLDS) -> tuple:
+    """M6: a base model of all folds but the ``k``-th, and the isotonic map of its scores there."""
+    tagged = train.withColumn("_fold", stable_hash(key, SEED, folds))
+    base = estimator.fit(tagged.where(F.col("_fold") != k))
+    held = positive_probability(base.transform(tagged.where(F.col("_fold") == k)))
+    iso = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="_w", predictionCol="_iso",
+                             isotonic=True).fit(score_cells(held))
+    return base, iso
+
+
 def fit_calibrated(name: str, estimator, train: DataFrame, key: str = "opportunity_key",
                    folds: int = FOLDS) -> CalibratedModel:
     """Fit ``folds`` base models and isotonic maps (actions: model fits)."""
-    fold = stable_hash(key, SEED, folds)
-    tagged = train.withColumn("_fold", fold)
-    cal = CalibratedModel(name)
-    for k in range(folds):
-        base = estimator.fit(tagged.where(F.col("_fold") != k))
-        held = positive_probability(base.transform(tagged.where(F.col("_fold") == k)))
-        iso = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="_w", predictionCol="_iso",
-                                 isotonic=True).fit(score_cells(held))
-        cal.folds.append((base, iso))
-    return cal
+    return CalibratedModel(name, [fit_fold(estimator, train, k, key, folds) for k in range(folds)])
+
+
+def fit_all(estimators: dict, train: DataFrame, key: str = "opportunity_key", folds: int = FOLDS,
+            parallelism: int = PARALLELISM) -> dict[str, CalibratedModel]:
+    """``fit_calibrated`` of several estimators, ``parallelism`` fits at a time (as the
+    cross-validator's): a fit is many short jobs one after the other, which leave most
+    of a cluster idle. The rows lie in no more partitions than tasks run at once, so that
+    what a job shuffles for a tree's nodes doesn't grow with the data."""
+    rows = train.coalesce(train.sparkSession.sparkContext.defaultParallelism)
+    tasks = [(name, k) for name in estimators for k in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        fit = inheritable_thread_target(train.sparkSession)(lambda task: fit_fold(estimators[task[0]].copy(), rows, task[1], key, folds))
+        fitted = dict(zip(tasks, pool.map(fit, tasks, chunksize=1)))
+    return {name: CalibratedModel(name, [fitted[name, k] for k in range(folds)]) for name in estimators}
 
 
 def evaluate(pred: DataFrame, label: str = "label", score: str = "prediction") -> DataFrame:

@@ -272,7 +272,7 @@ def reference_set_check(df: DataFrame, prediction: str = "prediction", target: s
     return g.withColumn("passed", F.lit(has) & (F.col("rows") > 0) & (F.col("out_of_range") == 0) & (F.col("missing") == 0))
 
 
-def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def quality_suite(df: DataFrame, by: Sequence[str] = (), distinct: DataFrame | None = None) -> DataFrame:
     """Columns with missing values, rows with missing values, constant
     columns, duplicated rows, duplicated columns; tests passed / failed.
 
@@ -281,7 +281,8 @@ def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     aggregated; a pair with zero mismatches is a duplicate. A count must be 0 to
     pass; the sixth test (column types) is the schema check's and always passes
     here, where a table is its own reference. Constant = at most one distinct
-    non-null value and no mix of null and non-null (from min/max).
+    non-null value and no mix of null and non-null (from min/max). ``distinct``
+    is the distinct rows with ``_copies``, if they are written already.
     """
     by = list(by)
     cols = [c for c in df.columns if c not in by]
@@ -297,7 +298,7 @@ def quality_suite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     aggs += [F.min(F.col(c)).alias(f"_lo{i}") for i, c in enumerate(cols)]
     aggs += [F.max(F.col(c)).alias(f"_hi{i}") for i, c in enumerate(cols)]
     aggs += [_flag(~F.col(a).eqNullSafe(F.col(b))).alias(f"_p{k}") for k, (a, b) in enumerate(pairs)]
-    g = _distinct_rows(df).groupBy(*by).agg(*aggs)
+    g = (distinct if distinct is not None else _distinct_rows(df)).groupBy(*by).agg(*aggs)
     cols_missing = sum(((F.col(f"_n{i}") > 0).cast("int") for i in range(len(cols))), F.lit(0))
     constant = sum(((F.col(f"_n{i}") == F.col("rows"))
                     | ((F.col(f"_n{i}") == 0) & F.col(f"_lo{i}").eqNullSafe(F.col(f"_hi{i}")))).cast("int")

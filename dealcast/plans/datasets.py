@@ -33,12 +33,20 @@ def dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     return binding.sales_teams(t), binding.accounts(t), binding.products(t)
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1-C3 on every snapshot (medians per snapshot)."""
+def distinct_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct rows of all snapshots with their number, ``_copies``: the layer
+    that the cleaning and the quality suite read. The snapshots come dealt by their key,
+    so no further shuffle is needed. Written once."""
+    from dealcast.session import materialize
+    s = snapshots(spark, sf_dir)
+    return materialize(s.groupBy(*s.columns).agg(F.count("*").alias("_copies")))
+
+
+def cleaned(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None) -> DataFrame:
+    """C1-C3 on every snapshot (medians per snapshot), from ``distinct_snapshots``."""
     from dealcast.operators.clean import clean_opportunities
-    # the distinct rows are the one layer written here: the snapshots come
-    # dealt by their key, the medians are broadcast to the rows
-    return clean_opportunities(snapshots(spark, sf_dir), by=BY, numeric=["close_value"])
+    rows = (distinct if distinct is not None else distinct_snapshots(spark, sf_dir)).drop("_copies")
+    return clean_opportunities(rows, by=BY, numeric=["close_value"], distinct=rows)
 
 
 def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,12 +63,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(feature_table(cleaned(spark, sf_dir), teams, accts, by=BY))
 
 
-def model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def model_features(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None) -> DataFrame:
     from dealcast.operators.monthly import monthly_features
     from dealcast.plans.features import model_features as build
     teams, accts, _ = dims(spark, sf_dir)
     # the row features are written in there; the bounded labels' codes are broadcast to them
-    return monthly_features(build(cleaned(spark, sf_dir), teams, accts, by=BY), by=BY)
+    return monthly_features(build(cleaned(spark, sf_dir, distinct), teams, accts, by=BY), by=BY)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,13 +107,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binding.ledger(tables(spark, sf_dir)).select(*VALIDATED)
 
 
-def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drift_input(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None) -> DataFrame:
     """The scored set (D2): all 27 model features of every row, the outcome and
     ``prediction`` (the closed-form win rate, so that SQL can repeat it; a fitted
     model's score goes through the same operators)."""
     from dealcast.operators.reports import smoothed_win_rate
     from dealcast.session import materialize
-    f = model_features(spark, sf_dir)
+    f = model_features(spark, sf_dir, distinct)
     keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
     return materialize(smoothed_win_rate(f.select(*keep), "sales_agent", by=BY, name="prediction"))
 
@@ -118,9 +126,10 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 over all snapshots (see ``model_rows``)."""
+    """M2 over all snapshots (see ``model_rows``); only the training rows are written."""
+    from dealcast.operators.monthly import training_rows
     from dealcast.session import materialize
-    return model_rows(materialize(model_features(spark, sf_dir)))
+    return model_rows(materialize(training_rows(model_features(spark, sf_dir))))
 
 
 def model_rows(monthly_rows: DataFrame) -> DataFrame:

@@ -916,9 +916,11 @@ def _summary_df(spark, d):
     from dealcast.operators.drift import consecutive_pairs, monitoring_summary, tests_against_reference
     from dealcast.operators.quality import quality_suite
     from dealcast.session import materialize
-    data = D.drift_input(spark, d)
+    distinct = D.distinct_snapshots(spark, d)  # read by the features and by the suite
+    data = D.drift_input(spark, d, distinct)
     pairs = consecutive_pairs(data, "snapshot_period")
-    suite = materialize(quality_suite(D.validated(spark, d), by=BY))
+    # the key column follows from the id, so these are the distinct rows of the validated columns as well
+    suite = materialize(quality_suite(distinct.select(*D.VALIDATED), by=BY, distinct=distinct.select(*D.VALIDATED, "_copies")))
     return monitoring_summary(data, "snapshot_period", pairs, D.DRIFT_NUMERIC, D.DRIFT_CATEGORICAL,
                               quality=tests_against_reference(suite, pairs, "snapshot_period"))
 
@@ -1068,15 +1070,17 @@ def _model_data(spark, d):
 _RUNS: dict[tuple, str] = {}  # training runs of this driver: (application, tables) -> folder
 
 
-def _trained(spark, d):
-    """The training run over these tables: fitted once for all queries of a session."""
+def _trained(spark, d, rows=None):
+    """The training run over these tables: fitted once for all queries of a session. ``rows`` are their model features, if they
+    are written already."""
     from dealcast.operators import models as M
     from dealcast.operators.monthly import MODEL_FEATURES
     from dealcast.plans.modelling import TrainedRun, train
     key = (spark.sparkContext.applicationId, d)
     if key not in _RUNS:
         path = _scratch(spark, "runs")
-        train(M.prepare(D.model_frame(spark, d), MODEL_FEATURES), path)
+        frame = D.model_rows(rows) if rows is not None else D.model_frame(spark, d)
+        train(M.prepare(frame, MODEL_FEATURES), path)
         _RUNS[key] = path
     return TrainedRun(spark, _RUNS[key])
 
@@ -1104,19 +1108,23 @@ def q_m15(spark, d):
 def q_m11(spark, d):
     """The saved and loaded best model scores the open pipeline; a feature that is missing there is 0."""
     from dealcast.operators.monthly import pipeline_rows
+    rows = _model_rows(spark, d)
+    return _trained(spark, d, rows).score(pipeline_rows(rows)).select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
+
+
+def _model_rows(spark, d):
+    """What training, scoring and monitoring use of the model features, written once for all of them."""
+    from dealcast.operators.monthly import MODEL_FEATURES
     from dealcast.session import materialize
-    scored = _trained(spark, d).score(pipeline_rows(materialize(D.model_features(spark, d))))
-    return scored.select("snapshot_period", "opportunity_id", "prediction", "prediction_binary")
+    keep = [*BY, "sales_agent", *_KEEP]
+    return materialize(D.model_features(spark, d).select(*dict.fromkeys([*keep, *D.DRIFT_NUMERIC, *D.DRIFT_CATEGORICAL, *MODEL_FEATURES])))
 
 
 def _model_scored(spark, d):
     """The scored set of all periods (D2) by the fitted model, written."""
     from dealcast.session import materialize
-    keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won"]
-    from dealcast.operators.monthly import MODEL_FEATURES
-    columns = list(dict.fromkeys([*keep, *D.DRIFT_NUMERIC, *D.DRIFT_CATEGORICAL, *MODEL_FEATURES]))
-    rows = materialize(D.model_features(spark, d).select(*columns))
-    return materialize(_trained(spark, d).score(rows).drop("monitoring_timestamp"))
+    rows = _model_rows(spark, d)
+    return materialize(_trained(spark, d, rows).score(rows).drop("monitoring_timestamp", "opportunity_key", "is_closed", "engage_date", "close_date"))
 
 
 @query("d2_model_scored_periods", O.with_(O.SNAPS) + """
