@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from dealcast.operators.stats import attach_stats, exact_quantiles, running_totals
 
@@ -105,11 +106,11 @@ def paired_counts(counts: DataFrame, period: str, pairs: DataFrame) -> DataFrame
     """(ref_period, cur_period, feature, value, n_ref, n_cur) from counts by
     period: each period's rows are counted once and only its counts take part
     in two pairs. ``pairs`` has one row a period (calendar-bounded): broadcast."""
-    pb, zero = F.broadcast(pairs), F.lit(0).cast("long")
-    own = [*PAIR, "feature", "value"]
-    ref = counts.join(pb, counts[period] == pb["ref_period"]).select(*own, F.col("n").alias("n_ref"), zero.alias("n_cur"))
-    cur = counts.join(pb, counts[period] == pb["cur_period"]).select(*own, zero.alias("n_ref"), F.col("n").alias("n_cur"))
-    return ref.unionByName(cur).groupBy(*own).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    roles = pairs.select(F.col("ref_period").alias("_own"), *PAIR, F.lit(True).alias("_ref")).unionByName(
+        pairs.select(F.col("cur_period").alias("_own"), *PAIR, F.lit(False).alias("_ref")))
+    both = counts.join(F.broadcast(roles), F.col(period) == F.col("_own"))
+    return both.groupBy(*PAIR, "feature", "value").agg(F.sum(F.when(F.col("_ref"), F.col("n")).otherwise(0)).alias("n_ref"),
+                                                       F.sum(F.when(F.col("_ref"), 0).otherwise(F.col("n"))).alias("n_cur"))
 
 
 def period_drift(df: DataFrame, period: str, pairs: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -366,10 +367,14 @@ def fixed_reference_js(counts: DataFrame, period: str, reference: Column) -> Dat
 
 
 def period_counts(df: DataFrame, period: str, cols: Sequence[str], cast: str) -> DataFrame:
-    """(period, feature, value, n) of the non-null values: one pass, partial counts."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS {cast})" for c in cols)
-    long = df.select(period, F.expr(f"stack({len(cols)}, {pairs}) AS (feature, value)"))
-    return long.where(F.col("value").isNotNull()).groupBy(period, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(period, feature, value, n) of the non-null values: one pass, partial counts.
+    A column is its number until the values are counted, and whole numbers become
+    text only then: what is hashed and shuffled is of fixed width."""
+    whole = cast == "STRING" and all(isinstance(df.schema[c].dataType, IntegralType) for c in cols)
+    pairs = ", ".join(f"{i}, CAST(`{c}` AS {'BIGINT' if whole else cast})" for i, c in enumerate(cols))
+    long = df.select(period, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, value)"))
+    counted = long.where(F.col("value").isNotNull()).groupBy(period, "_column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(period, F.array(*[F.lit(c) for c in cols])[F.col("_column")].alias("feature"), F.col("value").cast(cast).alias("value"), "n")
 
 
 def daily_metrics(events: DataFrame, ts: str = "ts", prediction: str = "value",

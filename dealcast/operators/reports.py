@@ -13,6 +13,11 @@ from dealcast.operators.windows import top_k
 P = "win_probability"
 
 
+def laplace_rate(wins: Column, closed: Column) -> Column:
+    """``(wins + 1) / (closed + 2)``."""
+    return (wins + 1) / (closed + 2)
+
+
 def smoothed_win_rate(df: DataFrame, key: str = "sales_agent", by: Sequence[str] = (),
                       name: str = P) -> DataFrame:
     """A closed-form stand-in score: Laplace-smoothed win rate of the key over
@@ -22,8 +27,8 @@ def smoothed_win_rate(df: DataFrame, key: str = "sales_agent", by: Sequence[str]
     by = list(by)
     closed = F.col("deal_stage").isin("Won", "Lost")
     rate = df.groupBy(*by, key).agg(
-        ((F.sum(F.when(closed & (F.col("deal_stage") == "Won"), 1).otherwise(0)) + 1)
-         / (F.sum(F.when(closed, 1).otherwise(0)) + 2)).alias(name))
+        laplace_rate(F.sum(F.when(closed & (F.col("deal_stage") == "Won"), 1).otherwise(0)),
+                     F.sum(F.when(closed, 1).otherwise(0))).alias(name))
     return df.join(rate, [*by, key], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0.5)))
 
 

@@ -110,10 +110,8 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, Column, float
     per group with one column per spec."""
     by = list(by)
     names = [n for n, _, _ in specs]
-    long = None
-    for n, expr, _ in specs:
-        part = df.select(*by, F.lit(n).alias("_spec"), expr.cast("double").alias("_value"))
-        long = part if long is None else long.unionByName(part)
+    cells = [x for n, expr, _ in specs for x in (F.lit(n), expr.cast("double"))]
+    long = df.select(*by, F.stack(F.lit(len(specs)), *cells).alias("_spec", "_value"))  # one scan for all
     qs = sorted({q for _, _, q in specs})
     qn = [f"_q{i}" for i in range(len(qs))]
     q = exact_quantiles(long, "_value", qs, by=[*by, "_spec"], names=qn)

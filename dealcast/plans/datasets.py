@@ -63,12 +63,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(feature_table(cleaned(spark, sf_dir), teams, accts, by=BY))
 
 
-def model_features(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None) -> DataFrame:
+def model_features(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None, win_counts: bool = False) -> DataFrame:
     from dealcast.operators.monthly import monthly_features
     from dealcast.plans.features import model_features as build
     teams, accts, _ = dims(spark, sf_dir)
     # the row features are written in there; the bounded labels' codes are broadcast to them
-    return monthly_features(build(cleaned(spark, sf_dir, distinct), teams, accts, by=BY), by=BY)
+    return monthly_features(build(cleaned(spark, sf_dir, distinct), teams, accts, by=BY, win_counts=win_counts), by=BY)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,12 +110,14 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drift_input(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None) -> DataFrame:
     """The scored set (D2): all 27 model features of every row, the outcome and
     ``prediction`` (the closed-form win rate, so that SQL can repeat it; a fitted
-    model's score goes through the same operators)."""
-    from dealcast.operators.reports import smoothed_win_rate
+    model's score goes through the same operators). The agent's won and closed rows
+    come with its other figures, so the wide rows are not joined again."""
+    from dealcast.operators.reports import laplace_rate
     from dealcast.session import materialize
-    f = model_features(spark, sf_dir, distinct)
+    f = model_features(spark, sf_dir, distinct, win_counts=True)
+    wins, closed = (F.coalesce(F.col(c), F.lit(0)) for c in ("_wins", "_closed"))
     keep = [*BY, "opportunity_id", "sales_agent", "deal_stage", "is_won", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
-    return materialize(smoothed_win_rate(f.select(*keep), "sales_agent", by=BY, name="prediction"))
+    return materialize(f.select(*keep, laplace_rate(wins, closed).alias("prediction")))
 
 
 def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:

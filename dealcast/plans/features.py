@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dealcast.functions import scalar as S
 from dealcast.operators.encode import join_codes, label_encode, standard_scale, targets, value_codes
@@ -28,7 +28,7 @@ MODEL_ENCODED = ("sales_agent", "product", "account", "close_value_category", "m
 
 
 def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
-                    by: Sequence[str] = (), codes: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), codes: Sequence[str] = (), win_counts: bool = False) -> DataFrame:
     """Value, stage, agent, product, date, cycle and account features.
 
     Per-key statistics are computed over the whole snapshot including the row
@@ -38,7 +38,9 @@ def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
     What an agent has (team, statistics, codes) is one table, and so is what an
     account has, so the rows are shuffled once by agent and once by account. Columns
     that follow from a row alone are added after that. ``codes`` names text
-    columns whose values grow with the data, for which ``<col>_encoded`` is added.
+    columns whose values grow with the data, for which ``<col>_encoded`` is added;
+    ``win_counts`` adds ``_wins`` and ``_closed``, an agent's won and closed rows of the
+    result (null if there are none), so that a rate from them needs no further join.
     """
     by = list(by)
     group = [F.col(b) for b in by]
@@ -49,13 +51,16 @@ def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
               .join(repeated_keys(accounts, "account", "_b"), "account", "left")
               .withColumns({"_a": F.coalesce("_a", F.lit(1).cast("long")), "_b": F.coalesce("_b", F.lit(1).cast("long"))}))
 
-    def rates(key: str, count: str, rate: str) -> DataFrame:
+    rows = F.col("_a") * F.col("_b")
+    wins = {"_wins": F.sum(rows * F.col("_won")), "_closed": F.sum(F.when(F.col("_won").isNotNull(), rows))} if win_counts else {}
+
+    def rates(key: str, count: str, rate: str, **more: Column) -> DataFrame:
         g = narrow.groupBy(*group, key).agg(F.sum("_a").alias(count), F.sum(F.col("_a") * F.col("_won")).alias("_w"),
-                                            F.sum(F.when(F.col("_won").isNotNull(), F.col("_a"))).alias("_c"))
-        return g.select(*by, key, count, F.bround((F.col("_w") / F.col("_c")).cast(S.EXACT), 3).cast("double").alias(rate))
+                                            F.sum(F.when(F.col("_won").isNotNull(), F.col("_a"))).alias("_c"), *[v.alias(k) for k, v in more.items()])
+        return g.select(*by, key, count, F.bround((F.col("_w") / F.col("_c")).cast(S.EXACT), 3).cast("double").alias(rate), *more)
 
-    tables = {"sales_agent": rates("sales_agent", "agent_opportunity_count", "agent_win_rate"),
-              "account": narrow.groupBy(*group, "account").agg(F.sum(F.col("_a") * F.col("_b")).alias("account_frequency"))}
+    tables = {"sales_agent": rates("sales_agent", "agent_opportunity_count", "agent_win_rate", **wins),
+              "account": narrow.groupBy(*group, "account").agg(F.sum(rows).alias("account_frequency"))}
     f = opps
     coded = value_codes(opps, codes, by) if codes else {}
     for c, table in coded.items():
@@ -93,7 +98,7 @@ def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
            "agent_opportunity_count", "agent_win_rate", "product_popularity", "product_win_rate", *S.date_parts("engage_date", "engage"),
            "close_year", "close_month", "close_quarter", "close_day_of_week", "sales_cycle_days", "sales_cycle_category",
            *[c for c in accounts.columns if c != "account"], "account_frequency", "is_repeat_account"]
-    return f.select(*first, *own, *[f"{c}_encoded" for c in coded])
+    return f.select(*first, *own, *[f"{c}_encoded" for c in coded], *wins)
 
 
 def scale_columns(df: DataFrame, by: Sequence[str] = ()) -> list[str]:
@@ -119,10 +124,10 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
 
 
 def model_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
-                   by: Sequence[str] = ()) -> DataFrame:
+                   by: Sequence[str] = (), win_counts: bool = False) -> DataFrame:
     """What the model and the drift comparison use of the feature table: the row
     features and the codes of seven labels, without the scaled columns."""
-    f = materialize(create_features(opps, teams, accounts, list(by), [c for c in MODEL_ENCODED if c in HIGH_CARDINALITY]))
+    f = materialize(create_features(opps, teams, accounts, list(by), [c for c in MODEL_ENCODED if c in HIGH_CARDINALITY], win_counts))
     return _encoded(f, MODEL_ENCODED, by)
 
 
