@@ -27,7 +27,7 @@ def result_files(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
     got = files.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"}).alias("result"),
                        F.trim("value").alias("_text"))
-    reason = (F.when(F.length("_text") == 0, "empty").when(~F.col("_text").startswith("{"), "no JSON object")
+    reason = (F.when(F.col("_text").rlike(r"^\s*$"), "empty").when(~F.col("_text").startswith("{"), "no JSON object")
               .when(F.col("result._corrupt").isNotNull() | F.col("result").isNull(), "malformed")
               .when(F.col("result.current_month").isNull(), "no current_month"))
     return got.select("file", "result", reason.alias("reason"))
