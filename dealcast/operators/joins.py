@@ -62,30 +62,19 @@ def attach_group_stats(fact: DataFrame, key: Sequence[str], stats: dict[str, Col
     return fact.join(agg, key, "left")
 
 
-def nested_by_key(table: DataFrame, key: str, by: Sequence[str], out: str) -> DataFrame:
-    """(key, out): a ``(by..., key, stats...)`` table as one row a key, with a map
-    from group to stats. ``by`` groups are few (periods), so a row stays small,
-    and rows that are dealt by the key meet all their group's figures there."""
-    by = list(by)
-    stats = [c for c in table.columns if c not in (*by, key)]
-    entry = F.struct(F.struct(*by).alias("k"), F.struct(*stats).alias("v"))
-    return (table.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.map_from_entries(F.collect_list(entry)).alias(out)))
-
-
 def attach_key_stats(fact: DataFrame, dim: DataFrame, table: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
     """Rows with the columns of a dimension (by ``key``) and of a table of
-    statistics (by ``by`` and ``key``). Both are put together by key first, so the rows
-    are joined, and shuffled, once. Rows whose key is null get nulls; a key
-    that the dimension has several times repeats its rows, as in a plain join."""
+    statistics (by ``by`` and ``key``). Both are put together first, as narrow rows, so
+    the rows themselves are joined, and shuffled, once. Rows whose key is null get nulls;
+    a key that the dimension has several times repeats its rows, as in a plain join."""
     by = list(by)
     stats = [c for c in table.columns if c not in (*by, key)]
-    if not by:
-        return fact.join(table.join(dim, key, "left"), key, "left").select(*fact.columns, *[c for c in dim.columns if c != key], *stats)
-    both = nested_by_key(table, key, by, "_nested").join(dim, key, "left")
-    j = fact.join(both, key, "left")
-    group = F.struct(*by)
-    return j.select(*fact.columns, *[c for c in dim.columns if c != key], *[F.col("_nested")[group][c].alias(c) for c in stats])
+    more = [c for c in dim.columns if c != key]
+    both = table.join(dim, key, "left").select(*[F.col(c).alias(f"_on_{c}") for c in (*by, key)], *more, *stats)
+    on = F.col(key) == F.col(f"_on_{key}")
+    for b in by:
+        on = on & F.col(b).eqNullSafe(F.col(f"_on_{b}"))
+    return fact.join(both, on, "left").select(*fact.columns, *more, *stats)
 
 
 def repeated_keys(dim: DataFrame, key: str, out: str) -> DataFrame:

@@ -56,19 +56,21 @@ def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table. Its row features and codes are written, the table itself is
+    written by whoever stores it, and only then."""
     from dealcast.plans.features import feature_table
-    from dealcast.session import materialize
     teams, accts, _ = dims(spark, sf_dir)
-    # the features layer: written once (the reference stores it too)
-    return materialize(feature_table(cleaned(spark, sf_dir), teams, accts, by=BY))
+    return feature_table(cleaned(spark, sf_dir), teams, accts, by=BY)
 
 
 def model_features(spark: SparkSession, sf_dir: str, distinct: DataFrame | None = None, win_counts: bool = False) -> DataFrame:
     from dealcast.operators.monthly import monthly_features
-    from dealcast.plans.features import model_features as build
+    from dealcast.plans.features import MODEL_ENCODED, encode_labels, model_rows as build
     teams, accts, _ = dims(spark, sf_dir)
-    # the row features are written in there; the bounded labels' codes are broadcast to them
-    return monthly_features(build(cleaned(spark, sf_dir, distinct), teams, accts, by=BY, win_counts=win_counts), by=BY)
+    rows = build(cleaned(spark, sf_dir, distinct), teams, accts, by=BY, win_counts=win_counts)
+    # the bounded labels' codes are broadcast, after the monthly features: a reader of the
+    # training rows only (P7) has the other rows dropped before that
+    return encode_labels(monthly_features(rows, by=BY), MODEL_ENCODED, BY, source=rows)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,11 +129,16 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides(d, "snapshot_period", consecutive_pairs(d, "snapshot_period"))
 
 
+MODEL_KEEP = ("opportunity_id", "opportunity_key", "is_won", "is_closed", "deal_stage", "engage_date", "close_date")
+
+
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 over all snapshots (see ``model_rows``); only the training rows are written."""
-    from dealcast.operators.monthly import training_rows
+    """M2 over all snapshots (see ``model_rows``); only the training rows are written,
+    and of them what the training matrix is made of."""
+    from dealcast.operators.monthly import MODEL_FEATURES, training_rows
     from dealcast.session import materialize
-    return model_rows(materialize(training_rows(model_features(spark, sf_dir))))
+    rows = training_rows(model_features(spark, sf_dir))
+    return model_rows(materialize(rows.select(*dict.fromkeys([*BY, *MODEL_KEEP, *MODEL_FEATURES]))))
 
 
 def model_rows(monthly_rows: DataFrame) -> DataFrame:
@@ -140,7 +147,6 @@ def model_rows(monthly_rows: DataFrame) -> DataFrame:
     from dealcast.operators.monthly import MODEL_FEATURES, training_matrix
     from dealcast.operators.windows import temporal_split
     from dealcast.session import materialize
-    m = training_matrix(monthly_rows, by=BY, keep=("opportunity_id", "opportunity_key", "is_won", "is_closed",
-                                         "deal_stage", "engage_date", "close_date"))
+    m = training_matrix(monthly_rows, by=BY, keep=MODEL_KEEP)
     split = temporal_split(m.where(F.col("is_closed") == 1), by=())
     return materialize(split.select("opportunity_id", "opportunity_key", "is_won", "split", *MODEL_FEATURES))

@@ -25,6 +25,9 @@ ENCODED = ("opportunity_id", "sales_agent", "product", "account", "creation_year
 
 # The encoded columns among the model's features.
 MODEL_ENCODED = ("sales_agent", "product", "account", "close_value_category", "manager", "regional_office", "sector")
+# Row features that neither the model nor the drift comparison uses.
+MODEL_UNUSED = ("creation_date", "creation_year_month", "deal_stage_order", "engage_year", "close_year", "close_month",
+                "close_quarter", "close_day_of_week", "sales_cycle_category")
 
 
 def create_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
@@ -123,18 +126,19 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
     return keep
 
 
-def model_features(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
-                   by: Sequence[str] = (), win_counts: bool = False) -> DataFrame:
-    """What the model and the drift comparison use of the feature table: the row
-    features and the codes of seven labels, without the scaled columns."""
-    f = materialize(create_features(opps, teams, accounts, list(by), [c for c in MODEL_ENCODED if c in HIGH_CARDINALITY], win_counts))
-    return _encoded(f, MODEL_ENCODED, by)
+def model_rows(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
+               by: Sequence[str] = (), win_counts: bool = False) -> DataFrame:
+    """What the model and the drift comparison use of the row features, with the codes of
+    ``HIGH_CARDINALITY`` labels, written: the monthly features and the other labels' codes read it."""
+    f = create_features(opps, teams, accounts, list(by), [c for c in MODEL_ENCODED if c in HIGH_CARDINALITY], win_counts)
+    return materialize(f.drop(*MODEL_UNUSED))
 
 
-def _encoded(f: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Rows that have the codes of ``HIGH_CARDINALITY`` labels, with the others' as well, in the order of ``cols``."""
+def encode_labels(f: DataFrame, cols: Sequence[str], by: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+    """Rows that have the codes of ``HIGH_CARDINALITY`` labels, with the others' as well, in the order
+    of ``cols``. ``source`` is a written table with the same labels."""
     have = [f"{c}_encoded" for c in cols if c in HIGH_CARDINALITY]
-    out = label_encode(f, [c for c in cols if c not in HIGH_CARDINALITY], by)
+    out = label_encode(f, [c for c in cols if c not in HIGH_CARDINALITY], by, source=source)
     return out.select(*[c for c in f.columns if c not in have], *[f"{c}_encoded" for c in cols])
 
 
@@ -144,7 +148,7 @@ def feature_table(opps: DataFrame, teams: DataFrame, accounts: DataFrame,
     by = list(by)
     # The row features feed ten encoders, the scaler and the targets: write
     # them once instead of replaying the binding and cleaning per branch.
-    f = materialize(create_features(opps, teams, accounts, by, HIGH_CARDINALITY))
-    f = _encoded(f, [c for c in ENCODED if c in f.columns], by)
+    rows = materialize(create_features(opps, teams, accounts, by, HIGH_CARDINALITY))
+    f = encode_labels(rows, [c for c in ENCODED if c in rows.columns], by)
     f = standard_scale(f, scale_columns(f, by), by)
-    return targets(f, TARGET, by)
+    return targets(f, TARGET, by, source=rows)
