@@ -28,7 +28,8 @@ from dealcast.operators.windows import stable_hash
 # and monitoring-threshold rules.
 SEED = 42
 FOLDS = 3
-PARALLELISM = 6  # fits at a time
+PARALLELISM = 12  # fits at a time: the folds of all candidates
+ROWS_PER_TASK = 100_000  # training rows of a fit's partition, if there are few
 CELLS = 10_000  # cells of the score that a calibration tells apart
 THRESHOLD_RULES = {"roc_auc": (0.75, 0.95, "max"), "brier": (0.25, 1.1, "min"), "accuracy": (0.7, 0.95, "max")}
 
@@ -104,13 +105,20 @@ def fit_calibrated(name: str, estimator, train: DataFrame, key: str = "opportuni
     return CalibratedModel(name, [fit_fold(estimator, train, k, key, folds) for k in range(folds)])
 
 
+def fit_partitions(train: DataFrame, rows: int = ROWS_PER_TASK) -> int:
+    """In how many partitions ``fit_all`` reads ``train``: of ``rows`` rows each, at most as many as tasks run at once."""
+    return max(1, min(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // rows)))
+
+
 def fit_all(estimators: dict, train: DataFrame, key: str = "opportunity_key", folds: int = FOLDS,
-            parallelism: int = PARALLELISM) -> dict[str, CalibratedModel]:
+            parallelism: int = PARALLELISM, partitions: int | None = None) -> dict[str, CalibratedModel]:
     """``fit_calibrated`` of several estimators, ``parallelism`` fits at a time (as the
     cross-validator's): a fit is many short jobs one after the other, which leave most
-    of a cluster idle. The rows lie in no more partitions than tasks run at once, so that
-    what a job shuffles for a tree's nodes doesn't grow with the data."""
-    rows = train.coalesce(train.sparkSession.sparkContext.defaultParallelism)
+    of a cluster idle. The rows lie in ``partitions`` (no more partitions than tasks run at once by
+    default), so that what a job shuffles for a tree's nodes doesn't grow with the data. A task
+    sends its statistics of every node whatever its rows, so a few large partitions are less work
+    than many small ones (``fit_partitions``)."""
+    rows = train.coalesce(partitions or train.sparkSession.sparkContext.defaultParallelism)
     tasks = [(name, k) for name in estimators for k in range(folds)]
     with ThreadPool(min(parallelism, len(tasks))) as pool:
         fit = inheritable_thread_target(train.sparkSession)(lambda task: fit_fold(estimators[task[0]].copy(), rows, task[1], key, folds))

@@ -62,7 +62,8 @@ def train(data: DataFrame, path: str, names: Sequence[str] | None = None, key: s
     spark = data.sparkSession
     test = data.where(F.col("split") == "test")
     cands = M.candidates()
-    models = M.fit_all({name: cands[name] for name in names or cands}, data.where(F.col("split") == "train"))
+    rows = data.where(F.col("split") == "train")
+    models = M.fit_all({name: cands[name] for name in names or cands}, rows, partitions=M.fit_partitions(rows))
     for name in models:
         scores = models[name].predict(test).select(F.lit(name).alias("model"), key, "label", "prediction")
         scores.write.mode("overwrite").parquet(f"{path}/test_scores/of={name}")

@@ -1,7 +1,8 @@
-"""The features layer's plans at scale: no maps of a key's figures, codes from the written rows."""
+"""The features layer's plans at scale: no maps of a key's figures, codes from the written rows, fits over few partitions."""
 
 from pyspark.sql import functions as F
 
+from dealcast.operators import models as M
 from dealcast.operators.encode import label_encode, targets
 from dealcast.operators.joins import attach_key_stats
 from dealcast.plans import features as P
@@ -31,3 +32,17 @@ def test_codes_come_from_the_written_rows(spark, plain_plans):  # noqa: F811
     assert nodes(got, "Join") == 3  # its own, the label's and the target's codes
     assert {(r.a, r.a_encoded, r.deal_stage, r.target_multiclass) for r in got.collect()} == {
         (f"a{i}", i, s, k) for i in range(3) for k, s in enumerate(("Lost", "Won"))}
+
+
+def test_fits_read_few_partitions_while_rows_are_few(spark, monkeypatch):
+    n = spark.sparkContext.defaultParallelism
+    df = spark.range(1000).repartition(3 * n)
+    assert [M.fit_partitions(df, rows) for rows in (1000, 999, 500, 1)] == [1, 2, 2, n]
+    assert M.fit_partitions(df.where("id < 0")) == 1
+
+    class Estimator:
+        def copy(self):
+            return self
+
+    monkeypatch.setattr(M, "fit_fold", lambda estimator, rows, k, key, folds: (rows.rdd.getNumPartitions(), k))
+    assert M.fit_all({"x": Estimator()}, df, partitions=2)["x"].folds == [(2, k) for k in range(3)]
