@@ -20,13 +20,17 @@ Two documents are linked if their sets have Jaccard similarity >= ``percent``
    that are left, members of different components are paired (a posting carries
    the set size and a bitmap of its class's sketch, so pairs that can't be links
    are never formed). A long list that is left goes into the bucket of its main
-   component, and buckets are compared block by block inside tasks: only links
-   come out, so no link between different components is lost and no pairs of a
-   large group are ever rows. If much is left, more pivots come before that.
+   component, by powers of two of the set size, and buckets are compared block by
+   block inside tasks: no link between different components is lost and no pairs
+   of a large group are ever rows. If much is left, more pivots come before that.
+   Postings are shuffled by value in portions of at most about ``PORTION`` rows.
 4. *Estimate.* The k smallest values of the two sketches' union give the
-   similarity; a pair goes on if as many of them are shared as ``need`` says.
-5. *Exact.* Jaccard on the full sets decides every link; only texts that are in
-   a comparison are moved for it.
+   similarity; a pair goes on if as many of them are shared as ``need`` says. For
+   this only sketches are moved, of a bucket with blocks of ``BLOCK`` documents.
+5. *Exact.* Jaccard on the full sets decides every link; only texts of documents
+   that have a partner by the estimate are moved for it.
+
+Disk: a step's shuffle files go when it ends, and tables when nothing reads them.
 
 Shingles are told apart by 64-bit hashes. Defined results: null text is empty
 text; every row gives one row; a row with a null id takes part in no group
@@ -36,6 +40,7 @@ groups are joined if their texts differ. An empty table gives no rows. Other col
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from math import comb
@@ -52,6 +57,8 @@ GROUPS_BROADCAST = 100_000  # rows of a table of comparisons that may be broadca
 PIVOT_ROUNDS = 3
 SHORT = 32                  # members of a list whose pairs may be formed
 SIDE = 128                  # documents on each side of a comparison in a task
+BLOCK = 1024                # the same for comparisons of sketches only
+PORTION = 10_000_000        # postings, or pairs with a sketch, that are shuffled at once (1 to 4 GB)
 EFFORT = 100                # comparisons a class that buckets may leave without further pivots
 BITMAP = 8                  # 64-bit numbers of a class's bitmap
 _BITS = [f"b{i}" for i in range(BITMAP)]
@@ -125,15 +132,19 @@ def _values(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(rows, "value long, rep long")
 
 
+def _least(k: int, percent: int, need: int):
+    """The overlap that the sketch of a set of size n has with any similar partner's."""
+    # wholly retained on both sides: the partner has at most n * 100 / percent <= k shingles
+    return F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(F.col("n"), F.lit(k), F.lit(need))).cast("long")
+
+
 def postings(classes: DataFrame, k: int, percent: int, need: int) -> DataFrame:
     """(value, rep, n, least, bitmap) of the posted values that two classes or
     more retain. ``least``: the overlap that any similar partner has."""
     values = _values(classes)
     seen = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") > 1)
     held = F.least(F.col("n"), F.lit(k))
-    # wholly retained on both sides: the partner has at most n * 100 / percent <= k shingles
-    least = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(held, F.lit(need)))
-    shared = values.join(seen, "value").join(classes.select("rep", "n", *_BITS).withColumn("least", least.cast("long")), "rep")
+    shared = values.join(seen, "value").join(classes.select("rep", "n", *_BITS).withColumn("least", _least(k, percent, need)), "rep")
     # a class's values that nobody else retains come first in the order and can match nothing
     by = Window.partitionBy("rep")
     nth = F.row_number().over(by.orderBy("seen", "value"))
@@ -176,20 +187,89 @@ def _shared_all(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _estimates(left: np.ndarray, others: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the k smallest values of each union of two sketches: how many there
-    are, and how many of them both have."""
+def _estimates(left: list[np.ndarray], others: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the k smallest values of each union of two sketches (``left`` with
+    ``others``, by place): how many there are, and how many of them both have;
+    and how many values both have at all."""
     top = np.uint64(2 ** 64 - 1)
     both = np.full((len(others), 2 * k), top, np.uint64)
-    both[:, :len(left)] = left
-    for i, o in enumerate(others):
-        both[i, k:k + len(o)] = o
+    for at, side in ((0, left), (k, others)):
+        held = np.array([len(x) for x in side], np.int64)
+        row = np.repeat(np.arange(len(side)), held)
+        both[row, at + np.arange(len(row)) - np.repeat(np.cumsum(held) - held, held)] = np.concatenate([*side, np.zeros(0, np.uint64)])
     both.sort(axis=1)
     again = np.zeros(both.shape, bool)
     again[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != top)
     rank = np.cumsum(~again, axis=1)
     size = np.minimum(k, (~again & (both != top)).sum(1))
-    return size, (again & (rank <= k)).sum(1)
+    return size, (again & (rank <= k)).sum(1), again.sum(1)
+
+
+def _alike(left: list[np.ndarray], others: list[np.ndarray], n: np.ndarray, m: np.ndarray, k: int, percent: int, need: int) -> np.ndarray:
+    """Whether the sketches of each pair allow a link; ``n`` and ``m`` are the
+    sets' sizes. A sketch of fewer than k values is the whole set."""
+    out = np.zeros(len(n), bool)
+    for lo in range(0, len(n), 8192):
+        here = slice(lo, lo + 8192)
+        seen, both, all_both = _estimates(left[here], others[here], k)
+        whole = (n[here] < k) & (m[here] < k)
+        out[here] = np.where(whole, 100 * all_both >= percent * (n[here] + m[here] - all_both), both >= np.minimum(need, seen))
+    return out & (n * 100 >= m * percent) & (m * 100 >= n * percent)
+
+
+def _read_sketches(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def _promising(k: int, percent: int, need: int, side: int):
+    """Of one group of documents (two blocks, or one with itself) those that
+    have a partner by their sketches, as groups of the same kind with at most
+    ``side`` documents on each side."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("rep")
+        rep, comp, n = (group.column(c).to_numpy() for c in ("rep", "comp", "n"))
+        minor, of = group.column("minor").to_numpy(), group.column("side").to_numpy()
+        sketch = _read_sketches(group.column("sketch"))
+        least = group.column("least").to_numpy()
+        bits = np.stack([group.column(b).to_numpy().view(np.uint64) for b in _BITS], 1)
+        found_a, found_b = [], []
+        lefts = np.flatnonzero(minor)
+        for lo in range(0, len(lefts), 64):
+            left = lefts[lo:lo + 64]
+            x, y = left[:, None], np.arange(len(rep))[None, :]
+            # two minor ones meet once
+            ok = (comp[x] != comp[y]) & (n[x] * 100 >= n[y] * percent) & (n[y] * 100 >= n[x] * percent)
+            ok &= np.where(of[x] == 2, ~minor[y] | (y > x), (of[x] != of[y]) & (~minor[y] | (of[x] == 0)))
+            i, j = np.nonzero(ok)
+            i = left[i]
+            common = np.zeros(len(i), np.int64)
+            for b in range(BITMAP):
+                common += np.bitwise_count(bits[i, b] & bits[j, b])
+            ok = common >= np.floor(np.maximum(least[i], least[j]) * 0.75) - 4
+            i, j = i[ok], j[ok]
+            ok = _alike([sketch[p] for p in i.tolist()], [sketch[p] for p in j.tolist()], n[i], n[j], k, percent, need)
+            found_a.append(i[ok])
+            found_b.append(j[ok])
+        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (found_a, found_b))
+        swap = np.where(of[a] == 2, a > b, of[a] == 1)
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        # places within a side are cut into pieces: each pair of pieces with a find is a group
+        place = np.zeros(len(rep), np.int64)
+        for s in (0, 1, 2):
+            place[of == s] = np.arange((of == s).sum()) // side
+        name = group.column("g")[0].as_py()
+        pieces = len(rep) // side + 1
+        where = place[a] * pieces + place[b]
+        out = []
+        for key in np.unique(where).tolist():
+            p, q = divmod(key, pieces)
+            here = where == key
+            alone = bool(p == q and of[a[here][0]] == 2)
+            for at, docs in ((2, np.union1d(a[here], b[here])),) if alone else ((0, np.unique(a[here])), (1, np.unique(b[here]))):
+                out.append(pa.table([pa.array([f"{name}/{p}/{q}"] * len(docs), pa.string()), pa.array(rep[docs]), pa.array(comp[docs]), pa.array(minor[docs]),
+                                     pa.array(np.full(len(docs), at, np.int32))], names=["g", "rep", "comp", "minor", "side"]))
+        return pa.concat_tables(out) if out else group.select(["g", "rep", "comp", "minor", "side"]).slice(0, 0)
+    return run
 
 
 def _compare(size: int, k: int, percent: int, need: int):
@@ -217,9 +297,7 @@ def _compare(size: int, k: int, percent: int, need: int):
             others = np.flatnonzero(ok)
             if not len(others):
                 continue
-            seen, both = _estimates(sketch[i], [sketch[j] for j in others], k)
-            # a sketch of fewer than k values is the whole set: those go to the exact step
-            others = others[(both >= np.minimum(need, seen)) | ((n[others] < k) & (n[i] < k))]
+            others = others[_alike([sketch[i]] * len(others), [sketch[j] for j in others], np.full(len(others), n[i]), n[others], k, percent, need)]
             if not len(others):
                 continue
             same = exact[p, others] if exact is not None else _shared(sets[i], [sets[j] for j in others])
@@ -254,16 +332,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     k: int = 48) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id (the smallest
     id reachable over links, its own included) and kept (it is that id)."""
+    with C.shuffles_dropped(docs.sparkSession):
+        return _near_duplicates(docs, doc_id, text, size, percent, k)
+
+
+def portions(column: str, rows: int, most: int) -> list:
+    """Conditions on ``column`` that part ``rows`` rows into portions of about ``most``."""
+    n = max(1, -(-rows // most))
+    return [F.pmod(F.xxhash64(column), F.lit(n)) == i for i in range(n)] if n > 1 else [F.lit(True)]
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, k: int) -> DataFrame:
+    spark = docs.sparkSession
     need = needed_overlap(k, percent)
-    read = C.materialize(sketches(docs, doc_id, text, size, k))
-    classes = C.materialize(read.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("same")
+    whole = C.materialize(sketches(docs, doc_id, text, size, k))
+    classes = C.materialize(whole.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("same")
                             .agg(F.min(F.struct("doc_id", "n", "sketch", *_BITS)).alias("m"))
                             .select("same", F.col("m.doc_id").alias("rep"), *[F.col(f"m.{c}").alias(c) for c in ("n", "sketch", *_BITS)]))
+    read = C.materialize(whole.select("doc_id", "n", "same"))
+    C.release(spark, whole)
     lists = C.materialize(postings(classes, k, percent, need))
     many = classes.count()
+    by_value = portions("value", lists.count(), PORTION)
     repeated = not read.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty()
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
 
+    def in_portions(rows, conditions: list) -> DataFrame:
+        """The rows that ``rows`` gives for each of the conditions, written one after the other."""
+        parts = [C.materialize(rows(c)) for c in conditions]
+        return functools.reduce(DataFrame.unionAll, parts)
+
     def confirmed(groups: DataFrame) -> DataFrame:
         """Links of ``groups`` (g, rep, comp, minor, side). Of the documents only
         those in a group are read out."""
@@ -278,46 +376,99 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         found = met.select("g", "rep", "comp", "minor", "side", "text").groupBy("g").applyInArrow(_compare(size, k, percent, need), "a long, b long")
         return C.materialize(found)
 
-    def by_pivot(pairs: DataFrame) -> DataFrame:
-        """Groups of pairs (a, b, comp_a, comp_b): a document and up to about ``SIDE`` others."""
-        pairs = C.materialize(pairs.distinct())
+    def of_asked(rows: DataFrame, *columns: str) -> DataFrame:
+        """The classes that the written ``rows`` name, all of them if those are many."""
+        asked = C.materialize(functools.reduce(DataFrame.unionAll, [rows.select(F.col(c).alias("rep")) for c in columns]).distinct())
+        small = asked.limit(IDS_BROADCAST + 1).count() <= IDS_BROADCAST
+        return classes.join(F.broadcast(asked), "rep", "left_semi") if small else classes
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of the written ``pairs`` (a, b, comp_a, comp_b) that may be links by their sketches."""
+        @C.task
+        def rows(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                left, others = _read_sketches(batch.column(4)), _read_sketches(batch.column(6))
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(_alike(left, others, batch.column(5).to_numpy(), batch.column(7).to_numpy(), k, percent, need)))
+
+        held = of_asked(pairs, "a", "b")
+
+        def of(condition) -> DataFrame:
+            met = (pairs.where(condition).join(held.select(F.col("rep").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("nx")), "a")
+                   .join(held.select(F.col("rep").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("ny")), "b"))
+            return met.select("a", "b", "comp_a", "comp_b", "x", "nx", "y", "ny").mapInArrow(rows, "a long, b long, comp_a long, comp_b long")
+        return in_portions(of, portions("a", pairs.count(), PORTION))
+
+    def by_pivot(pairs) -> DataFrame:
+        """Groups of the pairs (a, b, comp_a, comp_b) that ``pairs`` gives for a
+        portion of the lists: a document and up to about ``SIDE`` others."""
+        pairs = alike(C.materialize(in_portions(lambda c: pairs(c).distinct(), by_value).distinct()))
         most = pairs.groupBy("a").count().agg(F.max("count").alias("most")).first().most or 0
         cut = F.pmod(F.xxhash64("b"), F.lit(max(1, -(-most // SIDE))))
         keyed = pairs.withColumn("g", F.concat_ws("/", F.lit("p"), "a", cut))
         own = keyed.select("g", F.col("a").alias("rep"), F.col("comp_a").alias("comp"), F.lit(True).alias("minor"), F.lit(0).alias("side")).distinct()
         return own.union(keyed.select("g", "b", "comp_b", F.lit(False), F.lit(1)))
 
-    links, labels = None, None
+    def of_buckets(members: DataFrame) -> DataFrame:
+        """Groups of the buckets' members that have a partner by their sketches."""
+        groups = C.materialize(bucket_groups(members, BLOCK))
+        held = of_asked(groups, "rep").withColumn("least", _least(k, percent, need))
+        return (groups.join(held, "rep").groupBy("g")
+                .applyInArrow(_promising(k, percent, need, SIDE), "g string, rep long, comp long, minor boolean, side int"))
+
+    def told(condition, *columns: str) -> DataFrame:
+        """Postings with their components, of the lists that may hold several."""
+        rows = lists.where(condition).select("value", "rep", *columns)
+        if labels is None:
+            return rows.withColumn("comp", F.col("rep"))
+        return rows.join(C.broadcast_if_small(labels, IDS_BROADCAST), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+    def mixed(condition) -> DataFrame:
+        rows = told(condition, *_ITEM[1:])
+        return rows if state is None else rows.join(state.where(condition), "value")
+
+    links, labels, state = None, None, None
     item = F.struct("comp", *_ITEM)
-    mixed = lists.withColumn("comp", F.col("rep"))
     for turn in range(PIVOT_ROUNDS):
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        mixed = mixed.select("value", "comp", *_ITEM)
-        tops = mixed.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min_by(item, order).alias("y")).where("members > 1")
-        pairs = (mixed.select("value", item.alias("x")).join(tops, "value")
-                 .where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", percent))
-                 .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
-        new = confirmed(by_pivot(pairs))
+
+        def with_pivots(condition) -> DataFrame:
+            here = mixed(condition)
+            tops = here.groupBy("value").agg(F.count(F.lit(1)).alias("of"), F.min_by(item, order).alias("y")).where("of > 1")
+            return (here.select("value", item.alias("x")).join(tops, "value")
+                    .where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", percent))
+                    .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
+
+        new = confirmed(by_pivot(with_pivots))
         links = new if links is None else links.union(new)
         labels = components(links)
+
         # the lists that are still of several components; any component may be a list's main one, the largest saves work
-        told = lists.join(C.broadcast_if_small(labels, IDS_BROADCAST), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        own = told.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("n"))
-        state = (own.groupBy("value").agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp"))["comp"].alias("main"),
-                                          F.count(F.lit(1)).alias("comps")).where("comps > 1"))
-        mixed = C.materialize(told.join(state, "value"))
-        minor = F.col("comp") != F.col("main")
-        members = (mixed.where(F.col("members") > SHORT).groupBy(F.col("main").alias("bucket"), "rep", "comp").agg(F.max(minor).alias("minor")))
-        members = C.materialize(members)
+        def left_over(condition) -> DataFrame:
+            own = told(condition).groupBy("value", "comp").agg(F.count(F.lit(1)).alias("n"))
+            return (own.groupBy("value").agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp"))["comp"].alias("main"),
+                                             F.count(F.lit(1)).alias("comps")).where("comps > 1"))
+        state = in_portions(left_over, by_value)
+
+        # a partner's set size lies in one of the powers of two that a member is in
+        def of_long(condition) -> DataFrame:
+            long = told(condition, "n").join(state.where(condition).where(F.col("members") > SHORT), "value")
+            bands = F.sequence(F.length(F.bin("n")), F.length(F.bin(F.floor(F.col("n") * 100 / percent))))
+            return (long.groupBy("main", "rep", "comp", "n").agg(F.max(F.col("comp") != F.col("main")).alias("minor"))
+                    .withColumn("band", F.explode(bands)).select(F.concat_ws("/", "main", "band").alias("bucket"), "rep", "comp", "minor"))
+        members = in_portions(of_long, by_value)
+        if len(by_value) > 1:
+            members = C.materialize(members.groupBy("bucket", "rep", "comp").agg(F.max("minor").alias("minor")))
         work = members.groupBy("bucket").agg((F.sum(F.col("minor").cast("double")) * F.count(F.lit(1))).alias("w")).agg(F.sum("w").alias("w")).first().w
         if (work or 0) <= EFFORT * many:
             break
-    short = mixed.where(F.col("members") <= SHORT).select("value", "main", item.alias("x"))
-    pairs = (short.join(short.where("x.comp <> main").select("value", F.col("x").alias("y")), "value")
-             .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
-                    & _possible("x", "y", percent))
-             .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
-    new = confirmed(by_pivot(pairs).union(bucket_groups(members)))
+
+    def in_short(condition) -> DataFrame:
+        short = mixed(condition).where(F.col("members") <= SHORT).select("value", "main", item.alias("x"))
+        return (short.join(short.where("x.comp <> main").select("value", F.col("x").alias("y")), "value")
+                .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("x.comp") == F.col("main")) | (F.col("x.rep") > F.col("y.rep")))
+                       & _possible("x", "y", percent))
+                .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), F.col("y.comp").alias("comp_a"), F.col("x.comp").alias("comp_b")))
+    new = confirmed(by_pivot(in_short).union(of_buckets(members)))
     links = links.union(new)
     if repeated:  # rows with one id are one document: their groups are one
         own = read.where(F.col("doc_id").isNotNull()).select("doc_id", "same").join(classes.select("same", "rep"), "same").select("doc_id", "rep")
